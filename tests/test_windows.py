@@ -1,0 +1,87 @@
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tidemark.operators.totals import group_totals
+from tidemark.operators.windows import rank_within, rolling_range_sum, top_k_within
+
+
+def brute_rolling(rows, days):
+    out = {}
+    for i, (k, d, v) in rows.items():
+        if d is None:
+            peers = [vv for (kk, dd, vv) in rows.values() if kk == k and dd is None]
+        else:
+            peers = [vv for (kk, dd, vv) in rows.values() if kk == k and dd is not None and 0 <= (d - dd).days <= days]
+        vals = [p for p in peers if p is not None]
+        out[i] = sum(vals) if vals else None
+    return out
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])
+def test_rolling_sum_matches_brute_force(spark, kind):
+    rnd = random.Random(7)
+    base = dt.date(2020, 1, 1)
+    rows = {}
+    for i in range(300):
+        d = None if i % 37 == 0 else base + dt.timedelta(days=rnd.randint(0, 400))
+        v = None if i % 41 == 0 else Decimal(rnd.randint(0, 10000)) / 100
+        rows[i] = (rnd.randint(0, 4), d, v)
+    # exact boundary cases: 90 days apart is inside, 91 outside, same day both
+    rows[1000] = (9, dt.date(2021, 1, 1), Decimal("1.00"))
+    rows[1001] = (9, dt.date(2021, 4, 1), Decimal("2.00"))  # +90 days
+    rows[1002] = (9, dt.date(2021, 4, 2), Decimal("4.00"))  # +91 days from the first
+    rows[1003] = (9, dt.date(2021, 4, 2), Decimal("8.00"))
+    data = [(i, k, d, v) for i, (k, d, v) in rows.items()]
+    df = spark.createDataFrame(data, "id int, k int, d date, v decimal(18,2)")
+    if kind != "date":
+        df = df.withColumn("d", F.col("d").cast(kind))
+    got = {r.id: r.s for r in rolling_range_sum(df, ["k"], "d", F.col("v"), 90, "s").collect()}
+    want = brute_rolling(rows, 90)
+    assert got == want
+    assert got[1001] == Decimal("3.00") and got[1002] == Decimal("14.00")
+
+
+def test_rolling_sum_plan_windows_the_daily_aggregate(spark):
+    df = spark.range(50).select((F.col("id") % 3).alias("k"), F.date_add(F.lit(dt.date(2020, 1, 1)), F.col("id").cast("int")).alias("d"), F.col("id").alias("v"))
+    plan = rolling_range_sum(df, ["k"], "d", F.col("v"), 90, "s")._jdf.queryExecution().executedPlan().toString()
+    window_at = plan.index("Window [sum(")
+    assert "HashAggregate" in plan[window_at:]
+
+
+def test_group_totals_equal_the_window_form(spark):
+    rows = [(i % 4 if i % 9 else None, i, Decimal(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "g int, id int, v decimal(18,2)")
+    got = group_totals(df, ["g"], [F.sum("v").alias("t"), F.count("id").alias("n")])
+    w = Window.partitionBy("g")
+    want = df.select("*", F.sum("v").over(w).alias("t"), F.count("id").over(w).alias("n"))
+    assert sorted(got.collect(), key=lambda r: r.id) == sorted(want.collect(), key=lambda r: r.id)
+
+
+def test_group_totals_has_no_whole_partition_window(spark):
+    df = spark.range(100).select((F.col("id") % 5).alias("g"), F.col("id").alias("v"))
+    plan = group_totals(df, ["g"], [F.sum("v").alias("t")])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_group_totals_without_bound_gives_same_result(spark):
+    df = spark.range(100).select((F.col("id") % 50).alias("g"), F.col("id").alias("v"))
+    a = group_totals(df, ["g"], [F.sum("v").alias("t")], max_broadcast_groups=10)
+    b = group_totals(df, ["g"], [F.sum("v").alias("t")])
+    assert sorted(a.collect()) == sorted(b.collect()) and a.count() == 100
+
+
+def test_rank_and_top_k(spark):
+    df = spark.createDataFrame(
+        [(1, dt.date(2020, 1, 3), 10), (1, dt.date(2020, 1, 3), 11), (1, dt.date(2020, 1, 1), 12), (2, None, 13), (2, dt.date(2020, 1, 1), 14)],
+        "c int, d date, o int",
+    )
+    order = [F.col("d").desc_nulls_last(), F.col("o").asc()]
+    got = {r.o: r.r for r in rank_within(df, ["c"], order, "r").collect()}
+    assert got == {10: 1, 11: 2, 12: 3, 14: 1, 13: 2}
+    top = {r.o for r in top_k_within(df, ["c"], order, 1, "r").collect()}
+    assert top == {10, 14}
