@@ -45,6 +45,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tidemark-bench")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(max(8, int(cpus) * 2)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

@@ -2,22 +2,86 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DataType, DateType, StringType, TimestampNTZType, TimestampType
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def rank_within(df: DataFrame, group: list[str], order: list[Column], out: str) -> DataFrame:
+def _key_default(dtype: DataType) -> Column:
+    """A non-NULL stand-in of the column's type (paired with an is-NULL flag)."""
+    if isinstance(dtype, StringType):
+        return F.lit("")
+    if isinstance(dtype, BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, DateType):
+        return F.lit(dt.date(1970, 1, 1))
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+        return F.lit("1970-01-01 00:00:00").cast(dtype)
+    return F.lit(0).cast(dtype)
+
+
+def rank_within(
+    df: DataFrame,
+    group: list[str],
+    order: list[Column],
+    out: str,
+    split: list[tuple[Column, str]] | None = None,
+) -> DataFrame:
     """``row_number()`` inside each group, by ``order`` (1 = first).
 
     ``order`` must be a total order inside the group (end it with a unique
-    column) for the numbering to be repeatable. One shuffle on ``group``.
+    column) for the numbering to be repeatable.
+
+    Without ``split``: one window, one shuffle on ``group``; every row of a
+    group is sorted by one task.
+
+    With ``split``: a list of ``(column, direction)`` whose values never
+    decrease along ``order`` (direction ``asc_nulls_first`` or
+    ``desc_nulls_last``, e.g. the day of a date that ``order`` sorts first).
+    Each group is cut into sub-buckets by those columns; a row's number is its
+    number inside its sub-bucket plus the row count of the group's earlier
+    sub-buckets. The rows still move once (to their sub-bucket); the counts
+    are a partial aggregate, small next to the rows. A group holding a third
+    of all rows is spread over all its sub-buckets instead of one task.
     """
-    w = Window.partitionBy(*[_q(g) for g in group]).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(w))
+    if not split:
+        w = Window.partitionBy(*[_q(g) for g in group]).orderBy(*order)
+        return df.withColumn(out, F.row_number().over(w))
+
+    keys: list[tuple[str, str]] = []  # (value column, is-null column)
+    cols = [F.col("*")]
+    sources = [(_q(g), None) for g in group] + [(c, d) for c, d in split]
+    probe = df.select(*[c for c, _ in sources])
+    for i, ((c, _), f) in enumerate(zip(sources, probe.schema.fields)):
+        k, n = f"__tm_rk{i}", f"__tm_rn{i}"
+        cols += [F.coalesce(c, _key_default(f.dataType)).alias(k), c.isNull().alias(n)]
+        keys.append((k, n))
+    keyed = df.select(*cols)
+    all_keys = [F.col(x) for pair in keys for x in pair]
+    local = keyed.withColumn("__tm_local", F.row_number().over(Window.partitionBy(*all_keys).orderBy(*order)))
+
+    counts = keyed.groupBy(*all_keys).agg(F.count(F.lit(1)).alias("__tm_cnt"))
+    bucket_order = []
+    for (k, n), (_, direction) in zip(keys[len(group):], split):
+        if direction == "asc_nulls_first":
+            bucket_order += [F.col(n).desc(), F.col(k).asc()]
+        elif direction == "desc_nulls_last":
+            bucket_order += [F.col(n).asc(), F.col(k).desc()]
+        else:
+            raise ValueError(f"split direction must be asc_nulls_first or desc_nulls_last, got {direction!r}")
+    gkeys = [F.col(x) for pair in keys[: len(group)] for x in pair]
+    before = Window.partitionBy(*gkeys).orderBy(*bucket_order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*all_keys, F.coalesce(F.sum("__tm_cnt").over(before), F.lit(0)).alias("__tm_off"))
+    key_names = [x for pair in keys for x in pair]
+    ranked = local.join(offsets, on=key_names, how="inner")
+    ranked = ranked.withColumn(out, (F.col("__tm_local") + F.col("__tm_off")).cast("int"))
+    return ranked.select(*[_q(c) for c in df.columns], out)
 
 
 def top_k_within(df: DataFrame, group: list[str], order: list[Column], k: int, out: str) -> DataFrame:

@@ -95,9 +95,25 @@ def recency_order() -> list:
     return [F.col("order_date").desc_nulls_last(), F.col("order_id").asc_nulls_first()]
 
 
+# Order ids per sub-bucket of one customer's day, as a power of two.
+ID_BUCKET_BITS = 20
+
+
+def recency_split() -> list:
+    """Sub-buckets that follow ``recency_order``: the day, then a range of ids.
+
+    A customer with a huge share of all orders is ranked in (day, id range)
+    pieces; the pieces' counts give each piece's starting rank.
+    """
+    return [
+        (F.to_date(F.col("order_date")), "desc_nulls_last"),
+        (F.shiftright(F.col("order_id").cast("bigint"), ID_BUCKET_BITS), "asc_nulls_first"),
+    ]
+
+
 def order_recency_rank(orders: DataFrame) -> DataFrame:
     o = clean_orders(orders).select("customer_id", "order_id", "order_date")
-    return rank_within(o, ["customer_id"], recency_order(), "order_rank")
+    return rank_within(o, ["customer_id"], recency_order(), "order_rank", split=recency_split())
 
 
 def latest_orders(orders: DataFrame, k: int = 3) -> DataFrame:
@@ -119,6 +135,6 @@ def order_enriched(
     """Orders with product attributes, per-customer recency rank and date parts."""
     o = clean_orders(orders)
     e = left_join_dim(o, dim_latest(products, "product_id"), "product_id", "product")
-    e = rank_within(e, ["customer_id"], recency_order(), "order_rank")
+    e = rank_within(e, ["customer_id"], recency_order(), "order_rank", split=recency_split())
     e = e.select("*", *date_parts("order_date", "order", ("year", "month", "dow")))
     return add_audit_columns(e, loaded_at)
