@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
 
-from tidemark.operators.upsert import upsert
+from tidemark.operators.upsert import assert_unique, upsert
 
 MODES = ("overwrite", "append", "merge")
 LOG_DIR = "_versions"
@@ -80,8 +80,6 @@ def upsert_table(
     target = read_current(spark, path, fmt)
     merged = source if target is None else upsert(target, source, keys)
     if target is None:
-        from tidemark.operators.upsert import assert_unique
-
         assert_unique(source, keys)
     nxt = 1 if current is None else current + 1
     out = os.path.join(path, f"v={nxt}")
