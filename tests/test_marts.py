@@ -131,3 +131,26 @@ def test_invariants_on_testdata(spark, sf_small):
     assert sp.agg(F.sum("total_orders")).first()[0] == n_po
     c = fx.customers(spark, sf_small)
     assert cu.customer_360(c, fx.orders(spark, sf_small)).count() == c.select("customer_id").distinct().count()
+
+
+def test_typed_review_key_matches_string_comparison(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    texts = st.one_of(
+        st.none(),
+        st.integers(-20, 20).map(str),
+        st.sampled_from(["007", " 7", "+7", "7 ", "abc", "", "-0", "1e1", "9223372036854775808"]),
+    )
+
+    @settings(max_examples=15, deadline=None)
+    @given(st.lists(st.integers(-20, 20), max_size=6), st.lists(texts, max_size=6))
+    def check(keys, users):
+        left = spark.createDataFrame([(k,) for k in keys], "customer_id bigint")
+        right = spark.createDataFrame([(u,) for u in users], "user_id string")
+        typed = cu.text_key_as(right, "user_id", left.schema["customer_id"].dataType)
+        got = sorted(left.join(typed, left["customer_id"] == typed["__tm_uid"]).select("customer_id", "user_id").collect())
+        want = sorted(left.join(right, left["customer_id"].cast("string") == right["user_id"]).collect())
+        assert got == want
+
+    check()

@@ -86,3 +86,9 @@ def test_table_profile_counts_nulls_per_column(spark):
     rows = {r.column_name: r for r in table_profile(df, "t").collect()}
     assert rows["a"].null_count == 1 and rows["b"].null_count == 2
     assert rows["a"].row_count == 3 and rows["b"].column_position == 2
+
+
+def test_dedup_skips_map_columns_in_tie_break(spark):
+    df = spark.createDataFrame([(1, {"a": 1}, "y"), (1, {"b": 2}, "x")], "k int, m map<string,int>, v string")
+    out = dedup_latest(df, ["k"]).collect()
+    assert len(out) == 1 and out[0].v == "x"

@@ -4,6 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+
+
+def orderable(dt: DataType) -> bool:
+    """Whether Spark can sort by a value of this type (maps cannot)."""
+    if isinstance(dt, MapType):
+        return False
+    if isinstance(dt, ArrayType):
+        return orderable(dt.elementType)
+    if isinstance(dt, StructType):
+        return all(orderable(f.dataType) for f in dt.fields)
+    return dt.typeName() != "variant"
 
 
 def _q(name: str) -> Column:
@@ -12,9 +24,10 @@ def _q(name: str) -> Column:
 
 def latest_first_order(df: DataFrame, keys: list[str], recency: list[str] | None) -> list[Column]:
     """Total order inside a key: recency columns descending (NULLs last), then
-    every other column ascending (NULLs first) as the tie-break."""
+    every other sortable column ascending (NULLs first) as the tie-break.
+    Map columns cannot be sorted and do not take part in the tie-break."""
     recency = list(recency or [])
-    rest = [c for c in df.columns if c not in keys and c not in recency]
+    rest = [f.name for f in df.schema.fields if f.name not in keys and f.name not in recency and orderable(f.dataType)]
     return [_q(c).desc_nulls_last() for c in recency] + [_q(c).asc_nulls_first() for c in rest]
 
 

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 
 from tidemark.functions.dates import date_parts, day_literal, days_between
 from tidemark.functions.hashing import add_audit_columns
@@ -48,6 +49,22 @@ def customer_review_metrics(reviews: DataFrame) -> DataFrame:
     )
 
 
+def text_key_as(df: DataFrame, text_col: str, key_type: DataType) -> DataFrame:
+    """Add ``__tm_uid``: ``text_col`` as ``key_type`` where it is exactly the
+    text form of such a value, else NULL.
+
+    ``key = uid`` then matches the same pairs as ``cast(key as string) =
+    text`` ('7' matches 7; '007', ' 7' and 'abc' match nothing), but joins on
+    the key itself, so a side already partitioned by the key is not shuffled
+    again by its text form.
+    """
+    t = F.col(text_col)
+    if isinstance(key_type, StringType):
+        return df.withColumn("__tm_uid", t)
+    typed = t.try_cast(key_type)
+    return df.withColumn("__tm_uid", F.when(typed.cast("string") == t, typed))
+
+
 def customer_360(
     customers: DataFrame,
     orders: DataFrame,
@@ -68,8 +85,8 @@ def customer_360(
     metrics = customer_order_metrics(clean_orders(orders))
     c = cust.join(metrics, on="customer_id", how="left")
     if reviews is not None:
-        rm = customer_review_metrics(reviews)
-        c = c.join(rm, c["customer_id"].cast("string") == rm["user_id"], "left").drop(rm["user_id"])
+        rm = text_key_as(customer_review_metrics(reviews), "user_id", c.schema["customer_id"].dataType)
+        c = c.join(rm, c["customer_id"] == rm["__tm_uid"], "left").drop("user_id", "__tm_uid")
     today = day_literal(as_of)
     c = c.select(
         "*",
