@@ -85,3 +85,35 @@ def test_rank_and_top_k(spark):
     assert got == {10: 1, 11: 2, 12: 3, 14: 1, 13: 2}
     top = {r.o for r in top_k_within(df, ["c"], order, 1, "r").collect()}
     assert top == {10, 14}
+
+
+def _orders_with_hot_customer(spark):
+    rnd = random.Random(3)
+    rows = []
+    for i in range(3000):
+        cust = 1 if i % 3 else rnd.choice([2, 3, 4, None])  # customer 1 holds two thirds
+        day = None if i % 97 == 0 else dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 30))
+        rows.append((i * 7 % 3001 + (1 << 21) * (i % 4), cust, day))
+    return spark.createDataFrame(rows, "order_id bigint, customer_id bigint, order_date date")
+
+
+def test_split_rank_equals_plain_window(spark):
+    from tidemark.operators.windows import split_rank
+    from tidemark.plans.customer import recency_order, recency_split
+
+    df = _orders_with_hot_customer(spark)
+    plain = {r.order_id: r.r for r in rank_within(df, ["customer_id"], recency_order(), "r").collect()}
+    split = {r.order_id: r.r for r in split_rank(df, ["customer_id"], recency_order(), "r", recency_split()).collect()}
+    assert split == plain
+
+
+def test_rank_within_sends_only_hot_groups_to_split(spark):
+    from tidemark.operators.windows import hot_groups
+    from tidemark.plans.customer import recency_order, recency_split
+
+    df = _orders_with_hot_customer(spark)
+    assert hot_groups(df, ["customer_id"], max_group_rows=1000, fraction=1.0) == [(1,)]
+    plain = {r.order_id: r.r for r in rank_within(df, ["customer_id"], recency_order(), "r").collect()}
+    mixed = rank_within(df, ["customer_id"], recency_order(), "r", split=recency_split(), max_group_rows=1000, sample_fraction=1.0)
+    assert {r.order_id: r.r for r in mixed.collect()} == plain
+    assert "Union" in mixed._jdf.queryExecution().executedPlan().toString()

@@ -26,12 +26,43 @@ def _key_default(dtype: DataType) -> Column:
     return F.lit(0).cast(dtype)
 
 
+# A group above this many rows is ranked in sub-buckets (about what one task
+# sorts comfortably); at most MAX_HOT_GROUPS such groups are tracked by name.
+MAX_GROUP_ROWS = 2_000_000
+MAX_HOT_GROUPS = 1000
+HOT_SAMPLE_FRACTION = 0.01
+
+
+def hot_groups(
+    source: DataFrame,
+    group: list[str],
+    max_group_rows: int = MAX_GROUP_ROWS,
+    fraction: float = HOT_SAMPLE_FRACTION,
+    limit: int = MAX_HOT_GROUPS,
+    seed: int = 17,
+) -> list[tuple]:
+    """Groups estimated to exceed ``max_group_rows``, largest first, at most ``limit``.
+
+    One pruned scan of the key columns, a ``fraction`` sample, a partial
+    aggregate and a top-``limit``: the driver receives at most ``limit`` keys.
+    The estimate only chooses how a group is ranked, never the result. A group
+    outside the top ``limit`` holds at most 1/``limit`` of the rows.
+    """
+    min_sampled = max(1, int(max_group_rows * fraction))
+    counts = source.select(*[_q(g) for g in group]).sample(fraction=fraction, seed=seed).groupBy(*group).count()
+    rows = counts.filter(F.col("count") >= min_sampled).orderBy(F.col("count").desc()).limit(limit).collect()
+    return [tuple(r[g] for g in group) for r in rows]
+
+
 def rank_within(
     df: DataFrame,
     group: list[str],
     order: list[Column],
     out: str,
     split: list[tuple[Column, str]] | None = None,
+    hot_source: DataFrame | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    sample_fraction: float = HOT_SAMPLE_FRACTION,
 ) -> DataFrame:
     """``row_number()`` inside each group, by ``order`` (1 = first).
 
@@ -41,19 +72,44 @@ def rank_within(
     Without ``split``: one window, one shuffle on ``group``; every row of a
     group is sorted by one task.
 
-    With ``split``: a list of ``(column, direction)`` whose values never
-    decrease along ``order`` (direction ``asc_nulls_first`` or
-    ``desc_nulls_last``, e.g. the day of a date that ``order`` sorts first).
-    Each group is cut into sub-buckets by those columns; a row's number is its
-    number inside its sub-bucket plus the row count of the group's earlier
-    sub-buckets. The rows still move once (to their sub-bucket); the counts
-    are a partial aggregate, small next to the rows. A group holding a third
-    of all rows is spread over all its sub-buckets instead of one task.
+    With ``split`` - ``(column, direction)`` pairs whose values never decrease
+    along ``order`` (direction ``asc_nulls_first`` or ``desc_nulls_last``, e.g.
+    the day of the date that ``order`` sorts first) - groups estimated above
+    ``max_group_rows`` (``hot_groups`` over ``hot_source``, default ``df``;
+    pass the raw input when ``df`` is expensive to recompute) are ranked in
+    sub-buckets (``split_rank``); all other groups by the plain window. The
+    two parts are a broadcast semi/anti join against the bounded hot-key list.
     """
+    w = Window.partitionBy(*[_q(g) for g in group]).orderBy(*order)
     if not split:
-        w = Window.partitionBy(*[_q(g) for g in group]).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w))
+    hot = hot_groups(hot_source if hot_source is not None else df, group, max_group_rows, sample_fraction)
+    if not hot:
+        return df.withColumn(out, F.row_number().over(w))
+    hot_df = df.sparkSession.createDataFrame(hot, df.select(*[_q(g) for g in group]).schema)
+    hot_df = F.broadcast(hot_df.toDF(*[f"__tm_h{i}" for i in range(len(group))]))
+    cond = [df[g].eqNullSafe(hot_df[f"__tm_h{i}"]) for i, g in enumerate(group)]
+    normal = df.join(hot_df, cond, "left_anti").withColumn(out, F.row_number().over(w))
+    heavy = split_rank(df.join(hot_df, cond, "left_semi"), group, order, out, split)
+    return normal.unionByName(heavy)
 
+
+def split_rank(
+    df: DataFrame,
+    group: list[str],
+    order: list[Column],
+    out: str,
+    split: list[tuple[Column, str]],
+) -> DataFrame:
+    """``row_number()`` per group computed in sub-buckets of each group.
+
+    Each group is cut into sub-buckets by the ``split`` columns; a row's number
+    is its number inside its sub-bucket plus the row count of the group's
+    earlier sub-buckets. The rows move once (to their sub-bucket); the counts
+    are a partial aggregate and a small window; the offset join reuses the
+    rows' partitioning. A group holding a third of all rows is spread over its
+    sub-buckets instead of one task.
+    """
     keys: list[tuple[str, str]] = []  # (value column, is-null column)
     cols = [F.col("*")]
     sources = [(_q(g), None) for g in group] + [(c, d) for c, d in split]

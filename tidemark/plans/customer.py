@@ -128,9 +128,18 @@ def recency_split() -> list:
     ]
 
 
+def rank_orders(df: DataFrame, raw_orders: DataFrame) -> DataFrame:
+    """Per-customer recency rank; customers with very many orders (estimated
+    from the raw orders' key column) are ranked in (day, id range) pieces."""
+    return rank_within(
+        df, ["customer_id"], recency_order(), "order_rank",
+        split=recency_split(), hot_source=raw_orders.select("customer_id"),
+    )
+
+
 def order_recency_rank(orders: DataFrame) -> DataFrame:
     o = clean_orders(orders).select("customer_id", "order_id", "order_date")
-    return rank_within(o, ["customer_id"], recency_order(), "order_rank", split=recency_split())
+    return rank_orders(o, orders)
 
 
 def latest_orders(orders: DataFrame, k: int = 3) -> DataFrame:
@@ -152,6 +161,6 @@ def order_enriched(
     """Orders with product attributes, per-customer recency rank and date parts."""
     o = clean_orders(orders)
     e = left_join_dim(o, dim_latest(products, "product_id"), "product_id", "product")
-    e = rank_within(e, ["customer_id"], recency_order(), "order_rank", split=recency_split())
+    e = rank_orders(e, orders)
     e = e.select("*", *date_parts("order_date", "order", ("year", "month", "dow")))
     return add_audit_columns(e, loaded_at)
