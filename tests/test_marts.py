@@ -154,3 +154,20 @@ def test_typed_review_key_matches_string_comparison(spark):
         assert got == want
 
     check()
+
+
+def test_marts_accept_timestamp_order_dates(spark, sf_small):
+    """DATE, TIMESTAMP and TIMESTAMP_NTZ order dates give the same day-level results."""
+    d = fx.domain(spark, sf_small, "customers", "orders", "products", "purchase_orders", "raw_materials", "suppliers")
+    results = {}
+    for kind in ("date", "timestamp", "timestamp_ntz"):
+        orders = d["orders"].withColumn("order_date", F.col("order_date").cast(kind))
+        po = d["purchase_orders"].withColumn("order_date", F.col("order_date").cast(kind))
+        c = cu.customer_360(d["customers"], orders).select(
+            "customer_id", "customer_tenure_days", "days_since_last_order", "customer_segment"
+        )
+        r = cu.order_time_features(orders).select("order_id", "order_year", "order_month", "order_dow", "order_quarter")
+        base = su.po_base(po, d["raw_materials"], d["suppliers"])
+        m = su.material_consumption(base).select("po_id", "delivery_variance_days", "is_late", "rolling_90d_spend", "order_quarter")
+        results[kind] = (sorted(c.collect()), sorted(r.collect()), sorted(m.collect()))
+    assert results["date"] == results["timestamp"] == results["timestamp_ntz"]

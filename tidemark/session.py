@@ -46,3 +46,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize ``df`` in the shared checkpoint folder (survives executor loss)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def recommended_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """SQL settings sized for a job reading about ``input_bytes``.
+
+    Initial shuffle partitions are an upper bound (about one per GiB of
+    input, 200..32768); adaptive execution coalesces them to about
+    ``partition_bytes`` each and splits skewed join partitions. Apply with
+    ``spark.conf.set`` before building the marts.
+    """
+    shuffle = max(200, min(32768, -(-int(input_bytes) // (1 << 30))))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+    }
