@@ -1,7 +1,6 @@
 import datetime as dt
 import hashlib
 
-import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import add_audit_columns, row_hash

@@ -40,7 +40,12 @@ def dedup_latest(df: DataFrame, keys: list[str], recency: list[str] | None = Non
     row per key; a key holding a third of the input costs one row per map
     task in the exchange, not a third of the data.
     """
-    order = latest_first_order(df, keys, recency) or [_q(k).asc() for k in keys]
+    if set(df.columns) <= set(keys):
+        # nothing but keys: any row of a key is the same row (a hash aggregate)
+        return df.dropDuplicates(keys)
+    order = latest_first_order(df, keys, recency)
+    if not order:  # only map columns besides the keys: keep the smallest key order
+        order = [_q(k).asc() for k in keys]
     w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*order)
     rn = "__tm_rn"
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
