@@ -40,3 +40,17 @@ def test_query_matches_oracle(spark, duck, sf_small, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "supplier_tier" in df.columns
+
+
+@pytest.mark.parametrize("name", ["merge_upsert", "write_append", "incremental_filter", "customer_360", "material_consumption"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, sf_small, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = QUERIES[name](spark, sf_small)
+        s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(SQL[name])
+    d_cols, d_rows = [d[0] for d in res.description], res.fetchall()
+    assert digest(s_cols, s_rows)[0] == digest(d_cols, d_rows)[0]

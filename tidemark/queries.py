@@ -28,7 +28,7 @@ from tidemark.plans.common import LOADED_AT
 from tidemark.session import scratch_path
 from tidemark.sinks.tables import append_batch, stage, upsert_table, write_overwrite
 from tidemark.sources.files import read_dataset
-from tidemark.sources.incremental import incremental_filter, new_watermark
+from tidemark.sources.incremental import incremental_filter, new_watermark, typed_mark
 from tidemark.sources.schema import load_schema, validate_schema
 
 SCHEMAS = Path(__file__).parent / "sources" / "schemas"
@@ -164,7 +164,7 @@ def q_merge_upsert(spark, sf):
     deduplication of all versions)."""
     po = fx.purchase_orders(spark, sf)
     path = scratch_path(spark, "merge_upsert")
-    first = dedup_latest(po.filter(F.col("updated_at") <= F.lit(PO_MARK)), ["po_id"], ["updated_at"])
+    first = dedup_latest(po.filter(F.col("updated_at") <= typed_mark(po, "updated_at", PO_MARK)), ["po_id"], ["updated_at"])
     upsert_table(spark, first, path, ["po_id"])
     later = dedup_latest(incremental_filter(po, "updated_at", PO_MARK), ["po_id"], ["updated_at"])
     return upsert_table(spark, later, path, ["po_id"])
@@ -180,8 +180,9 @@ def q_write_overwrite(spark, sf):
 def q_write_append(spark, sf):
     po = fx.purchase_orders(spark, sf)
     path = scratch_path(spark, "write_append")
-    old = po.filter(F.col("updated_at") <= F.lit(PO_MARK))
-    new = po.filter(F.col("updated_at") > F.lit(PO_MARK))
+    mark = typed_mark(po, "updated_at", PO_MARK)
+    old = po.filter(F.col("updated_at") <= mark)
+    new = po.filter(F.col("updated_at") > mark)
     append_batch(old, path, 1)
     append_batch(new, path, 2)
     append_batch(new, path, 2)  # a retried batch replaces itself
