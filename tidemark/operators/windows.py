@@ -6,7 +6,18 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DataType, DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DataType,
+    DateType,
+    MapType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 
 def _q(name: str) -> Column:
@@ -19,6 +30,10 @@ def _key_default(dtype: DataType) -> Column:
         return F.lit("")
     if isinstance(dtype, BooleanType):
         return F.lit(False)
+    if isinstance(dtype, BinaryType):
+        return F.lit(bytearray())
+    if isinstance(dtype, (ArrayType, MapType, StructType)):
+        raise TypeError(f"cannot split groups on a {dtype.simpleString()} column")
     if isinstance(dtype, DateType):
         return F.lit(dt.date(1970, 1, 1))
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
