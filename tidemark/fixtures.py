@@ -10,14 +10,30 @@ its size grows with the testdata. The same derivations exist as SQL text in
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 MONEY = "decimal(18,2)"
 
 
+_SCHEMAS: dict[tuple, StructType] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    """Read one testdata table; its schema is inferred once per file version
+    (inference runs a Spark job over the footers), then passed to the reader."""
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    try:
+        st = os.stat(path)
+        key = (path, st.st_size, st.st_mtime_ns)
+    except OSError:  # not a local path: infer every time
+        return spark.read.parquet(path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 AUDIT_PREFIX = "_etl_"
 
 
-def _q(name: str) -> Column:
-    return F.col(f"`{name}`")
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def row_hash(cols: list[str], strict: bool = False) -> Column:
@@ -21,15 +21,18 @@ def row_hash(cols: list[str], strict: bool = False) -> Column:
     existing hashes, but NULL and '' collide and a ``|`` inside a value can
     shift columns. ``strict=True`` encodes each value as ``<length>:<text>``
     and NULL as ``N``, which is unambiguous.
+
+    Built as one SQL expression (one call into the JVM however wide the row).
     """
     if strict:
-        parts = []
-        for c in cols:
-            s = _q(c).cast("string")
-            parts.append(F.when(s.isNull(), F.lit("N")).otherwise(F.concat(F.length(s).cast("string"), F.lit(":"), s)))
+        parts = [
+            f"CASE WHEN {_ident(c)} IS NULL THEN 'N' "
+            f"ELSE concat(CAST(length(CAST({_ident(c)} AS STRING)) AS STRING), ':', CAST({_ident(c)} AS STRING)) END"
+            for c in cols
+        ]
     else:
-        parts = [F.coalesce(_q(c).cast("string"), F.lit("")) for c in cols]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+        parts = [f"coalesce(CAST({_ident(c)} AS STRING), '')" for c in cols]
+    return F.expr(f"sha2(concat_ws('|', {', '.join(parts)}), 256)")
 
 
 def add_audit_columns(
