@@ -165,9 +165,9 @@ def q_merge_upsert(spark, sf):
     po = fx.purchase_orders(spark, sf)
     path = scratch_path(spark, "merge_upsert")
     first = dedup_latest(po.filter(F.col("updated_at") <= typed_mark(po, "updated_at", PO_MARK)), ["po_id"], ["updated_at"])
-    upsert_table(spark, first, path, ["po_id"])
+    upsert_table(spark, first, path, ["po_id"], check_unique=False)  # unique: deduplicated on po_id
     later = dedup_latest(incremental_filter(po, "updated_at", PO_MARK), ["po_id"], ["updated_at"])
-    return upsert_table(spark, later, path, ["po_id"])
+    return upsert_table(spark, later, path, ["po_id"], check_unique=False)
 
 
 def q_write_overwrite(spark, sf):

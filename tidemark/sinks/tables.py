@@ -58,9 +58,9 @@ def _versions(spark: SparkSession, path: str) -> int | None:
     return row[0][0] if row else None
 
 
-def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+def read_current(spark: SparkSession, path: str, fmt: str = "parquet", version: int | None = None) -> DataFrame | None:
     """The newest committed version of a merged table (None if there is none)."""
-    v = _versions(spark, path)
+    v = _versions(spark, path) if version is None else version
     if v is None:
         return None
     return spark.read.format(fmt).load(os.path.join(path, f"v={v}"))
@@ -72,15 +72,21 @@ def upsert_table(
     path: str,
     keys: list[str],
     fmt: str = "parquet",
+    check_unique: bool = True,
 ) -> DataFrame:
-    """Merge ``source`` into the table at ``path`` by ``keys``; return the new version."""
+    """Merge ``source`` into the table at ``path`` by ``keys``; return the new version.
+
+    ``check_unique=False`` skips the duplicate-key check (one aggregate job)
+    for a source that is unique on ``keys`` by construction, e.g. the output
+    of ``dedup_latest`` on the same keys.
+    """
     if not keys:
         raise ValueError("merge needs merge keys")
     current = _versions(spark, path)
-    target = read_current(spark, path, fmt)
-    merged = source if target is None else upsert(target, source, keys)
-    if target is None:
+    if check_unique:
         assert_unique(source, keys)
+    target = read_current(spark, path, fmt, current) if current is not None else None
+    merged = source if target is None else upsert(target, source, keys, check_unique=False)
     nxt = 1 if current is None else current + 1
     out = os.path.join(path, f"v={nxt}")
     merged.write.mode("overwrite").format(fmt).save(out)
