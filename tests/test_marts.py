@@ -171,3 +171,14 @@ def test_marts_accept_timestamp_order_dates(spark, sf_small):
         m = su.material_consumption(base).select("po_id", "delivery_variance_days", "is_late", "rolling_90d_spend", "order_quarter")
         results[kind] = (sorted(c.collect()), sorted(r.collect()), sorted(m.collect()))
     assert results["date"] == results["timestamp"] == results["timestamp_ntz"]
+
+
+def test_order_and_inventory_marts_keep_one_row_per_fact_key(spark, sf_small):
+    d = fx.domain(spark, sf_small, "orders", "products", "inventory", "warehouses")
+    e = cu.order_enriched(d["orders"], d["products"])
+    assert e.count() == d["orders"].select("order_id").distinct().count() == e.select("order_id").distinct().count()
+    s = inv.inventory_snapshot(d["inventory"], d["products"], d["warehouses"])
+    assert s.count() == d["inventory"].select("inventory_id").distinct().count()
+    # every customer's ranks are 1..n without gaps
+    gaps = e.groupBy("customer_id").agg(F.max("order_rank").alias("m"), F.count("*").alias("n")).filter("m != n").count()
+    assert gaps == 0
