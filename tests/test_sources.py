@@ -34,7 +34,7 @@ def test_load_schema_errors(tmp_path):
         load_schema({"fields": [{"name": "x", "type": "interval"}]})
 
 
-def test_load_schema_accepts_spark_json():
+def test_load_schema_accepts_spark_json(spark):
     s = StructType.fromDDL("a array<int>, m map<string,double>")
     assert load_schema(json.loads(s.json())) == s
 
@@ -109,3 +109,33 @@ def test_jdbc_options_and_bounds():
     assert bound_value(dt.date(2020, 1, 1)) == dt.date(2020, 1, 1)
     with pytest.raises(TypeError):
         bound_value("abc")
+
+
+def test_load_increment_advances_mark_only_after_the_write(spark):
+    from tidemark.sinks.tables import append_batch
+    from tidemark.sources.incremental import load_increment
+
+    src = scratch_path(spark, "inc_src")
+    tgt = scratch_path(spark, "inc_tgt")
+    store = WatermarkStore(spark, scratch_path(spark, "inc_marks"))
+    schema = "k int, ts timestamp_ntz"
+    spark.createDataFrame([(1, dt.datetime(2020, 1, 1)), (2, dt.datetime(2020, 1, 2))], schema).write.mode("append").parquet(src)
+
+    def sink(batch, run_id):
+        append_batch(batch, tgt, run_id)
+
+    r1 = load_increment(spark.read.parquet(src), "t", "ts", store, sink, 1)
+    assert r1["rows"] == 2 and r1["previous"] is None and r1["new"] == "2020-01-02 00:00:00"
+    spark.createDataFrame([(3, dt.datetime(2020, 1, 3)), (4, dt.datetime(2020, 1, 2))], schema).write.mode("append").parquet(src)
+
+    def failing(batch, run_id):
+        raise RuntimeError("sink down")
+
+    with pytest.raises(RuntimeError):
+        load_increment(spark.read.parquet(src), "t", "ts", store, failing, 2)
+    assert store.get("t") == "2020-01-02 00:00:00"  # unchanged after the failure
+    r2 = load_increment(spark.read.parquet(src), "t", "ts", store, sink, 2)
+    assert r2["rows"] == 1 and r2["new"] == "2020-01-03 00:00:00"
+    r3 = load_increment(spark.read.parquet(src), "t", "ts", store, sink, 3)
+    assert r3["rows"] == 0 and r3["new"] == "2020-01-03 00:00:00"
+    assert sorted(r.k for r in spark.read.parquet(tgt).collect()) == [1, 2, 3]

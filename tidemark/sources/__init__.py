@@ -1,7 +1,7 @@
 """Readers: files with declared schemas, JDBC tables, incremental slices."""
 
 from tidemark.sources.files import read_dataset, read_datasets
-from tidemark.sources.incremental import WatermarkStore, incremental_filter, new_watermark
+from tidemark.sources.incremental import WatermarkStore, incremental_filter, load_increment, new_watermark
 from tidemark.sources.jdbc import discover_bounds, jdbc_options, read_jdbc
 from tidemark.sources.schema import load_schema, validate_schema
 
@@ -9,6 +9,7 @@ __all__ = [
     "WatermarkStore",
     "discover_bounds",
     "incremental_filter",
+    "load_increment",
     "jdbc_options",
     "load_schema",
     "new_watermark",

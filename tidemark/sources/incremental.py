@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, StructField, StructType, StringType, LongType, TimestampNTZType
 
@@ -107,3 +108,31 @@ class WatermarkStore:
     def commit(self, table: str, column: str, mark: Any, run_id: int) -> None:
         row = [(table, column, None if mark is None else str(mark), int(run_id), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
         self.spark.createDataFrame(row, STATE_SCHEMA).coalesce(1).write.mode("append").json(self.path)
+
+
+def load_increment(
+    df: DataFrame,
+    table: str,
+    column: str,
+    store: WatermarkStore,
+    write: Callable[[DataFrame, int], None],
+    run_id: int,
+    overlap: dt.timedelta | None = None,
+) -> dict[str, Any]:
+    """Load the rows of ``df`` after the stored mark and advance the mark.
+
+    ``write(batch, run_id)`` is the sink (e.g. ``append_batch`` into a
+    ``batch_id`` folder, which makes a retried run replace its own output).
+    The new mark and the row count are observed during that write - the batch
+    is computed once - and committed only after the write returned; a failed
+    write leaves the old mark, so the next run reads the same slice again.
+    """
+    mark = store.get(table)
+    batch = incremental_filter(df, column, mark, overlap)
+    obs = Observation(f"increment_{table}_{run_id}")
+    observed = batch.observe(obs, F.max(F.col(f"`{column}`")).alias("m"), F.count(F.lit(1)).alias("n"))
+    write(observed, run_id)
+    got = obs.get
+    new_mark = got["m"] if got["m"] is not None else mark
+    store.commit(table, column, new_mark, run_id)
+    return {"table": table, "previous": mark, "new": None if new_mark is None else str(new_mark), "rows": int(got["n"])}
