@@ -7,11 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-AUDIT_PREFIX = "_etl_"
-
+from tidemark.functions.names import ident
 
-def _ident(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+AUDIT_PREFIX = "_etl_"
 
 
 def row_hash(cols: list[str], strict: bool = False) -> Column:
@@ -26,12 +24,12 @@ def row_hash(cols: list[str], strict: bool = False) -> Column:
     """
     if strict:
         parts = [
-            f"CASE WHEN {_ident(c)} IS NULL THEN 'N' "
-            f"ELSE concat(CAST(length(CAST({_ident(c)} AS STRING)) AS STRING), ':', CAST({_ident(c)} AS STRING)) END"
+            f"CASE WHEN {ident(c)} IS NULL THEN 'N' "
+            f"ELSE concat(CAST(length(CAST({ident(c)} AS STRING)) AS STRING), ':', CAST({ident(c)} AS STRING)) END"
             for c in cols
         ]
     else:
-        parts = [f"coalesce(CAST({_ident(c)} AS STRING), '')" for c in cols]
+        parts = [f"coalesce(CAST({ident(c)} AS STRING), '')" for c in cols]
     return F.expr(f"sha2(concat_ws('|', {', '.join(parts)}), 256)")
 
 

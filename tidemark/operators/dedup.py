@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from tidemark.functions.names import col as _q
+
 
 def orderable(dt: DataType) -> bool:
     """Whether Spark can sort by a value of this type (maps cannot)."""
@@ -18,9 +20,6 @@ def orderable(dt: DataType) -> bool:
     return dt.typeName() != "variant"
 
 
-def _q(name: str) -> Column:
-    return F.col(f"`{name}`")
-
 
 def latest_first_order(df: DataFrame, keys: list[str], recency: list[str] | None) -> list[Column]:
     """Total order inside a key: recency columns descending (NULLs last), then

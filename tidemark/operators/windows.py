@@ -19,9 +19,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-
-def _q(name: str) -> Column:
-    return F.col(f"`{name}`")
+from tidemark.functions.names import col as _q
 
 
 def _key_default(dtype: DataType) -> Column:
