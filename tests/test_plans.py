@@ -38,3 +38,32 @@ def test_scans_are_pruned(spark, sf_small):
 def test_incremental_filter_pushed_to_scan(spark, sf_small):
     p = _plan(QUERIES["incremental_filter"](spark, sf_small))
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThan(l_shipdate" in p
+
+
+def test_split_rank_shuffles_rows_once(spark):
+    """Sub-bucket ranking: the rows' exchange feeds both the window and the
+    offset join (sort-merge); only the small offsets side is shuffled again."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.windows import split_rank
+    from tidemark.plans.customer import recency_order, recency_split
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).select(
+            (F.col("id") % 3).alias("customer_id"),
+            F.col("id").alias("order_id"),
+            F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 40).cast("int")).alias("order_date"),
+        )
+        plan = split_rank(df, ["customer_id"], recency_order(), "r", recency_split())._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    lines = plan.splitlines()
+    j = next(i for i, l in enumerate(lines) if "SortMergeJoin" in l)
+    child_prefix = " " * (lines[j].index("SortMergeJoin") - 3 + 3) + ":"
+    left = [l for l in lines[j + 1:] if l.startswith(child_prefix)]
+    assert "Window [row_number()" in left[0]  # the join reads the window output directly
+    assert sum("Exchange" in l for l in left) == 1  # the rows' only shuffle

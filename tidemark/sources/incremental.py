@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, StructField, StructType, StringType, LongType, TimestampNTZType
+from pyspark.sql.types import DataType, DateType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 
 def typed_mark(df: DataFrame, column: str, mark: Any) -> Column:
