@@ -120,7 +120,9 @@ def recency_split() -> list:
     """Sub-buckets that follow ``recency_order``: the day, then a range of ids.
 
     A customer with a huge share of all orders is ranked in (day, id range)
-    pieces; the pieces' counts give each piece's starting rank.
+    pieces; the pieces' counts give each piece's starting rank. Order ids are
+    unique, so a piece never holds more than 2**ID_BUCKET_BITS orders, however
+    many fall on one day.
     """
     return [
         (F.to_date(F.col("order_date")), "desc_nulls_last"),
