@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.check_oracle import TABLES, digest
+from tools.check_oracle import TABLES, digest, type_diffs
 
 QUERIES = E.queries()
 SQL = E.oracle_sql()
@@ -30,9 +30,10 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, sf_small, name):
     df = QUERIES[name](spark, sf_small)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
-    res = duck.execute(SQL[name])
-    d_cols, d_rows = [d[0] for d in res.description], res.fetchall()
+    rel = duck.sql(SQL[name])
+    d_cols, d_types, d_rows = rel.columns, rel.types, rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    assert type_diffs(df.schema, d_cols, d_types) == []
     assert len(s_rows) == len(d_rows)
     assert digest(s_cols, s_rows)[0] == digest(d_cols, d_rows)[0]
 
