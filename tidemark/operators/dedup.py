@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-from tidemark.functions.names import col as _q
+from tidemark.functions.names import ident
 
 
 def orderable(dt: DataType) -> bool:
@@ -20,14 +20,13 @@ def orderable(dt: DataType) -> bool:
     return dt.typeName() != "variant"
 
 
-
-def latest_first_order(df: DataFrame, keys: list[str], recency: list[str] | None) -> list[Column]:
-    """Total order inside a key: recency columns descending (NULLs last), then
-    every other sortable column ascending (NULLs first) as the tie-break.
-    Map columns cannot be sorted and do not take part in the tie-break."""
+def latest_first_order(df: DataFrame, keys: list[str], recency: list[str] | None) -> list[str]:
+    """Total order inside a key, as SQL sort items: recency columns descending
+    (NULLs last), then every other sortable column ascending (NULLs first) as
+    the tie-break. Map columns cannot be sorted and take no part in it."""
     recency = list(recency or [])
     rest = [f.name for f in df.schema.fields if f.name not in keys and f.name not in recency and orderable(f.dataType)]
-    return [_q(c).desc_nulls_last() for c in recency] + [_q(c).asc_nulls_first() for c in rest]
+    return [f"{ident(c)} DESC NULLS LAST" for c in recency] + [f"{ident(c)} ASC NULLS FIRST" for c in rest]
 
 
 def dedup_latest(df: DataFrame, keys: list[str], recency: list[str] | None = None) -> DataFrame:
@@ -37,14 +36,15 @@ def dedup_latest(df: DataFrame, keys: list[str], recency: list[str] | None = Non
     Plan: ``row_number() = 1`` over the key. Catalyst inserts a partial
     ``WindowGroupLimit`` before the shuffle, so each map task sends at most one
     row per key; a key holding a third of the input costs one row per map
-    task in the exchange, not a third of the data.
+    task in the exchange, not a third of the data. The window is written as
+    one SQL expression (one call into the JVM however wide the row).
     """
     if set(df.columns) <= set(keys):
         # nothing but keys: any row of a key is the same row (a hash aggregate)
         return df.dropDuplicates(keys)
     order = latest_first_order(df, keys, recency)
-    if not order:  # only map columns besides the keys: keep the smallest key order
-        order = [_q(k).asc() for k in keys]
-    w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*order)
+    if not order:  # only map columns besides the keys: any fixed order will do
+        order = [f"{ident(k)} ASC" for k in keys]
     rn = "__tm_rn"
-    return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
+    number = F.expr(f"row_number() OVER (PARTITION BY {', '.join(ident(k) for k in keys)} ORDER BY {', '.join(order)})")
+    return df.withColumn(rn, number).filter(F.col(rn) == 1).drop(rn)
