@@ -73,16 +73,18 @@ def customer_360(
     as_of: dt.date = AS_OF,
     loaded_at: dt.datetime = LOADED_AT,
     thresholds: tuple = SEGMENT_THRESHOLDS,
+    orders_clean: bool = False,
 ) -> DataFrame:
     """One row per customer with order/review metrics, tenure and segment.
 
     Customers without orders keep NULL metrics and fall into the lowest
     segment. Review users are matched to customers as text (``user_id`` is a
-    string, ``customer_id`` need not be). Orders are deduplicated first.
+    string, ``customer_id`` need not be). Orders are trimmed and deduplicated
+    first, unless ``orders_clean`` says ``clean_orders`` was applied already.
     """
     cust = trim_strings(customers)
     cust = dedup_latest(cust, ["customer_id"], present(cust, RECENCY))
-    metrics = customer_order_metrics(clean_orders(orders))
+    metrics = customer_order_metrics(orders if orders_clean else clean_orders(orders))
     c = cust.join(metrics, on="customer_id", how="left")
     if reviews is not None:
         rm = text_key_as(customer_review_metrics(reviews), "user_id", c.schema["customer_id"].dataType)
@@ -159,9 +161,13 @@ def order_enriched(
     products: DataFrame,
     *,
     loaded_at: dt.datetime = LOADED_AT,
+    orders_clean: bool = False,
 ) -> DataFrame:
-    """Orders with product attributes, per-customer recency rank and date parts."""
-    o = clean_orders(orders)
+    """Orders with product attributes, per-customer recency rank and date parts.
+
+    ``orders_clean``: ``clean_orders`` was applied already (e.g. staged once
+    for several marts), so the orders are not deduplicated again."""
+    o = orders if orders_clean else clean_orders(orders)
     e = left_join_dim(o, dim_latest(products, "product_id"), "product_id", "product")
     e = rank_orders(e, orders)
     e = e.select("*", *date_parts("order_date", "order", ("year", "month", "dow")))
