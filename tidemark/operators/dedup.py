@@ -38,6 +38,10 @@ def dedup_latest(df: DataFrame, keys: list[str], recency: list[str] | None = Non
     row per key; a key holding a third of the input costs one row per map
     task in the exchange, not a third of the data. The window is written as
     one SQL expression (one call into the JVM however wide the row).
+
+    The tie-break reads every column of ``df``. Where versions of a key can
+    never tie on ``recency`` (or any tied version will do), select the needed
+    columns first: the scan then reads only those.
     """
     if set(df.columns) <= set(keys):
         # nothing but keys: any row of a key is the same row (a hash aggregate)
