@@ -75,3 +75,24 @@ def test_staged_clean_orders_give_the_same_marts(spark, sf_small):
     c1 = cu.customer_360(d["customers"], d["orders"])
     c2 = cu.customer_360(d["customers"], clean, orders_clean=True)
     assert sorted(c1.collect(), key=lambda r: r.customer_id) == sorted(c2.collect(), key=lambda r: r.customer_id)
+
+
+def test_streaming_ingest_csv_with_batch_transform(spark):
+    from pyspark.sql.types import StructType
+
+    from tidemark.functions.text import trim_strings
+    from tidemark.operators.dedup import dedup_latest
+
+    src = scratch_path(spark, "landing_csv")
+    tgt = scratch_path(spark, "ingested_csv")
+    ckpt = scratch_path(spark, "ingest_csv_ckpt")
+    st = StructType.fromDDL("k bigint, name string, ts timestamp_ntz")
+    rows = [(1, " a ", dt.datetime(2020, 1, 1)), (1, "b", dt.datetime(2020, 1, 2)), (2, "c ", dt.datetime(2020, 1, 1))]
+    spark.createDataFrame(rows, st).coalesce(1).write.option("header", "true").mode("append").csv(src)
+
+    def clean(batch):
+        return dedup_latest(trim_strings(batch), ["k"], ["ts"])
+
+    assert ingest_new_files(spark, src, "csv", st, tgt, ckpt, transform=clean) == 1
+    got = sorted((r.k, r.name) for r in spark.read.parquet(tgt).collect())
+    assert got == [(1, "b"), (2, "c")]
