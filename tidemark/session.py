@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,8 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder, for one job's output."""
     base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
+    if base.startswith("file:"):  # file:/x, file:///x -> /x (also usable by local tools)
+        base = urlparse(base).path
     return os.path.join(base, "tidemark", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
