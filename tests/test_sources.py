@@ -162,3 +162,24 @@ def test_partitioned_dataset_declared_types_and_pruning(spark, sf_small):
     plan = feb._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan and "(month" in plan
     assert feb.count() == fx.raw_materials(spark, sf_small).filter(F.col("month") == 2).count()
+
+
+def test_read_tables_wires_config_and_marks(spark, monkeypatch):
+    from tidemark.sources import jdbc
+
+    calls = []
+
+    def fake_read_jdbc(spark_, url, table, **kw):
+        calls.append((table, kw))
+        return spark_.range(1)
+
+    monkeypatch.setattr(jdbc, "read_jdbc", fake_read_jdbc)
+    tables = [
+        {"name": "orders", "partition_column": "order_id", "num_partitions": 20, "fetch_size": 10000, "incremental_column": "order_date"},
+        {"name": "products", "dbtable": "public.products", "partition_column": "product_id", "num_partitions": 4, "fetch_size": 5000},
+    ]
+    out = jdbc.read_tables(spark, "jdbc:x://h/db", tables, {"user": "u"}, watermarks={"orders": "2024-01-01"})
+    assert set(out) == {"orders", "products"}
+    (t1, k1), (t2, k2) = calls
+    assert t1 == "orders" and k1["num_partitions"] == 20 and k1["mark"] == "2024-01-01" and k1["incremental_column"] == "order_date"
+    assert t2 == "public.products" and k2["fetch_size"] == 5000 and k2["mark"] is None and k2["properties"] == {"user": "u"}
