@@ -10,6 +10,14 @@ from urllib.parse import urlparse
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a remote (Spark Connect) session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no local context
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Return the cluster-shared folder named by ``spark.checkpoint.dir``.
 
@@ -18,11 +26,12 @@ def shared_dir(spark: SparkSession) -> str:
     is an error, because a machine-local folder would not survive executor
     loss and is not visible to other executors.
     """
+    sc = _context(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        master = spark.sparkContext.master or ""
+        master = (sc.master if sc is not None else "") or ""
         if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
@@ -30,8 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
             )
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
