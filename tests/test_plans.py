@@ -67,3 +67,14 @@ def test_split_rank_shuffles_rows_once(spark):
     left = [l for l in lines[j + 1:] if l.startswith(child_prefix)]
     assert "Window [row_number()" in left[0]  # the join reads the window output directly
     assert sum("Exchange" in l for l in left) == 1  # the rows' only shuffle
+
+
+def test_inventory_totals_do_not_repeat_dimension_joins(spark, sf_small):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["inventory_snapshot"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # one sort-merge join with products: its inventory side and its products side
+    assert plan.count("Exchange hashpartitioning(product_id") == 2
