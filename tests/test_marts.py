@@ -182,3 +182,13 @@ def test_order_and_inventory_marts_keep_one_row_per_fact_key(spark, sf_small):
     # every customer's ranks are 1..n without gaps
     gaps = e.groupBy("customer_id").agg(F.max("order_rank").alias("m"), F.count("*").alias("n")).filter("m != n").count()
     assert gaps == 0
+
+
+def test_rolling_from_priced_daily_quantities_equals_row_level(spark, sf_small):
+    d = fx.domain(spark, sf_small, "purchase_orders", "raw_materials", "suppliers")
+    po, mat, sup = su.po_parts(d["purchase_orders"], d["raw_materials"], d["suppliers"])
+    base = su.join_base(po, mat, sup)
+    generic = su.rolling_spend(base)
+    priced = su.rolling_spend(base, rolling=su.material_rolling_spend(po, mat))
+    key = lambda r: r.po_id
+    assert sorted(generic.collect(), key=key) == sorted(priced.collect(), key=key)

@@ -78,3 +78,14 @@ def test_inventory_totals_do_not_repeat_dimension_joins(spark, sf_small):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     # one sort-merge join with products: its inventory side and its products side
     assert plan.count("Exchange hashpartitioning(product_id") == 2
+
+
+def test_rolling_spend_repeats_no_fact_level_join(spark, sf_small):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["material_consumption"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # one sort-merge join with suppliers (purchase-order side + supplier side)
+    assert plan.count("Exchange hashpartitioning(supplier_id") == 2

@@ -162,6 +162,37 @@ def top_k_within(df: DataFrame, group: list[str], order: list[Column], k: int, o
     return rank_within(df, group, order, out).filter(F.col(out) <= k)
 
 
+DAY = "__tm_day"
+
+
+def day_number(date_col: str) -> Column:
+    """Calendar day of a DATE / TIMESTAMP / TIMESTAMP_NTZ column as days since 1970."""
+    return F.unix_date(F.to_date(_q(date_col)))
+
+
+def range_window_over_days(daily: DataFrame, partition: list[str], value: str, days: int, out: str) -> DataFrame:
+    """``sum(value)`` over ``[day - days, day]`` per partition, on a table with
+    one row per (partition, ``__tm_day``). Rows with a NULL day are each
+    other's frame, as in a RANGE frame over NULLs."""
+    w = Window.partitionBy(*[_q(p) for p in partition]).orderBy(F.col(DAY)).rangeBetween(-days, 0)
+    return daily.select(*[_q(p) for p in partition], F.col(DAY), F.sum(_q(value)).over(w).alias(out))
+
+
+def attach_by_day(df: DataFrame, partition: list[str], date_col: str, daily: DataFrame, out: str) -> DataFrame:
+    """Left-join a per-(partition, day) result onto the rows of ``df``,
+    NULL-safe on every key; ``df``'s columns keep their order, ``out`` last.
+
+    The join key (partition, day) spreads a hot partition key over its days;
+    adaptive execution splits a hot (partition, day).
+    """
+    renamed = {p: f"__tm_k{i}" for i, p in enumerate(partition)}
+    right = daily.select(*[_q(p).alias(renamed[p]) for p in partition], F.col(DAY).alias("__tm_kday"), _q(out))
+    keyed = df.withColumn(DAY, day_number(date_col))
+    cond = [keyed[p].eqNullSafe(right[renamed[p]]) for p in partition]
+    cond.append(keyed[DAY].eqNullSafe(right["__tm_kday"]))
+    return keyed.join(right, cond, "left").drop(*renamed.values(), "__tm_kday", DAY)
+
+
 def rolling_range_sum(
     df: DataFrame,
     partition: list[str],
@@ -180,17 +211,7 @@ def rolling_range_sum(
     Rows with a NULL day form one group, as in a RANGE frame over NULLs.
     The frame counts calendar days (``unix_date``), which is DST-free.
     """
-    day = "__tm_day"
-    keyed = df.withColumn(day, F.unix_date(F.to_date(_q(date_col))))
-    daily = keyed.groupBy(*[_q(p) for p in partition], _q(day)).agg(F.sum(value).alias("__tm_daysum"))
-    w = Window.partitionBy(*[_q(p) for p in partition]).orderBy(_q(day)).rangeBetween(-days, 0)
-    renamed = {p: f"__tm_k{i}" for i, p in enumerate(partition)}
-    daily = daily.select(
-        *[_q(p).alias(renamed[p]) for p in partition],
-        _q(day).alias("__tm_kday"),
-        F.sum("__tm_daysum").over(w).alias(out),
+    daily = df.groupBy(*[_q(p) for p in partition], day_number(date_col).alias(DAY)).agg(
+        F.sum(value).alias("__tm_daysum")
     )
-    cond = [keyed[p].eqNullSafe(daily[renamed[p]]) for p in partition]
-    cond.append(keyed[day].eqNullSafe(daily["__tm_kday"]))
-    joined = keyed.join(daily, cond, "left")
-    return joined.drop(*renamed.values(), "__tm_kday", day)
+    return attach_by_day(df, partition, date_col, range_window_over_days(daily, partition, "__tm_daysum", days, out), out)

@@ -13,7 +13,7 @@ from tidemark.functions.rules import ON_TIME_THRESHOLDS, STRATEGIC_SPEND, is_lat
 from tidemark.functions.stats import exact_avg, exact_sum, money
 from tidemark.functions.text import trim_strings
 from tidemark.operators.dedup import dedup_latest
-from tidemark.operators.windows import rolling_range_sum
+from tidemark.operators.windows import DAY, attach_by_day, day_number, range_window_over_days, rolling_range_sum
 from tidemark.plans.common import AS_OF, LOADED_AT, dim_latest, left_join_dim, present
 
 PO_RECENCY = ("updated_at",)
@@ -21,6 +21,25 @@ MATERIAL_RECENCY = ("year", "month", "updated_at")
 ROLLING_DAYS = 90
 
 
+def po_parts(
+    po: DataFrame, materials: DataFrame, suppliers: DataFrame, *, trim: bool = True
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Latest version of each purchase order, latest snapshot of each
+    material, one row per supplier: the three inputs of ``po_base``."""
+    if trim:
+        po = trim_strings(po)
+    if "supplier_id" in po.columns:
+        po = po.withColumnRenamed("supplier_id", "po_supplier_id")
+    po = dedup_latest(po, ["po_id"], present(po, PO_RECENCY))
+    return po, dim_latest(materials, "material_id", MATERIAL_RECENCY), dim_latest(suppliers, "supplier_id")
+
+
+def join_base(po: DataFrame, materials: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """Purchase orders with their material and the material's supplier."""
+    base = left_join_dim(po, materials, "material_id", "material")
+    return left_join_dim(base, suppliers, "supplier_id", "supplier")
+
+
 def po_base(po: DataFrame, materials: DataFrame, suppliers: DataFrame, *, trim: bool = True) -> DataFrame:
     """Latest version of each purchase order, with its material and the
     material's supplier.
@@ -30,15 +49,26 @@ def po_base(po: DataFrame, materials: DataFrame, suppliers: DataFrame, *, trim:
     reduced to their latest (year, month) snapshot and suppliers to one row per
     key, so neither join can multiply purchase orders.
     """
-    if trim:
-        po = trim_strings(po)
-    if "supplier_id" in po.columns:
-        po = po.withColumnRenamed("supplier_id", "po_supplier_id")
-    po = dedup_latest(po, ["po_id"], present(po, PO_RECENCY))
-    mat = dim_latest(materials, "material_id", MATERIAL_RECENCY)
-    sup = dim_latest(suppliers, "supplier_id")
-    base = left_join_dim(po, mat, "material_id", "material")
-    return left_join_dim(base, sup, "supplier_id", "supplier")
+    return join_base(*po_parts(po, materials, suppliers, trim=trim))
+
+
+def material_rolling_spend(po: DataFrame, materials: DataFrame, window_days: int = ROLLING_DAYS) -> DataFrame:
+    """Trailing spend per (material, day), from deduplicated purchase orders
+    and the latest material snapshot (the first two outputs of ``po_parts``).
+
+    A row's spend is ``quantity_ordered * unit_price`` and the price is one per
+    material, so a day's spend is the price times the day's summed quantity -
+    exactly, in decimals. The quantities are a partial aggregate of the
+    purchase orders (sharing their deduplication shuffle); only that small
+    daily table is joined with the materials. Unlike windowing the joined
+    base, no purchase-order-level join is repeated.
+    """
+    daily_qty = po.groupBy(F.col("material_id"), day_number("order_date").alias(DAY)).agg(
+        F.sum("quantity_ordered").alias("__tm_qty")
+    )
+    priced = daily_qty.join(materials.select("material_id", "unit_price"), on="material_id", how="left")
+    daily = priced.select("material_id", DAY, money(F.col("__tm_qty") * F.col("unit_price")).alias("__tm_spend"))
+    return range_window_over_days(daily, ["material_id"], "__tm_spend", window_days, "rolling_90d_spend")
 
 
 def delivery_columns(base: DataFrame) -> DataFrame:
@@ -60,19 +90,29 @@ def material_consumption(
     *,
     window_days: int = ROLLING_DAYS,
     loaded_at: dt.datetime = LOADED_AT,
+    rolling: DataFrame | None = None,
 ) -> DataFrame:
     """One row per purchase order: cost, delivery variance, trailing spend of
-    its material over ``window_days`` days, and date parts."""
+    its material over ``window_days`` days, and date parts.
+
+    ``rolling``: the per-(material, day) spend from ``material_rolling_spend``;
+    without it the spend is computed from ``base`` (``rolling_range_sum``)."""
     b = delivery_columns(base)
-    b = rolling_range_sum(b, ["material_id"], "order_date", F.col("line_cost"), window_days, "rolling_90d_spend")
+    if rolling is None:
+        b = rolling_range_sum(b, ["material_id"], "order_date", F.col("line_cost"), window_days, "rolling_90d_spend")
+    else:
+        b = attach_by_day(b, ["material_id"], "order_date", rolling, "rolling_90d_spend")
     b = b.withColumn("rolling_90d_spend", money("rolling_90d_spend"))
     b = b.select("*", *date_parts("order_date", "order", ("year", "month", "quarter")))
     return add_audit_columns(b, loaded_at)
 
 
-def rolling_spend(base: DataFrame, window_days: int = ROLLING_DAYS) -> DataFrame:
+def rolling_spend(base: DataFrame, window_days: int = ROLLING_DAYS, rolling: DataFrame | None = None) -> DataFrame:
     b = delivery_columns(base).select("po_id", "material_id", "order_date", "line_cost")
-    b = rolling_range_sum(b, ["material_id"], "order_date", F.col("line_cost"), window_days, "rolling_90d_spend")
+    if rolling is None:
+        b = rolling_range_sum(b, ["material_id"], "order_date", F.col("line_cost"), window_days, "rolling_90d_spend")
+    else:
+        b = attach_by_day(b, ["material_id"], "order_date", rolling, "rolling_90d_spend")
     return b.withColumn("rolling_90d_spend", money("rolling_90d_spend"))
 
 

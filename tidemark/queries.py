@@ -104,12 +104,19 @@ def q_delivery_variance(spark, sf):
     return b.select("po_id", "material_id", "supplier_id", "expected_delivery_date", "delivery_variance_days", "is_late")
 
 
+def _po_parts(spark: SparkSession, sf: str):
+    d = fx.domain(spark, sf, "purchase_orders", "raw_materials", "suppliers")
+    return su.po_parts(d["purchase_orders"], d["raw_materials"], d["suppliers"])
+
+
 def q_rolling_90d_spend(spark, sf):
-    return su.rolling_spend(_po_base(spark, sf))
+    po, mat, sup = _po_parts(spark, sf)
+    return su.rolling_spend(su.join_base(po, mat, sup), rolling=su.material_rolling_spend(po, mat))
 
 
 def q_material_consumption(spark, sf):
-    return su.material_consumption(_po_base(spark, sf))
+    po, mat, sup = _po_parts(spark, sf)
+    return su.material_consumption(su.join_base(po, mat, sup), rolling=su.material_rolling_spend(po, mat))
 
 
 def q_supplier_performance(spark, sf):
