@@ -87,8 +87,15 @@ def customer_360(
     metrics = customer_order_metrics(orders if orders_clean else clean_orders(orders))
     c = cust.join(metrics, on="customer_id", how="left")
     if reviews is not None:
-        rm = text_key_as(customer_review_metrics(reviews), "user_id", c.schema["customer_id"].dataType)
-        c = c.join(rm, c["customer_id"] == rm["__tm_uid"], "left").drop("user_id", "__tm_uid")
+        # only user ids that are exactly a customer key's text can match: key
+        # them by the typed id before aggregating, so the aggregate is already
+        # partitioned for the join and ids that cannot match are dropped early
+        keyed = text_key_as(reviews, "user_id", c.schema["customer_id"].dataType).filter(F.col("__tm_uid").isNotNull())
+        rm = keyed.groupBy("__tm_uid").agg(
+            exact_avg("rating").alias("avg_review_rating"),
+            F.count("review_id").alias("total_reviews"),
+        )
+        c = c.join(rm, c["customer_id"] == rm["__tm_uid"], "left").drop("__tm_uid")
     today = day_literal(as_of)
     c = c.select(
         "*",
