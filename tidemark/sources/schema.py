@@ -134,8 +134,10 @@ def validate_schema(df: DataFrame, schema: StructType | str | Path | dict) -> tu
     checks = _reasons(df, schema)
     reason = F.concat_ws("; ", *checks) if checks else F.lit("")
     flagged = df.select("*", F.nullif(reason, F.lit("")).alias("_reject_reason"))
+    # try_cast: valid rows convert by definition, and no evaluation order can
+    # make a rejected value fail the query under ANSI mode
     valid = flagged.filter(F.col("_reject_reason").isNull()).select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
+        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
     )
     rejected = flagged.filter(F.col("_reject_reason").isNotNull())
     return valid, rejected
