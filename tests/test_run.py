@@ -96,3 +96,38 @@ def test_streaming_ingest_csv_with_batch_transform(spark):
     assert ingest_new_files(spark, src, "csv", st, tgt, ckpt, transform=clean) == 1
     got = sorted((r.k, r.name) for r in spark.read.parquet(tgt).collect())
     assert got == [(1, "b"), (2, "c")]
+
+
+def test_run_config_from_file_datasets(spark, sf_small):
+    from tidemark.plans.run import run_config
+
+    landing = scratch_path(spark, "landing_cfg")
+    datasets = []
+    for name, df in fx.domain(spark, sf_small, "customers", "orders", "products", "product_reviews").items():
+        fmt = "json" if name == "product_reviews" else "parquet"
+        path = os.path.join(landing, name)
+        df.write.format(fmt).save(path)
+        ds = {"name": name, "path": path, "file_format": fmt}
+        if fmt == "json":
+            ds["schema"] = {"fields": [
+                {"name": "review_id", "type": "long"}, {"name": "product_id", "type": "long"},
+                {"name": "user_id", "type": "string"}, {"name": "rating", "type": "integer"},
+                {"name": "verified", "type": "boolean"}, {"name": "review_date", "type": "date"},
+            ]}
+        datasets.append(ds)
+    out = scratch_path(spark, "targets_cfg")
+    cfg = {
+        "datasets": datasets,
+        "work_dir": scratch_path(spark, "work_cfg"),
+        "marts": ["customer_360", "order_enriched"],
+        "as_of": "2002-01-01",
+        "batch_id": 7,
+        "load": {"base_path": out, "write_mode": "overwrite", "tables": [
+            {"source": "customer_360", "target": os.path.join(out, "DIM_CUSTOMER_360"), "write_mode": "merge", "merge_keys": ["customer_id"]},
+            {"source": "order_enriched", "target": os.path.join(out, "FACT_ORDERS"), "write_mode": "append"},
+        ]},
+    }
+    counts = run_config(spark, cfg)
+    assert counts["customer_360"] == fx.customers(spark, sf_small).count()
+    assert read_current(spark, os.path.join(out, "DIM_CUSTOMER_360")).filter("avg_review_rating IS NOT NULL").count() > 0
+    assert {r.batch_id for r in spark.read.parquet(os.path.join(out, "FACT_ORDERS")).select("batch_id").distinct().collect()} == {7}
