@@ -117,3 +117,15 @@ def test_rank_within_sends_only_hot_groups_to_split(spark):
     mixed = rank_within(df, ["customer_id"], recency_order(), "r", split=recency_split(), max_group_rows=1000, sample_fraction=1.0)
     assert {r.order_id: r.r for r in mixed.collect()} == plain
     assert "Union" in mixed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_rank_with_text_order_ids(spark):
+    from pyspark.sql.types import StringType
+
+    from tidemark.operators.windows import split_rank
+    from tidemark.plans.customer import recency_order, recency_split
+
+    df = _orders_with_hot_customer(spark).withColumn("order_id", F.format_string("A%07d", F.col("order_id")))
+    plain = {r.order_id: r.r for r in rank_within(df, ["customer_id"], recency_order(), "r").collect()}
+    split = {r.order_id: r.r for r in split_rank(df, ["customer_id"], recency_order(), "r", recency_split(StringType())).collect()}
+    assert split == plain

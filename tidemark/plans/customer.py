@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, IntegralType, StringType
 
 from tidemark.functions.dates import date_parts, day_literal, days_between
 from tidemark.functions.hashing import add_audit_columns
@@ -125,18 +125,22 @@ def recency_order() -> list:
 ID_BUCKET_BITS = 20
 
 
-def recency_split() -> list:
+def recency_split(id_type: DataType | None = None) -> list:
     """Sub-buckets that follow ``recency_order``: the day, then a range of ids.
 
     A customer with a huge share of all orders is ranked in (day, id range)
-    pieces; the pieces' counts give each piece's starting rank. Order ids are
-    unique, so a piece never holds more than 2**ID_BUCKET_BITS orders, however
-    many fall on one day.
+    pieces; the pieces' counts give each piece's starting rank. For integral
+    ids a range is ``2**ID_BUCKET_BITS`` consecutive ids - ids are unique, so a
+    piece never holds more orders than that, however many fall on one day.
+    Text ids are cut by their first characters (also order-preserving); other
+    id types by day only.
     """
-    return [
-        (F.to_date(F.col("order_date")), "desc_nulls_last"),
-        (F.shiftright(F.col("order_id").cast("bigint"), ID_BUCKET_BITS), "asc_nulls_first"),
-    ]
+    day = (F.to_date(F.col("order_date")), "desc_nulls_last")
+    if id_type is None or isinstance(id_type, IntegralType):
+        return [day, (F.shiftright(F.col("order_id").cast("bigint"), ID_BUCKET_BITS), "asc_nulls_first")]
+    if isinstance(id_type, StringType):
+        return [day, (F.substring(F.col("order_id"), 1, 4), "asc_nulls_first")]
+    return [day]
 
 
 def rank_orders(df: DataFrame, raw_orders: DataFrame) -> DataFrame:
@@ -144,7 +148,7 @@ def rank_orders(df: DataFrame, raw_orders: DataFrame) -> DataFrame:
     from the raw orders' key column) are ranked in (day, id range) pieces."""
     return rank_within(
         df, ["customer_id"], recency_order(), "order_rank",
-        split=recency_split(), hot_source=raw_orders.select("customer_id"),
+        split=recency_split(df.schema["order_id"].dataType), hot_source=raw_orders.select("customer_id"),
     )
 
 
