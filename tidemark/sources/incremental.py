@@ -98,7 +98,7 @@ class WatermarkStore:
             return None
         row = (
             log.filter(F.col("table_name") == table)
-            .orderBy(F.col("run_id").desc())
+            .orderBy(F.col("run_id").desc(), F.col("committed_at").desc())  # a retried run: its last commit
             .select("watermark")
             .limit(1)
             .collect()
