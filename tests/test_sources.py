@@ -183,3 +183,14 @@ def test_read_tables_wires_config_and_marks(spark, monkeypatch):
     (t1, k1), (t2, k2) = calls
     assert t1 == "orders" and k1["num_partitions"] == 20 and k1["mark"] == "2024-01-01" and k1["incremental_column"] == "order_date"
     assert t2 == "public.products" and k2["fetch_size"] == 5000 and k2["mark"] is None and k2["properties"] == {"user": "u"}
+
+
+def test_flagged_rows_written_once_split_by_validity(spark):
+    from tidemark.sources.schema import flag_schema_violations
+
+    df = spark.createDataFrame([(1, "x"), (None, "y"), (3, None)], "a int, b string")
+    flagged = flag_schema_violations(df, {"fields": [{"name": "a", "type": "integer", "nullable": False}, {"name": "b", "type": "string"}]})
+    path = scratch_path(spark, "flagged")
+    flagged.withColumn("is_valid", F.col("_reject_reason").isNull()).write.partitionBy("is_valid").parquet(path)
+    back = spark.read.parquet(path).withColumn("is_valid", F.col("is_valid").cast("boolean"))  # folder values are text
+    assert back.filter("is_valid").count() == 2 and back.filter("NOT is_valid").first()._reject_reason == "a: null"

@@ -116,24 +116,36 @@ def _reasons(df: DataFrame, schema: StructType) -> list[Column]:
     return checks
 
 
+def flag_schema_violations(df: DataFrame, schema: StructType | str | Path | dict) -> DataFrame:
+    """``df`` plus ``_reject_reason``: every violation of ``schema`` in the row
+    (declared not-null fields that are NULL, values that do not convert to the
+    declared type), in field order, ``; ``-separated; NULL for a valid row.
+
+    One projection: write it once (e.g. partitioned by
+    ``_reject_reason IS NULL``) to keep valid and rejected rows in one pass.
+    Missing columns raise at once.
+    """
+    schema = load_schema(schema)
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise SchemaError(f"columns missing from data: {missing}")
+    checks = _reasons(df, schema)
+    reason = F.concat_ws("; ", *checks) if checks else F.lit("")
+    return df.select("*", F.nullif(reason, F.lit("")).alias("_reject_reason"))
+
+
 def validate_schema(df: DataFrame, schema: StructType | str | Path | dict) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into rows that satisfy ``schema`` and rejected rows.
 
     Spark's file readers make every field nullable and turn malformed values
     into NULL, so ``nullable: false`` and types are not enforced on read. Here
     every declared not-null field is checked, and every value that does not
-    convert to its declared type is flagged. ``valid`` has the declared types;
-    ``rejected`` keeps the original values plus ``_reject_reason`` (all
-    violations of the row, in field order, ``; ``-separated). Missing columns
-    raise at once. One pass: both outputs are filters of one projection.
+    convert to its declared type is flagged (``flag_schema_violations``).
+    ``valid`` has the declared types; ``rejected`` keeps the original values
+    plus ``_reject_reason``. Both are filters of one projection.
     """
     schema = load_schema(schema)
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
-    if missing:
-        raise SchemaError(f"columns missing from data: {missing}")
-    checks = _reasons(df, schema)
-    reason = F.concat_ws("; ", *checks) if checks else F.lit("")
-    flagged = df.select("*", F.nullif(reason, F.lit("")).alias("_reject_reason"))
+    flagged = flag_schema_violations(df, schema)
     # try_cast: valid rows convert by definition, and no evaluation order can
     # make a rejected value fail the query under ANSI mode
     valid = flagged.filter(F.col("_reject_reason").isNull()).select(
