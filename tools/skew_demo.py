@@ -69,9 +69,8 @@ def main():
         "material_id", F.when(third("po_id"), F.lit(1).cast("bigint")).otherwise(F.col("material_id"))
     )
     d = fx.domain(spark, sf, "raw_materials", "suppliers", "inventory")
-    base = su.delivery_columns(su.po_base(po, d["raw_materials"], d["suppliers"])).select(
-        "po_id", "material_id", "order_date", "line_cost"
-    )
+    po_clean, mat, sup = su.po_parts(po, d["raw_materials"], d["suppliers"])
+    base = su.delivery_columns(su.join_base(po_clean, mat, sup)).select("po_id", "material_id", "order_date", "line_cost")
     stock = inv.stock_flags(
         inv.clean_inventory(
             d["inventory"].withColumn("warehouse_id", F.when(third("inventory_id"), F.lit(1)).otherwise(F.col("warehouse_id")))
@@ -87,6 +86,9 @@ def main():
         ),
         "rolling/row_level_window": lambda: base.select("*", F.sum("line_cost").over(w_roll).alias("s")),
         "rolling/daily_preaggregate": lambda: rolling_range_sum(base, ["material_id"], "order_date", F.col("line_cost"), 90, "s"),
+        "rolling/priced_daily_quantities": lambda: su.rolling_spend(
+            su.join_base(po_clean, mat, sup), rolling=su.material_rolling_spend(po_clean, mat)
+        ),
         "totals/whole_partition_window": lambda: stock.select(
             "*", F.sum("stock_value").over(w_wh).alias("t"), F.count("product_id").over(w_wh).alias("n")
         ),
