@@ -77,3 +77,36 @@ def test_exact_avg_matches_decimal_half_up(spark):
             assert got == want
 
     check()
+
+
+def test_hot_group_rank_equals_plain_window(spark):
+    import datetime as dt
+
+    from tidemark.operators.windows import rank_within
+    from tidemark.plans.customer import recency_order, recency_split
+
+    order_rows = st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.integers(0, 2)),  # customer (NULL is a group too)
+            st.one_of(st.none(), st.integers(0, 6)),  # day offset (NULL dates)
+        ),
+        min_size=1,
+        max_size=40,
+    )
+
+    @SETTINGS
+    @given(order_rows, st.integers(0, 3))
+    def check(rows, shift):
+        data = [
+            (i * 7919 + (i % 3) * (1 << (19 + shift)), c, None if d is None else dt.date(2020, 1, 1) + dt.timedelta(days=d))
+            for i, (c, d) in enumerate(rows)
+        ]
+        df = spark.createDataFrame(data, "order_id bigint, customer_id bigint, order_date date")
+        plain = {r.order_id: r.r for r in rank_within(df, ["customer_id"], recency_order(), "r").collect()}
+        split = rank_within(
+            df, ["customer_id"], recency_order(), "r",
+            split=recency_split(), max_group_rows=1, sample_fraction=1.0,
+        )
+        assert {r.order_id: r.r for r in split.collect()} == plain
+
+    check()
