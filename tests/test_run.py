@@ -131,3 +131,45 @@ def test_run_config_from_file_datasets(spark, sf_small):
     assert counts["customer_360"] == fx.customers(spark, sf_small).count()
     assert read_current(spark, os.path.join(out, "DIM_CUSTOMER_360")).filter("avg_review_rating IS NOT NULL").count() > 0
     assert {r.batch_id for r in spark.read.parquet(os.path.join(out, "FACT_ORDERS")).select("batch_id").distinct().collect()} == {7}
+
+
+def test_run_config_advances_marks_after_a_successful_run(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from tidemark.plans.run import run_config
+    from tidemark.sources.incremental import WatermarkStore
+
+    landing = scratch_path(spark, "landing_inc")
+    d = fx.domain(spark, sf_small, "purchase_orders", "raw_materials", "suppliers")
+    po = d["purchase_orders"]
+    mark = "2000-01-01 00:00:00"
+    po.filter(F.col("updated_at") <= F.lit(mark).cast("timestamp_ntz")).write.parquet(os.path.join(landing, "po"))
+    for n in ("raw_materials", "suppliers"):
+        d[n].write.parquet(os.path.join(landing, n))
+    store_path = scratch_path(spark, "marks_cfg")
+
+    def cfg(batch):
+        return {
+            "datasets": [
+                {"name": "purchase_orders", "path": os.path.join(landing, "po"), "incremental_column": "updated_at"},
+                {"name": "raw_materials", "path": os.path.join(landing, "raw_materials")},
+                {"name": "suppliers", "path": os.path.join(landing, "suppliers")},
+            ],
+            "watermark_store": store_path,
+            "work_dir": scratch_path(spark, f"work_inc{batch}"),
+            "marts": ["material_consumption"],
+            "batch_id": batch,
+            "load": {"base_path": scratch_path(spark, "out_inc"), "tables": [
+                {"source": "material_consumption", "target": os.path.join(landing, "FACT"), "write_mode": "append"}]},
+        }
+
+    first = run_config(spark, cfg(1))["material_consumption"]
+    store = WatermarkStore(spark, store_path)
+    assert store.get("purchase_orders") == "2000-01-01 00:00:00"
+    # new versions arrive; the second run reads only them
+    po.filter(F.col("updated_at") > F.lit(mark).cast("timestamp_ntz")).write.mode("append").parquet(os.path.join(landing, "po"))
+    second = run_config(spark, cfg(2))["material_consumption"]
+    newest = po.agg(F.max("updated_at")).first()[0]
+    assert store.get("purchase_orders") == str(newest)
+    later = po.filter(F.col("updated_at") > F.lit(mark).cast("timestamp_ntz")).select("po_id").distinct().count()
+    assert first > 0 and second == later
