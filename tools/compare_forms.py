@@ -22,7 +22,7 @@ from tidemark import fixtures as fx  # noqa: E402
 from tidemark.functions.stats import exact_sum  # noqa: E402
 from tidemark.operators.dedup import dedup_latest  # noqa: E402
 from tidemark.operators.totals import group_totals  # noqa: E402
-from tidemark.operators.windows import rank_within, rolling_range_sum  # noqa: E402
+from tidemark.operators.windows import rank_within, rolling_range_sum, split_rank  # noqa: E402
 from tidemark.plans import customer as cu  # noqa: E402
 from tidemark.plans import supply as su  # noqa: E402
 from tidemark.session import scratch_path  # noqa: E402
@@ -55,7 +55,9 @@ def main():
         path = scratch_path(spark, f"forms_{name}")
         fx.BUILDERS[name](spark, sf).write.mode("overwrite").parquet(path)
         tmp[name] = spark.read.parquet(path)
-    base = su.delivery_columns(su.po_base(tmp["purchase_orders"], tmp["raw_materials"], tmp["suppliers"]))
+    po_clean, mat, sup = su.po_parts(tmp["purchase_orders"], tmp["raw_materials"], tmp["suppliers"])
+    base_joined = su.join_base(po_clean, mat, sup)
+    base = su.delivery_columns(base_joined)
     inv = tmp["inventory"].withColumn("stock_value", F.col("quantity_on_hand") * F.col("unit_cost"))
     orders = cu.clean_orders(tmp["orders"])
     w_wh = Window.partitionBy("warehouse_id")
@@ -70,9 +72,14 @@ def main():
             lambda: inv.select("*", F.sum("stock_value").over(w_wh).alias("t"), F.count("product_id").over(w_wh).alias("n"))
         ),
         "rolling_daily_preagg": timed(lambda: rolling_range_sum(base, ["material_id"], "order_date", F.col("line_cost"), 90, "s")),
+        "rolling_priced_daily_quantities": timed(lambda: su.rolling_spend(base_joined, rolling=su.material_rolling_spend(po_clean, mat))),
         "rolling_row_level_window": timed(lambda: base.select("*", F.sum("line_cost").over(w_roll).alias("s"))),
-        "rank_split_subbuckets": timed(
-            lambda: rank_within(orders, ["customer_id"], cu.recency_order(), "r", split=cu.recency_split())
+        "rank_split_subbuckets_all_groups": timed(
+            lambda: split_rank(orders, ["customer_id"], cu.recency_order(), "r", cu.recency_split())
+        ),
+        "rank_hot_detection_then_window": timed(
+            lambda: rank_within(orders, ["customer_id"], cu.recency_order(), "r", split=cu.recency_split(),
+                                hot_source=tmp["orders"].select("customer_id"))
         ),
         "rank_single_window": timed(lambda: rank_within(orders, ["customer_id"], cu.recency_order(), "r")),
     }
