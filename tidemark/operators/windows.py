@@ -183,7 +183,8 @@ def attach_by_day(df: DataFrame, partition: list[str], date_col: str, daily: Dat
     NULL-safe on every key; ``df``'s columns keep their order, ``out`` last.
 
     The join key (partition, day) spreads a hot partition key over its days;
-    adaptive execution splits a hot (partition, day).
+    a single hot (partition, day) is left to adaptive execution's skew-join
+    split.
     """
     renamed = {p: f"__tm_k{i}" for i, p in enumerate(partition)}
     right = daily.select(*[_q(p).alias(renamed[p]) for p in partition], F.col(DAY).alias("__tm_kday"), _q(out))
