@@ -58,13 +58,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def recommended_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+def recommended_conf(
+    input_bytes: int,
+    partition_bytes: int = 256 << 20,
+    broadcast_bytes: int = 64 << 20,
+) -> dict[str, str]:
     """SQL settings sized for a job reading about ``input_bytes``.
 
     Initial shuffle partitions are an upper bound (about one per GiB of
     input, 200..32768); adaptive execution coalesces them to about
-    ``partition_bytes`` each and splits skewed join partitions. Apply with
-    ``spark.conf.set`` before building the marts.
+    ``partition_bytes`` each and splits skewed join partitions. Dimensions up
+    to ``broadcast_bytes`` (Spark's own size check, static and at run time)
+    are broadcast, so a hot fact key never meets a sort-merge join there.
+    Apply with ``spark.conf.set`` before building the marts.
     """
     shuffle = max(200, min(32768, -(-int(input_bytes) // (1 << 30))))
     return {
@@ -74,4 +80,6 @@ def recommended_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
     }
