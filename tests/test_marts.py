@@ -192,3 +192,20 @@ def test_rolling_from_priced_daily_quantities_equals_row_level(spark, sf_small):
     priced = su.rolling_spend(base, rolling=su.material_rolling_spend(po, mat))
     key = lambda r: r.po_id
     assert sorted(generic.collect(), key=key) == sorted(priced.collect(), key=key)
+
+
+def test_dimension_join_with_hot_key_split_equals_plain_join(spark, sf_small):
+    from tidemark.plans.common import dim_latest, left_join_dim
+
+    po = fx.purchase_orders(spark, sf_small).withColumn(
+        "material_id", F.when(F.col("po_id") % 3 == 0, F.lit(7).cast("bigint")).otherwise(F.col("material_id"))
+    )
+    mat = dim_latest(fx.raw_materials(spark, sf_small), "material_id", ("year", "month"))
+    plain = left_join_dim(po, mat, "material_id", "material")
+    split = left_join_dim(po, mat, "material_id", "material", hot_source=po.select("material_id"),
+                          max_group_rows=100, sample_fraction=1.0)
+    assert split.columns == plain.columns
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan
+    key = lambda r: (r.po_id, r.updated_at)
+    assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)

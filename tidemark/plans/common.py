@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import dedup_latest
+from tidemark.operators.windows import HOT_SAMPLE_FRACTION, MAX_GROUP_ROWS, hot_groups
 
 # fixed values: the evaluation day and load instant used by the registered queries
 AS_OF = dt.date(2002, 1, 1)
@@ -27,15 +29,40 @@ def dim_latest(dim: DataFrame, key: str, recency: tuple[str, ...] = ("updated_at
     return dedup_latest(dim, [key], present(dim, recency))
 
 
-def left_join_dim(fact: DataFrame, dim: DataFrame, key: str, dim_name: str) -> DataFrame:
+def left_join_dim(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    dim_name: str,
+    hot_source: DataFrame | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    sample_fraction: float = HOT_SAMPLE_FRACTION,
+) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)`` with name clashes made explicit.
 
     A dimension column that the fact already has is renamed ``<dim_name>_<col>``
     instead of producing two columns of one name (ambiguous downstream).
     The join strategy is Spark's: a dimension below the broadcast threshold of
     the size statistics is broadcast, a larger one is a sort-merge join.
+
+    ``hot_source`` (the fact's raw key column) turns on the hot-key split: keys
+    estimated to hold more rows than one task should join (``hot_groups``, a
+    sampled, bounded list) take a broadcast join with their dimension rows -
+    at most one per key, so a proven bound - and only the other rows go
+    through the sort-merge join. ``dim`` must be unique on ``key``.
     """
     clash = [c for c in dim.columns if c != key and c in fact.columns]
     if clash:
         dim = dim.select(*[dim[c].alias(f"{dim_name}_{c}") if c in clash else dim[c] for c in dim.columns])
-    return fact.join(dim, on=key, how="left")
+    if hot_source is None:
+        return fact.join(dim, on=key, how="left")
+    hot = hot_groups(hot_source, [key], max_group_rows, sample_fraction)
+    if not hot:
+        return fact.join(dim, on=key, how="left")
+    keys = fact.sparkSession.createDataFrame(hot, fact.select(key).schema).toDF("__tm_hk")
+    keys = F.broadcast(keys)
+    is_hot = fact[key].eqNullSafe(keys["__tm_hk"])
+    hot_rows = fact.join(keys, is_hot, "left_semi")
+    rest = fact.join(keys, is_hot, "left_anti")
+    hot_dim = F.broadcast(dim.join(keys, dim[key] == keys["__tm_hk"], "left_semi"))
+    return rest.join(dim, on=key, how="left").unionByName(hot_rows.join(hot_dim, on=key, how="left"))

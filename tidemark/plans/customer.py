@@ -179,7 +179,8 @@ def order_enriched(
     ``orders_clean``: ``clean_orders`` was applied already (e.g. staged once
     for several marts), so the orders are not deduplicated again."""
     o = orders if orders_clean else clean_orders(orders)
-    e = left_join_dim(o, dim_latest(products, "product_id"), "product_id", "product")
+    e = left_join_dim(o, dim_latest(products, "product_id"), "product_id", "product",
+                      hot_source=orders.select("product_id"))
     e = rank_orders(e, orders)
     e = e.select("*", *date_parts("order_date", "order", ("year", "month", "dow")))
     return add_audit_columns(e, loaded_at)

@@ -34,9 +34,15 @@ def po_parts(
     return po, dim_latest(materials, "material_id", MATERIAL_RECENCY), dim_latest(suppliers, "supplier_id")
 
 
-def join_base(po: DataFrame, materials: DataFrame, suppliers: DataFrame) -> DataFrame:
-    """Purchase orders with their material and the material's supplier."""
-    base = left_join_dim(po, materials, "material_id", "material")
+def join_base(
+    po: DataFrame, materials: DataFrame, suppliers: DataFrame, hot_source: DataFrame | None = None
+) -> DataFrame:
+    """Purchase orders with their material and the material's supplier.
+
+    ``hot_source`` (the raw purchase orders' ``material_id``) splits materials
+    with very many purchase orders out of the sort-merge join
+    (``left_join_dim``)."""
+    base = left_join_dim(po, materials, "material_id", "material", hot_source=hot_source)
     return left_join_dim(base, suppliers, "supplier_id", "supplier")
 
 
@@ -49,7 +55,7 @@ def po_base(po: DataFrame, materials: DataFrame, suppliers: DataFrame, *, trim:
     reduced to their latest (year, month) snapshot and suppliers to one row per
     key, so neither join can multiply purchase orders.
     """
-    return join_base(*po_parts(po, materials, suppliers, trim=trim))
+    return join_base(*po_parts(po, materials, suppliers, trim=trim), hot_source=po.select("material_id"))
 
 
 def material_rolling_spend(po: DataFrame, materials: DataFrame, window_days: int = ROLLING_DAYS) -> DataFrame:

@@ -105,18 +105,20 @@ def q_delivery_variance(spark, sf):
 
 
 def _po_parts(spark: SparkSession, sf: str):
+    """Deduplicated purchase orders, materials, suppliers, and the joined base."""
     d = fx.domain(spark, sf, "purchase_orders", "raw_materials", "suppliers")
-    return su.po_parts(d["purchase_orders"], d["raw_materials"], d["suppliers"])
+    po, mat, sup = su.po_parts(d["purchase_orders"], d["raw_materials"], d["suppliers"])
+    return po, mat, su.join_base(po, mat, sup, hot_source=d["purchase_orders"].select("material_id"))
 
 
 def q_rolling_90d_spend(spark, sf):
-    po, mat, sup = _po_parts(spark, sf)
-    return su.rolling_spend(su.join_base(po, mat, sup), rolling=su.material_rolling_spend(po, mat))
+    po, mat, base = _po_parts(spark, sf)
+    return su.rolling_spend(base, rolling=su.material_rolling_spend(po, mat))
 
 
 def q_material_consumption(spark, sf):
-    po, mat, sup = _po_parts(spark, sf)
-    return su.material_consumption(su.join_base(po, mat, sup), rolling=su.material_rolling_spend(po, mat))
+    po, mat, base = _po_parts(spark, sf)
+    return su.material_consumption(base, rolling=su.material_rolling_spend(po, mat))
 
 
 def q_supplier_performance(spark, sf):
