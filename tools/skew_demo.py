@@ -2,9 +2,10 @@
 
     python tools/skew_demo.py [sf_dir]
 
-Three cases, each derived from the testdata by giving every third row to one
+Four cases, each derived from the testdata by giving every third row to one
 key: a customer (per-customer recency rank), a material (90-day rolling
-spend), a warehouse (per-warehouse totals). Each operator runs in its naive
+spend; and the purchase-order -> material join with broadcasting off), a
+warehouse (per-warehouse totals). Each operator runs in its naive
 form and in the form used by the marts; the Spark event log (written to a
 fresh scratch folder) gives the largest number of shuffle records one task
 read in each run.
@@ -99,6 +100,19 @@ def main():
     for label, make in cases.items():
         spark.sparkContext.setJobGroup(label, label)
         make().write.format("noop").mode("overwrite").save()
+    # a dimension too big to broadcast: plain sort-merge join vs hot-key split
+    from tidemark.plans.common import left_join_dim
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    dim_cases = {
+        "dimjoin/sort_merge": lambda: left_join_dim(po_clean, mat, "material_id", "material"),
+        "dimjoin/hot_key_split": lambda: left_join_dim(
+            po_clean, mat, "material_id", "material", hot_source=po.select("material_id"), max_group_rows=n // 20
+        ),
+    }
+    for label, make in dim_cases.items():
+        spark.sparkContext.setJobGroup(label, label)
+        make().write.format("noop").mode("overwrite").save()
     spark.stop()
     # largest shuffle read of one task, per job group (and per stage: max / mean)
     stage_group, worst, per_stage = {}, {}, {}
