@@ -209,3 +209,21 @@ def test_dimension_join_with_hot_key_split_equals_plain_join(spark, sf_small):
     assert "Union" in plan
     key = lambda r: (r.po_id, r.updated_at)
     assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+def test_hot_suppliers_found_through_sampled_materials(spark, sf_small):
+    po = fx.purchase_orders(spark, sf_small).withColumn(
+        "material_id", F.when(F.col("po_id") % 3 == 0, F.lit(7).cast("bigint")).otherwise(F.col("material_id"))
+    )
+    d = fx.domain(spark, sf_small, "raw_materials", "suppliers")
+    p, mat, sup = su.po_parts(po, d["raw_materials"], d["suppliers"])
+    hot = su.hot_suppliers(po.select("material_id"), mat, max_group_rows=500, fraction=1.0)
+    supplier_of_7 = mat.filter("material_id = 7").first().supplier_id
+    assert hot == [(supplier_of_7,)]
+    from tidemark.plans.common import left_join_dim
+
+    base = left_join_dim(p, mat, "material_id", "material")
+    plain = left_join_dim(base, sup, "supplier_id", "supplier")
+    split = left_join_dim(base, sup, "supplier_id", "supplier", hot_keys=hot)
+    key = lambda r: r.po_id
+    assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)

@@ -37,6 +37,7 @@ def left_join_dim(
     hot_source: DataFrame | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
     sample_fraction: float = HOT_SAMPLE_FRACTION,
+    hot_keys: list[tuple] | None = None,
 ) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)`` with name clashes made explicit.
 
@@ -50,13 +51,14 @@ def left_join_dim(
     sampled, bounded list) take a broadcast join with their dimension rows -
     at most one per key, so a proven bound - and only the other rows go
     through the sort-merge join. ``dim`` must be unique on ``key``.
+    ``hot_keys`` gives the hot keys directly (estimated elsewhere).
     """
     clash = [c for c in dim.columns if c != key and c in fact.columns]
     if clash:
         dim = dim.select(*[dim[c].alias(f"{dim_name}_{c}") if c in clash else dim[c] for c in dim.columns])
-    if hot_source is None:
+    if hot_source is None and hot_keys is None:
         return fact.join(dim, on=key, how="left")
-    hot = hot_groups(hot_source, [key], max_group_rows, sample_fraction)
+    hot = hot_keys if hot_keys is not None else hot_groups(hot_source, [key], max_group_rows, sample_fraction)
     if not hot:
         return fact.join(dim, on=key, how="left")
     keys = fact.sparkSession.createDataFrame(hot, fact.select(key).schema).toDF("__tm_hk")

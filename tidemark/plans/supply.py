@@ -13,7 +13,16 @@ from tidemark.functions.rules import ON_TIME_THRESHOLDS, STRATEGIC_SPEND, is_lat
 from tidemark.functions.stats import exact_avg, exact_sum, money
 from tidemark.functions.text import trim_strings
 from tidemark.operators.dedup import dedup_latest
-from tidemark.operators.windows import DAY, attach_by_day, day_number, range_window_over_days, rolling_range_sum
+from tidemark.operators.windows import (
+    DAY,
+    HOT_SAMPLE_FRACTION,
+    MAX_GROUP_ROWS,
+    attach_by_day,
+    day_number,
+    hot_groups,
+    range_window_over_days,
+    rolling_range_sum,
+)
 from tidemark.plans.common import AS_OF, LOADED_AT, dim_latest, left_join_dim, present
 
 PO_RECENCY = ("updated_at",)
@@ -34,16 +43,34 @@ def po_parts(
     return po, dim_latest(materials, "material_id", MATERIAL_RECENCY), dim_latest(suppliers, "supplier_id")
 
 
+def hot_suppliers(
+    po_material_ids: DataFrame,
+    materials: DataFrame,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    fraction: float = HOT_SAMPLE_FRACTION,
+) -> list[tuple]:
+    """Suppliers estimated to have more than ``max_group_rows`` purchase orders.
+
+    The purchase orders' material ids are sampled first, then mapped to their
+    supplier through the (deduplicated) materials - one pass over two material
+    columns, no join of all purchase orders.
+    """
+    sampled = po_material_ids.select("material_id").sample(fraction=fraction, seed=23)
+    by_supplier = sampled.join(materials.select("material_id", "supplier_id"), on="material_id")
+    return hot_groups(by_supplier.select("supplier_id"), ["supplier_id"], max(1, int(max_group_rows * fraction)), 1.0)
+
+
 def join_base(
     po: DataFrame, materials: DataFrame, suppliers: DataFrame, hot_source: DataFrame | None = None
 ) -> DataFrame:
     """Purchase orders with their material and the material's supplier.
 
     ``hot_source`` (the raw purchase orders' ``material_id``) splits materials
-    with very many purchase orders out of the sort-merge join
+    and suppliers with very many purchase orders out of the sort-merge joins
     (``left_join_dim``)."""
     base = left_join_dim(po, materials, "material_id", "material", hot_source=hot_source)
-    return left_join_dim(base, suppliers, "supplier_id", "supplier")
+    hot_sup = hot_suppliers(hot_source, materials) if hot_source is not None else None
+    return left_join_dim(base, suppliers, "supplier_id", "supplier", hot_keys=hot_sup)
 
 
 def po_base(po: DataFrame, materials: DataFrame, suppliers: DataFrame, *, trim: bool = True) -> DataFrame:
