@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, language, pii, secrets
+from tidemark.llm import fingerprints, jaccard, language, pii, secrets
 from tidemark.llm.common import read_table
 
 #: Key of the registered pseudonym query; a deployment passes its own from its secret store.
@@ -30,9 +30,13 @@ def op6_feistel_pseudonyms(spark, sf):
     return pii.pseudonyms(read_table(spark, sf, "documents"), PSEUDONYM_KEY)
 
 
+def op8_partition_jaccard(spark, sf):
+    return jaccard.components(read_table(spark, sf, "documents"))
+
+
 LLM_QUERIES = {
     f.__name__: f
-    for f in (op1_lempel_ziv_fingerprint, op2_credential_linking, op4_compression_language, op6_feistel_pseudonyms)
+    for f in (op1_lempel_ziv_fingerprint, op2_credential_linking, op4_compression_language, op6_feistel_pseudonyms, op8_partition_jaccard)
 }
 
 #: DuckDB SQL of the queries that SQL can express.
