@@ -107,10 +107,12 @@ def edited(text: str, following: str) -> str:
 def _compared(doc_id, text: str, own: bytes, following: str, theirs: bytes) -> tuple:
     new = edited(text, following)
     print_new = own if new == text else signature(new.encode())
-    return doc_id, len(text), hashlib.sha256(new.encode()).hexdigest(), own.hex(), print_new.hex(), likeness(own, print_new), likeness(own, theirs)
+    return doc_id, len(text), hashlib.sha256(new.encode()).digest(), own, print_new, likeness(own, print_new), likeness(own, theirs)
 
 
-FIELDS = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+#: Hashes stay binary in the checkpoint folder: half the size of their hex form.
+FIELDS = "doc_id bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+HASHES = ("edited_sha256", "fingerprint", "edited_fingerprint")
 #: Rows without a result yet: the first and last row of each partition, with their texts.
 SCHEMA = FIELDS + ", part int, edge string, text string"
 #: Result rows per output batch.
@@ -157,7 +159,8 @@ def edit_neighbours(docs: DataFrame) -> DataFrame:
     first = edges.where("edge = 'first'").select(F.col("part").alias("following"), F.col("text").alias("next_text"))
     pairs = edges.where("edge = 'last'").select("part", "doc_id", "text").join(links, "part").join(first, "following")
     closed = pairs.select("doc_id", "text", "next_text").mapInArrow(_close, FIELDS)
-    return done.where("edge IS NULL").drop("part", "edge", "text").unionByName(closed)
+    both = done.where("edge IS NULL").drop("part", "edge", "text").unionByName(closed)
+    return both.withColumns({c: F.lower(F.hex(c)) for c in HASHES})
 
 
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
