@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, jaccard, language, pii, secrets
+from tidemark.llm import fingerprints, jaccard, language, mixing, pii, quality, secrets
 from tidemark.llm.common import read_table
 
 #: Key of the registered pseudonym query; a deployment passes its own from its secret store.
@@ -19,6 +19,11 @@ def op2_credential_linking(spark, sf):
     return secrets.scan(read_table(spark, sf, "documents"))
 
 
+def op3_cumulative_link_quality(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    return quality.grade(docs, quality.train(docs, read_table(spark, sf, "labels")))
+
+
 def op4_compression_language(spark, sf):
     docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -26,6 +31,10 @@ def op4_compression_language(spark, sf):
     return language.identify(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op5_pareto_mix(spark, sf):
+    return mixing.mix(read_table(spark, sf, "documents"))
+
+
 def op6_feistel_pseudonyms(spark, sf):
     return pii.pseudonyms(read_table(spark, sf, "documents"), PSEUDONYM_KEY)
 
@@ -34,10 +43,7 @@ def op8_partition_jaccard(spark, sf):
     return jaccard.components(read_table(spark, sf, "documents"))
 
 
-LLM_QUERIES = {
-    f.__name__: f
-    for f in (op1_lempel_ziv_fingerprint, op2_credential_linking, op4_compression_language, op6_feistel_pseudonyms, op8_partition_jaccard)
-}
+LLM_QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and name[2].isdigit()}
 
 #: DuckDB SQL of the queries that SQL can express.
-LLM_ORACLE_SQL: dict[str, str] = {}
+LLM_ORACLE_SQL: dict[str, str] = {"op5_pareto_mix": mixing.ORACLE_SQL}
