@@ -360,3 +360,15 @@ def components(docs: DataFrame, n: int = SHINGLE_WORDS, threshold: tuple[int, in
         named.join(smallest, "component", "left")
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     )
+
+
+def one_of_each(docs: DataFrame, n: int = SHINGLE_WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` without those whose group keeps another document (the smallest doc_id), unchanged.
+
+    Rows that repeat the kept doc_id stay one row.
+    """
+    found = components(docs, n, threshold)
+    gone = saved(found.where("doc_id != component_id").select("doc_id").distinct(), "gone")
+    repeated = found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    rest = docs.join(gone, "doc_id", "left_anti")
+    return rest.select(*docs.columns) if repeated.limit(1).count() == 0 else rest.dropDuplicates(["doc_id"]).select(*docs.columns)

@@ -179,6 +179,18 @@ def mix(docs: DataFrame) -> DataFrame:
     return selected(sized, mix_plan(sized)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def taken_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with ``copies`` and ``taken`` (words) added."""
+    sized = saved(docs.select(F.col("doc_id").cast("bigint"), "source", words("text").alias("size")), "mix-sizes")
+    names = {c: f"__own_{c}" for c in docs.columns}
+    bare = docs.withColumnsRenamed(names).withColumns(
+        {"doc_id": F.col("__own_doc_id").cast("bigint"), "source": F.col("__own_source"), "size": words("__own_text")}
+    )
+    taken = selected(bare, mix_plan(sized)).where("taken > 0")
+    own = [F.col(new).alias(old) for old, new in names.items() if old not in ("copies", "taken")]
+    return taken.select(*own, F.floor(F.col("taken") / F.col("size")).cast("int").alias("copies"), "taken")
+
+
 ORACLE_SQL = """
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),

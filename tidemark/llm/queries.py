@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, jaccard, language, mixing, pii, quality, secrets
+from tidemark.llm import decontam, fingerprints, jaccard, language, mixing, pii, quality, secrets
 from tidemark.llm.common import read_table
 
 #: Key of the registered pseudonym query; a deployment passes its own from its secret store.
@@ -39,11 +40,16 @@ def op6_feistel_pseudonyms(spark, sf):
     return pii.pseudonyms(read_table(spark, sf, "documents"), PSEUDONYM_KEY)
 
 
+def op7_greedy_string_tiling(spark, sf):
+    return decontam.contaminated(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
 def op8_partition_jaccard(spark, sf):
     return jaccard.components(read_table(spark, sf, "documents"))
 
 
 LLM_QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and name[2].isdigit()}
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
 
 #: DuckDB SQL of the queries that SQL can express.
 LLM_ORACLE_SQL: dict[str, str] = {"op5_pareto_mix": mixing.ORACLE_SQL}
