@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, fingerprints, jaccard, language, mixing, pii, quality, secrets
+from tidemark.llm import chat, decontam, fingerprints, html, jaccard, language, mixing, pii, quality, secrets
 from tidemark.llm.common import read_table
 
 #: Key of the registered pseudonym query; a deployment passes its own from its secret store.
@@ -48,6 +48,15 @@ def op8_partition_jaccard(spark, sf):
     return jaccard.components(read_table(spark, sf, "documents"))
 
 
+def op9_role_repair(spark, sf):
+    return chat.chat_format(read_table(spark, sf, "conversations"))
+
+
+def op10_best_region(spark, sf):
+    pages = read_table(spark, sf, "pages")
+    return html.extract(pages, html.learn(pages))
+
+
 LLM_QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and name[2].isdigit()}
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 
