@@ -1,0 +1,112 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tidemark.llm import jaccard as ja
+
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def brute(rows):
+    """Sets, all pairs, components."""
+    sets, parent = [], list(range(len(rows)))
+    for _, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= 80 * len(sets[i] | sets[j]):
+                parent[find(i)] = find(j)
+    low = {}
+    for i, (doc_id, _) in enumerate(rows):
+        low[find(i)] = min(low.get(find(i), doc_id), doc_id)
+    return sorted((doc_id, len(sets[i]), low[find(i)]) for i, (doc_id, _) in enumerate(rows))
+
+
+def corpus(rng):
+    words = [f"t{i}" for i in range(400)]
+    passage = [rng.choice(words) for _ in range(30)]
+    rows = []
+    for base in range(25):
+        n = rng.choice([1, 3, 5, 6, 8, 12, 20, 40, 80, 150])
+        text = [rng.choice(words) for _ in range(n)] + (passage if rng.random() < 0.5 else [])
+        for _ in range(rng.choice([1, 1, 2, 5])):
+            own = list(text)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 4])):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            if rng.random() < 0.2:
+                own = own[: max(1, len(own) - rng.randrange(4))]
+            rows.append((" " if rng.random() < 0.8 else "\n").join(own).replace("t1", "T1"))
+    rng.shuffle(rows)
+    return [(i, t) for i, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_equal_all_pairs(docs, seed):
+    rows = corpus(random.Random(seed))
+    got = sorted(map(tuple, ja.components(docs(rows)).collect()))
+    assert got == brute(rows)
+    assert len({c for _, _, c in got}) < len(rows)
+
+
+def test_linked_sets_share_an_entry():
+    """The pigeonhole argument, on sets at the edge of the threshold, with random frequencies."""
+    rng = np.random.default_rng(3)
+    new = lambda k: rng.integers(0, 2**63, k).astype(np.uint64)
+    common = new(150)
+    for _ in range(500):
+        size = int(rng.integers(4, 300))
+        a = np.unique(np.concatenate([new(size), common[: int(rng.integers(0, 150))]]))
+        size = len(a)
+        most = max(x for x in range(size) if 100 * (size - x) >= 80 * size)
+        gone = int(rng.integers(0, most + 1))
+        more = 0
+        while 100 * (size - gone) >= 80 * (size + more + 1):
+            more += 1
+        b = np.unique(np.concatenate([rng.permutation(a)[gone:], new(more)]))
+        assert ja.is_link(a, b, ja.THRESHOLD)
+        if len(a) == len(b) and (a == b).all():
+            continue
+        often = np.unique(np.concatenate([common, rng.choice(a, size // 3)]))
+        f = ja.Frequencies(often, rng.integers(1, 1000, len(often)))
+        x, y = (set(np.concatenate([*ja.entries(s, ja.THRESHOLD, f), np.zeros(0, np.uint64)]).tolist()) for s in (a, b))
+        assert x & y
+
+
+def test_bitmaps_never_rule_out_a_link():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 200))).astype(np.uint64))
+        b = np.unique(np.concatenate([a[int(rng.integers(0, 5)) :], rng.integers(0, 2**63, int(rng.integers(0, 40))).astype(np.uint64)]))
+        assert ja.differing_bits(ja.parity(a), ja.parity(b)) <= len(np.setxor1d(a, b))
+
+
+def test_long_chains_are_one_component(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100)], "a bigint, b bigint")
+    got = {r.node: r.component for r in ja.connected(links).collect()}
+    assert set(got) == {*range(61), 100, 101} and {got[i] for i in range(61)} == {0} and {got[100], got[101]} == {100}
+
+
+def test_edges(docs, edge_docs):
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ja.components(edge_docs).collect()), key=str)
+    assert len(got) == edge_docs.count()
+    by_id = {d: (n, c) for d, n, c in got}
+    assert by_id[0] == (0, 0) and by_id[1] == (0, 1) and by_id[2] == (0, 2)  # empty sets link nothing
+    assert by_id[4] == (1, 4) and by_id[6] == (1, 6) and by_id[None] == (1, None)
+    assert ja.components(docs([])).collect() == []
+
+
+def test_one_of_each(docs):
+    base = " ".join(f"w{i}" for i in range(60))
+    d = docs([(5, base), (3, base), (9, base.replace("w59", "x")), (3, base), (1, "other text of its own here"), (7, None), (8, None)])
+    out = ja.one_of_each(d)
+    assert out.columns == d.columns and sorted(r.doc_id for r in out.collect()) == [1, 3, 7, 8]

@@ -8,15 +8,20 @@ in at most (a + b)(1 - t)/(1 + t) tokens.
 Index. Sizes fall into bands [L, U]; a set is indexed in its own band and in
 the next one if t * L' <= size, so a linked pair meets in the band of its
 larger set, where at most H = 2U(1 - t)/(1 + t) tokens differ. In a band the
-universe of tokens is cut by hash into H + 1 + E segments: at least E + 1
-segments of a linked pair are equal. Small bands (H = 1) index the whole set
-and its one-deletion neighbourhood instead; H = 0 allows equal sets only.
-
-Cost-based allocation. Empty segments, and segments whose exact content is
-shared by more than ``HEAVY`` nodes (counted over all documents), are costly.
-A set with at most E costly segments leaves them out: one of the E + 1 equal
-segments of any link is still indexed on both sides. A set with more costly
-segments keeps them all. So the allocation changes the cost, never the result.
+universe of tokens is cut by hash into m = 2H + 1 segments: at least m - H of
+a linked pair are equal. Small bands (H = 1) index the whole set and its
+one-deletion neighbourhood instead; H = 0 allows equal sets only.
+
+Cost-based allocation. A set indexes only its H + 1 cheapest filled segments.
+A segment costs as much as its rarest token is frequent; the order of cost
+(frequency class, then hash) is the same for all sets. If k segments of a set
+are filled, e = m - k are empty and at least c = m - H - e of the equal ones
+of any link are filled, so the first k - c + 1 = H + 1 of both sides in that
+order have one in common: frequent passages are indexed only by sets that
+have little else. Frequencies are counted over all documents (batch counts of
+``BATCH_COUNT`` or more, added up); tokens missing from them count as rare.
+They change the cost, never the result. (A set with m - H empty segments or
+more indexes all segments, the empty ones too.)
 
 Search. The segments' hashes go to buckets in packed arrays (one shuffle); a
 bucket groups equal hashes. Links are then found in three phases, each
@@ -51,10 +56,10 @@ from tidemark.llm.common import BASE, U64, arrow_schema, binary_column, mix, sav
 #: Words of a shingle and the similarity of a link, as a fraction.
 SHINGLE_WORDS = 5
 THRESHOLD = (80, 100)
-#: Ratio of a band's largest to its smallest size; spare segments as a share of H.
-BAND_RATIO, SPARE = 1.5, 0.3
-#: Nodes that share a segment's content from which on the segment is costly.
-HEAVY = 64
+#: Ratio of a band's largest to its smallest size.
+BAND_RATIO = 1.5
+#: Sets of a batch that share a token, from which on it is reported as frequent; the most frequent that are broadcast.
+BATCH_COUNT, FREQUENT_TOKENS = 3, 1 << 18
 #: Index entries of a bucket (about) and per text byte (at most about).
 BUCKET_ENTRIES, ENTRIES_PER_BYTE = 1_000_000, 0.12
 
@@ -88,11 +93,23 @@ def bands_of(size: int, threshold: tuple[int, int]) -> list[tuple[int, int]]:
     return out
 
 
-def entries(tokens: np.ndarray, threshold: tuple[int, int]) -> Iterator[tuple[np.ndarray, int]]:
-    """Index entries of a set: per band its segment hashes and tag (band * 2**20 + slack + 1).
+class Frequencies:
+    """Frequency class (log2 of the count) of the frequent tokens; 0 for all others."""
 
-    The slack is the number of further costly segments that the set may leave out.
-    """
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
+        order = np.argsort(tokens)
+        self.tokens = tokens[order]
+        self.classes = (np.log2(np.maximum(counts[order], 1)).astype(np.int64) + 1).astype(np.uint8)
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        if not len(self.tokens):
+            return np.zeros(len(tokens), np.uint8)
+        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        return np.where(self.tokens[at] == tokens, self.classes[at], 0).astype(np.uint8)
+
+
+def entries(tokens: np.ndarray, threshold: tuple[int, int], frequencies: Frequencies) -> Iterator[np.ndarray]:
+    """Index entries of a set: per band the hashes of its cheapest segments."""
     for band, h in bands_of(len(tokens), threshold):
         if h == 0:
             continue
@@ -100,22 +117,23 @@ def entries(tokens: np.ndarray, threshold: tuple[int, int]) -> Iterator[tuple[np
         spread = mix(tokens ^ salt)
         if h == 1:  # the whole set and its one-deletion neighbourhood
             total = np.sum(spread, dtype=U64)
-            yield mix(np.append(total - spread, total) ^ salt), band << 20
+            yield mix(np.append(total - spread, total) ^ salt)
             continue
-        spare = int(SPARE * h) + 2
-        m = h + 1 + spare
+        m = 2 * h + 1
         segment = ((spread >> U64(32)) % U64(m)).astype(np.int64)
         order = np.argsort(segment, kind="stable")
         segment = segment[order]
         first = np.flatnonzero(np.diff(segment, prepend=-1))
         filled = segment[first]
         sums = np.add.reduceat(spread[order], first)
-        slack = spare - (m - len(filled))
-        if slack < 0:  # too many empty segments: they take part
+        cost = np.minimum.reduceat(frequencies.of(tokens)[order], first)
+        if m - len(filled) >= m - h:  # equal segments might all be empty: they take part
             all_sums = np.zeros(m, U64)
             all_sums[filled] = sums
-            filled, sums, slack = np.arange(m), all_sums, -1
-        yield mix(sums + salt * (filled.astype(U64) + U64(2))), (band << 20) + min(slack + 1, (1 << 20) - 1)
+            yield mix(all_sums + salt * (np.arange(m, dtype=U64) + U64(2)))
+            continue
+        hashes = mix(sums + salt * (filled.astype(U64) + U64(2)))
+        yield hashes[np.lexsort((hashes, cost))[: h + 1]]
 
 
 def parity(tokens: np.ndarray) -> bytes:
@@ -148,36 +166,46 @@ def _sets(batch: pa.RecordBatch, n: int) -> Iterator[np.ndarray]:
             yield shingle_set(words, n)
 
 
-def shingle_nodes(docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, n_shingles, node`` per row; the node is NULL for an empty set."""
-    schema = "doc_id bigint, n_shingles bigint, node bigint"
+def shingle_nodes(docs: DataFrame, n: int = SHINGLE_WORDS) -> tuple[DataFrame, Frequencies]:
+    """``doc_id, n_shingles, node`` per row (the node is NULL for an empty set), and the frequent tokens."""
+    schema = "doc_id bigint, n_shingles bigint, node bigint, token bigint, times bigint"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, nodes = [], []
+            sizes, nodes, distinct = [], [], {}
             for s in _sets(b, n):
                 sizes.append(len(s))
                 nodes.append(node_of(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], schema=out)
-
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
-
-
-def _packed(docs: DataFrame, n: int, threshold: tuple[int, int], buckets: int) -> DataFrame:
-    """Index entries packed by bucket: 6-byte hashes, nodes and tags of up to about a million entries."""
-    schema = "bucket int, hashes binary, nodes binary, tags binary"
+                distinct[nodes[-1]] = s
+            none = pa.nulls(len(sizes), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none, none], schema=out)
+            tokens, times = np.unique(np.concatenate([np.zeros(0, U64), *distinct.values()]), return_counts=True)
+            often = times >= BATCH_COUNT
+            none = pa.nulls(int(often.sum()), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(tokens[often].view(np.int64)), pa.array(times[often])], schema=out)
+
+    rows = saved(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema), "nodes")
+    frequent = rows.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times"))
+    top = frequent.orderBy(F.desc("times"), "token").limit(FREQUENT_TOKENS).toArrow()
+    frequencies = Frequencies(top["token"].to_numpy().view(U64), top["times"].to_numpy())
+    return rows.where("token IS NULL").drop("token", "times"), frequencies
+
+
+def _packed(docs: DataFrame, n: int, threshold: tuple[int, int], buckets: int, frequencies: Frequencies) -> DataFrame:
+    """Index entries packed by bucket: 6-byte hashes and nodes of up to about a million entries."""
+    schema = "bucket int, hashes binary, nodes binary"
     out = arrow_schema(schema)
+    shared = docs.sparkSession.sparkContext.broadcast(frequencies)
 
-    def pack(own: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
-        h = np.concatenate([x for x, _, _ in own])
-        counts = [len(x) for x, _, _ in own]
-        v, t = (np.repeat(np.array([x[i] for x in own], kind), counts) for i, kind in ((1, np.int64), (2, np.int32)))
+    def pack(own: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
+        h = np.concatenate([x for x, _ in own])
+        v = np.repeat(np.array([node for _, node in own], np.int64), [len(x) for x, _ in own])
         bucket = ((h >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         bucket = bucket[order]
         first = np.flatnonzero(np.diff(bucket, prepend=-1))
-        cols = [h[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6], v[order], t[order]]
+        cols = [h[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6], v[order]]
         parts = [[x.tobytes() for x in np.split(c, first[1:])] for c in cols]
         return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int32()), *(pa.array(p, pa.binary()) for p in parts)], schema=out)
 
@@ -190,8 +218,8 @@ def _packed(docs: DataFrame, n: int, threshold: tuple[int, int], buckets: int) -
                 if node in seen:
                     continue
                 seen.add(node)
-                for hashes, tag in entries(s, threshold):
-                    own.append((hashes, node, tag))
+                for hashes in entries(s, threshold, shared.value):
+                    own.append((hashes, node))
                     size += len(hashes)
                 if size >= BUCKET_ENTRIES:
                     yield pack(own)
@@ -202,7 +230,7 @@ def _packed(docs: DataFrame, n: int, threshold: tuple[int, int], buckets: int) -
     return docs.select("text").mapInArrow(run, schema)
 
 
-GROUPS = "hash bigint, node bigint, tag int, size int, leader bigint"
+GROUPS = "hash bigint, node bigint, leader bigint"
 
 
 def _groups(table: pa.Table) -> pa.Table:
@@ -212,34 +240,33 @@ def _groups(table: pa.Table) -> pa.Table:
     h[:, :6] = raw
     h = h.view("<u8").ravel()
     v = np.frombuffer(b"".join(table["nodes"].to_pylist()), np.int64)
-    t = np.frombuffer(b"".join(table["tags"].to_pylist()), np.int32)
     order = np.argsort(h, kind="stable")
     h = h[order]
     shared = np.zeros(len(h), bool)  # hashes that occur once go first: most do
     shared[1:] = h[1:] == h[:-1]
     shared[:-1] |= shared[1:]
     h, order = h[shared], order[shared]
-    v, t = v[order], t[order]
-    order = np.lexsort((t, v, h))
-    h, v, t = h[order], v[order], t[order]
+    v = v[order]
+    order = np.lexsort((v, h))
+    h, v = h[order], v[order]
     again = np.zeros(len(h), bool)
     again[1:] = (h[1:] == h[:-1]) & (v[1:] == v[:-1])
-    h, v, t = h[~again], v[~again], t[~again]
+    h, v = h[~again], v[~again]
     first = np.flatnonzero(np.diff(h, prepend=h[:1] + U64(1))) if len(h) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(first, len(h)))
     size, leader = np.repeat(sizes, sizes), np.repeat(v[first], sizes)
     keep = size > 1
     bucket = int(table["bucket"][0].as_py()) if len(table) else 0
     name = (h | U64((bucket & 0xFFFF) << 48)).view(np.int64)
-    cols = [name[keep], v[keep], t[keep], size[keep].astype(np.int32), leader[keep]]
+    cols = [name[keep], v[keep], leader[keep]]
     return pa.Table.from_arrays([pa.array(c) for c in cols], schema=arrow_schema(GROUPS))
 
 
-def candidate_groups(docs: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
+def candidate_groups(docs: DataFrame, n: int, threshold: tuple[int, int], frequencies: Frequencies) -> DataFrame:
     """Groups of nodes with an equal index entry, in the checkpoint folder."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, int(size * ENTRIES_PER_BYTE) // BUCKET_ENTRIES)
-    return saved(_packed(docs, n, threshold, buckets).groupBy("bucket").applyInArrow(_groups, GROUPS), "groups")
+    return saved(_packed(docs, n, threshold, buckets, frequencies).groupBy("bucket").applyInArrow(_groups, GROUPS), "groups")
 
 
 def _token_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -307,9 +334,9 @@ def _other(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def node_components(docs: DataFrame, nodes: DataFrame, n: int = SHINGLE_WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+def node_components(docs: DataFrame, nodes: DataFrame, frequencies: Frequencies, n: int, threshold: tuple[int, int]) -> DataFrame:
     """``node, component`` of every node that has a link to another node."""
-    groups = candidate_groups(docs, n, threshold)
+    groups = candidate_groups(docs, n, threshold, frequencies)
     wanted = groups.select("node").distinct()
     chosen = nodes.where("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(wanted, "node", "left_semi")
     texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -326,18 +353,11 @@ def node_components(docs: DataFrame, nodes: DataFrame, n: int = SHINGLE_WORDS, t
     links = links.union(more)
     labels = connected(links)
 
-    # phase 3: pairs of different components that share an entry, costly ones left out where they may be
-    by_band = Window.partitionBy("node", F.shiftright("tag", 20))
-    costly = F.col("size") > HEAVY
-    spared = (
-        groups.join(labels, "node", "left")
-        .withColumn("costly", F.sum(costly.cast("int")).over(by_band))
-        .where(~(costly & (F.col("costly") <= F.col("tag").bitwiseAND((1 << 20) - 1) - 1)))
-        .select("hash", "node", F.coalesce("component", "node").alias("component"))
-    )
+    # phase 3: pairs of different components that share an entry
     by_hash = Window.partitionBy("hash")
+    named = groups.join(labels, "node", "left").select("hash", "node", F.coalesce("component", "node").alias("component"))
     mixed = saved(
-        spared.withColumn("low", F.min("component").over(by_hash)).withColumn("high", F.max("component").over(by_hash))
+        named.withColumn("low", F.min("component").over(by_hash)).withColumn("high", F.max("component").over(by_hash))
         .where("low != high").select("hash", "node", "component"),
         "mixed",
     )
@@ -352,8 +372,8 @@ def components(docs: DataFrame, n: int = SHINGLE_WORDS, threshold: tuple[int, in
 
     The component is the smallest doc_id that links reach, the document's own included.
     """
-    nodes = saved(shingle_nodes(docs, n), "nodes")
-    labels = node_components(docs, nodes, n, threshold)
+    nodes, frequencies = shingle_nodes(docs, n)
+    labels = node_components(docs, nodes, frequencies, n, threshold)
     named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.where("node IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return (
