@@ -61,13 +61,13 @@ def fill_level(df: DataFrame, keys: list[str], total: Column, cap: Column, weigh
     first row for which that holds names the level; none: NULL, all at cap.
     """
     each = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    by_cap = each.orderBy(F.col("__cap") / F.col("__weight"), "__name")
+    by_cap = each.orderBy(F.try_divide("__cap", "__weight"), "__name")
     before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
     after = by_cap.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = (total - F.coalesce(F.sum("__cap").over(before), F.lit(0.0))) / F.sum("__weight").over(after)
+    level = F.try_divide(total - F.coalesce(F.sum("__cap").over(before), F.lit(0.0)), F.sum("__weight").over(after))
     return (
         df.withColumn("__cap", cap.cast("double")).withColumn("__weight", weight.cast("double")).withColumn("__level", level)
-        .withColumn(out, F.min(F.when(F.col("__level") * F.col("__weight") <= F.col("__cap"), F.struct(F.col("__cap") / F.col("__weight"), "__name", "__level"))).over(each)["__level"])
+        .withColumn(out, F.min(F.when(F.col("__level") * F.col("__weight") <= F.col("__cap"), F.struct(F.try_divide("__cap", "__weight"), "__name", "__level"))).over(each)["__level"])
         .drop("__cap", "__weight", "__level")
     )
 
@@ -79,7 +79,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _rank() -> Column:
     """Odds of the draw over the inclusion odds, mapped to (0, 1); NULL if no fraction is to be drawn."""
-    q = (F.col("__u") / (1 - F.col("__u"))) / (F.col("fraction") / (1 - F.col("fraction")))
+    q = F.try_divide(F.col("__u") / (1 - F.col("__u")), F.col("fraction") / (1 - F.col("fraction")))
     return F.when(F.col("fraction") > 0, q / (1 + q))
 
 
@@ -134,7 +134,7 @@ def mix_plan(docs: DataFrame) -> DataFrame:
     last = last.select(F.col("source").alias("last_source"), F.col("l.rank").alias("last_rank"), F.col("l.doc_id").alias("last_id"), F.col("l.running").alias("running"))
     ends = cut.join(last, F.col("cut_source").eqNullSafe(F.col("last_source")), "left")
     # no document of the range fits: the cut is the range's lower end
-    low = F.col("cut_span") / F.col("ranges")
+    low = F.try_divide("cut_span", "ranges")
     ends = saved(
         plan.select("source", "rest", "ranges").distinct().join(ends, F.col("source").eqNullSafe(F.col("cut_source")))
         .select(
