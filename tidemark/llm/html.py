@@ -4,8 +4,9 @@ A page is a sequence of tags and text. Elements that never hold article text
 (scripts, menus, forms, asides, containers named as adverts, notices, comments
 and the like) are left out with their content. In the rest words score
 positive and tags negative; one linear scan finds the contiguous region with
-the highest sum, and the text blocks in it are the article. Crossing the edge
-of an ``article`` or ``main`` element costs much more than any other tag.
+the highest sum, and the text blocks in it are the article. On a page with an
+``article`` or ``main`` element words inside it weigh most, tags inside it
+next to nothing, and crossing its edge costs much more than any other tag.
 
 The weights come from labelled pages: on every page with exactly one
 ``article`` element, tags and words inside are compared with those outside
@@ -61,6 +62,8 @@ TOKEN = re.compile(
 )
 #: Weight of a word and of a linked word, of an ordinary tag, and of crossing an article's edge, before learning.
 WORD_WEIGHT, LINK_WEIGHT, TAG_WEIGHT, EDGE_WEIGHT = 1.0, 0.1, -1.0, -200.0
+#: Weights inside an article or main element, and of words outside it on such a page.
+INSIDE_WORD, INSIDE_TAG, OUTSIDE_WORD = 3.0, -0.01, 0.1
 
 SCHEMA = "page_id bigint, url string, text string, n_chars bigint"
 Weights = dict[str, float]
@@ -174,26 +177,33 @@ def learn(pages: DataFrame) -> Weights:
         # words stay positive and tags negative, whatever the pages say
         weights[kind] = min(max(odds, 0.1), 3.0) if kind in ("word", "link") else min(max(odds, -5.0), -0.1)
     weights.setdefault("word", WORD_WEIGHT)
+    weights.setdefault("link", LINK_WEIGHT)
     weights["word"] = max(weights["word"], 0.5)
     return weights
 
 
 def main_text(page: str | None, weights: Weights) -> str:
     """The blocks of the best region, joined by a blank line."""
+    found = list(tokens(page or ""))
+    marked = any(kind in CONTENT for kind, _ in found)
     scores: list[float] = []
     texts: list[tuple[int, int, str]] = []  # (token number, block number, text)
-    block, link = 0, False
-    for kind, value in tokens(page or ""):
+    block, link, inside = 0, False, 0
+    for kind, value in found:
         if kind == "text":
             text = html.unescape(value)
             texts.append((len(scores), block, text))
-            scores.append(weights.get("link", LINK_WEIGHT) * len(text.split()) if link else weights.get("word", WORD_WEIGHT) * len(text.split()))
+            each = weights.get("link", LINK_WEIGHT) if link else weights.get("word", WORD_WEIGHT)
+            if marked:
+                each = INSIDE_WORD if inside else OUTSIDE_WORD
+            scores.append(each * len(text.split()))
             continue
         name = kind.lstrip("/")
         if name in CONTENT:
-            scores.append(EDGE_WEIGHT)
-        elif kind == "left-out":
-            scores.append(0.0)
+            inside = max(0, inside + (1 if kind == name else -1))
+            scores.append(EDGE_WEIGHT if inside == (kind == name) else INSIDE_TAG)
+        elif kind == "left-out" or inside:
+            scores.append(INSIDE_TAG)
         else:
             scores.append(weights.get(kind, weights.get("other", TAG_WEIGHT)))
         if name == "a":
