@@ -1,0 +1,76 @@
+import random
+
+from tidemark.llm import decontam as dc
+
+
+def brute_tiles(item, doc, n):
+    """Greedy string tiling by comparing every pair of places."""
+    used_i, used_d, total, count = set(), set(), 0, 0
+    while True:
+        best = None
+        for i in range(len(item)):
+            for d in range(len(doc)):
+                k = 0
+                while i + k < len(item) and d + k < len(doc) and item[i + k] == doc[d + k] and i + k not in used_i and d + k not in used_d:
+                    k += 1
+                if k >= n and (best is None or (-k, i, d) < best):
+                    best = (-k, i, d)
+        if best is None:
+            return total, count
+        k, i, d = -best[0], best[1], best[2]
+        used_i.update(range(i, i + k))
+        used_d.update(range(d, d + k))
+        total, count = total + k, count + 1
+
+
+def test_tiles_equal_brute_force():
+    rng = random.Random(10)
+    for _ in range(120):
+        item = [rng.choice("abcdefg") for _ in range(rng.randint(5, 25))]
+        cut = rng.randrange(len(item))
+        doc = [rng.choice("abcdefgxy") for _ in range(10)] + item[cut:] + [rng.choice("xyz") for _ in range(3)] + item[:cut]
+        want, count = brute_tiles(item, doc, 3)
+        hits = list(dc.Items([(1, " ".join(item))], n=3, coverage=0.0001).hits(" ".join(doc)))
+        got = (hits[0][2], hits[0][3]) if hits else (0, 0)
+        assert got == (want, count)
+
+
+def test_reordered_passages_are_caught(docs, spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    item = [word() for _ in range(40)]
+    noise = lambda k: [word() for _ in range(k)]
+    texts = {
+        1: noise(100) + item + noise(50),
+        2: noise(20) + item[20:] + noise(30) + item[:20],
+        3: noise(30) + [w.upper() + "," for w in item],
+        4: noise(10) + item[:8] + noise(10),
+        5: noise(200),
+    }
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, "too short"), (9, None), (7, " ".join(item))], "item_id bigint, text string")
+    d = docs([(i, " ".join(t)) for i, t in texts.items()])
+    got = dc.contaminated(d, bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 7)] * 2 + [(2, 7)] * 2 + [(3, 7)] * 2
+    assert all(r.coverage == 1.0 for r in got) and {r.tiles for r in got if r.doc_id == 2} == {2}
+    assert sorted(r.doc_id for r in dc.clean(d, bench).collect()) == [4, 5]
+    assert dc.clean(d, bench).columns == d.columns
+
+
+def test_blocks_give_the_same_result(docs, spark, monkeypatch):
+    rng = random.Random(12)
+    items = [(i, " ".join(f"i{i}w{rng.randrange(50)}" for _ in range(30))) for i in range(12)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    d = docs([(i, f"before {items[i % 12][1]} after") for i in range(24)])
+    whole = sorted(dc.contaminated(d, bench).collect())
+    monkeypatch.setattr(dc, "BLOCK_BYTES", 1000)
+    assert sorted(dc.contaminated(d, bench).collect()) == whole and len(whole) == 24
+    assert dc.clean(d, bench).count() == 0
+
+
+def test_edges(docs, edge_docs, spark):
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    assert dc.contaminated(edge_docs, none).collect() == []
+    assert dc.clean(edge_docs, none).count() == edge_docs.count()
+    same = spark.createDataFrame([(1, "word word word word word word"), (None, "no id here at all")], "item_id bigint, text string")
+    assert sorted((r.doc_id is None, r.item_id) for r in dc.contaminated(edge_docs, same).collect()) == [(False, 1), (True, None)]
+    assert dc.contaminated(docs([]), same).collect() == []

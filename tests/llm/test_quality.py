@@ -1,0 +1,43 @@
+import random
+
+from tidemark.llm import quality as q
+
+
+def sample(rng, grade):
+    words = [rng.choice(["river", "stone", "walks", "green", "under", "light", "paper", "house", "quiet", "north"]) + rng.choice("abcdef") for _ in range(60)]
+    if grade == 1:
+        words[rng.randrange(60)] = "nastyword"
+        words[rng.randrange(60)] = "vileword"
+    if grade == 0:
+        words = [w.upper() + "!!" for w in words]
+    return " ".join(words)
+
+
+def test_held_out_grades(docs, spark):
+    rng = random.Random(6)
+    rows = [(i, sample(rng, i % 3)) for i in range(900)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 3 == 1)) for i in range(600)] + [(None, 1, 0), (5000, 0, 0), (3, None, None)], "doc_id bigint, quality int, toxic int")
+    d = docs(rows)
+    model = q.train(d, labels)
+    assert list(model.thresholds) == sorted(model.thresholds)
+    got = q.grade(d.where("doc_id >= 600"), model).collect()
+    right = [r.selected == (r.doc_id % 3 == 2) for r in got]
+    assert len(got) == 300 and sum(right) / 300 > 0.97
+    mean = {k: sum(r.expected_grade for r in got if r.doc_id % 3 == k) / 100 for k in range(3)}
+    assert mean[0] < mean[1] < mean[2]
+    kept = q.select(d, model)
+    assert kept.columns == d.columns and abs(kept.count() - 300) < 30
+
+
+def test_edges(docs, edge_docs, spark):
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    model = q.train(edge_docs, none)
+    rows = q.grade(edge_docs, model).collect()
+    assert len(rows) == edge_docs.count()
+    assert all(r.tail_prob == 0.5 and r.selected for r in rows)
+    assert q.select(edge_docs, model).count() == edge_docs.count()
+    one = spark.createDataFrame([(4, 1, 0), (4, 0, 0), (3, 1, 1)], "doc_id bigint, quality int, toxic int")
+    assert {(r.doc_id, r.grade) for r in q.grades(one).collect()} == {(4, 0), (3, 1)}
+    assert q.grade(edge_docs, q.train(edge_docs, one)).count() == edge_docs.count()
+    assert q.grade(docs([]), model).collect() == []
+    assert q.features(None) == q.features(" \n") == []

@@ -45,7 +45,9 @@ STATES = ("start", "system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
 #: Turns that may follow a state; costs of the repairs; rows of a chunk.
 FOLLOWS = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
-MERGE, RELABEL, GUESS, INSERT = 1, 2, 1, 3
+MERGE, RELABEL, GUESS, INSERT = 1, 5, 1, 3
+#: A late system turn reads best as part of the user's.
+RELABEL_AS = {(SYSTEM, USER): 2}
 CHUNK = 1024
 NEVER = 1 << 40
 ROLES = (SYSTEM, USER, ASSISTANT)
@@ -78,7 +80,7 @@ def step(role: int | None) -> list[list[tuple[int, bool]]]:
     for s in range(4):
         line = [(NEVER, False)] * 4
         for r in ROLES:
-            change = GUESS if role is None else 0 if r == role else RELABEL
+            change = GUESS if role is None else 0 if r == role else RELABEL_AS.get((role, r), RELABEL)
             joins = JOIN[s, r]
             choices = [] if joins is None else [(INSERT * len(joins) + change, False)]
             if s == r:
