@@ -24,10 +24,12 @@ They change the cost, never the result. (A set with m - H empty segments or
 more indexes all segments, the empty ones too.)
 
 Search. The segments' hashes go to buckets in packed arrays (one shuffle); a
-bucket groups equal hashes. Links are then found in three phases, each
+bucket groups equal hashes. Links are then found in four phases, each
 verified exactly on the whole sets: every node against the leader (smallest
-node) that it shares most segments with; against its other leaders; and, in
-groups that still hold several components, all pairs of different components.
+node) that it shares most segments with; against its other leaders; in large
+groups that still hold several components, each node against two neighbours
+by chance; and at last, in every group that still holds several components,
+all pairs of different components, so that no link can be missed.
 A group of near copies costs about its size in pairs, not its square: once
 two nodes are connected, their pair need not be tested. A parity bitmap of
 each set gives a lower bound of the difference that spares most sets the trip
@@ -43,7 +45,7 @@ ignored; whole texts are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -59,7 +61,11 @@ THRESHOLD = (80, 100)
 #: Ratio of a band's largest to its smallest size.
 BAND_RATIO = 1.5
 #: Sets of a batch that share a token, from which on it is reported as frequent; the most frequent that are broadcast.
-BATCH_COUNT, FREQUENT_TOKENS = 3, 1 << 18
+BATCH_COUNT, FREQUENT_TOKENS = 2, 1 << 18
+#: Rows of a group of equal entries from which on neighbours in it are tried before all pairs.
+LARGE_GROUP = 8
+#: Rows of groups that are compared in one piece of work (about).
+BUCKET_ROWS = 50_000
 #: Index entries of a bucket (about) and per text byte (at most about).
 BUCKET_ENTRIES, ENTRIES_PER_BYTE = 1_000_000, 0.12
 
@@ -138,7 +144,7 @@ def entries(tokens: np.ndarray, threshold: tuple[int, int], frequencies: Frequen
 
 def parity(tokens: np.ndarray) -> bytes:
     """Parity bitmap of a set: bit i tells whether an odd number of tokens falls on i."""
-    bits = max(64, 1 << (max(1, len(tokens)) - 1).bit_length())
+    bits = max(256, 1 << (max(1, len(tokens)) - 1).bit_length())
     count = np.bincount((tokens >> U64(7)).astype(np.int64) & (bits - 1), minlength=bits)
     return np.packbits((count & 1).astype(np.uint8)).tobytes()
 
@@ -334,6 +340,14 @@ def _other(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
+def _mixed(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """``hash, node, component, rows`` of the groups that hold several components."""
+    by_hash = Window.partitionBy("hash")
+    named = groups.join(labels, "node", "left").select("hash", "node", F.coalesce("component", "node").alias("component"))
+    ends = {"low": F.min("component").over(by_hash), "high": F.max("component").over(by_hash), "rows": F.count("*").over(by_hash)}
+    return named.withColumns(ends).where("low != high").drop("low", "high")
+
+
 def node_components(docs: DataFrame, nodes: DataFrame, frequencies: Frequencies, n: int, threshold: tuple[int, int]) -> DataFrame:
     """``node, component`` of every node that has a link to another node."""
     groups = candidate_groups(docs, n, threshold, frequencies)
@@ -353,20 +367,50 @@ def node_components(docs: DataFrame, nodes: DataFrame, frequencies: Frequencies,
     links = links.union(more)
     labels = connected(links)
 
-    # phase 3: pairs of different components that share an entry
-    by_hash = Window.partitionBy("hash")
-    named = groups.join(labels, "node", "left").select("hash", "node", F.coalesce("component", "node").alias("component"))
-    mixed = saved(
-        named.withColumn("low", F.min("component").over(by_hash)).withColumn("high", F.max("component").over(by_hash))
-        .where("low != high").select("hash", "node", "component"),
-        "mixed",
-    )
-    other = mixed.toDF("hash", "b", "cb")
-    pairs = mixed.toDF("hash", "a", "ca").join(other, "hash").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b").distinct()
-    last = saved(_verified(_near(pairs, sets, threshold), sets, threshold), "links")
+    # phase 3: in large groups that still hold several components, neighbours in two shuffled orders
+    for salt in (1, 2):
+        shuffled = Window.partitionBy("hash").orderBy(F.xxhash64("node", "hash", F.lit(salt)), "node")
+        mixed = _mixed(groups, labels).where(F.col("rows") >= LARGE_GROUP)
+        pairs = mixed.select("node", "component", F.lag("node").over(shuffled).alias("a"), F.lag("component").over(shuffled).alias("ca"))
+        pairs = pairs.where("ca != component").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+        links = links.union(saved(_verified(_near(pairs, sets, threshold), sets, threshold), "links"))
+        labels = connected(links)
+
+    # phase 4: all pairs of different components that share an entry and that the bitmaps do not rule out
+    mixed = saved(_mixed(groups, labels), "mixed")
+    buckets = max(8, mixed.count() // BUCKET_ROWS)
+    brief = sets.select("node", "size", "bitmap")
+    rows = mixed.join(brief, "node").select(F.pmod("hash", F.lit(buckets)).alias("bucket"), "hash", "node", "component", "size", "bitmap")
+    pairs = rows.groupBy("bucket").applyInArrow(_possible_pairs(threshold), "a bigint, b bigint").distinct()
+    last = saved(_verified(pairs, sets, threshold), "links")
     return connected(links.union(last))
 
 
+def _possible_pairs(threshold: tuple[int, int]) -> Callable[[pa.Table], pa.Table]:
+    """Pairs of nodes with an equal entry, of different components, whose sizes and bitmaps allow a link."""
+    num, den = threshold
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("hash", "ascending"), ("size", "ascending")])
+        h, node, component, size = (table[c].to_numpy() for c in ("hash", "node", "component", "size"))
+        bitmaps = table["bitmap"].to_pylist()
+        found: set[tuple[int, int]] = set()
+        first = np.flatnonzero(np.diff(h, prepend=h[:1] - 1))
+        for start, end in zip(first, [*first[1:], len(h)], strict=True):
+            # bitmaps of the shortest length in the group: longer ones fold onto it
+            shortest = min(len(x) for x in bitmaps[start:end])
+            maps = np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, shortest), axis=0) for x in bitmaps[start:end]]).view(U64)
+            n, c, v = size[start:end].astype(np.int64), component[start:end], node[start:end]
+            for i in range(end - start - 1):
+                rest = np.flatnonzero((c[i + 1 :] != c[i]) & (den * n[i] >= num * n[i + 1 :])) + i + 1
+                differing = np.bitwise_count(maps[rest] ^ maps[i]).sum(axis=1, dtype=np.int64)
+                for j in rest[differing <= (n[rest] + n[i]) * (den - num) // (den + num)]:
+                    found.add((min(int(v[i]), int(v[j])), max(int(v[i]), int(v[j]))))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return run
+
+
 def components(docs: DataFrame, n: int = SHINGLE_WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``.
 
