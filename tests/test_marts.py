@@ -202,28 +202,28 @@ def test_dimension_join_with_hot_key_split_equals_plain_join(spark, sf_small):
     )
     mat = dim_latest(fx.raw_materials(spark, sf_small), "material_id", ("year", "month"))
     plain = left_join_dim(po, mat, "material_id", "material")
-    split = left_join_dim(po, mat, "material_id", "material", hot_source=po.select("material_id"),
-                          max_group_rows=100, sample_fraction=1.0)
+    split = left_join_dim(po, mat, "material_id", "material", hot_source=po.select("material_id"), max_group_rows=100)
     assert split.columns == plain.columns
-    plan = split._jdf.queryExecution().executedPlan().toString()
-    assert "Union" in plan
+    assert "Union" not in split._jdf.queryExecution().executedPlan().toString()  # the fact is read once
     key = lambda r: (r.po_id, r.updated_at)
     assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)
 
 
-def test_hot_suppliers_found_through_sampled_materials(spark, sf_small):
+def test_hot_suppliers_found_through_counts_per_material(spark, sf_small):
     po = fx.purchase_orders(spark, sf_small).withColumn(
         "material_id", F.when(F.col("po_id") % 3 == 0, F.lit(7).cast("bigint")).otherwise(F.col("material_id"))
     )
     d = fx.domain(spark, sf_small, "raw_materials", "suppliers")
     p, mat, sup = su.po_parts(po, d["raw_materials"], d["suppliers"])
-    hot = su.hot_suppliers(po.select("material_id"), mat, max_group_rows=500, fraction=1.0)
+    hot = su.hot_suppliers(po.select("material_id"), mat, max_group_rows=500)
     supplier_of_7 = mat.filter("material_id = 7").first().supplier_id
-    assert hot == [(supplier_of_7,)]
+    assert [r[0] for r in hot.collect()] == [supplier_of_7]
+    nowhere = po.withColumn("material_id", F.lit(-5).cast("bigint"))  # unmatched: the NULL supplier
+    assert [r[0] for r in su.hot_suppliers(nowhere.select("material_id"), mat, max_group_rows=500).collect()] == [None]
     from tidemark.plans.common import left_join_dim
 
     base = left_join_dim(p, mat, "material_id", "material")
     plain = left_join_dim(base, sup, "supplier_id", "supplier")
-    split = left_join_dim(base, sup, "supplier_id", "supplier", hot_keys=hot)
+    split = left_join_dim(base, sup, "supplier_id", "supplier", hot=hot)
     key = lambda r: r.po_id
     assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)

@@ -105,7 +105,7 @@ def test_hot_group_rank_equals_plain_window(spark):
         plain = {r.order_id: r.r for r in rank_within(df, ["customer_id"], recency_order(), "r").collect()}
         split = rank_within(
             df, ["customer_id"], recency_order(), "r",
-            split=recency_split(), max_group_rows=1, sample_fraction=1.0,
+            split=recency_split(), max_group_rows=1,
         )
         assert {r.order_id: r.r for r in split.collect()} == plain
 

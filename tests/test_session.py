@@ -9,7 +9,7 @@ def test_scratch_paths_are_unique_and_under_the_checkpoint_dir(spark):
 
 def test_recommended_conf_bounds():
     assert recommended_conf(10 << 20)["spark.sql.shuffle.partitions"] == "200"
-    assert recommended_conf(100 << 40)["spark.sql.shuffle.partitions"] == "32768"
+    assert recommended_conf(100 << 40)["spark.sql.shuffle.partitions"] == "102400"
     assert recommended_conf(1000 << 30)["spark.sql.shuffle.partitions"] == "1000"
 
 

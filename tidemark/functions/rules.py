@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,6 +45,24 @@ def is_late(variance_days: Column) -> Column:
     return F.coalesce(variance_days > 0, F.lit(False))
 
 
+def tier_by_counts(
+    on_time: Column,
+    total: Column,
+    total_spend: Column,
+    spend=STRATEGIC_SPEND,
+    thresholds=ON_TIME_THRESHOLDS,
+) -> Column:
+    """``supplier_tier`` decided on the counts (``on_time >= threshold * total``,
+    exact decimals), not on a rate rounded for display."""
+    top, mid, low = (F.lit(Decimal(str(t))) * total for t in thresholds)
+    return (
+        F.when((on_time >= top) & (total_spend >= spend), "strategic")
+        .when(on_time >= mid, "preferred")
+        .when(on_time >= low, "approved")
+        .otherwise("under_review")
+    )
+
+
 def supplier_tier(
     on_time_rate: Column,
     total_spend: Column,

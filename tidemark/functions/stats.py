@@ -15,6 +15,17 @@ from pyspark.sql.types import DecimalType
 
 SUM_TYPE = DecimalType(38, 2)
 AVG_SCALE = 6
+# Digits kept before the one rounding at the end; products of these are exact DECIMAL(38,10).
+WIDE_TYPE = DecimalType(38, 10)
+QUANTITY_TYPE = DecimalType(17, 2)
+PRICE_TYPE = DecimalType(20, 8)
+
+
+def cost(quantity: Column | str, price: Column | str) -> Column:
+    """``quantity * price`` as an exact DECIMAL(38,10), also for DOUBLE inputs
+    (whose shortest decimal form counts); round only what is shown."""
+    q, p = (F.col(c) if isinstance(c, str) else c for c in (quantity, price))
+    return q.cast(QUANTITY_TYPE) * p.cast(PRICE_TYPE)
 
 
 def money(c: Column | str) -> Column:
@@ -24,16 +35,18 @@ def money(c: Column | str) -> Column:
 
 
 def exact_sum(c: Column | str) -> Column:
-    """Exact sum as DECIMAL(38,2) (NULL when every input is NULL)."""
+    """Exact sum as DECIMAL(38,2) (NULL when every input is NULL).
+
+    Inputs keep 10 decimals; only the sum is rounded."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(SUM_TYPE)).cast(SUM_TYPE)
+    return F.sum(col.cast(WIDE_TYPE)).cast(SUM_TYPE)
 
 
 def exact_avg(c: Column | str, scale: int = AVG_SCALE) -> Column:
     """Average of non-NULL values as DECIMAL(38, scale), rounded HALF_UP.
 
-    The input is widened to DECIMAL(36, scale-4); Spark's decimal average then
-    divides the exact sum by the count and rounds once at ``scale``.
+    Inputs keep 10 decimals, so Spark's decimal average has 14 before the
+    rounding at ``scale``.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return F.avg(col.cast(DecimalType(36, scale - 4))).cast(DecimalType(38, scale))
+    return F.avg(col.cast(DecimalType(28, 10))).cast(DecimalType(38, scale))

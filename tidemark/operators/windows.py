@@ -39,32 +39,32 @@ def _key_default(dtype: DataType) -> Column:
     return F.lit(0).cast(dtype)
 
 
-# A group above this many rows is ranked in sub-buckets (about what one task
-# sorts comfortably); at most MAX_HOT_GROUPS such groups are tracked by name.
-MAX_GROUP_ROWS = 2_000_000
-MAX_HOT_GROUPS = 1000
-HOT_SAMPLE_FRACTION = 0.01
+# Rows of a group that one task handles comfortably, and the share of all rows
+# (1/HOT_GROUPS) below which a group is never a hot one.
+MAX_GROUP_ROWS = 1_000_000
+HOT_GROUPS = 65536
 
 
-def hot_groups(
-    source: DataFrame,
-    group: list[str],
-    max_group_rows: int = MAX_GROUP_ROWS,
-    fraction: float = HOT_SAMPLE_FRACTION,
-    limit: int = MAX_HOT_GROUPS,
-    seed: int = 17,
-) -> list[tuple]:
-    """Groups estimated to exceed ``max_group_rows``, largest first, at most ``limit``.
-
-    One pruned scan of the key columns, a ``fraction`` sample, a partial
-    aggregate and a top-``limit``: the driver receives at most ``limit`` keys.
-    The estimate only chooses how a group is ranked, never the result. A group
-    outside the top ``limit`` holds at most 1/``limit`` of the rows.
+def hot_counts(counts: DataFrame, names: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """``names`` and ``__tm_pieces`` of the groups of ``counts`` (with ``__tm_rows``)
+    that hold more than ``max_group_rows`` rows and more than ``1/HOT_GROUPS`` of all rows.
+
+    Fewer than ``HOT_GROUPS`` groups can hold such a share, so the result is
+    small at any input size and is broadcast; no group is left out by a limit.
+    A lazy DataFrame: building it runs no job.
     """
-    min_sampled = max(1, int(max_group_rows * fraction))
-    counts = source.select(*[_q(g) for g in group]).sample(fraction=fraction, seed=seed).groupBy(*group).count()
-    rows = counts.filter(F.col("count") >= min_sampled).orderBy(F.col("count").desc()).limit(limit).collect()
-    return [tuple(r[g] for g in group) for r in rows]
+    share = counts.agg(F.sum("__tm_rows") / F.lit(HOT_GROUPS)).scalar()
+    rows = F.col("__tm_rows")
+    hot = counts.filter((rows > max_group_rows) & (rows > share))
+    return F.broadcast(hot.select(*names, F.ceil(rows / F.lit(max_group_rows)).cast("int").alias("__tm_pieces")))
+
+
+def hot_groups(source: DataFrame, group: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """The hot groups of ``source`` as ``__tm_h0, ..., __tm_pieces``: an exact count of
+    all rows (NULL keys too), one pruned scan with partial aggregation."""
+    names = [f"__tm_h{i}" for i in range(len(group))]
+    keys = source.select(*[_q(g).alias(n) for g, n in zip(group, names)])
+    return hot_counts(keys.groupBy(*names).agg(F.count(F.lit(1)).alias("__tm_rows")), names, max_group_rows)
 
 
 def rank_within(
@@ -75,7 +75,6 @@ def rank_within(
     split: list[tuple[Column, str]] | None = None,
     hot_source: DataFrame | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
-    sample_fraction: float = HOT_SAMPLE_FRACTION,
 ) -> DataFrame:
     """``row_number()`` inside each group, by ``order`` (1 = first).
 
@@ -87,24 +86,18 @@ def rank_within(
 
     With ``split`` - ``(column, direction)`` pairs whose values never decrease
     along ``order`` (direction ``asc_nulls_first`` or ``desc_nulls_last``, e.g.
-    the day of the date that ``order`` sorts first) - groups estimated above
-    ``max_group_rows`` (``hot_groups`` over ``hot_source``, default ``df``;
-    pass the raw input when ``df`` is expensive to recompute) are ranked in
-    sub-buckets (``split_rank``); all other groups by the plain window. The
-    two parts are a broadcast semi/anti join against the bounded hot-key list.
+    the day of the date that ``order`` sorts first) - the hot groups
+    (``hot_groups`` over ``hot_source``, default ``df``; pass the raw input when
+    ``df`` is expensive to recompute) are ranked in sub-buckets
+    (``split_rank``); every other group is one bucket. One window serves both.
     """
-    w = Window.partitionBy(*[_q(g) for g in group]).orderBy(*order)
     if not split:
+        w = Window.partitionBy(*[_q(g) for g in group]).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w))
-    hot = hot_groups(hot_source if hot_source is not None else df, group, max_group_rows, sample_fraction)
-    if not hot:
-        return df.withColumn(out, F.row_number().over(w))
-    hot_df = df.sparkSession.createDataFrame(hot, df.select(*[_q(g) for g in group]).schema)
-    hot_df = F.broadcast(hot_df.toDF(*[f"__tm_h{i}" for i in range(len(group))]))
-    cond = [df[g].eqNullSafe(hot_df[f"__tm_h{i}"]) for i, g in enumerate(group)]
-    normal = df.join(hot_df, cond, "left_anti").withColumn(out, F.row_number().over(w))
-    heavy = split_rank(df.join(hot_df, cond, "left_semi"), group, order, out, split)
-    return normal.unionByName(heavy)
+    hot = hot_groups(hot_source if hot_source is not None else df, group, max_group_rows)
+    cond = [_q(g).eqNullSafe(F.col(f"__tm_h{i}")) for i, g in enumerate(group)]
+    flagged = df.join(hot, cond, "left").drop(*[f"__tm_h{i}" for i in range(len(group))])
+    return split_rank(flagged, group, order, out, split, F.col("__tm_pieces").isNotNull()).drop("__tm_pieces")
 
 
 def split_rank(
@@ -113,29 +106,33 @@ def split_rank(
     order: list[Column],
     out: str,
     split: list[tuple[Column, str]],
+    is_hot: Column | None = None,
 ) -> DataFrame:
-    """``row_number()`` per group computed in sub-buckets of each group.
-
-    Each group is cut into sub-buckets by the ``split`` columns; a row's number
-    is its number inside its sub-bucket plus the row count of the group's
-    earlier sub-buckets. The rows move once (to their sub-bucket); the counts
-    are a partial aggregate and a small window; the offset join reuses the
-    rows' partitioning. A group holding a third of all rows is spread over its
-    sub-buckets instead of one task.
+    """``row_number()`` per group computed in sub-buckets of each hot group.
+
+    A hot group (all groups without ``is_hot``) is cut into sub-buckets by the
+    ``split`` columns; a row's number is its number inside its sub-bucket plus
+    the row count of the group's earlier sub-buckets. The rows move once (to
+    their sub-bucket); the counts of the hot groups are a partial aggregate and
+    a small window; the offset join reuses the rows' partitioning. A group
+    holding a third of all rows is spread over its sub-buckets instead of one
+    task.
     """
     keys: list[tuple[str, str]] = []  # (value column, is-null column)
+    hot = is_hot if is_hot is not None else F.lit(True)
     cols = [F.col("*")]
     sources = [(_q(g), None) for g in group] + [(c, d) for c, d in split]
     probe = df.select(*[c for c, _ in sources])
     for i, ((c, _), f) in enumerate(zip(sources, probe.schema.fields)):
         k, n = f"__tm_rk{i}", f"__tm_rn{i}"
-        cols += [F.coalesce(c, _key_default(f.dataType)).alias(k), c.isNull().alias(n)]
+        value = c if i < len(group) else F.when(hot, c)
+        cols += [F.coalesce(value, _key_default(f.dataType)).alias(k), value.isNull().alias(n)]
         keys.append((k, n))
-    keyed = df.select(*cols)
+    keyed = df.select(*cols, hot.alias("__tm_hot"))
     all_keys = [F.col(x) for pair in keys for x in pair]
     local = keyed.withColumn("__tm_local", F.row_number().over(Window.partitionBy(*all_keys).orderBy(*order)))
 
-    counts = keyed.groupBy(*all_keys).agg(F.count(F.lit(1)).alias("__tm_cnt"))
+    counts = keyed.filter("__tm_hot").groupBy(*all_keys).agg(F.count(F.lit(1)).alias("__tm_cnt"))
     bucket_order = []
     for (k, n), (_, direction) in zip(keys[len(group):], split):
         if direction == "asc_nulls_first":
@@ -148,8 +145,8 @@ def split_rank(
     before = Window.partitionBy(*gkeys).orderBy(*bucket_order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*all_keys, F.coalesce(F.sum("__tm_cnt").over(before), F.lit(0)).alias("__tm_off"))
     key_names = [x for pair in keys for x in pair]
-    ranked = local.join(offsets, on=key_names, how="inner")
-    ranked = ranked.withColumn(out, (F.col("__tm_local") + F.col("__tm_off")).cast("int"))
+    ranked = local.join(offsets, on=key_names, how="left")
+    ranked = ranked.withColumn(out, (F.col("__tm_local") + F.coalesce("__tm_off", F.lit(0))).cast("int"))
     return ranked.select(*[_q(c) for c in df.columns], out)
 
 

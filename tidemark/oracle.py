@@ -165,7 +165,7 @@ METRICS = (
 INV = ("inv", dedup("inventory", COLUMNS["inventory"], ["inventory_id"]))
 STOCK = (
     "stock",
-    "SELECT inv.*, CAST(quantity_on_hand * unit_cost AS DECIMAL(38,2)) AS stock_value, "
+    "SELECT inv.*, quantity_on_hand * unit_cost AS raw_value, CAST(quantity_on_hand * unit_cost AS DECIMAL(38,2)) AS stock_value, "
     "coalesce(quantity_on_hand <= reorder_level, false) AS needs_reorder, "
     f"{days('last_restock_date', AS_OF)} AS days_since_restock, "
     "CASE WHEN quantity_on_hand = 0 THEN 'out_of_stock' "
@@ -188,7 +188,7 @@ PO_BASE_CTES = [
     ),
     (
         "dlv0",
-        "SELECT base.*, CAST(quantity_ordered * unit_price AS DECIMAL(38,2)) AS line_cost, "
+        "SELECT base.*, quantity_ordered * unit_price AS raw_cost, CAST(quantity_ordered * unit_price AS DECIMAL(38,2)) AS line_cost, "
         "CAST(order_date + CAST(lead_time_days AS INTEGER) AS DATE) AS expected_delivery_date FROM base",
     ),
     (
@@ -201,7 +201,7 @@ PO_ADAPTERS = ["purchase_orders", "raw_materials", "suppliers"]
 
 ROLLING = (
     "roll",
-    "SELECT dlv.*, CAST(sum(line_cost) OVER (PARTITION BY material_id ORDER BY order_date "
+    "SELECT dlv.*, CAST(sum(raw_cost) OVER (PARTITION BY material_id ORDER BY order_date "
     "RANGE BETWEEN INTERVAL 90 DAY PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS rolling_90d_spend FROM dlv",
 )
 
@@ -216,7 +216,7 @@ SCORE_CTES = [
     (
         "agg",
         "SELECT supplier_id, supplier_name, count(po_id) AS total_orders, "
-        f"{money_sum('line_cost')} AS total_spend, {avg6('line_cost', 2)} AS avg_order_value, "
+        f"{money_sum('raw_cost')} AS total_spend, sum(raw_cost) AS raw_spend, count(*) AS n_all, {avg6('raw_cost', 2)} AS avg_order_value, "
         "count(DISTINCT material_id) AS unique_materials, "
         f"{avg6('delivery_variance_days', 0)} AS avg_delivery_variance_days, "
         "CAST(sum(CAST(is_late AS INTEGER)) AS BIGINT) AS late_deliveries, "
@@ -233,9 +233,9 @@ SCORE_CTES = [
         "avg_delivery_variance_days, late_deliveries, late_delivery_rate, avg_qty_variance, short_shipments, "
         "last_order_date, first_order_date, CAST(1 - late_delivery_rate AS DECIMAL(38,6)) AS on_time_rate, "
         f"{days('first_order_date', AS_OF)} AS relationship_tenure_days, "
-        "CASE WHEN (1 - late_delivery_rate) >= 0.95 AND total_spend >= 100000 THEN 'strategic' "
-        "WHEN (1 - late_delivery_rate) >= 0.85 THEN 'preferred' "
-        "WHEN (1 - late_delivery_rate) >= 0.70 THEN 'approved' ELSE 'under_review' END AS supplier_tier, "
+        "CASE WHEN late_deliveries * 100 <= 5 * n_all AND raw_spend >= 100000 THEN 'strategic' "
+        "WHEN late_deliveries * 100 <= 15 * n_all THEN 'preferred' "
+        "WHEN late_deliveries * 100 <= 30 * n_all THEN 'approved' ELSE 'under_review' END AS supplier_tier, "
         "late_delivery_rate_received FROM agg",
     ),
 ]
@@ -311,13 +311,13 @@ def _inventory_snapshot() -> str:
         "j",
         "SELECT i.warehouse_id, i.product_id, i.inventory_id, i.quantity_on_hand, i.reorder_level, i.unit_cost, "
         "i.last_restock_date, p.product_name, p.brand, p.product_category, p.list_price, w.warehouse_name, "
-        "w.warehouse_region, i.stock_value, i.needs_reorder, i.days_since_restock, i.stock_health "
+        "w.warehouse_region, i.stock_value, i.raw_value, i.needs_reorder, i.days_since_restock, i.stock_health "
         "FROM stock i LEFT JOIN prod p ON i.product_id = p.product_id "
         "LEFT JOIN wh w ON i.warehouse_id = w.warehouse_id",
     )
     t = (
         "t",
-        "SELECT j.*, CAST(sum(stock_value) OVER (PARTITION BY warehouse_id) AS DECIMAL(38,2)) AS warehouse_total_value, "
+        "SELECT j.*, CAST(sum(raw_value) OVER (PARTITION BY warehouse_id) AS DECIMAL(38,2)) AS warehouse_total_value, "
         "count(product_id) OVER (PARTITION BY warehouse_id) AS warehouse_sku_count FROM j",
     )
     cols = [
@@ -326,7 +326,7 @@ def _inventory_snapshot() -> str:
         "warehouse_region", "stock_value", "needs_reorder", "days_since_restock", "stock_health",
         "warehouse_total_value", "warehouse_sku_count",
     ]
-    body = f"SELECT t.*, {audit(cols, ('days_since_restock',))} FROM t"
+    body = f"SELECT {', '.join(cols)}, {audit(cols, ('days_since_restock',))} FROM t"
     return with_ctes(["inventory", "products", "warehouses"], [INV, STOCK, prod, wh, j, t], body)
 
 
@@ -340,7 +340,7 @@ MC_COLS = [
 
 def _material_consumption() -> str:
     mc = ("mc", f"SELECT roll.*, {parts('order_date', 'order', ('year', 'month', 'quarter'))} FROM roll")
-    return with_ctes(PO_ADAPTERS, PO_BASE_CTES + [ROLLING, mc], f"SELECT mc.*, {audit(MC_COLS)} FROM mc")
+    return with_ctes(PO_ADAPTERS, PO_BASE_CTES + [ROLLING, mc], f"SELECT {', '.join(MC_COLS)}, {audit(MC_COLS)} FROM mc")
 
 
 def _supplier_performance() -> str:
@@ -386,7 +386,7 @@ def _sql() -> dict[str, str]:
         ),
         "warehouse_totals": with_ctes(
             ["inventory"], [INV, STOCK],
-            f"SELECT warehouse_id, {money_sum('stock_value')} AS warehouse_total_value, "
+            f"SELECT warehouse_id, {money_sum('raw_value')} AS warehouse_total_value, "
             "count(product_id) AS warehouse_sku_count FROM stock GROUP BY warehouse_id",
         ),
         "delivery_variance": with_ctes(
@@ -433,11 +433,16 @@ def _sql() -> dict[str, str]:
             f"count(*) AS new_rows FROM purchase_orders WHERE updated_at > {PO_MARK}",
         ),
         "merge_upsert": with_ctes(["purchase_orders"], [], dedup("purchase_orders", po_cols, ["po_id"], ["updated_at"])),
+        "merge_into_overwritten": with_ctes(["purchase_orders"], [], dedup("purchase_orders", po_cols, ["po_id"], ["updated_at"])),
+        "merge_partial_columns": with_ctes(
+            ["orders_d"], [],
+            "SELECT order_id, customer_id, product_id, CASE WHEN order_id % 3 = 0 THEN CAST(order_amount + 1 AS DECIMAL(19,2)) "
+            "ELSE CAST(order_amount AS DECIMAL(19,2)) END AS order_amount, order_date, order_status, order_priority FROM orders_d",
+        ),
         "write_overwrite": with_ctes(["orders_d"], [], "SELECT * FROM orders_d"),
         "write_append": with_ctes(
             ["purchase_orders"], [],
-            f"SELECT *, CAST(CASE WHEN updated_at <= {PO_MARK} THEN 1 ELSE 2 END AS INTEGER) AS batch_id "
-            "FROM purchase_orders WHERE updated_at IS NOT NULL",
+            f"SELECT *, CAST(CASE WHEN updated_at > {PO_MARK} THEN 2 ELSE 1 END AS INTEGER) AS batch_id FROM purchase_orders",
         ),
         "stage_parquet": _supplier_performance(),
         "read_parquet_schema": with_ctes(["inventory"], [], "SELECT * FROM inventory"),

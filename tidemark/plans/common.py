@@ -6,13 +6,20 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tidemark.operators.dedup import dedup_latest
-from tidemark.operators.windows import HOT_SAMPLE_FRACTION, MAX_GROUP_ROWS, hot_groups
+from tidemark.operators.windows import MAX_GROUP_ROWS, hot_groups
 
-# fixed values: the evaluation day and load instant used by the registered queries
-AS_OF = dt.date(2002, 1, 1)
-LOADED_AT = dt.datetime(2002, 1, 1, 0, 0, 0)
+
+def today(as_of: dt.date | None) -> dt.date:
+    """The evaluation day: as given, else the current day (UTC)."""
+    return as_of if as_of is not None else dt.datetime.now(dt.timezone.utc).date()
+
+
+def now(loaded_at: dt.datetime | None) -> dt.datetime:
+    """The load instant: as given, else the current instant (UTC)."""
+    return loaded_at if loaded_at is not None else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
 def present(df: DataFrame, candidates: tuple[str, ...]) -> list[str]:
@@ -36,8 +43,7 @@ def left_join_dim(
     dim_name: str,
     hot_source: DataFrame | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
-    sample_fraction: float = HOT_SAMPLE_FRACTION,
-    hot_keys: list[tuple] | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)`` with name clashes made explicit.
 
@@ -46,25 +52,24 @@ def left_join_dim(
     The join strategy is Spark's: a dimension below the broadcast threshold of
     the size statistics is broadcast, a larger one is a sort-merge join.
 
-    ``hot_source`` (the fact's raw key column) turns on the hot-key split: keys
-    estimated to hold more rows than one task should join (``hot_groups``, a
-    sampled, bounded list) take a broadcast join with their dimension rows -
-    at most one per key, so a proven bound - and only the other rows go
-    through the sort-merge join. ``dim`` must be unique on ``key``.
-    ``hot_keys`` gives the hot keys directly (estimated elsewhere).
+    ``hot_source`` (the fact's raw key column) or ``hot`` (the hot keys, as
+    ``hot_groups`` returns them) salts the join: rows of a hot key, NULL
+    included, are dealt over its pieces by a hash of the row, and the key's
+    dimension row is repeated per piece. The fact is read once, and no task
+    gets much more than ``max_group_rows`` rows of one key. ``dim`` must be
+    unique on ``key``.
     """
     clash = [c for c in dim.columns if c != key and c in fact.columns]
     if clash:
         dim = dim.select(*[dim[c].alias(f"{dim_name}_{c}") if c in clash else dim[c] for c in dim.columns])
-    if hot_source is None and hot_keys is None:
-        return fact.join(dim, on=key, how="left")
-    hot = hot_keys if hot_keys is not None else hot_groups(hot_source, [key], max_group_rows, sample_fraction)
-    if not hot:
+    if hot is None and hot_source is not None:
+        hot = hot_groups(hot_source, [key], max_group_rows)
+    if hot is None:
         return fact.join(dim, on=key, how="left")
-    keys = fact.sparkSession.createDataFrame(hot, fact.select(key).schema).toDF("__tm_hk")
-    keys = F.broadcast(keys)
-    is_hot = fact[key].eqNullSafe(keys["__tm_hk"])
-    hot_rows = fact.join(keys, is_hot, "left_semi")
-    rest = fact.join(keys, is_hot, "left_anti")
-    hot_dim = F.broadcast(dim.join(keys, dim[key] == keys["__tm_hk"], "left_semi"))
-    return rest.join(dim, on=key, how="left").unionByName(hot_rows.join(hot_dim, on=key, how="left"))
+    same = F.col(f"`{key}`").eqNullSafe(F.col("__tm_h0"))
+    plain = [f"`{f.name}`" for f in fact.schema.fields if not isinstance(f.dataType, MapType)]
+    piece = F.pmod(F.xxhash64(*plain), F.col("__tm_pieces")).cast("int")
+    dealt = fact.join(hot, same, "left").withColumn("__tm_piece", F.coalesce(piece, F.lit(0))).drop("__tm_h0", "__tm_pieces")
+    pieces = F.sequence(F.lit(0), F.coalesce("__tm_pieces", F.lit(1)) - 1)
+    repeated = dim.join(hot, same, "left").withColumn("__tm_piece", F.explode(pieces)).drop("__tm_h0", "__tm_pieces")
+    return dealt.join(repeated, on=[key, "__tm_piece"], how="left").drop("__tm_piece")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegralType, StringType
+from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType
 
 from tidemark.functions.dates import date_parts, day_literal, days_between
 from tidemark.functions.hashing import add_audit_columns
@@ -15,7 +15,7 @@ from tidemark.functions.stats import exact_avg, exact_sum
 from tidemark.functions.text import trim_strings
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.windows import rank_within, top_k_within
-from tidemark.plans.common import AS_OF, LOADED_AT, dim_latest, left_join_dim, present
+from tidemark.plans.common import dim_latest, left_join_dim, now, present, today
 
 RECENCY = ("updated_at",)
 
@@ -62,7 +62,11 @@ def text_key_as(df: DataFrame, text_col: str, key_type: DataType) -> DataFrame:
     if isinstance(key_type, StringType):
         return df.withColumn("__tm_uid", t)
     typed = t.try_cast(key_type)
-    return df.withColumn("__tm_uid", F.when(typed.cast("string") == t, typed))
+    text = typed.cast("string")
+    if isinstance(key_type, DecimalType) and key_type.scale:
+        text = F.regexp_replace(text, r"\.?0+$", "")  # a database NUMERIC 7 arrives as 7.000...
+        text = F.when(typed == 0, "0").otherwise(text)
+    return df.withColumn("__tm_uid", F.when(text == t, typed))
 
 
 def customer_360(
@@ -70,8 +74,8 @@ def customer_360(
     orders: DataFrame,
     reviews: DataFrame | None = None,
     *,
-    as_of: dt.date = AS_OF,
-    loaded_at: dt.datetime = LOADED_AT,
+    as_of: dt.date | None = None,
+    loaded_at: dt.datetime | None = None,
     thresholds: tuple = SEGMENT_THRESHOLDS,
     orders_clean: bool = False,
 ) -> DataFrame:
@@ -96,14 +100,14 @@ def customer_360(
             F.count("review_id").alias("total_reviews"),
         )
         c = c.join(rm, c["customer_id"] == rm["__tm_uid"], "left").drop("__tm_uid")
-    today = day_literal(as_of)
+    day = day_literal(today(as_of))
     c = c.select(
         "*",
-        days_between(today, F.col("first_order_date")).alias("customer_tenure_days"),
-        days_between(today, F.col("last_order_date")).alias("days_since_last_order"),
+        days_between(day, F.col("first_order_date")).alias("customer_tenure_days"),
+        days_between(day, F.col("last_order_date")).alias("days_since_last_order"),
         customer_segment(F.col("lifetime_value"), thresholds).alias("customer_segment"),
     )
-    return add_audit_columns(c, loaded_at, exclude=("customer_tenure_days", "days_since_last_order"))
+    return add_audit_columns(c, now(loaded_at), exclude=("customer_tenure_days", "days_since_last_order"))
 
 
 def customer_segments(
@@ -125,30 +129,42 @@ def recency_order() -> list:
 ID_BUCKET_BITS = 20
 
 
-def recency_split(id_type: DataType | None = None) -> list:
+def common_prefix(texts: DataFrame, column: str) -> Column:
+    """Length of the prefix that all values of a text column share, as a scalar subquery
+    (the smallest and the largest value share it too)."""
+    ends = texts.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).select(F.coalesce("lo", F.lit("")).alias("lo"), F.coalesce("hi", F.lit("")).alias("hi"))
+    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("lo")))
+    longer = lambda n, i: F.when((n == i - 1) & (F.substring("lo", 1, i) == F.substring("hi", 1, i)), i).otherwise(n)
+    return ends.select(F.aggregate(places, F.lit(0), longer)).scalar()
+
+
+def recency_split(id_type: DataType | None = None, prefix: Column | None = None) -> list:
     """Sub-buckets that follow ``recency_order``: the day, then a range of ids.
 
     A customer with a huge share of all orders is ranked in (day, id range)
     pieces; the pieces' counts give each piece's starting rank. For integral
     ids a range is ``2**ID_BUCKET_BITS`` consecutive ids - ids are unique, so a
     piece never holds more orders than that, however many fall on one day.
-    Text ids are cut by their first characters (also order-preserving); other
-    id types by day only.
+    Text ids are cut by the four characters that follow the prefix all ids
+    share (also order-preserving); other id types by day only.
     """
     day = (F.to_date(F.col("order_date")), "desc_nulls_last")
     if id_type is None or isinstance(id_type, IntegralType):
         return [day, (F.shiftright(F.col("order_id").cast("bigint"), ID_BUCKET_BITS), "asc_nulls_first")]
     if isinstance(id_type, StringType):
-        return [day, (F.substring(F.col("order_id"), 1, 4), "asc_nulls_first")]
+        start = prefix + 1 if prefix is not None else F.lit(1)
+        return [day, (F.substring(F.col("order_id"), start, 4), "asc_nulls_first")]
     return [day]
 
 
 def rank_orders(df: DataFrame, raw_orders: DataFrame) -> DataFrame:
-    """Per-customer recency rank; customers with very many orders (estimated
-    from the raw orders' key column) are ranked in (day, id range) pieces."""
+    """Per-customer recency rank; customers with very many orders (counted on
+    the raw orders' key column) are ranked in (day, id range) pieces."""
+    id_type = df.schema["order_id"].dataType
+    prefix = common_prefix(raw_orders, "order_id") if isinstance(id_type, StringType) else None
     return rank_within(
         df, ["customer_id"], recency_order(), "order_rank",
-        split=recency_split(df.schema["order_id"].dataType), hot_source=raw_orders.select("customer_id"),
+        split=recency_split(id_type, prefix), hot_source=raw_orders.select("customer_id"),
     )
 
 
@@ -171,7 +187,7 @@ def order_enriched(
     orders: DataFrame,
     products: DataFrame,
     *,
-    loaded_at: dt.datetime = LOADED_AT,
+    loaded_at: dt.datetime | None = None,
     orders_clean: bool = False,
 ) -> DataFrame:
     """Orders with product attributes, per-customer recency rank and date parts.
@@ -183,4 +199,4 @@ def order_enriched(
                       hot_source=orders.select("product_id"))
     e = rank_orders(e, orders)
     e = e.select("*", *date_parts("order_date", "order", ("year", "month", "dow")))
-    return add_audit_columns(e, loaded_at)
+    return add_audit_columns(e, now(loaded_at))

@@ -4,26 +4,25 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_date, date_parts, day_literal, days_between
 from tidemark.functions.hashing import add_audit_columns
-from tidemark.functions.rules import ON_TIME_THRESHOLDS, STRATEGIC_SPEND, is_late, supplier_tier
-from tidemark.functions.stats import exact_avg, exact_sum, money
+from tidemark.functions.rules import ON_TIME_THRESHOLDS, STRATEGIC_SPEND, is_late, tier_by_counts
+from tidemark.functions.stats import QUANTITY_TYPE, cost, exact_avg, exact_sum, money
 from tidemark.functions.text import trim_strings
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.windows import (
     DAY,
-    HOT_SAMPLE_FRACTION,
     MAX_GROUP_ROWS,
     attach_by_day,
     day_number,
-    hot_groups,
+    hot_counts,
     range_window_over_days,
     rolling_range_sum,
 )
-from tidemark.plans.common import AS_OF, LOADED_AT, dim_latest, left_join_dim, present
+from tidemark.plans.common import dim_latest, left_join_dim, now, present, today
 
 PO_RECENCY = ("updated_at",)
 MATERIAL_RECENCY = ("year", "month", "updated_at")
@@ -43,21 +42,17 @@ def po_parts(
     return po, dim_latest(materials, "material_id", MATERIAL_RECENCY), dim_latest(suppliers, "supplier_id")
 
 
-def hot_suppliers(
-    po_material_ids: DataFrame,
-    materials: DataFrame,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    fraction: float = HOT_SAMPLE_FRACTION,
-) -> list[tuple]:
-    """Suppliers estimated to have more than ``max_group_rows`` purchase orders.
+def hot_suppliers(po_material_ids: DataFrame, materials: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Hot suppliers of the purchase orders, the NULL supplier of unmatched materials included.
 
-    The purchase orders' material ids are sampled first, then mapped to their
-    supplier through the (deduplicated) materials - one pass over two material
-    columns, no join of all purchase orders.
+    The purchase orders are counted per material (partial aggregation), and
+    only these counts are joined with the (deduplicated) materials - no join of
+    all purchase orders.
     """
-    sampled = po_material_ids.select("material_id").sample(fraction=fraction, seed=23)
-    by_supplier = sampled.join(materials.select("material_id", "supplier_id"), on="material_id")
-    return hot_groups(by_supplier.select("supplier_id"), ["supplier_id"], max(1, int(max_group_rows * fraction)), 1.0)
+    per_material = po_material_ids.groupBy("material_id").agg(F.count(F.lit(1)).alias("__tm_n"))
+    suppliers = materials.select("material_id", F.col("supplier_id").alias("__tm_h0"))
+    counts = per_material.join(suppliers, on="material_id", how="left").groupBy("__tm_h0").agg(F.sum("__tm_n").alias("__tm_rows"))
+    return hot_counts(counts, ["__tm_h0"], max_group_rows)
 
 
 def join_base(
@@ -65,12 +60,12 @@ def join_base(
 ) -> DataFrame:
     """Purchase orders with their material and the material's supplier.
 
-    ``hot_source`` (the raw purchase orders' ``material_id``) splits materials
-    and suppliers with very many purchase orders out of the sort-merge joins
+    ``hot_source`` (the raw purchase orders' ``material_id``) salts the joins
+    of materials and suppliers with very many purchase orders
     (``left_join_dim``)."""
     base = left_join_dim(po, materials, "material_id", "material", hot_source=hot_source)
     hot_sup = hot_suppliers(hot_source, materials) if hot_source is not None else None
-    return left_join_dim(base, suppliers, "supplier_id", "supplier", hot_keys=hot_sup)
+    return left_join_dim(base, suppliers, "supplier_id", "supplier", hot=hot_sup)
 
 
 def po_base(po: DataFrame, materials: DataFrame, suppliers: DataFrame, *, trim: bool = True) -> DataFrame:
@@ -91,25 +86,29 @@ def material_rolling_spend(po: DataFrame, materials: DataFrame, window_days: int
 
     A row's spend is ``quantity_ordered * unit_price`` and the price is one per
     material, so a day's spend is the price times the day's summed quantity -
-    exactly, in decimals. The quantities are a partial aggregate of the
+    exactly, in decimals that are rounded only at the output. The quantities are a partial aggregate of the
     purchase orders (sharing their deduplication shuffle); only that small
     daily table is joined with the materials. Unlike windowing the joined
     base, no purchase-order-level join is repeated.
     """
     daily_qty = po.groupBy(F.col("material_id"), day_number("order_date").alias(DAY)).agg(
-        F.sum("quantity_ordered").alias("__tm_qty")
+        F.sum(F.col("quantity_ordered").cast(QUANTITY_TYPE)).alias("__tm_qty")
     )
     priced = daily_qty.join(materials.select("material_id", "unit_price"), on="material_id", how="left")
-    daily = priced.select("material_id", DAY, money(F.col("__tm_qty") * F.col("unit_price")).alias("__tm_spend"))
+    daily = priced.select("material_id", DAY, cost("__tm_qty", "unit_price").alias("__tm_spend"))
     return range_window_over_days(daily, ["material_id"], "__tm_spend", window_days, "rolling_90d_spend")
 
 
+def line_cost() -> Column:
+    return cost("quantity_ordered", "unit_price")
+
+
 def delivery_columns(base: DataFrame) -> DataFrame:
     """line_cost, expected_delivery_date, delivery_variance_days, is_late."""
     expected = F.date_add(as_date("order_date"), F.col("lead_time_days").cast("int"))
     with_expected = base.select(
         "*",
-        money(F.col("quantity_ordered") * F.col("unit_price")).alias("line_cost"),
+        money(line_cost()).alias("line_cost"),
         expected.alias("expected_delivery_date"),
     )
     variance = days_between(as_date("received_date"), F.col("expected_delivery_date"))
@@ -122,7 +121,7 @@ def material_consumption(
     base: DataFrame,
     *,
     window_days: int = ROLLING_DAYS,
-    loaded_at: dt.datetime = LOADED_AT,
+    loaded_at: dt.datetime | None = None,
     rolling: DataFrame | None = None,
 ) -> DataFrame:
     """One row per purchase order: cost, delivery variance, trailing spend of
@@ -132,28 +131,28 @@ def material_consumption(
     without it the spend is computed from ``base`` (``rolling_range_sum``)."""
     b = delivery_columns(base)
     if rolling is None:
-        b = rolling_range_sum(b, ["material_id"], "order_date", F.col("line_cost"), window_days, "rolling_90d_spend")
+        b = rolling_range_sum(b, ["material_id"], "order_date", line_cost(), window_days, "rolling_90d_spend")
     else:
         b = attach_by_day(b, ["material_id"], "order_date", rolling, "rolling_90d_spend")
     b = b.withColumn("rolling_90d_spend", money("rolling_90d_spend"))
     b = b.select("*", *date_parts("order_date", "order", ("year", "month", "quarter")))
-    return add_audit_columns(b, loaded_at)
+    return add_audit_columns(b, now(loaded_at))
 
 
 def rolling_spend(base: DataFrame, window_days: int = ROLLING_DAYS, rolling: DataFrame | None = None) -> DataFrame:
-    b = delivery_columns(base).select("po_id", "material_id", "order_date", "line_cost")
+    b = delivery_columns(base).select("po_id", "material_id", "order_date", "line_cost", "quantity_ordered", "unit_price")
     if rolling is None:
-        b = rolling_range_sum(b, ["material_id"], "order_date", F.col("line_cost"), window_days, "rolling_90d_spend")
+        b = rolling_range_sum(b, ["material_id"], "order_date", line_cost(), window_days, "rolling_90d_spend")
     else:
         b = attach_by_day(b, ["material_id"], "order_date", rolling, "rolling_90d_spend")
-    return b.withColumn("rolling_90d_spend", money("rolling_90d_spend"))
+    return b.withColumn("rolling_90d_spend", money("rolling_90d_spend")).drop("quantity_ordered", "unit_price")
 
 
 def supplier_performance(
     base: DataFrame,
     *,
-    as_of: dt.date = AS_OF,
-    loaded_at: dt.datetime = LOADED_AT,
+    as_of: dt.date | None = None,
+    loaded_at: dt.datetime | None = None,
     spend=STRATEGIC_SPEND,
     on_time=ON_TIME_THRESHOLDS,
 ) -> DataFrame:
@@ -170,8 +169,8 @@ def supplier_performance(
     late = F.col("is_late").cast("int")
     sc = b.groupBy("supplier_id", "supplier_name").agg(
         F.count("po_id").alias("total_orders"),
-        exact_sum("line_cost").alias("total_spend"),
-        exact_avg("line_cost").alias("avg_order_value"),
+        exact_sum(line_cost()).alias("total_spend"),
+        exact_avg(line_cost()).alias("avg_order_value"),
         F.count_distinct("material_id").alias("unique_materials"),
         exact_avg("delivery_variance_days").alias("avg_delivery_variance_days"),
         F.sum(late).cast("bigint").alias("late_deliveries"),
@@ -181,6 +180,8 @@ def supplier_performance(
         F.max("order_date").alias("last_order_date"),
         F.min("order_date").alias("first_order_date"),
         exact_avg(F.when(F.col("received_date").isNotNull(), late)).alias("late_delivery_rate_received"),
+        F.count(F.lit(1)).alias("__tm_all"),
+        F.sum(line_cost()).alias("__tm_spend"),
     )
     on_time_rate = (F.lit(1) - F.col("late_delivery_rate")).cast("decimal(38,6)")
     sc = sc.select(
@@ -188,12 +189,8 @@ def supplier_performance(
         "avg_delivery_variance_days", "late_deliveries", "late_delivery_rate", "avg_qty_variance",
         "short_shipments", "last_order_date", "first_order_date",
         on_time_rate.alias("on_time_rate"),
-        days_between(day_literal(as_of), as_date("first_order_date")).alias("relationship_tenure_days"),
-        "late_delivery_rate_received",
-    )
-    sc = sc.select(
-        *[c for c in sc.columns if c != "late_delivery_rate_received"],
-        supplier_tier(F.col("on_time_rate"), F.col("total_spend"), spend, on_time).alias("supplier_tier"),
+        days_between(day_literal(today(as_of)), as_date("first_order_date")).alias("relationship_tenure_days"),
+        tier_by_counts(F.col("__tm_all") - F.col("late_deliveries"), F.col("__tm_all"), F.col("__tm_spend"), spend, on_time).alias("supplier_tier"),
         "late_delivery_rate_received",
     )
-    return add_audit_columns(sc, loaded_at, exclude=("relationship_tenure_days",))
+    return add_audit_columns(sc, now(loaded_at), exclude=("relationship_tenure_days",))

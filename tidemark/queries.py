@@ -24,7 +24,6 @@ from tidemark.operators.quality import drop_nulls, table_profile
 from tidemark.plans import customer as cu
 from tidemark.plans import inventory as inv
 from tidemark.plans import supply as su
-from tidemark.plans.common import LOADED_AT
 from tidemark.session import scratch_path
 from tidemark.sinks.tables import append_batch, stage, upsert_table, write_overwrite
 from tidemark.sources.files import read_dataset
@@ -34,6 +33,8 @@ from tidemark.sources.schema import load_schema, validate_schema
 SCHEMAS = Path(__file__).parent / "sources" / "schemas"
 
 # fixed values: parameters of the registered queries
+AS_OF = dt.date(2002, 1, 1)  # the evaluation day and load instant
+LOADED_AT = dt.datetime(2002, 1, 1, 0, 0, 0)
 SEGMENT_THRESHOLDS = (3500000, 2500000, 1500000)  # spreads the testdata over all four segments
 PO_MARK = dt.datetime(2000, 1, 1, 0, 0, 0)  # high-water mark on purchase_orders.updated_at
 TOP_K = 3
@@ -62,7 +63,7 @@ def q_customer_segment(spark, sf):
 
 def q_customer_360(spark, sf):
     d = fx.domain(spark, sf, "customers", "orders", "product_reviews")
-    return cu.customer_360(d["customers"], d["orders"], d["product_reviews"], thresholds=SEGMENT_THRESHOLDS)
+    return cu.customer_360(d["customers"], d["orders"], d["product_reviews"], as_of=AS_OF, loaded_at=LOADED_AT, thresholds=SEGMENT_THRESHOLDS)
 
 
 def q_order_recency_rank(spark, sf):
@@ -78,23 +79,23 @@ def q_order_time_features(spark, sf):
 
 
 def q_order_enriched(spark, sf):
-    return cu.order_enriched(fx.orders(spark, sf), fx.products(spark, sf))
+    return cu.order_enriched(fx.orders(spark, sf), fx.products(spark, sf), loaded_at=LOADED_AT)
 
 
 # ---- inventory ------------------------------------------------------------
 
 def q_stock_health(spark, sf):
-    e = inv.stock_flags(inv.clean_inventory(fx.inventory(spark, sf)))
+    e = inv.stock_flags(inv.clean_inventory(fx.inventory(spark, sf)), as_of=AS_OF)
     return e.select("inventory_id", "warehouse_id", "quantity_on_hand", "reorder_level", "stock_value", "needs_reorder", "stock_health")
 
 
 def q_warehouse_totals(spark, sf):
-    return inv.warehouse_totals(inv.stock_flags(inv.clean_inventory(fx.inventory(spark, sf))))
+    return inv.warehouse_totals(inv.stock_flags(inv.clean_inventory(fx.inventory(spark, sf)), as_of=AS_OF))
 
 
 def q_inventory_snapshot(spark, sf):
     d = fx.domain(spark, sf, "inventory", "products", "warehouses")
-    return inv.inventory_snapshot(d["inventory"], d["products"], d["warehouses"])
+    return inv.inventory_snapshot(d["inventory"], d["products"], d["warehouses"], as_of=AS_OF, loaded_at=LOADED_AT)
 
 
 # ---- purchasing -----------------------------------------------------------
@@ -118,11 +119,11 @@ def q_rolling_90d_spend(spark, sf):
 
 def q_material_consumption(spark, sf):
     po, mat, base = _po_parts(spark, sf)
-    return su.material_consumption(base, rolling=su.material_rolling_spend(po, mat))
+    return su.material_consumption(base, loaded_at=LOADED_AT, rolling=su.material_rolling_spend(po, mat))
 
 
 def q_supplier_performance(spark, sf):
-    return su.supplier_performance(_po_base(spark, sf, trim=False))
+    return su.supplier_performance(_po_base(spark, sf), as_of=AS_OF, loaded_at=LOADED_AT)
 
 
 def q_supplier_tier(spark, sf):
@@ -166,6 +167,29 @@ def q_incremental_new_watermark(spark, sf):
 
 # ---- sinks (round trips) --------------------------------------------------
 
+def _up_to_mark(po):
+    """The rows that ``incremental_filter`` leaves out, those without a mark included."""
+    return po.filter(~F.coalesce(F.col("updated_at") > typed_mark(po, "updated_at", PO_MARK), F.lit(False)))
+
+
+def q_merge_into_overwritten(spark, sf):
+    """A merge into a table that an overwrite wrote: its rows are the target."""
+    po = fx.purchase_orders(spark, sf)
+    path = scratch_path(spark, "merge_overwritten")
+    write_overwrite(dedup_latest(_up_to_mark(po), ["po_id"], ["updated_at"]), path)
+    later = dedup_latest(incremental_filter(po, "updated_at", PO_MARK), ["po_id"], ["updated_at"])
+    return upsert_table(spark, later, path, ["po_id"], check_unique=False)
+
+
+def q_merge_partial_columns(spark, sf):
+    """A batch with the key and one column: the other columns keep the target's values."""
+    orders = fx.orders(spark, sf)
+    path = scratch_path(spark, "merge_partial")
+    write_overwrite(orders.withColumn("order_amount", F.col("order_amount").cast("decimal(19,2)")), path)
+    batch = orders.filter("order_id % 3 = 0").select("order_id", (F.col("order_amount") + 1).cast("decimal(19,2)").alias("order_amount"))
+    return upsert_table(spark, batch, path, ["order_id"])
+
+
 def q_merge_upsert(spark, sf):
     """Load purchase orders up to the mark, then merge the later slice in.
 
@@ -173,7 +197,7 @@ def q_merge_upsert(spark, sf):
     deduplication of all versions)."""
     po = fx.purchase_orders(spark, sf)
     path = scratch_path(spark, "merge_upsert")
-    first = dedup_latest(po.filter(F.col("updated_at") <= typed_mark(po, "updated_at", PO_MARK)), ["po_id"], ["updated_at"])
+    first = dedup_latest(_up_to_mark(po), ["po_id"], ["updated_at"])
     upsert_table(spark, first, path, ["po_id"], check_unique=False)  # unique: deduplicated on po_id
     later = dedup_latest(incremental_filter(po, "updated_at", PO_MARK), ["po_id"], ["updated_at"])
     return upsert_table(spark, later, path, ["po_id"], check_unique=False)
@@ -189,9 +213,8 @@ def q_write_overwrite(spark, sf):
 def q_write_append(spark, sf):
     po = fx.purchase_orders(spark, sf)
     path = scratch_path(spark, "write_append")
-    mark = typed_mark(po, "updated_at", PO_MARK)
-    old = po.filter(F.col("updated_at") <= mark)
-    new = po.filter(F.col("updated_at") > mark)
+    old = _up_to_mark(po)
+    new = incremental_filter(po, "updated_at", PO_MARK)
     append_batch(old, path, 1)
     append_batch(new, path, 2)
     append_batch(new, path, 2)  # a retried batch replaces itself
@@ -258,6 +281,8 @@ QUERIES: dict[str, Query] = {
     "incremental_filter": q_incremental_filter,
     "incremental_new_watermark": q_incremental_new_watermark,
     "merge_upsert": q_merge_upsert,
+    "merge_into_overwritten": q_merge_into_overwritten,
+    "merge_partial_columns": q_merge_partial_columns,
     "write_overwrite": q_write_overwrite,
     "write_append": q_write_append,
     "stage_parquet": q_stage_parquet,

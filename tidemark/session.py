@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
         base = sc.getCheckpointDir()
     if not base:
         master = (sc.master if sc is not None else "") or ""
-        if not master.startswith("local"):
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS, object store) before running tidemark jobs on a cluster"
@@ -66,13 +66,13 @@ def recommended_conf(
     """SQL settings sized for a job reading about ``input_bytes``.
 
     Initial shuffle partitions are an upper bound (about one per GiB of
-    input, 200..32768); adaptive execution coalesces them to about
+    input, at least 200); adaptive execution coalesces them to about
     ``partition_bytes`` each and splits skewed join partitions. Dimensions up
     to ``broadcast_bytes`` (Spark's own size check, static and at run time)
     are broadcast, so a hot fact key never meets a sort-merge join there.
     Apply with ``spark.conf.set`` before building the marts.
     """
-    shuffle = max(200, min(32768, -(-int(input_bytes) // (1 << 30))))
+    shuffle = max(200, -(-int(input_bytes) // (1 << 30)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

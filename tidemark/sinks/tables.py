@@ -6,10 +6,13 @@
   batch instead of adding a second copy.
 - merge (upsert): files cannot be updated in place, and a path cannot be
   overwritten while it is being read. Each merge writes a complete new
-  version ``v=<n+1>`` from (target without the batch's keys) + batch, then
+  version ``_merged/<n+1>`` from (target without the batch's keys) + batch, then
   appends ``n+1`` to the table's version log; readers take the newest logged
   version. A failed merge leaves no log entry, so readers never see a partial
-  version.
+  version. Files that another writer (overwrite, append) left at the path are
+  the table's version 0, which the first merge starts from. A merged table is
+  read with ``read_current``; its versions lie in a hidden folder, so a plain
+  read of the path does not mix them.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
@@ -25,6 +29,7 @@ from tidemark.operators.upsert import assert_unique, upsert
 
 MODES = ("overwrite", "append", "merge")
 LOG_DIR = "_versions"
+DATA_DIR = "_merged"
 LOG_SCHEMA = StructType([StructField("version", LongType(), False), StructField("committed_at", TimestampNTZType(), False)])
 
 
@@ -59,11 +64,17 @@ def _versions(spark: SparkSession, path: str) -> int | None:
 
 
 def read_current(spark: SparkSession, path: str, fmt: str = "parquet", version: int | None = None) -> DataFrame | None:
-    """The newest committed version of a merged table (None if there is none)."""
+    """The newest committed version of a merged table, or the plain files at
+    the path if it was never merged into (None if there are none)."""
     v = _versions(spark, path) if version is None else version
-    if v is None:
-        return None
-    return spark.read.format(fmt).load(os.path.join(path, f"v={v}"))
+    if v:
+        return spark.read.format(fmt).load(os.path.join(path, DATA_DIR, str(v)))
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as exc:  # no folder, or no data files in it
+        if any(m in str(exc) for m in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "does not exist")):
+            return None
+        raise
 
 
 def upsert_table(
@@ -85,10 +96,10 @@ def upsert_table(
     current = _versions(spark, path)
     if check_unique:
         assert_unique(source, keys)
-    target = read_current(spark, path, fmt, current) if current is not None else None
+    target = read_current(spark, path, fmt, current or 0)
     merged = source if target is None else upsert(target, source, keys, check_unique=False)
-    nxt = 1 if current is None else current + 1
-    out = os.path.join(path, f"v={nxt}")
+    nxt = (current or 0) + 1
+    out = os.path.join(path, DATA_DIR, str(nxt))
     merged.write.mode("overwrite").format(fmt).save(out)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     spark.createDataFrame([(nxt, now)], LOG_SCHEMA).coalesce(1).write.mode("append").json(os.path.join(path, LOG_DIR))

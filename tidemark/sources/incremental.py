@@ -98,7 +98,7 @@ class WatermarkStore:
             return None
         row = (
             log.filter(F.col("table_name") == table)
-            .orderBy(F.col("run_id").desc(), F.col("committed_at").desc())  # a retried run: its last commit
+            .orderBy(F.col("committed_at").desc(), F.col("run_id").desc())  # the last commit, whatever its run id
             .select("watermark")
             .limit(1)
             .collect()
@@ -130,7 +130,10 @@ def load_increment(
     mark = store.get(table)
     batch = incremental_filter(df, column, mark, overlap)
     obs = Observation(f"increment_{table}_{run_id}")
-    observed = batch.observe(obs, F.max(F.col(f"`{column}`")).alias("m"), F.count(F.lit(1)).alias("n"))
+    value = F.col(f"`{column}`")
+    if mark is not None:  # rows of the overlap never lower the mark
+        value = F.greatest(value, typed_mark(df, column, mark))
+    observed = batch.observe(obs, F.max(value).alias("m"), F.count(F.lit(1)).alias("n"))
     write(observed, run_id)
     got = obs.get
     new_mark = got["m"] if got["m"] is not None else mark

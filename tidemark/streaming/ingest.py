@@ -45,7 +45,10 @@ def ingest_new_files(
         reader = reader.options(**options)
     stream = reader.load(source_path)
 
+    done: list[int] = []  # Spark keeps the progress of the last batches only
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        done.append(batch_id)
         append_batch(transform(batch) if transform else batch, target_path, batch_id)
 
     q = (
@@ -57,4 +60,4 @@ def ingest_new_files(
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return len([p for p in q.recentProgress if p.get("numInputRows", 0) > 0])
+    return len(done)
