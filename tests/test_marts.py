@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark import fixtures as fx
@@ -227,3 +228,32 @@ def test_hot_suppliers_found_through_counts_per_material(spark, sf_small):
     split = left_join_dim(base, sup, "supplier_id", "supplier", hot=hot)
     key = lambda r: r.po_id
     assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+@pytest.mark.parametrize("price_type", ["double", "decimal(18,3)"])
+def test_spend_is_summed_before_it_is_rounded(spark, price_type):
+    """Three lines of 0.125: 0.375 shows as 0.38, the same by every path."""
+    po = spark.createDataFrame([(i, 1, D(2020, 1, 1), None, 1, None) for i in range(3)], "po_id int, material_id int, order_date date, received_date date, quantity_ordered int, quantity_received int")
+    mat = spark.createDataFrame([(1, 0.125, 9, 5)], "material_id int, unit_price double, supplier_id int, lead_time_days int").withColumn("unit_price", F.col("unit_price").cast(price_type))
+    sup = spark.createDataFrame([(9, "s")], "supplier_id int, supplier_name string")
+    p, m, s = su.po_parts(po, mat, sup)
+    base = su.join_base(p, m, s)
+    for rolling in (None, su.material_rolling_spend(p, m)):
+        assert {str(r.rolling_90d_spend) for r in su.rolling_spend(base, rolling=rolling).collect()} == {"0.38"}
+    assert str(su.supplier_performance(base).first().total_spend) == "0.38"
+
+
+def test_tier_is_decided_on_counts(spark):
+    from tidemark.functions.rules import tier_by_counts
+
+    df = spark.createDataFrame([(2000001 - 100001, 2000001), (1900000, 2000000)], "ok bigint, n bigint")
+    got = [r[0] for r in df.select(tier_by_counts(F.col("ok"), F.col("n"), F.lit(200000))).collect()]
+    assert got == ["preferred", "strategic"]
+
+
+def test_reviews_match_database_numerics(spark):
+    customers = spark.createDataFrame([("7",), ("10",), ("0",)], "customer_id string").select(F.col("customer_id").cast("decimal(38,18)"))
+    orders = spark.createDataFrame([], "order_id int, customer_id decimal(38,18), order_amount double, order_date date")
+    reviews = spark.createDataFrame([(1, "7", 4), (2, "10", 5), (3, "0", 3), (4, "7.0", 1), (5, "07", 1)], "review_id int, user_id string, rating int")
+    got = {int(r.customer_id): r.total_reviews for r in cu.customer_360(customers, orders, reviews).collect()}
+    assert got == {7: 1, 10: 1, 0: 1}

@@ -25,20 +25,20 @@ def test_run_stages_and_loads_every_mart(spark, sf_small):
     plan = LoadPlan(
         out,
         targets={
-            "customer_360": Target(os.path.join(out, "DIM_CUSTOMER_360"), "merge", ("customer_id",)),
-            "order_enriched": Target(os.path.join(out, "FACT_ORDERS"), "append"),
+            "customer_360": Target(os.path.join(out, "customer_profiles"), "merge", ("customer_id",)),
+            "order_enriched": Target(os.path.join(out, "order_rows"), "append"),
         },
     )
     counts = run(spark, inputs, work, plan, batch_id=1)
     assert set(counts) == {"customer_360", "order_enriched", "inventory_snapshot", "material_consumption", "supplier_performance"}
     assert counts["customer_360"] == inputs["customers"].count()
-    assert read_current(spark, os.path.join(out, "DIM_CUSTOMER_360")).count() == counts["customer_360"]
-    assert spark.read.parquet(os.path.join(out, "FACT_ORDERS")).count() == counts["order_enriched"]
+    assert read_current(spark, os.path.join(out, "customer_profiles")).count() == counts["customer_360"]
+    assert spark.read.parquet(os.path.join(out, "order_rows")).count() == counts["order_enriched"]
     assert spark.read.parquet(os.path.join(out, "SUPPLIER_PERFORMANCE")).count() == counts["supplier_performance"]
     # a second run of the same batch leaves one copy of the appended facts and one row per merged key
     run(spark, inputs, scratch_path(spark, "run2"), plan, marts=["customer_360", "order_enriched"], batch_id=1)
-    assert spark.read.parquet(os.path.join(out, "FACT_ORDERS")).count() == counts["order_enriched"]
-    assert read_current(spark, os.path.join(out, "DIM_CUSTOMER_360")).count() == counts["customer_360"]
+    assert spark.read.parquet(os.path.join(out, "order_rows")).count() == counts["order_enriched"]
+    assert read_current(spark, os.path.join(out, "customer_profiles")).count() == counts["customer_360"]
 
 
 def test_purchasing_marts_share_one_base(spark, sf_small):
@@ -123,14 +123,14 @@ def test_run_config_from_file_datasets(spark, sf_small):
         "as_of": "2002-01-01",
         "batch_id": 7,
         "load": {"base_path": out, "write_mode": "overwrite", "tables": [
-            {"source": "customer_360", "target": os.path.join(out, "DIM_CUSTOMER_360"), "write_mode": "merge", "merge_keys": ["customer_id"]},
-            {"source": "order_enriched", "target": os.path.join(out, "FACT_ORDERS"), "write_mode": "append"},
+            {"source": "customer_360", "target": os.path.join(out, "customer_profiles"), "write_mode": "merge", "merge_keys": ["customer_id"]},
+            {"source": "order_enriched", "target": os.path.join(out, "order_rows"), "write_mode": "append"},
         ]},
     }
     counts = run_config(spark, cfg)
     assert counts["customer_360"] == fx.customers(spark, sf_small).count()
-    assert read_current(spark, os.path.join(out, "DIM_CUSTOMER_360")).filter("avg_review_rating IS NOT NULL").count() > 0
-    assert {r.batch_id for r in spark.read.parquet(os.path.join(out, "FACT_ORDERS")).select("batch_id").distinct().collect()} == {7}
+    assert read_current(spark, os.path.join(out, "customer_profiles")).filter("avg_review_rating IS NOT NULL").count() > 0
+    assert {r.batch_id for r in spark.read.parquet(os.path.join(out, "order_rows")).select("batch_id").distinct().collect()} == {7}
 
 
 def test_run_config_advances_marks_after_a_successful_run(spark, sf_small):
@@ -163,13 +163,83 @@ def test_run_config_advances_marks_after_a_successful_run(spark, sf_small):
                 {"source": "material_consumption", "target": os.path.join(landing, "FACT"), "write_mode": "append"}]},
         }
 
+    with pytest.raises(ValueError):
+        run_config(spark, {**cfg(1), "batch_id": None})
     first = run_config(spark, cfg(1))["material_consumption"]
     store = WatermarkStore(spark, store_path)
     assert store.get("purchase_orders") == "2000-01-01 00:00:00"
     # new versions arrive; the second run reads only them
     po.filter(F.col("updated_at") > F.lit(mark).cast("timestamp_ntz")).write.mode("append").parquet(os.path.join(landing, "po"))
-    second = run_config(spark, cfg(2))["material_consumption"]
+    profile = {}
+    second = run_config(spark, cfg(2), profile)["material_consumption"]
     newest = po.agg(F.max("updated_at")).first()[0]
     assert store.get("purchase_orders") == str(newest)
-    later = po.filter(F.col("updated_at") > F.lit(mark).cast("timestamp_ntz")).select("po_id").distinct().count()
-    assert first > 0 and second == later
+    assert profile["material_consumption"]["po_id"] == 0 and profile["material_consumption"]["received_date"] > 0
+    # one row per purchase order, the values of a full run
+    got = read_current(spark, os.path.join(landing, "FACT")).drop("_etl_loaded_at")
+    full = build(d, ["material_consumption"])["material_consumption"].drop("_etl_loaded_at")
+    key = lambda r: r.po_id
+    assert sorted(got.select(*full.columns).collect(), key=key) == sorted(full.collect(), key=key)
+    assert first > 0 and second <= full.count()
+    # a third run without new rows writes nothing and leaves the mark
+    assert run_config(spark, cfg(3))["material_consumption"] == 0
+    assert store.get("purchase_orders") == str(newest)
+
+
+def test_incremental_orders_that_change_and_move(spark):
+    """Updates, a moved order, an overlap and rows without a mark: equal to a full run after every slice."""
+    from tidemark.plans.run import run_config
+
+    base, out = scratch_path(spark, "landing_moves"), scratch_path(spark, "out_moves")
+    schema = "order_id bigint, customer_id bigint, product_id bigint, order_amount decimal(18,3), order_date date, updated_at timestamp_ntz"
+    day = lambda n: dt.date(2020, 1, n)
+    at = lambda n: dt.datetime(2020, 2, n)
+    slices = [
+        [(1, 10, 5, 1, day(1), at(1)), (2, 10, 5, 1, day(2), at(1)), (3, 20, 6, 1, day(1), at(2)), (9, 30, 6, 1, day(1), None)],
+        [(1, 20, 5, 2, day(3), at(3)), (4, 10, 6, 1, day(4), at(4))],  # order 1 moves to customer 20
+        [(5, 30, 5, 1, day(9), at(5)), (2, 10, 5, 7, day(2), at(5)), (8, 20, 5, 1, day(8), None)],
+    ]
+    products = spark.createDataFrame([(5, "five"), (6, "six")], "product_id bigint, product_name string")
+    products.write.parquet(f"{base}/products")
+    seen = []
+    for batch, rows in enumerate(slices, start=1):
+        seen += rows
+        spark.createDataFrame([(*r[:3], __import__("decimal").Decimal(r[3]), *r[4:]) for r in rows], schema).write.mode("append").parquet(f"{base}/orders")
+        run_config(spark, {
+            "datasets": [{"name": "orders", "path": f"{base}/orders", "incremental_column": "updated_at", "overlap_seconds": 86400}, {"name": "products", "path": f"{base}/products"}],
+            "watermark_store": f"{base}/marks", "work_dir": scratch_path(spark, "work_moves"), "marts": ["order_enriched"],
+            "loaded_at": "2020-03-01T00:00:00", "batch_id": 100 - batch,
+            "load": {"base_path": out, "tables": [{"source": "order_enriched", "target": f"{out}/t", "write_mode": "append"}]},
+        })
+        full = build({"orders": spark.read.parquet(f"{base}/orders"), "products": products}, ["order_enriched"], Params(loaded_at=dt.datetime(2020, 3, 1)))["order_enriched"]
+        got = read_current(spark, f"{out}/t").select(*full.columns)
+        assert sorted(got.collect()) == sorted(full.collect())
+
+
+def test_defaults_are_the_current_day_and_rules_can_be_set(spark):
+    before = dt.datetime.now(dt.timezone.utc).date()
+    assert before <= Params().as_of <= dt.datetime.now(dt.timezone.utc).date()
+    inv = spark.createDataFrame([(1, 1, 1, 30, 10, 1.0, before)], "inventory_id int, product_id int, warehouse_id int, quantity_on_hand int, reorder_level int, unit_cost double, last_restock_date date")
+    products = spark.createDataFrame([(1,)], "product_id int")
+    warehouses = spark.createDataFrame([(1,)], "warehouse_id int")
+    d = {"inventory": inv, "products": products, "warehouses": warehouses}
+    row = build(d, ["inventory_snapshot"])["inventory_snapshot"].first()
+    assert row.days_since_restock in (0, 1) and row.stock_health == "healthy"
+    assert build(d, ["inventory_snapshot"], Params(overstock_factor=2))["inventory_snapshot"].first().stock_health == "overstock"
+
+
+def test_files_are_read_in_place_and_pruned(spark):
+    from tidemark.plans.run import run_config
+
+    base = scratch_path(spark, "landing_pruned")
+    rows = [(i, i % 3, 1, 5, 1, 2000 + i % 2) for i in range(20)]
+    spark.createDataFrame(rows, "inventory_id int, product_id int, warehouse_id int, quantity_on_hand int, reorder_level int, year int").selectExpr(
+        "*", "1.5D AS unit_cost", "DATE '2020-01-01' AS last_restock_date").write.partitionBy("year").parquet(f"{base}/inventory")
+    spark.range(3).selectExpr("CAST(id AS INT) product_id").write.parquet(f"{base}/products")
+    spark.range(3).selectExpr("CAST(id AS INT) warehouse_id").write.parquet(f"{base}/warehouses")
+    work = scratch_path(spark, "work_pruned")
+    n = run_config(spark, {
+        "datasets": [{"name": "inventory", "path": f"{base}/inventory", "partitions": {"year": [2001]}}, {"name": "products", "path": f"{base}/products"}, {"name": "warehouses", "path": f"{base}/warehouses"}],
+        "work_dir": work, "marts": ["inventory_snapshot"], "load": {"base_path": f"{base}/out"},
+    })
+    assert n == {"inventory_snapshot": 10} and not os.path.exists(os.path.join(work, "raw"))

@@ -65,3 +65,17 @@ def test_write_table_rejects_bad_modes_up_front(spark):
         write_table(df, scratch_path(spark, "x"), "append")
     with pytest.raises(ValueError):
         write_table(df, scratch_path(spark, "x"), "upsert")
+
+
+def test_merge_into_a_table_that_an_overwrite_wrote(spark):
+    path = scratch_path(spark, "t_over_merge")
+    write_overwrite(spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "k int, v string, year int"), path)
+    write_table(spark.createDataFrame([(2, "B", 7)], "k int, v string, year int"), path, "merge", merge_keys=["k"])
+    assert sorted(tuple(r) for r in read_current(spark, path).collect()) == [(1, "a", 5), (2, "B", 7)]
+
+
+def test_upsert_keeps_columns_that_the_batch_does_not_carry(spark):
+    target = spark.createDataFrame([(1, "a", "keep1"), (2, "b", "keep2"), (None, "n", "keep3")], "k int, v string, note string")
+    source = spark.createDataFrame([(2, "B", 9), (None, "N", 8), (4, "D", 7)], "k int, v string, extra int")
+    got = sorted((tuple(r) for r in upsert(target, source, ["k"]).collect()), key=str)
+    assert got == sorted([(1, "a", "keep1", None), (2, "B", "keep2", 9), (None, "N", "keep3", 8), (4, "D", None, 7)], key=str)

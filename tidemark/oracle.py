@@ -433,6 +433,14 @@ def _sql() -> dict[str, str]:
             f"count(*) AS new_rows FROM purchase_orders WHERE updated_at > {PO_MARK}",
         ),
         "merge_upsert": with_ctes(["purchase_orders"], [], dedup("purchase_orders", po_cols, ["po_id"], ["updated_at"])),
+        "incremental_material_consumption": _material_consumption(),
+        "incremental_order_enriched": _order_enriched(),
+        "run_config_customer_360": _customer_360(),
+        "order_enriched_split": with_ctes(
+            ["orders_d", "products"], [ORD_T, ORD, ("prod", dedup("products", COLUMNS["products"], ["product_id"]))],
+            f"SELECT o.order_id, o.customer_id, o.product_id, p.product_name, {RANK} AS order_rank "
+            "FROM ord o LEFT JOIN prod p ON o.product_id = p.product_id",
+        ),
         "merge_into_overwritten": with_ctes(["purchase_orders"], [], dedup("purchase_orders", po_cols, ["po_id"], ["updated_at"])),
         "merge_partial_columns": with_ctes(
             ["orders_d"], [],

@@ -21,11 +21,14 @@ from tidemark.functions.hashing import add_audit_columns, row_hash
 from tidemark.functions.text import trim_strings
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.quality import drop_nulls, table_profile
+from tidemark.operators.windows import rank_within
 from tidemark.plans import customer as cu
 from tidemark.plans import inventory as inv
 from tidemark.plans import supply as su
+from tidemark.plans.common import dim_latest, left_join_dim
+from tidemark.plans.run import run_config
 from tidemark.session import scratch_path
-from tidemark.sinks.tables import append_batch, stage, upsert_table, write_overwrite
+from tidemark.sinks.tables import append_batch, read_current, stage, upsert_table, write_overwrite
 from tidemark.sources.files import read_dataset
 from tidemark.sources.incremental import incremental_filter, new_watermark, typed_mark
 from tidemark.sources.schema import load_schema, validate_schema
@@ -37,6 +40,7 @@ AS_OF = dt.date(2002, 1, 1)  # the evaluation day and load instant
 LOADED_AT = dt.datetime(2002, 1, 1, 0, 0, 0)
 SEGMENT_THRESHOLDS = (3500000, 2500000, 1500000)  # spreads the testdata over all four segments
 PO_MARK = dt.datetime(2000, 1, 1, 0, 0, 0)  # high-water mark on purchase_orders.updated_at
+ORDER_MARK = dt.date(1997, 1, 1)  # high-water mark on orders.order_date
 TOP_K = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,6 +169,61 @@ def q_incremental_new_watermark(spark, sf):
     return new_watermark(batch, "purchase_orders", "updated_at", PO_MARK)
 
 
+def _two_slices(spark, sf, mart, source, column, mark, others, overlap_seconds=None):
+    """Run ``run_config`` on the rows up to ``mark``, land the rest, run it again; the target."""
+    landing, out = scratch_path(spark, f"landing_{mart}"), scratch_path(spark, f"target_{mart}")
+    d = fx.domain(spark, sf, source, *others)
+    value = F.col(column)
+    later = F.coalesce(value > F.lit(str(mark)).cast(d[source].schema[column].dataType), F.lit(False))
+    for n in others:
+        write_overwrite(d[n], f"{landing}/{n}")
+    datasets = [{"name": n, "path": f"{landing}/{n}"} for n in (source, *others)]
+    datasets[0] |= {"incremental_column": column, **({"overlap_seconds": overlap_seconds} if overlap_seconds else {})}
+    for batch, rows in enumerate((d[source].filter(~later), d[source].filter(later)), start=1):
+        rows.write.mode("append").parquet(f"{landing}/{source}")
+        run_config(spark, {
+            "datasets": datasets, "watermark_store": f"{landing}/marks", "work_dir": scratch_path(spark, f"work_{mart}"),
+            "marts": [mart], "loaded_at": LOADED_AT.isoformat(), "batch_id": batch,
+            "load": {"base_path": out, "tables": [{"source": mart, "target": f"{out}/t", "write_mode": "append"}]},
+        })
+    return read_current(spark, f"{out}/t")
+
+
+def q_incremental_material_consumption(spark, sf):
+    """Two slices with updated purchase orders and an overlap equal one full run."""
+    return _two_slices(spark, sf, "material_consumption", "purchase_orders", "updated_at", PO_MARK, ("raw_materials", "suppliers"), 86400)
+
+
+def q_incremental_order_enriched(spark, sf):
+    """Later orders change the ranks of earlier ones: two slices equal one full run."""
+    return _two_slices(spark, sf, "order_enriched", "orders", "order_date", ORDER_MARK, ("products",))
+
+
+def q_run_config_customer_360(spark, sf):
+    """The configured run over file datasets (ORC among them), merged into a target."""
+    landing, out = scratch_path(spark, "landing_c360"), scratch_path(spark, "target_c360")
+    d = fx.domain(spark, sf, "customers", "orders", "product_reviews")
+    datasets = []
+    for n, fmt in (("customers", "orc"), ("orders", "parquet"), ("product_reviews", "orc")):
+        d[n].write.format(fmt).save(f"{landing}/{n}")
+        datasets.append({"name": n, "path": f"{landing}/{n}", "file_format": fmt})
+    run_config(spark, {
+        "datasets": datasets, "work_dir": scratch_path(spark, "work_c360"), "marts": ["customer_360"],
+        "as_of": AS_OF.isoformat(), "loaded_at": LOADED_AT.isoformat(), "params": {"segment_thresholds": list(SEGMENT_THRESHOLDS)},
+        "load": {"base_path": out, "tables": [{"source": "customer_360", "target": f"{out}/c360", "write_mode": "merge", "merge_keys": ["customer_id"]}]},
+    })
+    return read_current(spark, f"{out}/c360")
+
+
+def q_order_enriched_split(spark, sf):
+    """The hot-key paths forced: every key above 5 rows is salted or ranked in pieces."""
+    orders = cu.clean_orders(fx.orders(spark, sf))
+    e = left_join_dim(orders, dim_latest(fx.products(spark, sf), "product_id"), "product_id", "product", hot_source=orders.select("product_id"), max_group_rows=5)
+    return rank_within(
+        e, ["customer_id"], cu.recency_order(), "order_rank", split=cu.recency_split(), hot_source=orders.select("customer_id"), max_group_rows=5
+    ).select("order_id", "customer_id", "product_id", "product_name", "order_rank")
+
+
 # ---- sinks (round trips) --------------------------------------------------
 
 def _up_to_mark(po):
@@ -280,6 +339,10 @@ QUERIES: dict[str, Query] = {
     "table_profile": q_table_profile,
     "incremental_filter": q_incremental_filter,
     "incremental_new_watermark": q_incremental_new_watermark,
+    "incremental_material_consumption": q_incremental_material_consumption,
+    "incremental_order_enriched": q_incremental_order_enriched,
+    "run_config_customer_360": q_run_config_customer_360,
+    "order_enriched_split": q_order_enriched_split,
     "merge_upsert": q_merge_upsert,
     "merge_into_overwritten": q_merge_into_overwritten,
     "merge_partial_columns": q_merge_partial_columns,
