@@ -11,16 +11,3 @@ def test_recommended_conf_bounds():
     assert recommended_conf(10 << 20)["spark.sql.shuffle.partitions"] == "200"
     assert recommended_conf(100 << 40)["spark.sql.shuffle.partitions"] == "102400"
     assert recommended_conf(1000 << 30)["spark.sql.shuffle.partitions"] == "1000"
-
-
-def test_cut_lineage_uses_the_shared_checkpoint_dir(spark):
-    from pyspark.sql import functions as F
-
-    from tidemark.session import cut_lineage
-
-    df = spark.range(100).select((F.col("id") % 7).alias("k")).groupBy("k").count()
-    cut = cut_lineage(df)
-    plan = cut._jdf.queryExecution().optimizedPlan().toString()
-    assert "LogicalRDD" in plan and "Aggregate" not in plan
-    assert sorted(cut.collect()) == sorted(df.collect())
-    assert spark.sparkContext.getCheckpointDir() is not None

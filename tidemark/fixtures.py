@@ -51,14 +51,14 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with the part of their first line item as ``product_id``.
 
-    The first line is the smallest (l_linenumber, l_partkey, l_shipdate); it is
-    taken with a hash aggregate (``min`` over a struct), which combines map-side
-    and needs no sort. Orders without line items keep a NULL ``product_id``.
+    The first line is the smallest (l_linenumber, l_partkey), packed into one
+    BIGINT (part keys below 2**40), so that the minimum is a hash aggregate
+    that combines map-side and needs no sort. Orders without line items keep a NULL ``product_id``.
     """
     li = _read(spark, sf_dir, "lineitem")
     first = li.groupBy("l_orderkey").agg(
-        F.min(F.struct("l_linenumber", "l_partkey", "l_shipdate")).alias("m")
-    ).select("l_orderkey", F.col("m.l_partkey").alias("l_partkey"))
+        F.min(F.shiftleft(F.col("l_linenumber").cast("bigint"), 40) + F.col("l_partkey")).alias("m")
+    ).select("l_orderkey", F.col("m").bitwiseAND((1 << 40) - 1).alias("l_partkey"))
     o = _read(spark, sf_dir, "orders")
     j = o.join(first, o["o_orderkey"] == first["l_orderkey"], "left")
     return j.select(

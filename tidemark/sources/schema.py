@@ -6,7 +6,8 @@ import json
 import re
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
@@ -69,7 +70,22 @@ def parse_type(name: str, field: str = "?") -> DataType:
     m = _DECIMAL.match(key)
     if m:
         return DecimalType(int(m.group(1)), int(m.group(2)))
-    raise SchemaError(f"Unsupported type '{name}' for field '{field}'")
+    raise SchemaError(f"field '{field}' has no Spark type for '{name}'")
+
+
+def _schema_text(path: str) -> str:
+    """A schema file's text: a driver-local path, or any URI that Spark's readers open."""
+    local = Path(path)
+    if local.exists():
+        return local.read_text()
+    spark = SparkSession.getActiveSession()
+    if "://" in path and spark is not None:
+        try:
+            return spark.read.text(path, wholetext=True).first()[0]
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
+    raise FileNotFoundError(f"schema file not found: {path}")
 
 
 def load_schema(source: str | Path | dict | StructType) -> StructType:
@@ -84,10 +100,7 @@ def load_schema(source: str | Path | dict | StructType) -> StructType:
     if isinstance(source, StructType):
         return source
     if isinstance(source, (str, Path)):
-        path = Path(source)
-        if not path.exists():
-            raise FileNotFoundError(f"schema file not found: {path}")
-        raw = json.loads(path.read_text())
+        raw = json.loads(_schema_text(str(source)))
     else:
         raw = source
     fields = raw.get("fields")
