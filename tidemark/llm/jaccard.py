@@ -64,6 +64,8 @@ BAND_RATIO = 1.5
 BATCH_COUNT, FREQUENT_TOKENS = 2, 1 << 18
 #: Rows of a group of equal entries from which on neighbours in it are tried before all pairs.
 LARGE_GROUP = 8
+#: Ids that are broadcast at most (32 MB).
+BROADCAST_IDS = 1 << 22
 #: Rows of groups that are compared in one piece of work (about).
 BUCKET_ROWS = 50_000
 #: Index entries of a bucket (about) and per text byte (at most about).
@@ -340,6 +342,11 @@ def _other(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
+def _checked(ids: DataFrame) -> DataFrame:
+    """A table of ids, broadcast if it is counted to be small; else Spark's own choice of join."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _mixed(groups: DataFrame, labels: DataFrame) -> DataFrame:
     """``hash, node, component, rows`` of the groups that hold several components."""
     by_hash = Window.partitionBy("hash")
@@ -353,7 +360,8 @@ def node_components(docs: DataFrame, nodes: DataFrame, frequencies: Frequencies,
     groups = candidate_groups(docs, n, threshold, frequencies)
     wanted = groups.select("node").distinct()
     chosen = nodes.where("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(wanted, "node", "left_semi")
-    texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = saved(chosen.select("doc_id").distinct(), "chosen")
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(_checked(ids), "doc_id", "left_semi")
     sets = saved(_token_sets(texts.dropDuplicates(["doc_id", "text"]), n), "sets")
 
     # phase 1: each node and the leader it shares most entries with
@@ -434,5 +442,5 @@ def one_of_each(docs: DataFrame, n: int = SHINGLE_WORDS, threshold: tuple[int, i
     found = components(docs, n, threshold)
     gone = saved(found.where("doc_id != component_id").select("doc_id").distinct(), "gone")
     repeated = found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
-    rest = docs.join(gone, "doc_id", "left_anti")
+    rest = docs.join(_checked(gone), "doc_id", "left_anti")
     return rest.select(*docs.columns) if repeated.limit(1).count() == 0 else rest.dropDuplicates(["doc_id"]).select(*docs.columns)
