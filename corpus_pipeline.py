@@ -5,8 +5,9 @@ is written as Parquet and read again as the next stage's ``docs``. All stages
 but the last return the columns of ``documents``; the last adds the mix.
 
 Defined cases: a stage whose side table (labels, benchmark) is empty keeps
-every document; an empty table passes through; NULL texts are kept by the
-filters (they score, contain and link nothing) and mixed with 0 words.
+every document; an empty table passes through; a NULL or wordless text is
+graded as a text without features, links and contains nothing, and is never
+taken by the mix (0 words).
 """
 
 from __future__ import annotations

@@ -11,14 +11,14 @@ selects documents.
 Training uses a bounded sample: per grade the ``SAMPLE_DOCS`` labelled
 documents first in hash order. Their features are computed on the executors;
 the driver fits the weights of those that the grades relate to (a score test
-of ``MIN_Z`` standard errors; the others weigh nothing, so chance words and
+of ``MIN_Z`` standard errors and ``MIN_EFFECT``; the others weigh nothing, so chance words and
 long texts do not add up) by full-batch gradient steps. Every document is then
 scored in Arrow batches against the broadcast weights, without a shuffle.
 
 Defined cases: NULL or wordless texts have no features and score 0; labels
 with a NULL grade part, of unknown documents, or conflicting ones (the lowest
 grade counts) do no harm; without labels all weights are 0 and every tail is
-1/2, which is kept; repeated rows give repeated result rows; extra columns
+1, so all is kept; repeated rows give repeated result rows; extra columns
 are ignored (``grade``) or kept (``select``); whole texts are read.
 """
 
@@ -41,9 +41,10 @@ SAMPLE_DOCS = 3000
 #: Hashed features (a power of two).
 FEATURES = 1 << 18
 #: Grades are 0 .. GRADES - 1; documents are kept by the tail of this grade.
-GRADES, KEEP_GRADE, KEEP_TAIL = 3, 2, 0.5
-#: Standard errors by which the grades of a feature's documents must stand out at some threshold.
-MIN_Z = 5.0
+GRADES, KEEP_GRADE, KEEP_TAIL = 3, 2, 0.7
+#: Standard errors by which the grades of a feature's documents must stand out at some
+#: threshold, and the same per square root of the sample size (an effect size).
+MIN_Z, MIN_EFFECT = 4.5, 0.12
 #: Gradient steps, step size and L2 penalty of the fit.
 STEPS, RATE, PENALTY = 400, 0.05, 1e-4
 
@@ -119,7 +120,7 @@ def fit(sample: list[tuple[int, list[int]]], population: dict[int, int]) -> Mode
     sample = [(g, f) for g, f in sample if f]
     weights = np.zeros(FEATURES)
     if not sample:
-        return Model(weights, np.zeros(GRADES - 1))
+        return Model(weights, np.full(GRADES - 1, -60.0))
     y = np.array([g for g, _ in sample])
     rows = np.repeat(np.arange(len(sample)), [len(f) for _, f in sample])
     cols = np.concatenate([f for _, f in sample])
@@ -136,7 +137,7 @@ def fit(sample: list[tuple[int, list[int]]], population: dict[int, int]) -> Mode
         centre = float(np.sum(even * above))
         spread = max((centre * (1 - centre)) ** 0.5, 1e-9)
         z = np.maximum(z, np.abs(np.bincount(cols, ((above - centre) * balance)[rows], FEATURES)) / (spread * np.sqrt(seen)))
-    kept = z[cols] >= MIN_Z
+    kept = z[cols] >= max(MIN_Z, MIN_EFFECT * len(y) ** 0.5)
     chosen, cols = np.unique(cols[kept], return_inverse=True)
     rows, own = rows[kept], np.zeros(len(chosen))
     cut = np.arange(1.0, GRADES) - GRADES / 2  # start: ordered and one apart
