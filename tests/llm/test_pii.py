@@ -46,6 +46,15 @@ def test_formats_stay_and_equal_values_stay_linked():
     assert pii._mod97(iban[4:] + iban[:4]) == 1
 
 
+def test_neighbouring_values_do_not_run_together():
+    p = pii.Pseudonyms(KEY)
+    c = card("453201511283036")
+    text = f"+1 (269) 555-3296 {c[:4]} {c[4:8]} {c[8:12]} {c[12:]} 27.65.93.188 +1 (988) 555-2485"
+    new, found = p.replace(text)
+    assert found == {"phone": 2, "card": 1, "ip": 1}
+    assert not any(x in new for x in ("555-3296", c[4:12], "27.65.93", "555-2485"))
+
+
 def test_invalid_values_are_left_alone():
     p = pii.Pseudonyms(KEY)
     for t in ("4111 1111 1111 1112", "1984-02-30", "300.1.2.3", "000-12-3456", "version 1.2.3", "2024", "GB82 WEST 1234 5698 7654 33", "9870157079875990"):

@@ -40,7 +40,7 @@ PATTERN = re.compile(
             r"(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
             rf"(?P<ip>(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d))",
             r"(?P<date>(?<!\d)(?:\d{4}(?P<d1>[-/.])\d{2}(?P=d1)\d{2}|\d{2}(?P<d2>[-/.])\d{2}(?P=d2)\d{4})(?!\d))",
-            r"(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]\d{2,4}){1,3}|\d{2,4}(?:[ .-]\d{2,4}){1,4}|\d{7,12})(?!\d)"
+            r"(?P<phone>\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]\d{2,4}){1,3}|\d{2,4}(?:[ .-]\d{2,4}){1,4}|\d{7,12})(?!\d)"
             r"|(?<![\d-])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}(?P<p1>[ .-])\d{3}(?P=p1)\d{4}(?!\d))",
             r"(?P<card>(?<!\d)(?:\d{4}(?P<c1>[ -])\d{4}(?P=c1)\d{4}(?P=c1)\d{1,7}|\d{4}(?P<c2>[ -])\d{6}(?P=c2)\d{5}|\d{13,19})(?!\d))",
             r"(?P<ssn>(?<!\d)\d{3}-\d{2}-\d{4}(?!\d))",
