@@ -31,13 +31,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_schema
 
 #: Bound of the training sample: documents per grade.
-SAMPLE_DOCS = 3000
+SAMPLE_DOCS = 2000
 #: Hashed features (a power of two).
 FEATURES = 1 << 18
 #: Grades are 0 .. GRADES - 1; documents are kept by the tail of this grade.
@@ -81,15 +82,16 @@ def features(text: str | None) -> list[int]:
 
 
 def featured(rows: DataFrame) -> DataFrame:
-    """``grade, features`` of rows with ``grade`` and ``text``."""
-    schema = "grade int, features array<int>"
+    """``doc_id, grade, features`` of rows with ``doc_id``, ``grade`` and ``text``."""
+    schema = "doc_id bigint, grade int, features array<int>"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([features(t) for t in b.column(1).to_pylist()], out[1].type)], schema=out)
+            found = pa.array([features(t) for t in b.column(2).to_pylist()], out[2].type)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), found], schema=out)
 
-    return rows.select(F.col("grade").cast("int"), "text").mapInArrow(run, schema)
+    return rows.select(F.col("doc_id").cast("bigint"), F.col("grade").cast("int"), "text").mapInArrow(run, schema)
 
 
 def grades(labels: DataFrame) -> DataFrame:
@@ -111,19 +113,19 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds - score, -60, 60)))
 
 
-def fit(sample: list[tuple[int, list[int]]], population: dict[int, int]) -> Model:
+def fit(sample: pa.Table, population: dict[int, int]) -> Model:
     """Maximum likelihood with an L2 penalty, by Adam steps on the whole sample.
 
-    Each grade weighs as much as it does among all labelled documents
+    ``sample`` is ``featured`` (kept in arrays, not in Python objects). Each grade weighs as much as it does among all labelled documents
     (``population``), however many of them are in the sample.
     """
-    sample = [(g, f) for g, f in sample if f]
     weights = np.zeros(FEATURES)
-    if not sample:
+    lengths = pc.list_value_length(sample["features"]).to_numpy()
+    y = sample["grade"].to_numpy()[lengths > 0]
+    if not len(y):
         return Model(weights, np.full(GRADES - 1, -60.0))
-    y = np.array([g for g, _ in sample])
-    rows = np.repeat(np.arange(len(sample)), [len(f) for _, f in sample])
-    cols = np.concatenate([f for _, f in sample])
+    rows = np.repeat(np.arange(len(y), dtype=np.int32), lengths[lengths > 0])
+    cols = pc.list_flatten(sample["features"]).to_numpy()
     count = np.bincount(y, minlength=GRADES)
     even = 1 / (np.count_nonzero(count) * count[y])
     share = np.array([population[int(g)] for g in y]) / count[y]
@@ -167,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     population = {r.grade: r.n for r in graded.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     # at most GRADES * SAMPLE_DOCS ids, so the broadcast is bounded
     sample = docs.select("doc_id", "text").join(F.broadcast(sampled(graded)), "doc_id")
-    return fit(sorted((r.grade, r.features) for r in featured(sample).collect()), population)
+    return fit(featured(sample).toArrow().sort_by([("doc_id", "ascending"), ("grade", "ascending")]), population)
 
 
 def sampled(graded: DataFrame) -> DataFrame:
