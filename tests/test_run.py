@@ -72,8 +72,9 @@ def test_staged_clean_orders_give_the_same_marts(spark, sf_small):
     a = cu.order_enriched(d["orders"], d["products"]).drop("_etl_loaded_at")
     b = cu.order_enriched(clean, d["products"], orders_clean=True).drop("_etl_loaded_at")
     assert sorted(a.collect(), key=lambda r: r.order_id) == sorted(b.collect(), key=lambda r: r.order_id)
-    c1 = cu.customer_360(d["customers"], d["orders"])
-    c2 = cu.customer_360(d["customers"], clean, orders_clean=True)
+    at = {"as_of": dt.date(2002, 1, 1), "loaded_at": dt.datetime(2002, 1, 1)}
+    c1 = cu.customer_360(d["customers"], d["orders"], **at)
+    c2 = cu.customer_360(d["customers"], clean, orders_clean=True, **at)
     assert sorted(c1.collect(), key=lambda r: r.customer_id) == sorted(c2.collect(), key=lambda r: r.customer_id)
 
 
