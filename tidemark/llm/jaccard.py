@@ -67,9 +67,9 @@ LARGE_GROUP = 8
 #: Ids that are broadcast at most (32 MB).
 BROADCAST_IDS = 1 << 22
 #: Rows of groups that are compared in one piece of work (about).
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 20_000
 #: Index entries of a bucket (about) and per text byte (at most about).
-BUCKET_ENTRIES, ENTRIES_PER_BYTE = 1_000_000, 0.12
+BUCKET_ENTRIES, ENTRIES_PER_BYTE = 500_000, 0.12
 
 MASK = (1 << 64) - 1
 
