@@ -110,3 +110,23 @@ def test_one_of_each(docs):
     d = docs([(5, base), (3, base), (9, base.replace("w59", "x")), (3, base), (1, "other text of its own here"), (7, None), (8, None)])
     out = ja.one_of_each(d)
     assert out.columns == d.columns and sorted(r.doc_id for r in out.collect()) == [1, 3, 7, 8]
+
+
+def test_one_of_each_decides_by_id_and_text(docs):
+    near = " ".join(f"w{i}" for i in range(60))
+    others = [" ".join(f"{c}{i}" for i in range(20)) for c in "abcde"]
+    rows = [
+        (None, others[0]), (None, others[1]), (None, others[2]), (4, others[3]), (4, others[3]),  # NULL ids beside a repeat
+        (6, others[4]), (6, others[4].replace("e", "f")),  # one id, two texts
+        (1, near), (8, near.replace("w59", "x")), (8, " ".join(f"g{i}" for i in range(20))),  # one linked text, one of its own
+        (1, near.replace("w0 ", "y ")), (9, None), (9, ""), (9, " ".join(f"h{i}" for i in range(20))),
+    ]
+    got = [(r.doc_id, r.text) for r in ja.one_of_each(docs(rows)).collect()]
+    assert sorted(t for i, t in got if i is None) == sorted(others[:3])
+    assert [t for i, t in got if i == 4] == [others[3]]
+    assert sorted(t for i, t in got if i == 6) == sorted([others[4], others[4].replace("e", "f")])
+    assert [t for i, t in got if i == 8] == [rows[9][1]]
+    assert [t for i, t in got if i == 1] in ([near], [rows[10][1]])
+    assert len([t for i, t in got if i == 9]) == 2 and len(got) == 10
+    again = ja.one_of_each(docs(rows[::-1])).collect()
+    assert sorted(map(str, again)) == sorted(map(str, ja.one_of_each(docs(rows)).collect()))

@@ -419,28 +419,57 @@ def _possible_pairs(threshold: tuple[int, int]) -> Callable[[pa.Table], pa.Table
     return run
 
 
-def components(docs: DataFrame, n: int = SHINGLE_WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row of ``docs``.
-
-    The component is the smallest doc_id that links reach, the document's own included.
-    """
+def _named(docs: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
+    """``doc_id, n_shingles, node, component, component_id`` per row of ``docs`` (node and component are NULL for an empty set)."""
     nodes, frequencies = shingle_nodes(docs, n)
     labels = node_components(docs, nodes, frequencies, n, threshold)
     named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.where("node IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return (
         named.join(smallest, "component", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        .select("doc_id", "n_shingles", "node", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
     )
 
 
+def components(docs: DataFrame, n: int = SHINGLE_WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` per row of ``docs``.
+
+    The component is the smallest doc_id that links reach, the document's own included.
+    """
+    return _named(docs, n, threshold).select("doc_id", "n_shingles", "component_id")
+
+
 def one_of_each(docs: DataFrame, n: int = SHINGLE_WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` without those whose group keeps another document (the smallest doc_id), unchanged.
 
-    Rows that repeat the kept doc_id stay one row.
+    Rows are told apart by doc_id and text: of a doc_id that occurs with several
+    texts each row goes or stays by its own text. Rows of one doc_id in one group
+    stay one row (the smallest node, then the smallest values). Rows with a NULL
+    doc_id all stay.
     """
-    found = components(docs, n, threshold)
+    found = _named(docs, n, threshold)
     gone = saved(found.where("doc_id != component_id").select("doc_id").distinct(), "gone")
-    repeated = found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
-    rest = docs.join(_checked(gone), "doc_id", "left_anti")
-    return rest.select(*docs.columns) if repeated.limit(1).count() == 0 else rest.dropDuplicates(["doc_id"]).select(*docs.columns)
+    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.limit(1).count() == 0:
+        return docs.join(_checked(gone), "doc_id", "left_anti").select(*docs.columns)
+
+    # rows whose doc_id occurs once need no node; the others are decided by (doc_id, node)
+    repeated = saved(repeated, "repeated")
+    once = docs.join(_checked(gone.union(repeated).distinct()), "doc_id", "left_anti").select(*docs.columns)
+    stays = found.where("doc_id = component_id").join(_checked(repeated), "doc_id", "left_semi")
+    stays = saved(stays.groupBy("doc_id", "component").agg(F.min("node").alias("node")).select("doc_id", "node"), "stays")
+
+    @F.arrow_udf("bigint")
+    def node(text: pa.Array) -> pa.Array:
+        sets = _sets(pa.RecordBatch.from_arrays([text], ["text"]), n)
+        return pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
+
+    again = docs.join(_checked(repeated), "doc_id", "left_semi").select(*docs.columns)
+    rows = again.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), node("text").alias("node"))
+    kept = rows.alias("r").join(
+        _checked(stays).alias("s"), (F.col("r.doc_id") == F.col("s.doc_id")) & F.col("r.node").eqNullSafe(F.col("s.node")), "left_semi"
+    )
+    fixed = ["row.text", *(f"row.{f.name}" for f in docs.schema if "map<" not in f.dataType.simpleString())]
+    first = Window.partitionBy("doc_id", "node").orderBy(*fixed)
+    one = kept.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
+    return once.unionByName(one)
