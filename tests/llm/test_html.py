@@ -52,3 +52,26 @@ def test_edges(spark):
     assert {(1, "", 0), (2, "", 0), (3, "", 0), (4, "plain < text & more", 19), (5, "kept text", 9)} <= got
     assert any(p == 7 and n == 5 * 30000 - 1 for p, _, n in got)
     assert ht.extract(pages(spark, []), {}).collect() == [] and ht.learn(pages(spark, []))["word"] > 0
+
+
+def test_left_out_elements_end_without_an_end_tag():
+    for page in (
+        "<article><p>one<p hidden>x<p>real text<p>more</article>",
+        "<article><p>one<p hidden>x<div>real text</div><p>more</article>",
+        "<article><p>one<p><span hidden>x<p>real text<p>more</article>",
+        "<article><p>one<ul><li hidden>x <p>x<li>real text</ul><p>more</article>",
+        "<article><p>one<ul><li hidden>x <ul><li>x<li>x</ul></ul><p>real text<p>more</article>",
+        "<article><p>one<dl><dt hidden>x<dd>real text</dl>more</article>",
+        "<article><p>one<table><tr hidden><td>x<td>x<tr><td hidden>x<td>real text</table>more</article>",
+        "<article><p>one<table><tr><td hidden><table><tr><td>x</table>x</table><p>real text<p>more</article>",
+        "<article><p>one<div><div hidden>x <div>x</div></div>real text</div><p>more</article>",
+        "<article><p>one<div><div hidden>x <p>x</div><p>real text<p>more</article>".replace("<p>x</div>", "<p>x</div></div>"),
+        "<main><article><p>one<div hidden>x</article><p>real text<p>more</main>",
+        "<html><head><title>x</title><meta charset=utf-8><body><article><p>one<p>real text<p>more</article>",
+    ):
+        assert ht.main_text(page, {}).split("\n\n") == ["one", "real text", "more"], page
+
+
+def test_raw_end_tags_are_found_on_the_page_itself():
+    page = "<article><p>" + "\u0130" * 30 + "<script>x</script>real text<SCRIPT>y</Script >more</article>"
+    assert ht.main_text(page, {}).split("\n\n") == ["\u0130" * 30, "real text", "more"]

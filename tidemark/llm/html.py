@@ -15,8 +15,9 @@ are one row per known tag name, so the model is small at any size.
 
 Defined cases: NULL or empty html gives an empty text; a page without words
 too; repeated rows give repeated result rows; NULL ids and urls are passed on;
-extra columns are ignored; unclosed elements end where an article begins or at
-the end of the page; white space (also of character references) inside a block
+extra columns are ignored; elements whose end tag may be left out end as HTML
+says (at the next sibling, a block start), and every unclosed one at the end
+tag of a parent, where an article begins or at the end of the page; white space (also of character references) inside a block
 becomes one space, ``br`` counts as white space; whole pages are read.
 """
 
@@ -47,6 +48,20 @@ BLOCK = {
     "address", "article", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html",
     "legend", "li", "main", "ol", "optgroup", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
+#: Elements whose end tag authors may leave out, and the start tags that end them (besides the end tag of a parent).
+PARAGRAPH_ENDS = {
+    "address", "article", "aside", "blockquote", "center", "details", "dialog", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr",
+    "main", "menu", "nav", "ol", "p", "pre", "search", "section", "table", "ul", "li", "dt", "dd",
+}
+SECTION_ENDS = {"thead", "tbody", "tfoot"}
+ROW_ENDS = SECTION_ENDS | {"tr"}
+CELL_ENDS = ROW_ENDS | {"td", "th"}
+ENDED_BY = {
+    "p": PARAGRAPH_ENDS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": CELL_ENDS, "th": CELL_ENDS, "tr": ROW_ENDS, "thead": SECTION_ENDS, "tbody": SECTION_ENDS, "tfoot": SECTION_ENDS,
+    "caption": CELL_ENDS | {"caption", "colgroup"}, "colgroup": CELL_ENDS | {"caption", "colgroup"}, "option": {"option", "optgroup", "hr"}, "optgroup": {"optgroup", "hr"},
+    "head": (BLOCK | INLINE | LEFT_OUT) - {"html", "head"},
+}
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE | re.ASCII) for name in RAW}
 ROLES_LEFT_OUT = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
 
 #: Words in a class or id that mark a container as no part of the article.
@@ -87,50 +102,82 @@ def _left_out(name: str, attrs: str, in_content: bool) -> bool:
     return False
 
 
+def _ended(held: list[str], name: str) -> int:
+    """How many of the open elements stay open where ``name`` starts: it ends those whose end tag may be left out."""
+    left = len(held)
+    for k in range(left - 1, -1, -1):
+        if name in ENDED_BY.get(held[k], ()):
+            left = k
+        elif held[k] not in ENDED_BY and held[k] not in INLINE:
+            break
+    return left
+
+
 def tokens(page: str, whole: bool = False) -> Iterator[tuple[str, str]]:
     """``(kind, value)``: kind "text", or the tag's name with "/" before an end tag.
 
     ``whole`` keeps the elements that are otherwise left out (for learning).
     """
     at, content = 0, 0
-    skip, depth = "", 0  # the element that is being left out, and how deep it nests
-    low = None
+    held: list[str] = []  # the open elements (of inline ones only a left-out one)
+    count: Counter = Counter()
+    # the element that is being left out: its place in held, how deep an inline one nests, the content around it
+    skip, depth, around = -1, 0, 0
     while at < len(page):
         m = TOKEN.search(page, at)
         end = m.start() if m else len(page)
-        if end > at and not skip:
+        if end > at and skip < 0:
             yield "text", page[at:end]
         if not m:
             return
         at = m.end()
         if m[2] is None:
-            if m[0].startswith("<![CDATA[") and not skip:
+            if m[0].startswith("<![CDATA[") and skip < 0:
                 yield "text", html.escape(m[0][9:].removesuffix("]]>"))
             continue
         name, closes, attrs = m[2].lower(), bool(m[1]), m[3]
         if name in RAW and not closes:
-            low = low if low is not None else page.lower()
-            at = low.find(f"</{name}", at)
-            if at < 0:
+            raw_end = RAW_END[name].search(page, at)
+            if not raw_end:
                 return
+            at = raw_end.start()
             continue
+        opens = not closes and name not in VOID and not attrs.endswith("/")
         if name in CONTENT:
             content = max(0, content + (-1 if closes else 1))
-            if not closes and skip and content == 1:
-                skip, depth = "", 0  # what was not closed ends where the article begins
-        if skip:
-            if name == skip and not attrs.endswith("/"):
-                depth += -1 if closes else 1
-                if not depth:
-                    skip = ""
-                    yield "left-out", ""
+            if not closes and skip >= 0 and content == 1:
+                skip = -1  # what was not closed ends where the article begins
+        if skip >= 0 and name == held[skip] and name in INLINE and depth + (opens or -closes):
+            depth += opens or -closes
             continue
-        if not closes and name not in VOID and not whole and _left_out(name, attrs, content > (name in CONTENT)):
-            if not attrs.endswith("/"):
-                skip, depth = name, 1
-                content -= name in CONTENT
+        own = False
+        left = len(held)
+        if not closes:
+            left = _ended(held, name)
+        elif count[name]:
+            left = next(k for k in range(left - 1, -1, -1) if held[k] == name)
+            own = left == skip
+        if skip >= 0 and content < around:
+            left = min(left, skip)
+        for x in held[left:]:
+            count[x] -= 1
+        del held[left:]
+        if skip >= len(held):
+            skip = -1
+            yield "left-out", ""
+            if own:
+                continue
+        if skip < 0 and not closes and name not in VOID and not whole and _left_out(name, attrs, content > (name in CONTENT)):
+            if opens:
+                skip, depth, around = len(held), 1, content - (name in CONTENT)
+                held.append(name)
+                count[name] += 1
             continue
-        yield ("/" if closes else "") + name, attrs
+        if opens and name not in INLINE:
+            held.append(name)
+            count[name] += 1
+        if skip < 0:
+            yield ("/" if closes else "") + name, attrs
 
 
 def _counted(page: str) -> Counter:
