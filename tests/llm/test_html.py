@@ -75,3 +75,24 @@ def test_left_out_elements_end_without_an_end_tag():
 def test_raw_end_tags_are_found_on_the_page_itself():
     page = "<article><p>" + "\u0130" * 30 + "<script>x</script>real text<SCRIPT>y</Script >more</article>"
     assert ht.main_text(page, {}).split("\n\n") == ["\u0130" * 30, "real text", "more"]
+
+
+def test_names_inside_an_article():
+    long = "word " * 120
+    for part, text in (
+        ('<h2 class="section-header">Kept head</h2>', "Kept head"),
+        ('<h1 class="article-header">Kept title</h1>', "Kept title"),
+        ('<div class="article-header"><h1>Kept title</h1></div>', "Kept title"),
+        ('<p class="related">Kept words</p>', "Kept words"),
+        ('<pre><code>x = 1 <span class="hljs-comment"># kept</span></code></pre>', "x = 1 # kept"),
+        ('<pre><div class="token comment"># kept</div></pre>', "# kept"),
+        (f'<div class="with-sidebar"><p>{long}</p></div>', long.strip()),
+        (f'<div class="with-sidebar"><div class="ad">Buy</div><p>{long}</p><div class="share">Share</div></div>', long.strip()),
+        (f'<div class="related"><p><a href=x>{long}</a></p><p>few words</p></div>', ""),
+        (f'<section class="comments"><p>{long}</p></section>', ""),
+        ('<div class="related"><p>few words</div>', ""),
+        (f'<div class="promo"><div hidden>{long}</div><div class="ad">{"word " * 60}</div>{"word " * 60}</div>', ""),
+    ):
+        page = f"<body><article><p>one</p>{part}<p>two</p></article></body>"
+        assert ht.main_text(page, {}) == "\n\n".join(x for x in ("one", text, "two") if x), part
+    assert ht.main_text("<article><p>one<div class=ad>x</article><p>out", {}) == "one"

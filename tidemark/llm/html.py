@@ -2,7 +2,8 @@
 
 A page is a sequence of tags and text. Elements that never hold article text
 (scripts, menus, forms, asides, containers named as adverts, notices, comments
-and the like) are left out with their content. In the rest words score
+and the like) are left out with their content; inside an article the name
+counts for containers only, outside code, and unless their text is long. In the rest words score
 positive and tags negative; one linear scan finds the contiguous region with
 the highest sum, and the text blocks in it are the article. On a page with an
 ``article`` or ``main`` element words inside it weigh most, tags inside it
@@ -70,6 +71,13 @@ NAMES_LEFT_OUT = re.compile(
     r"|pager|pagination|paywall|popup|promo\w*|recommend\w*|related|replies|reply|respond|search|share|sharing|sidebar|signup|site-?header|skip|skip-?link|social|sponsor\w*|subscribe|subscription|toolbar|widgets?)(?=$|[\s_-]|\d)",
     re.IGNORECASE,
 )
+#: Inside an article only these elements go by their name, and not by "header", which names an article's own title too.
+CONTAINERS = {"article", "center", "details", "div", "dl", "ol", "section", "table", "ul"}
+NAMES_IN_CONTENT = re.compile(NAMES_LEFT_OUT.pattern.replace("|header", ""), re.IGNORECASE)
+#: Of these, the ones that hold readers' text, which is long as well.
+NAMES_OF_REPLIES = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|reply|respond)(?=$|[\s_-]|\d)", re.IGNORECASE)
+#: Words outside links from which on a container inside an article stays in spite of its name.
+LONG_TEXT = 100
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*|[^>]*)>""",
@@ -84,22 +92,29 @@ SCHEMA = "page_id bigint, url string, text string, n_chars bigint"
 Weights = dict[str, float]
 
 
-def _left_out(name: str, attrs: str, in_content: bool) -> bool:
+def _left_out(name: str, attrs: str, in_content: bool, in_code: bool) -> str:
+    """Whether an element is left out: "" no, "always", or "short" if its text is not long."""
     if name in LEFT_OUT:
-        return True
+        return "always"
     if name == "header" and not in_content:
-        return True
+        return "always"
     if not attrs or name in CONTENT and not in_content or name in ("body", "html"):
-        return False
+        return ""
+    found = ""
     for m in ATTRIBUTE.finditer(attrs):
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
-        if key in ("class", "id") and NAMES_LEFT_OUT.search(value):
-            return True
+        if key in ("class", "id") and not in_code:
+            if not in_content and NAMES_LEFT_OUT.search(value):
+                return "always"
+            if in_content and name in CONTAINERS and NAMES_IN_CONTENT.search(value):
+                if NAMES_OF_REPLIES.search(value):
+                    return "always"
+                found = "short"
         if key == "role" and value.lower() in ROLES_LEFT_OUT or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return "always"
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-            return True
-    return False
+            return "always"
+    return found
 
 
 def _ended(held: list[str], name: str) -> int:
@@ -118,11 +133,51 @@ def tokens(page: str, whole: bool = False) -> Iterator[tuple[str, str]]:
 
     ``whole`` keeps the elements that are otherwise left out (for learning).
     """
+    return _scanned(page, whole) if whole else iter(_settled(_scanned(page, whole)))
+
+
+def _settled(found: Iterator[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The tokens without the elements between "short" and "/short" whose text outside links is not long."""
+    out: list[tuple[str, str]] = []
+    places: list[int] = []
+    words: list[int] = []
+    link = False
+
+    def settle() -> None:
+        at, n = places.pop(), words.pop()
+        if n < LONG_TEXT:
+            del out[at:]
+            out.append(("left-out", ""))
+        elif words:
+            words[-1] += n
+
+    for kind, value in found:
+        if kind == "short":
+            places.append(len(out))
+            words.append(0)
+            continue
+        if kind == "/short":
+            settle()
+            continue
+        out.append((kind, value))
+        if kind == "text":
+            if words and not link:
+                words[-1] += len(value.split())
+        elif kind.lstrip("/") not in INLINE or kind in ("a", "/a"):
+            link = kind == "a"
+    while places:
+        settle()
+    return out
+
+
+def _scanned(page: str, whole: bool) -> Iterator[tuple[str, str]]:
+    """The tokens; those of an element that is left out if its text is not long stand between "short" and "/short"."""
     at, content = 0, 0
-    held: list[str] = []  # the open elements (of inline ones only a left-out one)
+    held: list[str] = []  # the open elements (of inline ones only a left-out one and code)
     count: Counter = Counter()
     # the element that is being left out: its place in held, how deep an inline one nests, the content around it
     skip, depth, around = -1, 0, 0
+    short: list[tuple[int, int]] = []  # places of the elements that only go if short, and the content around them
     while at < len(page):
         m = TOKEN.search(page, at)
         end = m.start() if m else len(page)
@@ -150,34 +205,47 @@ def tokens(page: str, whole: bool = False) -> Iterator[tuple[str, str]]:
         if skip >= 0 and name == held[skip] and name in INLINE and depth + (opens or -closes):
             depth += opens or -closes
             continue
-        own = False
-        left = len(held)
+        left, own = len(held), -1
         if not closes:
             left = _ended(held, name)
         elif count[name]:
-            left = next(k for k in range(left - 1, -1, -1) if held[k] == name)
-            own = left == skip
+            left = own = next(k for k in range(left - 1, -1, -1) if held[k] == name)
         if skip >= 0 and content < around:
             left = min(left, skip)
+        if short and content < short[-1][1]:
+            left = min(left, next(k for k, around_k in short if content < around_k))
         for x in held[left:]:
             count[x] -= 1
         del held[left:]
-        if skip >= len(held):
-            skip = -1
+        if skip >= left:
+            own_end, skip = skip == own, -1
             yield "left-out", ""
-            if own:
+            if own_end:
                 continue
-        if skip < 0 and not closes and name not in VOID and not whole and _left_out(name, attrs, content > (name in CONTENT)):
+        while short and short[-1][0] >= left and short[-1][0] != own:
+            short.pop()
+            yield "/short", ""
+        last = bool(short) and short[-1][0] == own  # its own end tag goes or stays with it
+        kind = ""
+        if skip < 0 and not closes and name not in VOID and not whole:
+            kind = _left_out(name, attrs, content > (name in CONTENT), bool(count["pre"] or count["code"]))
+        if kind == "short" and opens:
+            short.append((len(held), content - (name in CONTENT)))
+            yield "short", ""
+        elif kind:
             if opens:
                 skip, depth, around = len(held), 1, content - (name in CONTENT)
                 held.append(name)
                 count[name] += 1
             continue
-        if opens and name not in INLINE:
+        if opens and (name not in INLINE or name == "code" and not count["code"]):
             held.append(name)
             count[name] += 1
         if skip < 0:
             yield ("/" if closes else "") + name, attrs
+        if last:
+            short.pop()
+            yield "/short", ""
 
 
 def _counted(page: str) -> Counter:
