@@ -74,3 +74,30 @@ def test_edges(docs, edge_docs, spark):
     same = spark.createDataFrame([(1, "word word word word word word"), (None, "no id here at all")], "item_id bigint, text string")
     assert sorted((r.doc_id is None, r.item_id) for r in dc.contaminated(edge_docs, same).collect()) == [(False, 1), (True, None)]
     assert dc.contaminated(docs([]), same).collect() == []
+
+
+def test_short_items_are_searched_whole():
+    items = dc.Items([(1, "Forty two."), (2, "one, two three four"), (3, " _ "), (4, "forty two"), (5, "one two three four five")])
+    assert sorted(items.hits("it is forty  TWO, and one two three")) == [(1, 1.0, 2, 1, 2), (4, 1.0, 2, 1, 2)]
+    assert sorted(h[0] for h in items.hits("one two three four five")) == [2, 5]
+    assert list(items.hits("forty and two")) == [] and list(items.hits("_ , _")) == []
+
+
+def test_scripts_without_spaces_match_by_character():
+    item = "\u5149\u5408\u4f5c\u7528\u53d1\u751f\u5728\u54ea\u91cc\u3002\u53f6\u7eff\u4f53\u4e2d\u8fdb\u884c\u8fd9\u4e2a\u8fc7\u7a0b"
+    other = "\u4eca\u5929\u5929\u6c14\u5f88\u597d"
+    thai = "\u0e01\u0e32\u0e23\u0e2a\u0e31\u0e07\u0e40\u0e04\u0e23\u0e32\u0e30\u0e2b\u0e4c\u0e14\u0e49\u0e27\u0e22\u0e41\u0e2a\u0e07"
+    items = dc.Items([(1, item), (2, thai)])
+    assert [h[:2] for h in items.hits(other + item + other)] == [(1, 1.0)]
+    assert [h[0] for h in items.hits(other + item[3:] + "x1")] == [1]
+    assert [h[0] for h in items.hits(other + thai + other)] == [2]
+    assert list(items.hits(other * 5)) == []
+
+
+def test_a_long_tile_decides_beside_the_coverage():
+    item = [f"w{i}" for i in range(300)]
+    items = dc.Items([(1, " ".join(item))])
+    noise = [f"n{i}" for i in range(50)]
+    assert list(items.hits(" ".join(noise + item[100:240] + noise))) == [(1, 140 / 300, 140, 1, 140)]
+    assert [h[4] for h in items.hits(" ".join(noise + item[100 : 100 + dc.LONG_TILE]))] == [dc.LONG_TILE]
+    assert list(items.hits(" ".join(noise + item[100 : 99 + dc.LONG_TILE]))) == []

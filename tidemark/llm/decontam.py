@@ -1,6 +1,8 @@
 """Benchmark decontamination by greedy string tiling (operator 7).
 
-Texts are sequences of lower-cased words. Seeds are runs of ``MIN_MATCH``
+Texts are sequences of lower-cased words; in scripts that are written without
+spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese, Tibetan) every character
+is a word. Seeds are runs of ``MIN_MATCH``
 words that a document shares with a benchmark item: the items' seeds form a
 sorted hash table that is broadcast, and each document joins its own seeds to
 it by rolling Karp-Rabin hashes. Seeds that follow each other in both texts
@@ -8,15 +10,17 @@ make a match. Tiling marks the longest match first, cuts what overlaps marked
 words from the rest, and goes on until no unmarked match of ``MIN_MATCH``
 words is left. A match uses words of the item and of the document once, in
 any order, so reordered passages are covered too. A document is contaminated
-if its tiles cover ``MIN_COVERAGE`` of an item's words.
+if its tiles cover ``MIN_COVERAGE`` of an item's words, or if one tile has
+``LONG_TILE`` words. An item with fewer than ``MIN_MATCH`` words is one seed
+of its whole length: a document that holds all of it is contaminated.
 
 The broadcast is bounded: items are dealt to blocks of at most ``BLOCK_BYTES``
 of text (a longer item is a block by itself), and the documents are scanned
 once per block. No document is shuffled, and an item that many documents
 contain costs no more than a rare one.
 
-Defined cases: NULL or empty texts contain nothing; items with fewer than
-``MIN_MATCH`` words, NULL ones included, are no evidence and match nothing;
+Defined cases: NULL or empty texts contain nothing; items without words, NULL
+ones included, are no evidence and match nothing;
 equal items are reported one by one; repeated rows give repeated result rows;
 extra columns are ignored (``contaminated``) or kept (``clean``); ties
 between matches go to the earlier place in the item, then in the document.
@@ -38,10 +42,16 @@ from tidemark.llm.common import BASE, U64, arrow_schema, mix, to_batch
 
 #: Shortest match in words; share of an item's words that tiles must cover.
 MIN_MATCH, MIN_COVERAGE = 5, 0.5
+#: Words of a single tile that is evidence by itself, however long the item.
+LONG_TILE = 50
 #: Bytes of item text that are broadcast at once.
 BLOCK_BYTES = 4 << 20
 
-WORD = re.compile(r"\w+")
+NO_SPACES = (
+    "\u0e01-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U000323af"
+)
+WORD = re.compile(rf"[^\W{NO_SPACES}]+|\w")
 SCHEMA = "doc_id bigint, item_id bigint, coverage double, matched bigint, tiles bigint, longest bigint"
 
 
@@ -98,54 +108,65 @@ class Items:
         self.n, self.coverage = n, coverage
         self.number: dict[str, int] = {}
         self.ids, self.sizes = [], []
-        hashes, owners, places = [], [], []
+        found: dict[int, list] = {}  # by the length of the seeds
         for item_id, text in rows:
             words = WORD.findall((text or "").lower())
-            if len(words) < n:
+            if not any(w.strip("_") for w in words):
                 continue
-            h = rolled(np.array([self.number.setdefault(w, len(self.number) + 1) for w in words], U64), n)
-            hashes.append(h)
-            owners.append(np.full(len(h), len(self.ids)))
-            places.append(np.arange(len(h)))
+            length = min(n, len(words))
+            h = rolled(np.array([self.number.setdefault(w, len(self.number) + 1) for w in words], U64), length)
+            found.setdefault(length, []).append((h, np.full(len(h), len(self.ids)), np.arange(len(h))))
             self.ids.append(item_id)
             self.sizes.append(len(words))
-        join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        h, o, p = join(hashes, U64), join(owners, np.int64), join(places, np.int64)
-        order = np.argsort(h, kind="stable")
-        self.hashes, self.owners, self.places = h[order], o[order], p[order]
+        self.seeds = {}
+        for length, parts in sorted(found.items()):
+            h, o, p = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(h, kind="stable")
+            self.seeds[length] = h[order], o[order], p[order]
 
     def hits(self, text: str | None) -> Iterator[tuple]:
         """``(item_id, coverage, matched words, tiles, longest tile)`` of the items that the text contains."""
-        if not text or not len(self.hashes):
+        if not text or not self.seeds:
             return
         number = self.number
         ids = np.array([number.get(w, 0) for w in WORD.findall(text.lower())], U64)
         known = np.concatenate([[0], np.cumsum(ids != 0)])
-        if len(ids) < self.n:
-            return
-        at = np.flatnonzero(known[self.n :] - known[: -self.n] == self.n)  # runs of known words
-        if not len(at):
-            return
-        h = rolled(ids, self.n)[at]
-        low, high = np.searchsorted(self.hashes, h, "left"), np.searchsorted(self.hashes, h, "right")
-        counts = high - low
-        if not counts.any():
-            return
-        doc_at = np.repeat(at, counts)
-        seed = np.repeat(low, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        owner, item_at = self.owners[seed], self.places[seed]
+        for length, (hashes, owners, places) in self.seeds.items():
+            if len(ids) < length:
+                return
+            at = np.flatnonzero(known[length:] - known[:-length] == length)  # runs of known words
+            if not len(at):
+                return
+            h = rolled(ids, length)[at]
+            if length < self.n:  # whole items
+                h = np.unique(h)
+                low, high = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+                for a, b in zip(low[high > low], high[high > low], strict=True):
+                    yield from ((self.ids[k], 1.0, length, 1, length) for k in owners[a:b])
+                continue
+            low, high = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+            counts = high - low
+            if not counts.any():
+                return
+            doc_at = np.repeat(at, counts)
+            seed = np.repeat(low, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            yield from self._tiled(owners[seed], places[seed], doc_at)
+
+    def _tiled(self, owner: np.ndarray, item_at: np.ndarray, doc_at: np.ndarray) -> Iterator[tuple]:
+        """The hits among items whose seeds are at ``item_at`` and, in the document, at ``doc_at``."""
         order = np.argsort(owner, kind="stable")
         first = np.flatnonzero(np.diff(owner[order], prepend=-1))
         by_item = {int(owner[g[0]]): g for g in np.split(order, first[1:])}
         for k, g in by_item.items():
             size = self.sizes[k]
-            # seeds cover at most n words each: too few of them cannot reach the threshold
-            if len(np.unique(item_at[g])) * self.n < self.coverage * size:
+            # seeds cover at most n words each: too few of them cannot reach the threshold or make a long tile
+            seeds = len(np.unique(item_at[g]))
+            if seeds * self.n < self.coverage * size and seeds + self.n - 1 < LONG_TILE:
                 continue
             tiles = tile(matches(item_at[g], doc_at[g], self.n), self.n)
-            covered = sum(length for length, _, _ in tiles)
-            if covered >= self.coverage * size:
-                yield self.ids[k], covered / size, covered, len(tiles), max(length for length, _, _ in tiles)
+            covered, longest = sum(length for length, _, _ in tiles), max(length for length, _, _ in tiles)
+            if covered >= self.coverage * size or longest >= LONG_TILE:
+                yield self.ids[k], covered / size, covered, len(tiles), longest
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Items]:
