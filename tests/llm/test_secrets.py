@@ -85,3 +85,14 @@ def test_redact_replaces_spans_and_keeps_rows(docs, edge_docs):
     assert got[1].text == "my [assign] ok" and got[1].n_chars == len("my [assign] ok")
     assert got[2].text == "clean" and got[3].text is None and got[1].size == "x"
     assert se.redact(edge_docs).columns == edge_docs.columns and se.redact(edge_docs).count() == edge_docs.count()
+
+
+def test_short_passwords_link_with_a_user_or_an_endpoint():
+    listed = lambda t: [(t[s:e], k) for s, e, k in sorted(se.linked_spans(t, se.base_spans(t)))]
+    user, short, host = ("user=admin", "user"), ("password=hunter2", "weak"), ("host=db.example.org", "endpoint")
+    assert listed("user=admin password=hunter2 host=db.example.org") == [user, short, host]
+    assert listed("user=admin password=hunter2") == [short] and listed("password=hunter2 host=db.example.org") == [short]
+    assert listed("password=hunter2") == [] and listed("user=admin host=db.example.org") == []
+    assert listed("password=hunter2\n\nuser=admin host=db.example.org") == []
+    assert listed("AKIA" + "A" * 12 + " secret: abc") == [("secret: abc", "weak")]
+    assert se.redact_text("user=admin password=hunter2 host=db.example.org") == "[user] [weak] [endpoint]"

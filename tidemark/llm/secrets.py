@@ -2,10 +2,11 @@
 
 A text is scanned once for parts. Base parts are strong by themselves: an
 assigned password or token, an access id, a long hex string. Weak parts (a
-user name, an endpoint, a random-looking token) say little alone. An interval
-join within scopes decides about them: a weak part is reported only if a part
-of a complementary role lies in the same paragraph, at most ``REACH`` code
-points away. The join is a sorted sweep over one document's parts (prefix
+user name, an endpoint, a random-looking token, an assigned password or token
+of less than 8 characters) say little alone. An interval join within scopes
+decides about them: a weak part is reported only if a part of a complementary
+role lies in the same paragraph, at most ``REACH`` code points away. A short
+password confirms a user name or an endpoint only if both are there. The join is a sorted sweep over one document's parts (prefix
 maximum of the ends, binary search), so it needs no shuffle and m parts cost
 m log m, never m * m.
 
@@ -45,9 +46,15 @@ RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-
 SCOPE_END = re.compile(r"\n[ \t]*\n")
 
 #: Order in which kinds are listed at one start.
-KINDS = ("assign", "access", "hex", "user", "endpoint", "random")
-ROLE = {"assign": "secret", "hex": "secret", "random": "secret", "access": "id", "user": "id", "endpoint": "place"}
-WEAK = {"user", "endpoint", "random"}
+KINDS = ("assign", "access", "hex", "user", "endpoint", "random", "weak")
+ROLE = {"assign": "secret", "hex": "secret", "random": "secret", "weak": "weak secret", "access": "id", "user": "id", "endpoint": "place"}
+WEAK = {"user", "endpoint", "random", "weak"}
+#: Roles that confirm a weak part of a kind: all of one of the sets.
+CONFIRMED_BY = {
+    "user": ({"secret"}, {"weak secret", "place"}), "endpoint": ({"secret"}, {"weak secret", "id"}),
+    "random": ({"id"}, {"place"}), "weak": ({"id"}, {"place"}),
+}
+MIN_ASSIGNED = 8
 
 SCHEMA = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_linked bigint"
 
@@ -61,7 +68,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     """``(start, end, kind)`` of the strong parts, leftmost and non-overlapping per kind."""
     found = []
     if ":" in text or "=" in text:
-        found += [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+        found += [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGNED]
     if "AKIA" in text:
         found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= 16]
     found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
@@ -74,8 +81,10 @@ def linked_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
     if ":" in text or "=" in text:
         weak += [(m.start(), m.end(), "user") for m in USER.finditer(text)]
         weak += [(m.start(), m.end(), "endpoint") for m in HOST.finditer(text)]
-    if not any(ROLE[k] != "secret" for _, _, k in [*base, *weak]):
-        return []  # a random token needs an id or a place beside it
+    if not any(ROLE[k] in ("id", "place") for _, _, k in [*base, *weak]):
+        return []  # a random token or a short password needs an id or a place beside it
+    if ":" in text or "=" in text:
+        weak += [(m.start(), m.end(), "weak") for m in ASSIGN.finditer(text) if len(m[2]) < MIN_ASSIGNED]
     taken = sorted((s, e) for s, e, _ in [*base, *weak])
     starts, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
     for m in RANDOM.finditer(text):
@@ -93,14 +102,14 @@ def linked_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
     for s, e, kind in weak:
         i = bisect_left(ends, s + 1)
         low, high = max(ends[i - 1], s - REACH), min(ends[i], e + REACH)
+        near = set()
         for role, (begins, last) in by_role.items():
-            # an endpoint beside a user name is an ordinary link: only secrets confirm either
-            if role == ROLE[kind] or (role != "secret" and kind != "random"):
-                continue
             i = bisect_left(begins, high)
             if i and last[i - 1] > low:
-                kept.append((s, e, kind))
-                break
+                near.add(role)
+        # an endpoint beside a user name is an ordinary link: only secrets confirm either
+        if any(need <= near for need in CONFIRMED_BY[kind]):
+            kept.append((s, e, kind))
     return kept
 
 
