@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, fingerprints, html, jaccard, language, mixing, pii, quality, secrets
+from tidemark.llm import alignment, chat, decontam, fingerprints, html, jaccard, language, merkle, mixing, pii, quality, secrets
 from tidemark.llm.common import read_table
 
 #: Key of the registered pseudonym query; a deployment passes its own from its secret store.
@@ -57,8 +57,16 @@ def op10_best_region(spark, sf):
     return html.extract(pages, html.learn(pages))
 
 
+def op12_merkle_manifest(spark, sf):
+    return merkle.verified(read_table(spark, sf, "documents"))
+
+
+def op13_cross_tokenizer_alignment(spark, sf):
+    return alignment.alignment(read_table(spark, sf, "documents"))
+
+
 LLM_QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and name[2].isdigit()}
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 
 #: DuckDB SQL of the queries that SQL can express.
-LLM_ORACLE_SQL: dict[str, str] = {"op5_pareto_mix": mixing.ORACLE_SQL}
+LLM_ORACLE_SQL: dict[str, str] = {"op5_pareto_mix": mixing.ORACLE_SQL, "op12_merkle_manifest": merkle.ORACLE_SQL}
