@@ -56,8 +56,8 @@ HOT_SHARE = 1 / 1000
 #: Ids of B are below 2 ** B_BITS; a pair is ``a << B_BITS | b`` and fits into 32 bits.
 B_BITS = 15
 
-#: A text may be cut before a space that follows something else than white space.
-CUT = re.compile(r"(?<=\S)(?= )")
+#: A text may be cut before a space that follows something else than white space, and is not its last character.
+CUT = re.compile(r"(?<=\S)(?= [\s\S])")
 
 
 def byte_level() -> dict[str, int]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from tidemark.llm import alignment, chat, decontam, fingerprints, html, jaccard, language, merkle, mixing, pii, quality, secrets
+from tidemark.llm import alignment, chat, decontam, fingerprints, html, jaccard, language, merkle, mixing, pii, quality, repeats, secrets
 from tidemark.llm.common import read_table
 
 #: Key of the registered pseudonym query; a deployment passes its own from its secret store.
@@ -57,6 +57,10 @@ def op10_best_region(spark, sf):
     return html.extract(pages, html.learn(pages))
 
 
+def op11_bwt_repeats(spark, sf):
+    return repeats.without_repeats(read_table(spark, sf, "documents"))
+
+
 def op12_merkle_manifest(spark, sf):
     return merkle.verified(read_table(spark, sf, "documents"))
 
