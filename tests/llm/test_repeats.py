@@ -51,6 +51,14 @@ def test_window_runs():
     assert size.sum() == 199_901 and size.max() <= r.RUN_MAX and (start[1:] == start[:-1] + size[:-1]).all()
 
 
+def test_ranks_with_equal_leading_bits():
+    rng = np.random.default_rng(3)
+    values = np.concatenate([np.zeros(5, np.uint64), rng.integers(1, 9, 200).astype(np.uint64), rng.integers(0, 1 << 62, 50).astype(np.uint64)])
+    rng.shuffle(values)
+    assert list(r.ranked(values)) == list(np.unique(values, return_inverse=True)[1])
+    assert list(r.ranked(values + np.uint64(1))) == list(np.unique(values, return_inverse=True)[1] + 1)
+
+
 def suffixes(data, starts, sizes, length, symbol):
     """All suffixes of the runs' strings as symbol tuples cut at the depth, by brute force."""
     depth, out = length // symbol, []
@@ -117,6 +125,7 @@ def test_small_shards_and_buckets(docs, monkeypatch):
     rng = random.Random(8)
     monkeypatch.setattr(r, "SHARD_BYTES", 2000)
     monkeypatch.setattr(r, "BUCKET_BYTES", 500)
+    monkeypatch.setattr(r, "PIECE_BYTES", 300)
     monkeypatch.setattr(r, "BUCKET_ENTRIES", 50)
     rows = texts(rng, 200, alphabet="abc ", size=200)
     got = result(r.without_repeats(docs([(i, t) for i, t in enumerate(rows)]).repartition(5)))

@@ -40,6 +40,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +51,8 @@ from tidemark.llm.common import U64, arrow_schema, hash_runs, mix, saved
 
 #: Bytes of a repeated string, of a symbol of the transform, and of a gram of the candidate search.
 LENGTH, SYMBOL, GRAM = 100, 50, 32
-#: Bytes of a shard's runs, and about of those of a bucket.
-SHARD_BYTES, BUCKET_BYTES = 1 << 20, 1 << 20
+#: Bytes (about) of a shard's runs, of those of a bucket, and of the pieces that a bucket sorts by themselves.
+SHARD_BYTES, BUCKET_BYTES, PIECE_BYTES = 1 << 21, 1 << 21, 1 << 19
 #: Entries of a key bucket (about), and window runs per text byte (about).
 BUCKET_ENTRIES, RUNS_PER_BYTE = 500_000, 1 / 30
 #: Order of a NULL doc_id.
@@ -103,11 +104,22 @@ def sorted_by(values: np.ndarray) -> np.ndarray:
 
 
 def ranked(symbols: np.ndarray) -> np.ndarray:
-    """Dense ranks of 64-bit symbols, 0 staying 0."""
-    distinct = np.sort(symbols)
-    distinct = distinct[np.concatenate([[True], distinct[1:] != distinct[:-1]])] if len(distinct) else distinct
-    rank = np.searchsorted(distinct, symbols)
-    return rank + (1 if len(distinct) and distinct[0] else 0)
+    """Dense ranks of 64-bit symbols, 0 staying 0: one sort of (leading bits, place); the few equal leading bits are sorted whole."""
+    n = len(symbols)
+    if not n:
+        return np.zeros(0, np.int64)
+    bits = U64(max(1, n - 1).bit_length())
+    words = (symbols >> bits << bits) | np.arange(n, dtype=U64)
+    words.sort()
+    order = (words & ((U64(1) << bits) - U64(1))).astype(np.int64)
+    lead, s = words >> bits, symbols[order]
+    for prefix in np.unique(lead[1:][(lead[1:] == lead[:-1]) & (s[1:] != s[:-1])]):
+        here = slice(*np.searchsorted(lead, [prefix, prefix + U64(1)]))
+        order[here] = order[here][np.argsort(symbols[order[here]], kind="stable")]
+        s[here] = symbols[order[here]]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.cumsum(np.append(s[0] != 0, s[1:] != s[:-1]))
+    return rank
 
 
 class Shard:
@@ -183,20 +195,29 @@ def merged(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, interval, common
 
 
-def later_ones(interval: np.ndarray, order: tuple[np.ndarray, ...]) -> np.ndarray:
-    """Whether another one of the same interval stands earlier, by the keys ``order`` (first key first)."""
-    by = np.lexsort((*reversed(order), interval))
-    repeated = np.zeros(len(interval), bool)
-    repeated[by[1:]] = interval[by[1:]] == interval[by[:-1]]
-    return repeated
+def later_ones(interval: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Of suffixes in the order of their intervals: whether another one of the interval has a smaller key."""
+    if not len(interval):
+        return np.zeros(0, bool)
+    first = np.flatnonzero(np.append(True, interval[1:] != interval[:-1]))
+    return key != np.repeat(np.minimum.reduceat(key, first), np.diff(np.append(first, len(key))))
+
+
+def marked_runs(mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of the runs of marked places."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], mark, [False]]).astype(np.int8)))
+    return edge[::2], edge[1::2] - edge[::2]
+
+
+def gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bytes of the ranges, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return data[np.arange(sizes.sum()) + np.repeat(starts - before, sizes)]
 
 
-def joined(owner: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs ``owner, start, size`` of neighbouring window starts."""
-    by = np.lexsort((starts, owner))
-    o, s = owner[by], starts[by]
-    first = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (s[1:] != s[:-1] + 1)])) if len(s) else np.zeros(0, np.int64)
-    return o[first], s[first], np.diff(np.append(first, len(s)))
+def by_row_order(ids: np.ndarray, refs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Order of runs by doc_id, row and start."""
+    return np.lexsort((starts, refs, ids))
 
 
 # ---- Spark stages ----------------------------------------------------------
@@ -275,87 +296,96 @@ SEGMENTS = "bucket int, refs binary, ids binary, starts binary, sizes binary, by
 SPANS = "ref bigint, id bigint, start int, size int"
 
 
-def _segments(found: DataFrame, buckets: int, length: int, symbol: int) -> DataFrame:
-    """First windows of each shard, packed by bucket with their bytes; rows without bytes are spans that the shard settled."""
-    out = arrow_schema(SEGMENTS)
+def _packed(bucket: np.ndarray, columns: list[np.ndarray], data: np.ndarray, at: np.ndarray, bytes_: np.ndarray) -> pa.RecordBatch:
+    """Runs as one row per bucket, with ``bytes_[i]`` bytes of each, from ``data[at[i]]`` on."""
+    order = np.argsort(bucket, kind="stable")
+    first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    cols = [c[order] for c in columns]
+    raw = gathered(data, at[order], bytes_[order])
+    cuts = np.append(0, np.cumsum(bytes_[order]))[first]
+    parts = [[x.tobytes() for x in np.split(c, first[1:])] if len(first) else [] for c in cols]
+    parts.append([x.tobytes() for x in np.split(raw, cuts[1:])] if len(first) else [])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[order][first], pa.int32()), *(pa.array(p, pa.binary()) for p in parts)], schema=arrow_schema(SEGMENTS))
+
+
+def _settled(data: np.ndarray, at: np.ndarray, refs, ids, starts, sizes, keys, buckets: int, length: int, symbol: int) -> Iterator[pa.RecordBatch]:
+    """A shard's runs (in row order; bytes from ``data[at]`` on): spans that it settles, and its first windows."""
+    span = sizes + length - 1
+    own = gathered(data, at, span)
+    base = np.cumsum(span) - span
+    shard = Shard(own, base, sizes, length, symbol)
+    place = shard.place[shard.window]
+    later = later_ones(shard.interval[shard.window], place)  # places stand in row order
+    for which, kept in ((later, False), (~later, True)):
+        mark = np.zeros(len(own), bool)
+        mark[place[which]] = True
+        where, n = marked_runs(mark)
+        run = np.searchsorted(base, where, side="right") - 1
+        hashed = keys[run] if kept else refs[run]  # settled spans are dealt evenly
+        bucket = (mix(hashed.view(U64).copy()) % U64(buckets)).astype(np.int64)
+        columns = [refs[run], ids[run], (starts[run] + where - base[run]).astype(np.int32), n.astype(np.int32)]
+        yield _packed(bucket, columns, own, where, n + length - 1 if kept else np.zeros(len(n), np.int64))
 
-    def packed(bucket, refs, ids, starts, sizes, data) -> pa.RecordBatch:
-        order = np.argsort(bucket, kind="stable")
-        first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-        cols = [refs[order], ids[order], starts[order].astype(np.int32), sizes[order].astype(np.int32)]
-        parts = [[x.tobytes() for x in np.split(c, first[1:])] if len(first) else [] for c in cols]
-        ends = np.append(first, len(order))
-        raw = [b"".join(data(i) for i in order[s:e]) for s, e in zip(ends[:-1], ends[1:], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[order][first], pa.int32()), *(pa.array(p, pa.binary()) for p in [*parts, raw])], schema=out)
-
-    def settled(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        """``(ref, id, start, size, key, bytes)`` of the runs of a shard."""
-        refs, ids, starts, sizes, keys = (np.array([r[i] for r in rows], np.int64) for i in range(5))
-        data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
-        at = np.cumsum(sizes + length - 1) - (sizes + length - 1)
-        shard = Shard(data, at, sizes, length, symbol)
-        w = shard.window
-        place, interval = shard.place[w], shard.interval[w]
-        run = np.searchsorted(at, place, side="right") - 1
-        start = starts[run] + place - at[run]
-        later = later_ones(interval, (ids[run], refs[run], start))
-        gone, s, n = joined(run[later], start[later])
-        spread = (mix(refs[gone].view(U64).copy()) % U64(buckets)).astype(np.int64)
-        yield packed(spread, refs[gone], ids[gone], s, n, lambda i: b"")
-        first, s, n = joined(run[~later], start[~later])
-        from_ = (at[first] + s - starts[first]).tolist()
-        to = (np.array(from_, np.int64) + n + length - 1).tolist()
-        bucket = (mix(keys[first].view(U64).copy()) % U64(buckets)).astype(np.int64)
-        yield packed(bucket, refs[first], ids[first], s, n, lambda i: data[from_[i] : to[i]].tobytes())
+
+def _segments(found: DataFrame, buckets: int, length: int, symbol: int) -> DataFrame:
+    """First windows of each shard, packed by bucket with their bytes; rows without bytes are spans that a shard settled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
         for b in batches:
-            for ref, doc_id, text, runs in zip(*(c.to_pylist() for c in (b.column(0), b.column(1), b.column(2).cast(pa.large_binary()), b.column(3))), strict=True):
-                for r in runs:
-                    part = text[r["start"] : r["start"] + r["size"] + length - 1]
-                    if len(part) < r["size"] + length - 1:
-                        continue  # of another text with this hash
-                    rows.append((ref, LAST if doc_id is None else doc_id, r["start"], r["size"], r["key"], part))
-                    size += len(part)
-                    if size >= SHARD_BYTES:
-                        yield from settled(rows)
-                        rows, size = [], 0
-        if rows:
-            yield from settled(rows)
+            ids = b.column(1).fill_null(LAST).to_numpy()
+            texts = b.column(2).cast(pa.large_binary())
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+            bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            lists = b.column(3)
+            count = np.diff(lists.offsets.to_numpy())
+            doc = np.repeat(np.arange(len(ids)), count)
+            start, size, key = (lists.flatten().field(c).to_numpy().astype(np.int64) for c in ("start", "size", "key"))
+            fits = bounds[doc] + start + size + length - 1 <= bounds[doc + 1]  # else of another text with this hash
+            doc, start, size, key = doc[fits], start[fits], size[fits], key[fits]
+            refs, ids = b.column(0).to_numpy()[doc], ids[doc]
+            shard = (np.cumsum(size + length - 1) - 1) // SHARD_BYTES
+            for i in range(int(shard[-1]) + 1 if len(shard) else 0):
+                own = np.flatnonzero(shard == i)
+                if len(own):
+                    own = own[by_row_order(ids[own], refs[own], start[own])]
+                    yield from _settled(data, bounds[doc[own]] + start[own], refs[own], ids[own], start[own], size[own], key[own], buckets, length, symbol)
 
     return found.select("ref", "doc_id", "text", "runs").mapInArrow(run, SEGMENTS)
 
 
 def _spans(length: int, symbol: int):
-    """Repeated windows of a bucket, by the merged transforms of its shards."""
+    """Repeated windows of a bucket, by the merged transforms of its shards (its runs in pieces of ``PIECE_BYTES``)."""
 
     def run(table: pa.Table) -> pa.Table:
-        done, shards, owners = [], [], []
-        for refs, ids, starts, sizes, raw in zip(*(table[c].to_pylist() for c in ("refs", "ids", "starts", "sizes", "bytes")), strict=True):
-            refs, ids = np.frombuffer(refs, np.int64), np.frombuffer(ids, np.int64)
-            starts, sizes = np.frombuffer(starts, np.int32).astype(np.int64), np.frombuffer(sizes, np.int32).astype(np.int64)
-            if not raw:
-                done.append((refs, ids, starts, sizes))
-                continue
-            at = np.cumsum(sizes + length - 1) - (sizes + length - 1)
-            shard = Shard(np.frombuffer(raw, np.uint8), at, sizes, length, symbol)
-            run_of = np.searchsorted(at, shard.place, side="right") - 1
-            shards.append(shard)
-            owners.append((refs[run_of], ids[run_of], starts[run_of] + shard.place - at[run_of], shard.window))
-        if shards:
+        refs, ids = _unpacked(table["refs"], np.int64), _unpacked(table["ids"], np.int64)
+        starts, sizes = (_unpacked(table[c], np.int32).astype(np.int64) for c in ("starts", "sizes"))
+        open_ = np.repeat([len(x) > 0 for x in table["bytes"].to_pylist()], [len(x) // 8 for x in table["refs"].to_pylist()])
+        done = [(refs[~open_], ids[~open_], starts[~open_], sizes[~open_])]
+        refs, ids, starts, sizes = (c[open_] for c in (refs, ids, starts, sizes))
+        data = _unpacked(table["bytes"], np.uint8)
+        if len(refs):
+            span = sizes + length - 1
+            base = np.cumsum(span) - span
+            piece = base // PIECE_BYTES
+            cuts = np.append(np.flatnonzero(np.diff(piece, prepend=-1)), len(refs))
+            shards = [Shard(data, base[i:j], sizes[i:j], length, symbol) for i, j in pairwise(cuts)]
             at, interval, _ = merged(shards)
-            refs, ids, starts, window = (np.concatenate([o[i] for o in owners])[at] for i in range(4))
-            several = np.zeros(len(at), bool)
+            window = np.concatenate([s.window for s in shards])[at]
+            place, interval = np.concatenate([s.place for s in shards])[at][window], interval[window]
+            several = np.zeros(len(place), bool)
             several[1:] = interval[1:] == interval[:-1]
             several[:-1] |= several[1:]
-            w = window & several
-            refs, ids, starts = refs[w], ids[w], starts[w]
-            later = later_ones(interval[w], (ids, refs, starts))
-            pair = np.rec.fromarrays([refs[later], ids[later]])
-            owner, inverse = np.unique(pair, return_inverse=True)
-            o, s, n = joined(inverse, starts[later])
-            done.append((owner["f0"][o], owner["f1"][o], s, n))
+            place, interval = place[several], interval[several]
+            order = by_row_order(ids, refs, starts)
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            of = np.searchsorted(base, place, side="right") - 1
+            later = later_ones(interval, (rank[of] << 32) + place - base[of])
+            mark = np.zeros(len(data), bool)
+            mark[place[later]] = True
+            where, n = marked_runs(mark)
+            of = np.searchsorted(base, where, side="right") - 1
+            done.append((refs[of], ids[of], starts[of] + where - base[of], n))
         cols = [np.concatenate([d[i] for d in done]).astype(t) for i, t in enumerate((np.int64, np.int64, np.int32, np.int32))]
         return pa.Table.from_arrays([pa.array(c) for c in cols], schema=arrow_schema(SPANS))
 
