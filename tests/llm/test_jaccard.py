@@ -130,3 +130,17 @@ def test_one_of_each_decides_by_id_and_text(docs):
     assert len([t for i, t in got if i == 9]) == 2 and len(got) == 10
     again = ja.one_of_each(docs(rows[::-1])).collect()
     assert sorted(map(str, again)) == sorted(map(str, ja.one_of_each(docs(rows)).collect()))
+
+
+def test_a_null_id_links_others(docs):
+    words = [f"w{i}" for i in range(60)]
+    a, b, c = (" ".join(words[i : i + 54]) for i in (0, 3, 6))
+    far = [set(zip(*(x.split()[i:] for i in range(5)))) for x in (a, b, c)]
+    assert len(far[0] & far[1]) / len(far[0] | far[1]) >= 0.8 > len(far[0] & far[2]) / len(far[0] | far[2])
+    got = {(r.doc_id, r.component_id) for r in ja.components(docs([(5, a), (None, b), (None, b), (9, c)])).collect()}
+    assert got == {(5, 5), (None, 5), (9, 5)}
+
+
+def test_stored_tokens_keep_their_leading_bytes():
+    tokens = np.sort(np.random.default_rng(2).integers(0, 2**63, 500).astype(np.uint64))
+    assert (ja.loaded(ja.stored(tokens)) >> np.uint64(16) == tokens >> np.uint64(16)).all() and len(ja.stored(tokens)) == 3000

@@ -38,9 +38,9 @@ every step is a Spark join over tables in the checkpoint folder.
 
 Defined cases: NULL or wordless texts have an empty set and are linked with
 nothing; fewer than ``n`` words count as one shingle; repeated rows (equal
-doc_id) give repeated result rows with one component; a NULL doc_id is
-reported with a NULL component unless a copy has an id; extra columns are
-ignored; whole texts are read.
+doc_id) give repeated result rows with one component; a row with a NULL doc_id
+links others as any row and has the smallest doc_id that it reaches, NULL if
+there is none; extra columns are ignored; whole texts are read.
 """
 
 from __future__ import annotations
@@ -71,6 +71,9 @@ BUCKET_ROWS = 20_000
 #: Index entries of a bucket (about) and per text byte (at most about).
 BUCKET_ENTRIES, ENTRIES_PER_BYTE = 500_000, 0.12
 
+#: Bytes of a token's hash that the verification compares: two sets of a thousand tokens differ by a chance of 4e-9 from whole hashes.
+TOKEN_BYTES = 6
+
 MASK = (1 << 64) - 1
 
 
@@ -159,6 +162,18 @@ def differing_bits(a: bytes, b: bytes) -> int:
     return int(np.count_nonzero(np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0) ^ y))
 
 
+def stored(tokens: np.ndarray) -> bytes:
+    """A sorted set with ``TOKEN_BYTES`` leading bytes per token."""
+    return tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES].tobytes()
+
+
+def loaded(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8).reshape(-1, TOKEN_BYTES)
+    full = np.zeros((len(raw), 8), np.uint8)
+    full[:, :TOKEN_BYTES] = raw
+    return full.view(">u8").ravel().astype(U64)
+
+
 def is_link(a: np.ndarray, b: np.ndarray, threshold: tuple[int, int]) -> bool:
     both = np.sort(np.concatenate([a, b]))
     common = int(np.count_nonzero(both[1:] == both[:-1]))
@@ -284,7 +299,7 @@ def _token_sets(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = list(_sets(b, n))
-            cols = [[node_of(s) for s in sets], [len(s) for s in sets], [s.tobytes() for s in sets], [parity(s) for s in sets]]
+            cols = [[node_of(s) for s in sets], [len(s) for s in sets], [stored(s) for s in sets], [parity(s) for s in sets]]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, out, strict=True)], schema=out)
 
     return docs.select("text").mapInArrow(run, schema)
@@ -313,7 +328,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
     @F.arrow_udf("boolean")
     def linked(x: pa.Array, y: pa.Array) -> pa.Array:
         rows = zip(x.to_pylist(), y.to_pylist(), strict=True)
-        return pa.array([is_link(np.frombuffer(a, U64), np.frombuffer(b, U64), threshold) for a, b in rows], pa.bool_())
+        return pa.array([is_link(loaded(a), loaded(b), threshold) for a, b in rows], pa.bool_())
 
     whole = sets.select("node", "tokens")
     both = pairs.join(whole.toDF("a", "tokens_a"), "a").join(whole.toDF("b", "tokens_b"), "b")
@@ -362,7 +377,12 @@ def node_components(docs: DataFrame, nodes: DataFrame, frequencies: Frequencies,
     chosen = nodes.where("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(wanted, "node", "left_semi")
     ids = saved(chosen.select("doc_id").distinct(), "chosen")
     texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(_checked(ids), "doc_id", "left_semi")
-    sets = saved(_token_sets(texts.dropDuplicates(["doc_id", "text"]), n), "sets")
+    found = _token_sets(texts.dropDuplicates(["doc_id", "text"]), n)
+    nameless = saved(nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id")).where("doc_id IS NULL").join(wanted, "node", "left_semi").select("node"), "nameless")
+    if nameless.limit(1).count():  # texts whose rows all have a NULL doc_id: they may link others
+        unnamed = docs.where("doc_id IS NULL").select("text").distinct()
+        found = found.unionByName(_token_sets(unnamed, n).join(_checked(nameless), "node", "left_semi").dropDuplicates(["node"]))
+    sets = saved(found, "sets")
 
     # phase 1: each node and the leader it shares most entries with
     stars = saved(groups.where("leader != node").groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared")), "stars")
