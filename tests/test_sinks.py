@@ -1,8 +1,12 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.changes import changed_keys, changed_rows, row_changes
 from tidemark.operators.upsert import DuplicateKeyError, upsert
 from tidemark.session import scratch_path
+from tidemark.sinks import tables
 from tidemark.sinks.tables import append_batch, read_current, stage, upsert_table, write_overwrite, write_table
 
 
@@ -79,3 +83,76 @@ def test_upsert_keeps_columns_that_the_batch_does_not_carry(spark):
     source = spark.createDataFrame([(2, "B", 9), (None, "N", 8), (4, "D", 7)], "k int, v string, extra int")
     got = sorted((tuple(r) for r in upsert(target, source, ["k"]).collect()), key=str)
     assert got == sorted([(1, "a", "keep1", None), (2, "B", "keep2", 9), (None, "N", "keep3", 8), (4, "D", None, 7)], key=str)
+
+
+def _files(path):
+    """Data file names per bucket folder of a merged table."""
+    root = Path(path) / "_merged"
+    return {d.name: sorted(f.name for f in d.iterdir() if f.name.startswith("part-")) for d in root.iterdir() if "=" in d.name}
+
+
+def test_merge_rewrites_touched_buckets_only(spark):
+    path = scratch_path(spark, "t_buckets")
+    upsert_table(spark, spark.range(1000).select(F.col("id").alias("k"), F.lit("a").alias("v")), path, ["k"], buckets=16)
+    before = _files(path)
+    assert len(before) == 16
+    out = upsert_table(spark, spark.createDataFrame([(7, "b"), (5000, "c")], "k int, v string"), path, ["k"])  # other integer type
+    after = _files(path)
+    changed = [b for b in before if before[b] != after[b]]
+    assert 1 <= len(changed) <= 2 and set(after) == set(before)
+    assert out.count() == 1001 and out.schema["k"].dataType.simpleString() == "bigint"
+    assert sorted(r.k for r in out.filter("v != 'a'").collect()) == [7, 5000]
+
+
+def test_unchanged_rows_touch_no_bucket(spark):
+    path = scratch_path(spark, "t_same")
+    rows = [(i, "a" if i % 3 else None) for i in range(50)]
+    upsert_table(spark, spark.createDataFrame(rows, "k int, v string"), path, ["k"], buckets=8)
+    before = _files(path)
+    upsert_table(spark, spark.createDataFrame(rows[10:20], "k int, v string"), path, ["k"])
+    assert _files(path) == before
+    upsert_table(spark, spark.createDataFrame([*rows[10:20], (3, "")], "k int, v string"), path, ["k"])  # NULL became ''
+    assert sum(_files(path)[b] != before[b] for b in before) == 1
+    assert read_current(spark, path).filter("k = 3").first().v == ""
+
+
+def test_a_broken_off_merge_is_seen_and_finished(spark, monkeypatch):
+    path = scratch_path(spark, "t_broken")
+    upsert_table(spark, spark.createDataFrame([(i, "a") for i in range(20)], "k int, v string"), path, ["k"], buckets=4)
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_place", stop)
+        with pytest.raises(RuntimeError):
+            upsert_table(spark, spark.createDataFrame([(3, "b"), (30, "b")], "k int, v string"), path, ["k"])
+    seen = {r.k: r.v for r in read_current(spark, path).collect()}
+    assert len(seen) == 21 and seen[3] == seen[30] == "b"
+    out = upsert_table(spark, spark.createDataFrame([(4, "c")], "k int, v string"), path, ["k"])
+    got = {r.k: r.v for r in out.collect()}
+    assert got == {**seen, 4: "c"}
+    # broken off before the commit: nothing is seen
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_log", stop)
+        with pytest.raises(RuntimeError):
+            upsert_table(spark, spark.createDataFrame([(5, "x")], "k int, v string"), path, ["k"])
+    assert {r.k: r.v for r in read_current(spark, path).collect()} == got
+    assert {r.k: r.v for r in upsert_table(spark, spark.createDataFrame([(6, "y")], "k int, v string"), path, ["k"]).collect()} == {**got, 6: "y"}
+
+
+def test_merge_with_new_and_absent_columns_and_null_keys(spark):
+    path = scratch_path(spark, "t_cols")
+    upsert_table(spark, spark.createDataFrame([(1, "a", 5), (None, "n", 6), (3, "c", 7)], "k int, v string, w int"), path, ["k"], buckets=4)
+    upsert_table(spark, spark.createDataFrame([(1, "A"), (None, "N")], "k int, v string"), path, ["k"])
+    out = upsert_table(spark, spark.createDataFrame([(3, "C", 9, 1.5)], "k int, v string, w int, z double"), path, ["k"])
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted([(1, "A", 5, None), (None, "N", 6, None), (3, "C", 9, 1.5)], key=str)
+
+
+def test_row_changes(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (None, "n"), (5, "gone")], "k int, v string")
+    new = spark.createDataFrame([("a", 1), ("B", 2), ("", 3), ("n", None), ("x", 6)], "v string, k int")
+    got = {r.k: r.change for r in row_changes(old, new, ["k"]).collect()}
+    assert got == {1: "unchanged", 2: "updated", 3: "updated", None: "unchanged", 5: "absent", 6: "inserted"}
+    assert sorted((r.k for r in changed_rows(old, new, ["k"]).collect()), key=str) == [2, 3, 6]
+    assert changed_keys(old, new, ["k"]).count() == 4 and changed_keys(old, old, ["k"]).count() == 0

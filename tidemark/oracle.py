@@ -447,6 +447,16 @@ def _sql() -> dict[str, str]:
             "SELECT order_id, customer_id, product_id, CASE WHEN order_id % 3 = 0 THEN CAST(order_amount + 1 AS DECIMAL(19,2)) "
             "ELSE CAST(order_amount AS DECIMAL(19,2)) END AS order_amount, order_date, order_status, order_priority FROM orders_d",
         ),
+        "merge_changes": with_ctes(
+            ["orders_d"], [],
+            "SELECT order_id, CASE WHEN order_id % 2 != 0 THEN 'absent' WHEN order_id % 6 = 0 AND order_amount IS NOT NULL THEN 'updated' "
+            "ELSE 'unchanged' END AS change FROM orders_d UNION ALL SELECT -order_id, 'inserted' FROM orders_d WHERE order_id % 10 = 1",
+        ),
+        "merge_unchanged": with_ctes(
+            ["orders_d"], [],
+            "SELECT order_id, customer_id, product_id, CAST(order_amount + CASE WHEN order_id % 10 = 0 THEN 1 ELSE 0 END AS DECIMAL(19,2)) "
+            "AS order_amount, order_date, order_status, order_priority FROM orders_d",
+        ),
         "write_overwrite": with_ctes(["orders_d"], [], "SELECT * FROM orders_d"),
         "write_append": with_ctes(
             ["purchase_orders"], [],

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark import fixtures as fx
 from tidemark.functions.hashing import add_audit_columns, row_hash
 from tidemark.functions.text import trim_strings
+from tidemark.operators.changes import row_changes
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.quality import drop_nulls, table_profile
 from tidemark.operators.windows import rank_within
@@ -262,6 +263,26 @@ def q_merge_upsert(spark, sf):
     return upsert_table(spark, later, path, ["po_id"], check_unique=False)
 
 
+def q_merge_changes(spark, sf):
+    """What a batch does to a table of orders: every second order comes again, some with
+    another amount, and some with a new id; keys and stored row hashes are compared."""
+    orders = fx.orders(spark, sf).withColumn("order_amount", F.col("order_amount").cast("decimal(19,2)"))
+    more = F.when(F.col("order_id") % 6 == 0, 1).otherwise(0)
+    again = orders.filter("order_id % 2 = 0").withColumn("order_amount", (F.col("order_amount") + more).cast("decimal(19,2)"))
+    new = orders.filter("order_id % 10 = 1").withColumn("order_id", -F.col("order_id"))
+    return row_changes(add_audit_columns(orders, LOADED_AT), add_audit_columns(again.unionByName(new), LOADED_AT), ["order_id"])
+
+
+def q_merge_unchanged(spark, sf):
+    """A batch in which only every tenth row is new or different is merged by its changed rows."""
+    orders = fx.orders(spark, sf).withColumn("order_amount", F.col("order_amount").cast("decimal(19,2)"))
+    path = scratch_path(spark, "merge_unchanged")
+    upsert_table(spark, orders.filter("order_id % 20 != 0"), path, ["order_id"], check_unique=False)
+    more = F.when(F.col("order_id") % 10 == 0, 1).otherwise(0)
+    batch = orders.withColumn("order_amount", (F.col("order_amount") + more).cast("decimal(19,2)"))
+    return upsert_table(spark, batch, path, ["order_id"], check_unique=False)
+
+
 def q_write_overwrite(spark, sf):
     path = scratch_path(spark, "write_overwrite")
     write_overwrite(fx.customers(spark, sf), path)  # an older table at the path
@@ -346,6 +367,8 @@ QUERIES: dict[str, Query] = {
     "merge_upsert": q_merge_upsert,
     "merge_into_overwritten": q_merge_into_overwritten,
     "merge_partial_columns": q_merge_partial_columns,
+    "merge_changes": q_merge_changes,
+    "merge_unchanged": q_merge_unchanged,
     "write_overwrite": q_write_overwrite,
     "write_append": q_write_append,
     "stage_parquet": q_stage_parquet,

@@ -4,33 +4,43 @@
 - append by batch: each batch lands in its own ``batch_id=<n>`` folder with
   dynamic partition overwrite, so re-running a batch (a retry) replaces that
   batch instead of adding a second copy.
-- merge (upsert): files cannot be updated in place, and a path cannot be
-  overwritten while it is being read. Each merge writes a complete new
-  version ``_merged/<n+1>`` from (target without the batch's keys) + batch, then
-  appends ``n+1`` to the table's version log; readers take the newest logged
-  version. A failed merge leaves no log entry, so readers never see a partial
-  version. Files that another writer (overwrite, append) left at the path are
-  the table's version 0, which the first merge starts from. A merged table is
-  read with ``read_current``; its versions lie in a hidden folder, so a plain
-  read of the path does not mix them.
+- merge (upsert): the merged table lies in key-hash buckets, one folder
+  ``_merged/key_bucket_<n>=<b>`` each. A merge finds the buckets of its batch,
+  reads only these, and replaces only these; files of other buckets stay as
+  they are, so its cost follows the batch. Rows whose hash the target has
+  already are left out first, so that unchanged rows touch no bucket. The new
+  buckets are written to ``_pending`` and logged, which is the commit: readers
+  see them from then on, and they are put in their places by a dynamic
+  partition overwrite that is repeated by the next merge if it was broken off.
+  Files that another writer (overwrite, append) left at the path are the rows
+  that the first merge starts from. A merged table is read with
+  ``read_current``; its folders are hidden from a plain read of the path.
+  One writer at a time may merge into a table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampNTZType
 
+from tidemark.operators.changes import changed_rows
 from tidemark.operators.upsert import assert_unique, upsert
+from tidemark.session import scratch_path
 
 MODES = ("overwrite", "append", "merge")
-LOG_DIR = "_versions"
-DATA_DIR = "_merged"
-LOG_SCHEMA = StructType([StructField("version", LongType(), False), StructField("committed_at", TimestampNTZType(), False)])
+LOG_DIR, DATA_DIR, PENDING_DIR = "_versions", "_merged", "_pending"
+LOG_SCHEMA = StructType([
+    StructField("version", LongType(), False), StructField("applied", BooleanType(), False), StructField("committed_at", TimestampNTZType(), False),
+])
+#: Buckets of a new merged table: size them so that a bucket is a few files (about 1 GB).
+BUCKETS = 64
+BUCKET_COLUMN = re.compile(r"key_bucket_(\d+)")
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
@@ -52,29 +62,83 @@ def append_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
     )
 
 
-def _versions(spark: SparkSession, path: str) -> int | None:
-    log = os.path.join(path, LOG_DIR)
+def _load(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    """The table at the path, None if there is no folder or no data file."""
     try:
-        row = spark.read.schema(LOG_SCHEMA).json(log).agg(F.max("version")).collect()
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as exc:
+        if any(m in str(exc) for m in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "does not exist")):
             return None
         raise
-    return row[0][0] if row else None
 
 
-def read_current(spark: SparkSession, path: str, fmt: str = "parquet", version: int | None = None) -> DataFrame | None:
-    """The newest committed version of a merged table, or the plain files at
-    the path if it was never merged into (None if there are none)."""
-    v = _versions(spark, path) if version is None else version
-    if v:
-        return spark.read.format(fmt).load(os.path.join(path, DATA_DIR, str(v)))
+def _state(spark: SparkSession, path: str) -> tuple[int, bool]:
+    """The newest committed version (0: none) and whether its buckets are in their places."""
     try:
-        return spark.read.format(fmt).load(path)
-    except AnalysisException as exc:  # no folder, or no data files in it
-        if any(m in str(exc) for m in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "does not exist")):
-            return None
+        row = spark.read.schema(LOG_SCHEMA).json(os.path.join(path, LOG_DIR)).agg(F.max(F.struct("version", "applied")).alias("s")).first()
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+            return 0, True
         raise
+    return (row.s.version, row.s.applied) if row.s else (0, True)
+
+
+def _log(spark: SparkSession, path: str, version: int, applied: bool) -> None:
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    spark.createDataFrame([(version, applied, now)], LOG_SCHEMA).coalesce(1).write.mode("append").json(os.path.join(path, LOG_DIR))
+
+
+def _bucket_column(df: DataFrame) -> str:
+    return next(c for c in df.columns if BUCKET_COLUMN.fullmatch(c))
+
+
+def _buckets_in(df: DataFrame, column: str) -> list[int]:
+    """Distinct buckets of a table: at most as many as the table has."""
+    return [r[0] for r in df.select(column).distinct().collect()]
+
+
+def _place(spark: SparkSession, path: str, fmt: str, version: int) -> None:
+    """Put the pending buckets in their places; repeating it changes nothing."""
+    pending = spark.read.format(fmt).load(os.path.join(path, PENDING_DIR))
+    column = _bucket_column(pending)
+    (
+        pending.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(column).format(fmt).save(os.path.join(path, DATA_DIR))
+    )
+    _log(spark, path, version, True)
+
+
+def _merged(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    """The merged table with its bucket column: the buckets in their places, and pending ones instead of theirs."""
+    version, applied = _state(spark, path)
+    if not version:
+        return None
+    placed = _load(spark, os.path.join(path, DATA_DIR), fmt)
+    if applied:
+        return placed
+    pending = spark.read.format(fmt).load(os.path.join(path, PENDING_DIR))
+    column = _bucket_column(pending)
+    if placed is None or column not in placed.columns:
+        return pending
+    return placed.filter(~F.col(column).isin(_buckets_in(pending, column))).unionByName(pending, allowMissingColumns=True)
+
+
+def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The merged table, or the plain files at the path if it was never merged
+    into (None if there are none)."""
+    merged = _merged(spark, path, fmt)
+    return _load(spark, path, fmt) if merged is None else merged.drop(_bucket_column(merged))
+
+
+def _bucketed(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    n = int(BUCKET_COLUMN.fullmatch(column).group(1))
+    return df.withColumn(column, F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n)).cast("int"))
+
+
+def _typed(df: DataFrame, like: DataFrame) -> DataFrame:
+    """``df`` with the types of ``like`` in the columns that both have: buckets of one table have one schema."""
+    types = {f.name: f.dataType for f in like.schema.fields}
+    return df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in df.columns])
 
 
 def upsert_table(
@@ -84,26 +148,49 @@ def upsert_table(
     keys: list[str],
     fmt: str = "parquet",
     check_unique: bool = True,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Merge ``source`` into the table at ``path`` by ``keys``; return the new version.
+    """Merge ``source`` into the table at ``path`` by ``keys``; return the table.
 
     ``check_unique=False`` skips the duplicate-key check (one aggregate job)
     for a source that is unique on ``keys`` by construction, e.g. the output
-    of ``dedup_latest`` on the same keys.
+    of ``dedup_latest`` on the same keys. ``buckets`` counts for the first
+    merge into a path only. Values are cast to the target's types; a batch
+    with columns new to the target rewrites all buckets, so that they keep one
+    schema.
     """
     if not keys:
         raise ValueError("merge needs merge keys")
-    current = _versions(spark, path)
     if check_unique:
         assert_unique(source, keys)
-    target = read_current(spark, path, fmt, current or 0)
-    merged = source if target is None else upsert(target, source, keys, check_unique=False)
-    nxt = (current or 0) + 1
-    out = os.path.join(path, DATA_DIR, str(nxt))
-    merged.write.mode("overwrite").format(fmt).save(out)
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    spark.createDataFrame([(nxt, now)], LOG_SCHEMA).coalesce(1).write.mode("append").json(os.path.join(path, LOG_DIR))
-    return spark.read.format(fmt).load(out)
+    version, applied = _state(spark, path)
+    if not applied:
+        _place(spark, path, fmt, version)
+    target = _merged(spark, path, fmt)
+    if target is None:
+        plain = _load(spark, path, fmt)
+        merged = source if plain is None else upsert(plain, source, keys, check_unique=False)
+        column = f"key_bucket_{int(buckets)}"
+    else:
+        column = _bucket_column(target)
+        rows = target.drop(column)
+        batch = _bucketed(_typed(source, rows), keys, column)
+        if set(source.columns) <= set(rows.columns):
+            near = target.filter(F.col(column).isin(_buckets_in(batch, column))).drop(column)
+            if set(source.columns) == set(rows.columns):  # rows that the target has already touch no bucket
+                batch = stage(_bucketed(changed_rows(near, batch.drop(column), keys), keys, column), scratch_path(spark, "changed"), fmt)
+            touched = _buckets_in(batch, column)
+            if not touched:
+                return read_current(spark, path, fmt)
+            near = target.filter(F.col(column).isin(touched)).drop(column)
+        else:
+            near = rows
+        merged = _typed(upsert(near, batch.drop(column), keys, check_unique=False), rows)
+    out = _bucketed(merged, keys, column)
+    out.hint("rebalance", column).write.mode("overwrite").partitionBy(column).format(fmt).save(os.path.join(path, PENDING_DIR))
+    _log(spark, path, version + 1, False)
+    _place(spark, path, fmt, version + 1)
+    return read_current(spark, path, fmt)
 
 
 def stage(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
