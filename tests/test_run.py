@@ -244,3 +244,44 @@ def test_files_are_read_in_place_and_pruned(spark):
         "work_dir": work, "marts": ["inventory_snapshot"], "load": {"base_path": f"{base}/out"},
     })
     assert n == {"inventory_snapshot": 10} and not os.path.exists(os.path.join(work, "raw"))
+
+
+def test_changed_dimension_keys_reach_their_facts(spark):
+    from tidemark.plans import run as r
+
+    fact = r.FACTS["material_consumption"]
+    po = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (4, None)], "po_id int, material_id int")
+    mats = spark.createDataFrame([(10, 7), (20, 8), (30, 8)], "material_id int, supplier_id int")
+    keys = lambda col, *ks: spark.createDataFrame([(k,) for k in ks], f"{col} int")
+    d = {"purchase_orders": po, "raw_materials": mats}
+    got = lambda changed: sorted({x.po_id for x in r.rows_of_changed_dims(d, fact, changed).collect()})
+    assert got({"raw_materials": keys("material_id", 10)}) == [1]
+    assert got({"suppliers": keys("supplier_id", 8)}) == [2, 3]
+    assert got({"raw_materials": keys("material_id", 10, None), "suppliers": keys("supplier_id", 8)}) == [1, 2, 3, 4]
+    assert got({"raw_materials": keys("material_id"), "suppliers": None}) == [1, 2, 3, 4]
+    assert r.rows_of_changed_dims(d, fact, {}) is None
+
+
+def test_a_price_change_alone_rebuilds_its_rows(spark):
+    """One old order of material A; then only A's price changes and an order of B arrives: the target equals a full run."""
+    from tidemark.plans.run import run_config
+
+    land, out = scratch_path(spark, "dimland"), scratch_path(spark, "dimout")
+    po_type = "po_id int, material_id int, quantity_ordered int, order_date date, updated_at timestamp_ntz, received_date date, quantity_received int, po_status string"
+    day = dt.date(2024, 1, 1)
+    po = lambda i, m, at: [(i, m, 10, day, at, None, None, "open")]
+    mat = lambda price: [(1, "A", "c", price, 5, 3, 2024, 1), (2, "B", "c", 1.0, 5, 3, 2024, 1)]
+    mat_type = "material_id int, material_name string, material_category string, unit_price double, supplier_id int, lead_time_days int, year int, month int"
+    spark.createDataFrame([(5, "S", 1)], "supplier_id int, supplier_name string, supplier_nation_id int").write.parquet(f"{land}/suppliers")
+    costs = {}
+    for batch, (rows, price) in enumerate([(po(1, 1, dt.datetime(2024, 1, 2)), 2.0), (po(2, 2, dt.datetime(2024, 1, 3)), 3.0)], start=1):
+        spark.createDataFrame(rows, po_type).write.mode("append").parquet(f"{land}/purchase_orders")
+        spark.createDataFrame(mat(price), mat_type).write.mode("overwrite").parquet(f"{land}/raw_materials")
+        run_config(spark, {
+            "datasets": [{"name": n, "path": f"{land}/{n}", **({"incremental_column": "updated_at"} if n == "purchase_orders" else {})} for n in ("purchase_orders", "raw_materials", "suppliers")],
+            "watermark_store": f"{land}/marks", "work_dir": scratch_path(spark, "dimwork"), "marts": ["material_consumption"],
+            "loaded_at": "2024-06-30T00:00:00", "batch_id": batch, "load": {"base_path": out},
+        })
+        got = read_current(spark, f"{out}/MATERIAL_CONSUMPTION").collect()
+        costs[batch] = {r.po_id: float(r.line_cost) for r in got}
+    assert costs == {1: {1: 20.0}, 2: {1: 30.0, 2: 10.0}}

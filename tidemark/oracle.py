@@ -435,6 +435,8 @@ def _sql() -> dict[str, str]:
         "merge_upsert": with_ctes(["purchase_orders"], [], dedup("purchase_orders", po_cols, ["po_id"], ["updated_at"])),
         "incremental_material_consumption": _material_consumption(),
         "incremental_order_enriched": _order_enriched(),
+        "incremental_product_change": _order_enriched(),
+        "incremental_price_change": _material_consumption(),
         "run_config_customer_360": _customer_360(),
         "order_enriched_split": with_ctes(
             ["orders_d", "products"], [ORD_T, ORD, ("prod", dedup("products", COLUMNS["products"], ["product_id"]))],

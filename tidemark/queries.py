@@ -170,18 +170,20 @@ def q_incremental_new_watermark(spark, sf):
     return new_watermark(batch, "purchase_orders", "updated_at", PO_MARK)
 
 
-def _two_slices(spark, sf, mart, source, column, mark, others, overlap_seconds=None):
-    """Run ``run_config`` on the rows up to ``mark``, land the rest, run it again; the target."""
+def _two_slices(spark, sf, mart, source, column, mark, others, overlap_seconds=None, earlier=None):
+    """Run ``run_config`` on the rows up to ``mark``, land the rest, run it again; the target.
+
+    ``earlier``: per dimension, what its rows were in the first run."""
     landing, out = scratch_path(spark, f"landing_{mart}"), scratch_path(spark, f"target_{mart}")
     d = fx.domain(spark, sf, source, *others)
     value = F.col(column)
     later = F.coalesce(value > F.lit(str(mark)).cast(d[source].schema[column].dataType), F.lit(False))
-    for n in others:
-        write_overwrite(d[n], f"{landing}/{n}")
     datasets = [{"name": n, "path": f"{landing}/{n}"} for n in (source, *others)]
     datasets[0] |= {"incremental_column": column, **({"overlap_seconds": overlap_seconds} if overlap_seconds else {})}
     for batch, rows in enumerate((d[source].filter(~later), d[source].filter(later)), start=1):
         rows.write.mode("append").parquet(f"{landing}/{source}")
+        for n in others:
+            write_overwrite((earlier or {}).get(n, lambda x: x)(d[n]) if batch == 1 else d[n], f"{landing}/{n}")
         run_config(spark, {
             "datasets": datasets, "watermark_store": f"{landing}/marks", "work_dir": scratch_path(spark, f"work_{mart}"),
             "marts": [mart], "loaded_at": LOADED_AT.isoformat(), "batch_id": batch,
@@ -200,6 +202,31 @@ def q_incremental_order_enriched(spark, sf):
     return _two_slices(spark, sf, "order_enriched", "orders", "order_date", ORDER_MARK, ("products",))
 
 
+def q_incremental_product_change(spark, sf):
+    """Products renamed, moved, and new between two runs: the rows of old orders follow."""
+
+    def earlier(p):
+        return p.filter("product_id % 7 != 0").withColumn("product_name", F.when(F.col("product_id") % 3 == 0, F.lit("old name")).otherwise(F.col("product_name")))
+
+    return _two_slices(spark, sf, "order_enriched", "orders", "order_date", ORDER_MARK, ("products",), earlier={"products": earlier})
+
+
+def q_incremental_price_change(spark, sf):
+    """Prices, materials' suppliers and suppliers' rows change between two runs: old purchase orders follow."""
+
+    def materials(m):
+        price = F.when(F.col("material_id") % 3 == 0, F.col("unit_price") * 2).otherwise(F.col("unit_price")).cast(m.schema["unit_price"].dataType)
+        return m.withColumn("unit_price", price)
+
+    def suppliers(s):
+        return s.filter("supplier_id % 5 != 0").withColumn("supplier_name", F.concat("supplier_name", F.when(F.col("supplier_id") % 2 == 0, F.lit(" (old)")).otherwise(F.lit(""))))
+
+    return _two_slices(
+        spark, sf, "material_consumption", "purchase_orders", "updated_at", PO_MARK, ("raw_materials", "suppliers"), 86400,
+        earlier={"raw_materials": materials, "suppliers": suppliers},
+    )
+
+
 def q_run_config_customer_360(spark, sf):
     """The configured run over file datasets (ORC among them), merged into a target."""
     landing, out = scratch_path(spark, "landing_c360"), scratch_path(spark, "target_c360")
@@ -362,6 +389,8 @@ QUERIES: dict[str, Query] = {
     "incremental_new_watermark": q_incremental_new_watermark,
     "incremental_material_consumption": q_incremental_material_consumption,
     "incremental_order_enriched": q_incremental_order_enriched,
+    "incremental_product_change": q_incremental_product_change,
+    "incremental_price_change": q_incremental_price_change,
     "run_config_customer_360": q_run_config_customer_360,
     "order_enriched_split": q_order_enriched_split,
     "merge_upsert": q_merge_upsert,

@@ -62,7 +62,7 @@ def append_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
     )
 
 
-def _load(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+def load_plain(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """The table at the path, None if there is no folder or no data file."""
     try:
         return spark.read.format(fmt).load(path)
@@ -113,7 +113,7 @@ def _merged(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
     version, applied = _state(spark, path)
     if not version:
         return None
-    placed = _load(spark, os.path.join(path, DATA_DIR), fmt)
+    placed = load_plain(spark, os.path.join(path, DATA_DIR), fmt)
     if applied:
         return placed
     pending = spark.read.format(fmt).load(os.path.join(path, PENDING_DIR))
@@ -127,7 +127,7 @@ def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     """The merged table, or the plain files at the path if it was never merged
     into (None if there are none)."""
     merged = _merged(spark, path, fmt)
-    return _load(spark, path, fmt) if merged is None else merged.drop(_bucket_column(merged))
+    return load_plain(spark, path, fmt) if merged is None else merged.drop(_bucket_column(merged))
 
 
 def _bucketed(df: DataFrame, keys: list[str], column: str) -> DataFrame:
@@ -168,7 +168,7 @@ def upsert_table(
         _place(spark, path, fmt, version)
     target = _merged(spark, path, fmt)
     if target is None:
-        plain = _load(spark, path, fmt)
+        plain = load_plain(spark, path, fmt)
         merged = source if plain is None else upsert(plain, source, keys, check_unique=False)
         column = f"key_bucket_{int(buckets)}"
     else:
