@@ -257,3 +257,13 @@ def test_reviews_match_database_numerics(spark):
     reviews = spark.createDataFrame([(1, "7", 4), (2, "10", 5), (3, "0", 3), (4, "7.0", 1), (5, "07", 1)], "review_id int, user_id string, rating int")
     got = {int(r.customer_id): r.total_reviews for r in cu.customer_360(customers, orders, reviews).collect()}
     assert got == {7: 1, 10: 1, 0: 1}
+
+
+def test_fine_quantities_are_not_rounded_before_the_product(spark):
+    from tidemark.functions.stats import cost, exact_sum, quantity_type
+
+    df = spark.createDataFrame([(0.125, 8.0), (3.0, 0.1)], "q double, p double")
+    assert [str(r[0].normalize()) for r in df.select(cost("q", "p", quantity_type(df, "q"))).collect()] == ["1", "0.3"]
+    assert str(df.agg(exact_sum(cost("q", "p", quantity_type(df, "q")))).first()[0]) == "1.30"
+    whole = spark.createDataFrame([(3, 0.125)], "q int, p double")
+    assert quantity_type(whole, "q").simpleString() == "decimal(17,2)" and str(whole.select(cost("q", "p")).first()[0].normalize()) == "0.375"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.session import scratch_path
-from tidemark.sources.files import read_dataset, read_datasets
+from tidemark.sources.files import read_checked, read_dataset, read_datasets
 from tidemark.sources.incremental import WatermarkStore, incremental_filter, new_watermark
 from tidemark.sources.jdbc import bound_value, jdbc_options
 from tidemark.sources.schema import SchemaError, load_schema, validate_schema
@@ -195,3 +195,28 @@ def test_flagged_rows_written_once_split_by_validity(spark):
     flagged.withColumn("is_valid", F.col("_reject_reason").isNull()).write.partitionBy("is_valid").parquet(path)
     back = spark.read.parquet(path).withColumn("is_valid", F.col("is_valid").cast("boolean"))  # folder values are text
     assert back.filter("is_valid").count() == 2 and back.filter("NOT is_valid").first()._reject_reason == "a: null"
+
+
+def test_malformed_csv_records_keep_their_text_and_reason(spark, tmp_path):
+    lines = ["k,n,day", "1,5,2024-01-02", "2,x,2024-01-02", "3,6,soon", ",7,2024-01-02", "5,,", "6,1", "7,y,never", '8,"9",2024-01-02']
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    schema = {"fields": [{"name": "k", "type": "long", "nullable": False}, {"name": "n", "type": "integer"}, {"name": "day", "type": "date"}]}
+    ok, bad = read_checked(spark, str(tmp_path), "csv", schema)
+    assert sorted(r.k for r in ok.collect()) == [1, 5, 8] and ok.columns == ["k", "n", "day"]
+    got = {r.k: (r._corrupt_record, r._reject_reason) for r in bad.collect()}
+    assert got[2] == ("2,x,2024-01-02", "n: not a int") and got[3] == ("3,6,soon", "day: not a date")
+    assert got[7][1] == "n: not a int; day: not a date" and got[None] == (None, "k: null") and got[6][0] == "6,1"
+    assert ok.select("k").count() == 3 and bad.select("k").count() == 5  # whatever a query selects
+
+
+def test_malformed_json_records_keep_their_text_and_reason(spark, tmp_path):
+    lines = ['{"k":1,"n":5}', '{"k":2,"n":"x"}', '{"k":3,"n"', '{"n":4}', '{"k":5}', "[]", '{"k":"a","n":"b"}']
+    (tmp_path / "a.json").write_text("\n".join(lines) + "\n")
+    schema = {"fields": [{"name": "k", "type": "long", "nullable": False}, {"name": "n", "type": "integer"}]}
+    ok, bad = read_checked(spark, str(tmp_path), "json", schema)
+    assert sorted(r.k for r in ok.collect()) == [1, 5]
+    got = {(r._corrupt_record, r._reject_reason) for r in bad.collect()}
+    assert {(lines[1], "n: not a int"), (lines[2], "malformed record"), (None, "k: null"), (lines[6], "k: not a bigint; n: not a int")} <= got
+    assert read_checked(spark, str(tmp_path), "json", schema)[1].count() == len(got) == bad.count()
+    with pytest.raises(ValueError):
+        read_checked(spark, str(tmp_path), "parquet", schema)

@@ -9,23 +9,34 @@ HALF_UP at ``scale`` digits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, IntegralType
 
 SUM_TYPE = DecimalType(38, 2)
 AVG_SCALE = 6
 # Digits kept before the one rounding at the end; products of these are exact DECIMAL(38,10).
 WIDE_TYPE = DecimalType(38, 10)
-QUANTITY_TYPE = DecimalType(17, 2)
+QUANTITY_TYPE, FINE_QUANTITY_TYPE = DecimalType(17, 2), DecimalType(22, 8)
 PRICE_TYPE = DecimalType(20, 8)
 
 
-def cost(quantity: Column | str, price: Column | str) -> Column:
-    """``quantity * price`` as an exact DECIMAL(38,10), also for DOUBLE inputs
-    (whose shortest decimal form counts); round only what is shown."""
+def quantity_type(df: DataFrame, column: str) -> DecimalType:
+    """The decimal type that holds a quantity column's values: two digits for integers
+    and decimals of up to two, eight digits for any other (DOUBLE) input."""
+    t = df.schema[column].dataType
+    if isinstance(t, IntegralType) or (isinstance(t, DecimalType) and t.scale <= QUANTITY_TYPE.scale and t.precision - t.scale <= 15):
+        return QUANTITY_TYPE
+    return FINE_QUANTITY_TYPE
+
+
+def cost(quantity: Column | str, price: Column | str, of: DecimalType = QUANTITY_TYPE) -> Column:
+    """``quantity * price`` with 10 decimals (11 for a fine ``of``), also for DOUBLE
+    inputs (whose shortest decimal form counts); round only what is shown.
+
+    ``of``: the quantity's ``quantity_type``."""
     q, p = (F.col(c) if isinstance(c, str) else c for c in (quantity, price))
-    return q.cast(QUANTITY_TYPE) * p.cast(PRICE_TYPE)
+    return q.cast(of) * p.cast(PRICE_TYPE)
 
 
 def money(c: Column | str) -> Column:

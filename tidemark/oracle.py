@@ -468,6 +468,20 @@ def _sql() -> dict[str, str]:
         "read_parquet_schema": with_ctes(["inventory"], [], "SELECT * FROM inventory"),
         "read_csv_schema": with_ctes(["purchase_orders"], [], "SELECT * FROM purchase_orders"),
         "read_json_schema": with_ctes(["product_reviews"], [], "SELECT * FROM product_reviews"),
+        "read_csv_rejected": with_ctes(
+            ["purchase_orders"], [],
+            "SELECT * FROM (SELECT po_id, quoted_price, nullif(concat_ws('; ', "
+            "CASE WHEN po_id % 13 = 0 THEN 'order_date: not a date' END, "
+            "CASE WHEN po_id % 11 = 0 THEN 'quantity_ordered: not a int' END, "
+            "CASE WHEN po_id % 17 = 0 THEN 'material_id: null' END), '') AS _reject_reason "
+            "FROM purchase_orders) v WHERE _reject_reason IS NOT NULL",
+        ),
+        "read_json_rejected": with_ctes(
+            ["product_reviews"], [],
+            "SELECT review_id, CASE WHEN review_id % 7 != 0 THEN product_id END AS product_id, "
+            "CASE WHEN review_id % 7 = 0 THEN 'malformed record' ELSE 'rating: not a int' END AS _reject_reason "
+            "FROM product_reviews WHERE review_id % 7 = 0 OR review_id % 5 = 0",
+        ),
         "validate_schema": with_ctes(
             ["purchase_orders"], [],
             "SELECT * FROM (SELECT *, nullif(concat_ws('; ', "

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import as_date, date_parts, day_literal, days_between
 from tidemark.functions.hashing import add_audit_columns
 from tidemark.functions.rules import ON_TIME_THRESHOLDS, STRATEGIC_SPEND, is_late, tier_by_counts
-from tidemark.functions.stats import QUANTITY_TYPE, cost, exact_avg, exact_sum, money
+from tidemark.functions.stats import cost, exact_avg, exact_sum, money, quantity_type
 from tidemark.functions.text import trim_strings
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.windows import (
@@ -91,16 +91,17 @@ def material_rolling_spend(po: DataFrame, materials: DataFrame, window_days: int
     daily table is joined with the materials. Unlike windowing the joined
     base, no purchase-order-level join is repeated.
     """
+    fine = quantity_type(po, "quantity_ordered")
     daily_qty = po.groupBy(F.col("material_id"), day_number("order_date").alias(DAY)).agg(
-        F.sum(F.col("quantity_ordered").cast(QUANTITY_TYPE)).alias("__tm_qty")
+        F.sum(F.col("quantity_ordered").cast(fine)).alias("__tm_qty")
     )
     priced = daily_qty.join(materials.select("material_id", "unit_price"), on="material_id", how="left")
-    daily = priced.select("material_id", DAY, cost("__tm_qty", "unit_price").alias("__tm_spend"))
+    daily = priced.select("material_id", DAY, cost("__tm_qty", "unit_price", fine).alias("__tm_spend"))
     return range_window_over_days(daily, ["material_id"], "__tm_spend", window_days, "rolling_90d_spend")
 
 
-def line_cost() -> Column:
-    return cost("quantity_ordered", "unit_price")
+def line_cost(base: DataFrame) -> Column:
+    return cost("quantity_ordered", "unit_price", quantity_type(base, "quantity_ordered"))
 
 
 def delivery_columns(base: DataFrame) -> DataFrame:
@@ -108,7 +109,7 @@ def delivery_columns(base: DataFrame) -> DataFrame:
     expected = F.date_add(as_date("order_date"), F.col("lead_time_days").cast("int"))
     with_expected = base.select(
         "*",
-        money(line_cost()).alias("line_cost"),
+        money(line_cost(base)).alias("line_cost"),
         expected.alias("expected_delivery_date"),
     )
     variance = days_between(as_date("received_date"), F.col("expected_delivery_date"))
@@ -131,7 +132,7 @@ def material_consumption(
     without it the spend is computed from ``base`` (``rolling_range_sum``)."""
     b = delivery_columns(base)
     if rolling is None:
-        b = rolling_range_sum(b, ["material_id"], "order_date", line_cost(), window_days, "rolling_90d_spend")
+        b = rolling_range_sum(b, ["material_id"], "order_date", line_cost(b), window_days, "rolling_90d_spend")
     else:
         b = attach_by_day(b, ["material_id"], "order_date", rolling, "rolling_90d_spend")
     b = b.withColumn("rolling_90d_spend", money("rolling_90d_spend"))
@@ -142,7 +143,7 @@ def material_consumption(
 def rolling_spend(base: DataFrame, window_days: int = ROLLING_DAYS, rolling: DataFrame | None = None) -> DataFrame:
     b = delivery_columns(base).select("po_id", "material_id", "order_date", "line_cost", "quantity_ordered", "unit_price")
     if rolling is None:
-        b = rolling_range_sum(b, ["material_id"], "order_date", line_cost(), window_days, "rolling_90d_spend")
+        b = rolling_range_sum(b, ["material_id"], "order_date", line_cost(b), window_days, "rolling_90d_spend")
     else:
         b = attach_by_day(b, ["material_id"], "order_date", rolling, "rolling_90d_spend")
     return b.withColumn("rolling_90d_spend", money("rolling_90d_spend")).drop("quantity_ordered", "unit_price")
@@ -169,8 +170,8 @@ def supplier_performance(
     late = F.col("is_late").cast("int")
     sc = b.groupBy("supplier_id", "supplier_name").agg(
         F.count("po_id").alias("total_orders"),
-        exact_sum(line_cost()).alias("total_spend"),
-        exact_avg(line_cost()).alias("avg_order_value"),
+        exact_sum(line_cost(b)).alias("total_spend"),
+        exact_avg(line_cost(b)).alias("avg_order_value"),
         F.count_distinct("material_id").alias("unique_materials"),
         exact_avg("delivery_variance_days").alias("avg_delivery_variance_days"),
         F.sum(late).cast("bigint").alias("late_deliveries"),
@@ -181,7 +182,7 @@ def supplier_performance(
         F.min("order_date").alias("first_order_date"),
         exact_avg(F.when(F.col("received_date").isNotNull(), late)).alias("late_delivery_rate_received"),
         F.count(F.lit(1)).alias("__tm_all"),
-        F.sum(line_cost()).alias("__tm_spend"),
+        F.sum(line_cost(b)).alias("__tm_spend"),
     )
     on_time_rate = (F.lit(1) - F.col("late_delivery_rate")).cast("decimal(38,6)")
     sc = sc.select(

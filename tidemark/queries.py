@@ -30,7 +30,7 @@ from tidemark.plans.common import dim_latest, left_join_dim
 from tidemark.plans.run import run_config
 from tidemark.session import scratch_path
 from tidemark.sinks.tables import append_batch, read_current, stage, upsert_table, write_overwrite
-from tidemark.sources.files import read_dataset
+from tidemark.sources.files import read_checked, read_dataset
 from tidemark.sources.incremental import incremental_filter, new_watermark, typed_mark
 from tidemark.sources.schema import load_schema, validate_schema
 
@@ -352,6 +352,31 @@ def q_read_json_schema(spark, sf):
     return read_dataset(spark, path, "json", SCHEMAS / "product_reviews.json")
 
 
+def q_read_csv_rejected(spark, sf):
+    """Purchase orders written as CSV, some with words where numbers and days belong: the records refused, and why."""
+    path = scratch_path(spark, "po_bad_csv")
+    po = fx.purchase_orders(spark, sf)
+    text = po.select(*[F.col(c).cast("string").alias(c) for c in po.columns]).withColumns({
+        "quantity_ordered": F.when(F.col("po_id") % 11 == 0, F.lit("n/a")).otherwise(F.col("quantity_ordered")),
+        "order_date": F.when(F.col("po_id") % 13 == 0, F.lit("soon")).otherwise(F.col("order_date")),
+        "material_id": F.when(F.col("po_id") % 17 != 0, F.col("material_id")),
+    })
+    text.write.option("header", "true").csv(path)
+    return read_checked(spark, path, "csv", SCHEMAS / "purchase_orders.json")[1].select("po_id", "quoted_price", "_reject_reason")
+
+
+def q_read_json_rejected(spark, sf):
+    """Reviews written as JSON lines, some with a word as rating and some cut off: the records refused, and why."""
+    path = scratch_path(spark, "reviews_bad_json")
+    r = fx.product_reviews(spark, sf)
+    line = F.to_json(F.struct(*r.columns))
+    line = F.when(F.col("review_id") % 5 == 0, F.regexp_replace(line, '"rating":[0-9]+', '"rating":"five"')).otherwise(line)
+    r.select(F.when(F.col("review_id") % 7 == 0, F.substring(line, 1, 30)).otherwise(line)).write.text(path)
+    rejected = read_checked(spark, path, "json", SCHEMAS / "product_reviews.json")[1]
+    number = F.regexp_extract("_corrupt_record", '"review_id":([0-9]+)', 1).cast("bigint")
+    return rejected.select(number.alias("review_id"), "product_id", "_reject_reason")
+
+
 def q_validate_schema(spark, sf):
     """Purchase orders checked against a contract that requires a received
     quantity and date: open orders are rejected, with the reason."""
@@ -404,5 +429,7 @@ QUERIES: dict[str, Query] = {
     "read_parquet_schema": q_read_parquet_schema,
     "read_csv_schema": q_read_csv_schema,
     "read_json_schema": q_read_json_schema,
+    "read_csv_rejected": q_read_csv_rejected,
+    "read_json_rejected": q_read_json_rejected,
     "validate_schema": q_validate_schema,
 }
