@@ -126,6 +126,7 @@ def test_small_shards_and_buckets(docs, monkeypatch):
     monkeypatch.setattr(r, "SHARD_BYTES", 2000)
     monkeypatch.setattr(r, "BUCKET_BYTES", 500)
     monkeypatch.setattr(r, "PIECE_BYTES", 300)
+    monkeypatch.setattr(r, "TEXT_BLOCK", 70)
     monkeypatch.setattr(r, "BUCKET_ENTRIES", 50)
     rows = texts(rng, 200, alphabet="abc ", size=200)
     got = result(r.without_repeats(docs([(i, t) for i, t in enumerate(rows)]).repartition(5)))

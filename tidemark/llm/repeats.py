@@ -52,9 +52,11 @@ from tidemark.llm.common import U64, arrow_schema, hash_runs, mix, saved
 #: Bytes of a repeated string, of a symbol of the transform, and of a gram of the candidate search.
 LENGTH, SYMBOL, GRAM = 100, 50, 32
 #: Bytes (about) of a shard's runs, of those of a bucket, and of the pieces that a bucket sorts by themselves.
-SHARD_BYTES, BUCKET_BYTES, PIECE_BYTES = 1 << 21, 1 << 21, 1 << 19
+SHARD_BYTES, BUCKET_BYTES, PIECE_BYTES = 1 << 19, 1 << 20, 1 << 18
 #: Entries of a key bucket (about), and window runs per text byte (about).
 BUCKET_ENTRIES, RUNS_PER_BYTE = 500_000, 1 / 30
+#: Bytes of a text that are hashed at once; a run is cut there, which at most adds candidates.
+TEXT_BLOCK = 1 << 20
 #: Order of a NULL doc_id.
 LAST = (1 << 63) - 1
 #: Longest run that one entry tells.
@@ -257,13 +259,14 @@ def _entries(rows: DataFrame, buckets: int, length: int, gram: int) -> DataFrame
         for b in batches:
             found, entries = [], 0
             for ref, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
-                runs = window_runs(np.frombuffer(text, np.uint8), length, gram)
-                if len(runs[0]):
-                    found.append((ref, *runs))
-                    entries += len(runs[0])
-                if entries >= BUCKET_ENTRIES:
-                    yield from flush(found)
-                    found, entries = [], 0
+                data = np.frombuffer(text, np.uint8)
+                for at in range(0, max(0, len(data) - length + 1), TEXT_BLOCK):
+                    start, size, key = window_runs(data[at : at + TEXT_BLOCK + length - 1], length, gram)
+                    found.append((ref, start + at, size, key))
+                    entries += len(start)
+                    if entries >= BUCKET_ENTRIES:
+                        yield from flush(found)
+                        found, entries = [], 0
             if found:
                 yield from flush(found)
 
