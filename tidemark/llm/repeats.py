@@ -295,20 +295,17 @@ def _repeated(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c) for c in cols], schema=arrow_schema(RUNS))
 
 
-SEGMENTS = "bucket int, refs binary, ids binary, starts binary, sizes binary, bytes binary"
+SEGMENTS = "bucket int, ref bigint, id bigint, start int, size int, bytes binary"
 SPANS = "ref bigint, id bigint, start int, size int"
 
 
-def _packed(bucket: np.ndarray, columns: list[np.ndarray], data: np.ndarray, at: np.ndarray, bytes_: np.ndarray) -> pa.RecordBatch:
-    """Runs as one row per bucket, with ``bytes_[i]`` bytes of each, from ``data[at[i]]`` on."""
-    order = np.argsort(bucket, kind="stable")
-    first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-    cols = [c[order] for c in columns]
-    raw = gathered(data, at[order], bytes_[order])
-    cuts = np.append(0, np.cumsum(bytes_[order]))[first]
-    parts = [[x.tobytes() for x in np.split(c, first[1:])] if len(first) else [] for c in cols]
-    parts.append([x.tobytes() for x in np.split(raw, cuts[1:])] if len(first) else [])
-    return pa.RecordBatch.from_arrays([pa.array(bucket[order][first], pa.int32()), *(pa.array(p, pa.binary()) for p in parts)], schema=arrow_schema(SEGMENTS))
+def _rows(bucket: np.ndarray, refs: np.ndarray, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, data: np.ndarray, at: np.ndarray, span: np.ndarray) -> pa.RecordBatch:
+    """One row per run, with its ``span[i]`` bytes from ``data[at[i]]`` on."""
+    raw = gathered(data, at, span)
+    ends = np.append(0, np.cumsum(span)).astype(np.int32)
+    bytes_ = pa.Array.from_buffers(pa.binary(), len(span), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw.tobytes())])
+    cols = [bucket.astype(np.int32), refs, ids, starts.astype(np.int32), sizes.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), bytes_], schema=arrow_schema(SEGMENTS))
 
 
 def _settled(data: np.ndarray, at: np.ndarray, refs, ids, starts, sizes, keys, buckets: int, length: int, symbol: int) -> Iterator[pa.RecordBatch]:
@@ -326,12 +323,12 @@ def _settled(data: np.ndarray, at: np.ndarray, refs, ids, starts, sizes, keys, b
         run = np.searchsorted(base, where, side="right") - 1
         hashed = keys[run] if kept else refs[run]  # settled spans are dealt evenly
         bucket = (mix(hashed.view(U64).copy()) % U64(buckets)).astype(np.int64)
-        columns = [refs[run], ids[run], (starts[run] + where - base[run]).astype(np.int32), n.astype(np.int32)]
-        yield _packed(bucket, columns, own, where, n + length - 1 if kept else np.zeros(len(n), np.int64))
+        taken = n + length - 1 if kept else np.zeros(len(n), np.int64)
+        yield _rows(bucket, refs[run], ids[run], starts[run] + where - base[run], n, own, where, taken)
 
 
 def _segments(found: DataFrame, buckets: int, length: int, symbol: int) -> DataFrame:
-    """First windows of each shard, packed by bucket with their bytes; rows without bytes are spans that a shard settled."""
+    """Runs of each shard's first windows with their bytes; rows without bytes are spans that a shard settled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -360,12 +357,13 @@ def _spans(length: int, symbol: int):
     """Repeated windows of a bucket, by the merged transforms of its shards (its runs in pieces of ``PIECE_BYTES``)."""
 
     def run(table: pa.Table) -> pa.Table:
-        refs, ids = _unpacked(table["refs"], np.int64), _unpacked(table["ids"], np.int64)
-        starts, sizes = (_unpacked(table[c], np.int32).astype(np.int64) for c in ("starts", "sizes"))
-        open_ = np.repeat([len(x) > 0 for x in table["bytes"].to_pylist()], [len(x) // 8 for x in table["refs"].to_pylist()])
+        refs, ids, starts, sizes = (table[c].to_numpy().astype(np.int64) for c in ("ref", "id", "start", "size"))
+        raw = pa.concat_arrays([c.cast(pa.large_binary()) for c in table["bytes"].chunks])
+        bounds = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+        data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+        open_ = np.diff(bounds) > 0
         done = [(refs[~open_], ids[~open_], starts[~open_], sizes[~open_])]
         refs, ids, starts, sizes = (c[open_] for c in (refs, ids, starts, sizes))
-        data = _unpacked(table["bytes"], np.uint8)
         if len(refs):
             span = sizes + length - 1
             base = np.cumsum(span) - span
