@@ -128,6 +128,7 @@ def test_small_shards_and_buckets(docs, monkeypatch):
     monkeypatch.setattr(r, "PIECE_BYTES", 300)
     monkeypatch.setattr(r, "TEXT_BLOCK", 70)
     monkeypatch.setattr(r, "BUCKET_ENTRIES", 50)
+    monkeypatch.setattr(r, "FLUSH_ENTRIES", 40)
     rows = texts(rng, 200, alphabet="abc ", size=200)
     got = result(r.without_repeats(docs([(i, t) for i, t in enumerate(rows)]).repartition(5)))
     assert got == [(i, *b) for i, b in enumerate(brute(rows, 100))]

@@ -55,8 +55,10 @@ LENGTH, SYMBOL, GRAM = 100, 50, 32
 SHARD_BYTES, BUCKET_BYTES, PIECE_BYTES = 1 << 19, 1 << 20, 1 << 18
 #: Entries of a key bucket (about), and window runs per text byte (about).
 BUCKET_ENTRIES, RUNS_PER_BYTE = 500_000, 1 / 30
+#: Entries that a task packs at once.
+FLUSH_ENTRIES = 250_000
 #: Bytes of a text that are hashed at once; a run is cut there, which at most adds candidates.
-TEXT_BLOCK = 1 << 20
+TEXT_BLOCK = 1 << 18
 #: Order of a NULL doc_id.
 LAST = (1 << 63) - 1
 #: Longest run that one entry tells.
@@ -258,13 +260,16 @@ def _entries(rows: DataFrame, buckets: int, length: int, gram: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found, entries = [], 0
-            for ref, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
-                data = np.frombuffer(text, np.uint8)
+            texts = b.column(1).cast(pa.large_binary())
+            bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1].tolist()
+            every = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+            for ref, (begin, end) in zip(b.column(0).to_pylist(), pairwise(bounds), strict=True):
+                data = every[begin:end]
                 for at in range(0, max(0, len(data) - length + 1), TEXT_BLOCK):
                     start, size, key = window_runs(data[at : at + TEXT_BLOCK + length - 1], length, gram)
                     found.append((ref, start + at, size, key))
                     entries += len(start)
-                    if entries >= BUCKET_ENTRIES:
+                    if entries >= FLUSH_ENTRIES:
                         yield from flush(found)
                         found, entries = [], 0
             if found:
