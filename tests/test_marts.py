@@ -216,11 +216,13 @@ def test_hot_suppliers_found_through_counts_per_material(spark, sf_small):
     )
     d = fx.domain(spark, sf_small, "raw_materials", "suppliers")
     p, mat, sup = su.po_parts(po, d["raw_materials"], d["suppliers"])
-    hot = su.hot_suppliers(po.select("material_id"), mat, max_group_rows=500)
+    hot = su.hot_purchase_keys(po.select("material_id"), mat, max_group_rows=500)
     supplier_of_7 = mat.filter("material_id = 7").first().supplier_id
-    assert [r[0] for r in hot.collect()] == [supplier_of_7]
+    assert [r[0] for r in hot["supplier_id"].collect()] == [supplier_of_7]
+    assert [r[0] for r in hot["material_id"].collect()] == [7]
+    assert su.hot_purchase_keys(po.select("material_id"), mat) == {}  # fewer rows than one task takes
     nowhere = po.withColumn("material_id", F.lit(-5).cast("bigint"))  # unmatched: the NULL supplier
-    assert [r[0] for r in su.hot_suppliers(nowhere.select("material_id"), mat, max_group_rows=500).collect()] == [None]
+    assert [r[0] for r in su.hot_purchase_keys(nowhere.select("material_id"), mat, max_group_rows=500)["supplier_id"].collect()] == [None]
     from tidemark.plans.common import left_join_dim
 
     base = left_join_dim(p, mat, "material_id", "material")

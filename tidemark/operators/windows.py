@@ -10,10 +10,16 @@ from pyspark.sql.types import (
     ArrayType,
     BinaryType,
     BooleanType,
+    ByteType,
     DataType,
     DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
     MapType,
+    ShortType,
     StringType,
+    StructField,
     StructType,
     TimestampNTZType,
     TimestampType,
@@ -67,6 +73,50 @@ def hot_groups(source: DataFrame, group: list[str], max_group_rows: int = MAX_GR
     return hot_counts(keys.groupBy(*names).agg(F.count(F.lit(1)).alias("__tm_rows")), names, max_group_rows)
 
 
+# Items that a summary of frequent keys tracks: the built-in sketch then keeps 65536
+# counters and errs by at most 3.5/65536 of all rows, so that no key above twice that
+# (and 1/SUMMARY_GROUPS is more) can be missing from its answer.
+SUMMARY_GROUPS = 4096
+SUMMARY_ITEMS = 49152
+SUMMARY_BUCKETS = 512
+# Key types the summary takes and that survive the way through the driver unchanged.
+SUMMARY_TYPES = (BooleanType, ByteType, ShortType, IntegerType, LongType, DecimalType, StringType, DateType)
+
+
+def hot_keys(source: DataFrame, columns: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> dict[str, DataFrame]:
+    """Hot keys of several columns of ``source``, NULL included, from one pass over it.
+
+    Per column a mergeable summary of frequent items (bounded counters, built
+    in) is kept by each task, merged per bucket of tasks, then once more. A key
+    with more than ``max_group_rows`` rows and more than ``1/SUMMARY_GROUPS``
+    of all rows is always found; counts are upper bounds. The result has an
+    entry (``__tm_h0``, ``__tm_pieces``) only for columns that have hot keys,
+    fewer than ``SUMMARY_GROUPS`` rows each, so that a plan without hot keys
+    stays a plain join or window. Runs one job, before it a row count that reads
+    no column: a table of at most ``max_group_rows`` rows has no hot key. Columns
+    of a type the summary does not take are counted exactly and lazily
+    (``hot_groups``).
+    """
+    types = {c: source.schema[c].dataType for c in columns}
+    exact = {c: hot_groups(source, [c], max_group_rows) for c in columns if not isinstance(types[c], SUMMARY_TYPES)}
+    names = [c for c in columns if c not in exact]
+    if not names or source.select().count() <= max_group_rows:
+        return exact
+    kept = source.select(*[_q(c).alias(f"k{i}") for i, c in enumerate(names)])
+    each = [F.expr(f"approx_top_k_accumulate(k{i}, {SUMMARY_ITEMS})").alias(f"k{i}") for i in range(len(names))]
+    merged = [F.expr(f"approx_top_k_estimate(approx_top_k_combine(k{i}, {SUMMARY_ITEMS}), {SUMMARY_GROUPS})").alias(f"k{i}") for i in range(len(names))]
+    tasks = kept.groupBy(F.pmod(F.spark_partition_id(), F.lit(SUMMARY_BUCKETS)).alias("b")).agg(*each, F.count(F.lit(1)).alias("n"))
+    found = tasks.agg(*merged, F.sum("n").alias("n")).first()
+    total = found["n"]
+    hot = {}
+    for i, c in enumerate(names):
+        rows = [(r["item"], -(-r["count"] // max_group_rows)) for r in found[f"k{i}"] or () if r["count"] > max_group_rows and r["count"] * SUMMARY_GROUPS > total]
+        if rows:
+            schema = StructType([StructField("__tm_h0", types[c]), StructField("__tm_pieces", IntegerType())])
+            hot[c] = F.broadcast(source.sparkSession.createDataFrame(rows, schema))
+    return {**exact, **hot}
+
+
 def rank_within(
     df: DataFrame,
     group: list[str],
@@ -75,6 +125,7 @@ def rank_within(
     split: list[tuple[Column, str]] | None = None,
     hot_source: DataFrame | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
+    hot: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """``row_number()`` inside each group, by ``order`` (1 = first).
 
@@ -87,14 +138,20 @@ def rank_within(
     With ``split`` - ``(column, direction)`` pairs whose values never decrease
     along ``order`` (direction ``asc_nulls_first`` or ``desc_nulls_last``, e.g.
     the day of the date that ``order`` sorts first) - the hot groups
-    (``hot_groups`` over ``hot_source``, default ``df``; pass the raw input when
-    ``df`` is expensive to recompute) are ranked in sub-buckets
-    (``split_rank``); every other group is one bucket. One window serves both.
+    (``hot``, as ``hot_keys`` returns them, else found in ``hot_source``,
+    default ``df``; pass the raw input when ``df`` is expensive to recompute)
+    are ranked in sub-buckets (``split_rank``); every other group is one
+    bucket. One window serves both; without hot groups it is the plain one.
     """
-    if not split:
+    if split and len(group) == 1:
+        if hot is None:
+            hot = hot_keys(hot_source if hot_source is not None else df, group, max_group_rows)
+        hot = hot.get(group[0])
+    elif split:
+        hot = hot_groups(hot_source if hot_source is not None else df, group, max_group_rows)
+    if not split or hot is None:
         w = Window.partitionBy(*[_q(g) for g in group]).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w))
-    hot = hot_groups(hot_source if hot_source is not None else df, group, max_group_rows)
     cond = [_q(g).eqNullSafe(F.col(f"__tm_h{i}")) for i, g in enumerate(group)]
     flagged = df.join(hot, cond, "left").drop(*[f"__tm_h{i}" for i in range(len(group))])
     return split_rank(flagged, group, order, out, split, F.col("__tm_pieces").isNotNull()).drop("__tm_pieces")

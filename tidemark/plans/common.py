@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from tidemark.operators.dedup import dedup_latest
-from tidemark.operators.windows import MAX_GROUP_ROWS, hot_groups
+from tidemark.operators.windows import MAX_GROUP_ROWS, hot_keys
 
 
 def today(as_of: dt.date | None) -> dt.date:
@@ -43,7 +43,7 @@ def left_join_dim(
     dim_name: str,
     hot_source: DataFrame | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
-    hot: DataFrame | None = None,
+    hot: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)`` with name clashes made explicit.
 
@@ -52,18 +52,19 @@ def left_join_dim(
     The join strategy is Spark's: a dimension below the broadcast threshold of
     the size statistics is broadcast, a larger one is a sort-merge join.
 
-    ``hot_source`` (the fact's raw key column) or ``hot`` (the hot keys, as
-    ``hot_groups`` returns them) salts the join: rows of a hot key, NULL
-    included, are dealt over its pieces by a hash of the row, and the key's
-    dimension row is repeated per piece. The fact is read once, and no task
-    gets much more than ``max_group_rows`` rows of one key. ``dim`` must be
-    unique on ``key``.
+    ``hot_source`` (the fact's raw key column) or ``hot`` (the hot keys by
+    column, as ``hot_keys`` returns them) salts the join: rows of a hot key,
+    NULL included, are dealt over its pieces by a hash of the row, and the
+    key's dimension row is repeated per piece. The fact is read once, and no
+    task gets much more than ``max_group_rows`` rows of one key. Without hot
+    keys the join is the plain one. ``dim`` must be unique on ``key``.
     """
     clash = [c for c in dim.columns if c != key and c in fact.columns]
     if clash:
         dim = dim.select(*[dim[c].alias(f"{dim_name}_{c}") if c in clash else dim[c] for c in dim.columns])
     if hot is None and hot_source is not None:
-        hot = hot_groups(hot_source, [key], max_group_rows)
+        hot = hot_keys(hot_source, [key], max_group_rows)
+    hot = (hot or {}).get(key)
     if hot is None:
         return fact.join(dim, on=key, how="left")
     same = F.col(f"`{key}`").eqNullSafe(F.col("__tm_h0"))

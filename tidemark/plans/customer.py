@@ -14,7 +14,7 @@ from tidemark.functions.rules import SEGMENT_THRESHOLDS, customer_segment
 from tidemark.functions.stats import exact_avg, exact_sum
 from tidemark.functions.text import trim_strings
 from tidemark.operators.dedup import dedup_latest
-from tidemark.operators.windows import rank_within, top_k_within
+from tidemark.operators.windows import hot_keys, rank_within, top_k_within
 from tidemark.plans.common import dim_latest, left_join_dim, now, present, today
 
 RECENCY = ("updated_at",)
@@ -157,14 +157,14 @@ def recency_split(id_type: DataType | None = None, prefix: Column | None = None)
     return [day]
 
 
-def rank_orders(df: DataFrame, raw_orders: DataFrame) -> DataFrame:
-    """Per-customer recency rank; customers with very many orders (counted on
-    the raw orders' key column) are ranked in (day, id range) pieces."""
+def rank_orders(df: DataFrame, raw_orders: DataFrame, hot: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Per-customer recency rank; customers with very many orders (``hot``, else
+    found in the raw orders' key column) are ranked in (day, id range) pieces."""
     id_type = df.schema["order_id"].dataType
     prefix = common_prefix(raw_orders, "order_id") if isinstance(id_type, StringType) else None
     return rank_within(
         df, ["customer_id"], recency_order(), "order_rank",
-        split=recency_split(id_type, prefix), hot_source=raw_orders.select("customer_id"),
+        split=recency_split(id_type, prefix), hot_source=raw_orders.select("customer_id"), hot=hot,
     )
 
 
@@ -195,8 +195,8 @@ def order_enriched(
     ``orders_clean``: ``clean_orders`` was applied already (e.g. staged once
     for several marts), so the orders are not deduplicated again."""
     o = orders if orders_clean else clean_orders(orders)
-    e = left_join_dim(o, dim_latest(products, "product_id"), "product_id", "product",
-                      hot_source=orders.select("product_id"))
-    e = rank_orders(e, orders)
+    hot = hot_keys(orders, ["product_id", "customer_id"])
+    e = left_join_dim(o, dim_latest(products, "product_id"), "product_id", "product", hot=hot)
+    e = rank_orders(e, orders, hot)
     e = e.select("*", *date_parts("order_date", "order", ("year", "month", "dow")))
     return add_audit_columns(e, now(loaded_at))

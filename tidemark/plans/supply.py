@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.functions.dates import as_date, date_parts, day_literal, days_between
 from tidemark.functions.hashing import add_audit_columns
@@ -16,9 +17,9 @@ from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.windows import (
     DAY,
     MAX_GROUP_ROWS,
+    SUMMARY_GROUPS,
     attach_by_day,
     day_number,
-    hot_counts,
     range_window_over_days,
     rolling_range_sum,
 )
@@ -42,17 +43,35 @@ def po_parts(
     return po, dim_latest(materials, "material_id", MATERIAL_RECENCY), dim_latest(suppliers, "supplier_id")
 
 
-def hot_suppliers(po_material_ids: DataFrame, materials: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Hot suppliers of the purchase orders, the NULL supplier of unmatched materials included.
+def hot_purchase_keys(
+    po_material_ids: DataFrame, materials: DataFrame, max_group_rows: int = MAX_GROUP_ROWS
+) -> dict[str, DataFrame]:
+    """Hot materials and hot suppliers of the purchase orders, the NULL supplier
+    of unmatched materials included, from one pass over the raw material ids.
 
-    The purchase orders are counted per material (partial aggregation), and
-    only these counts are joined with the (deduplicated) materials - no join of
-    all purchase orders.
+    The purchase orders are counted per material (partial aggregation); only
+    these counts are joined with the materials and summed per supplier - no
+    join of all purchase orders. Of each column the ``SUMMARY_GROUPS`` largest
+    counts come to the driver, which holds every key above ``1/SUMMARY_GROUPS``
+    of all rows. A table of at most ``max_group_rows`` rows has no hot key, and
+    its row count alone (no column read) says so.
     """
-    per_material = po_material_ids.groupBy("material_id").agg(F.count(F.lit(1)).alias("__tm_n"))
-    suppliers = materials.select("material_id", F.col("supplier_id").alias("__tm_h0"))
-    counts = per_material.join(suppliers, on="material_id", how="left").groupBy("__tm_h0").agg(F.sum("__tm_n").alias("__tm_rows"))
-    return hot_counts(counts, ["__tm_h0"], max_group_rows)
+    total = po_material_ids.count()
+    if total <= max_group_rows:
+        return {}
+    per_material = po_material_ids.groupBy("material_id").agg(F.count(F.lit(1)).alias("n"))
+    per_supplier = (
+        per_material.join(materials.select("material_id", "supplier_id"), on="material_id", how="left")
+        .groupBy("supplier_id").agg(F.sum("n").alias("n"))
+    )
+    hot = {}
+    for key, counts in (("material_id", per_material), ("supplier_id", per_supplier)):
+        large = counts.where(F.col("n") > max_group_rows).orderBy(F.desc("n")).limit(SUMMARY_GROUPS)
+        rows = [(r[key], -(-r["n"] // max_group_rows)) for r in large.collect() if r["n"] * SUMMARY_GROUPS > total]
+        if rows:
+            schema = StructType([StructField("__tm_h0", counts.schema[key].dataType), StructField("__tm_pieces", IntegerType())])
+            hot[key] = F.broadcast(counts.sparkSession.createDataFrame(rows, schema))
+    return hot
 
 
 def join_base(
@@ -63,9 +82,9 @@ def join_base(
     ``hot_source`` (the raw purchase orders' ``material_id``) salts the joins
     of materials and suppliers with very many purchase orders
     (``left_join_dim``)."""
-    base = left_join_dim(po, materials, "material_id", "material", hot_source=hot_source)
-    hot_sup = hot_suppliers(hot_source, materials) if hot_source is not None else None
-    return left_join_dim(base, suppliers, "supplier_id", "supplier", hot=hot_sup)
+    hot = hot_purchase_keys(hot_source, materials) if hot_source is not None else None
+    base = left_join_dim(po, materials, "material_id", "material", hot=hot)
+    return left_join_dim(base, suppliers, "supplier_id", "supplier", hot=hot)
 
 
 def po_base(po: DataFrame, materials: DataFrame, suppliers: DataFrame, *, trim: bool = True) -> DataFrame:
