@@ -45,3 +45,26 @@ def test_ties_are_rejected_and_go_to_the_first_name(docs):
     model = la.learn(docs([(1, "same words here", "xx"), (2, "same words here", "bb")]))
     (r,) = la.identify(docs([(1, "other things entirely")]), model).collect()
     assert (r.lang_pred, r.margin, r.rejected, r.score) == ("bb", 0.0, True, 0.5)
+
+
+def test_number_characters_are_no_letters(docs):
+    model = la.learn(docs([(1, "theon ander ing", "aa")]))
+    texts = ["½", "²³", "Ⅷ", "٣", "_", "漢", "ª"]
+    got = {r.doc_id: r.lang_pred for r in la.identify(docs(list(enumerate(texts))), model).collect()}
+    assert [got[i] for i in range(7)] == ["und"] * 5 + ["aa"] * 2
+
+
+def test_whole_texts_are_learnt_up_to_a_budget(docs, monkeypatch):
+    monkeypatch.setattr(la, "SAMPLE_CHARS", 400)
+    monkeypatch.setattr(la, "SAMPLE_DOCS", 8)
+    long = "x" * 300 + "tail"
+    rows = [(1, long, "aa"), (1, long, "aa"), (2, "y" * 90, "aa"), (3, "z" * 5000 + "ending", "aa"), (4, "b" * 900 + "c" * 900, "bb")]
+    model = dict(la.learn(docs(rows)))
+    assert sorted(model["aa"].split(b"\n")) == [long.encode(), b"y" * 90]  # each once and whole, the third passed over
+    assert len(model["bb"]) <= 400 + 8 and model["bb"].count(b"b") == model["bb"].count(b"c") > 0  # pieces over all of it
+
+
+def test_one_language_may_hold_most_rows(docs):
+    rows = [(i, f"theon ander {i}", "aa") for i in range(1500)] + [(5000, "que los", "bb"), (None, "para los", "bb")]
+    model = dict(la.learn(docs(rows)))
+    assert len(model["aa"].split(b"\n")) == la.SAMPLE_DOCS and len(model["bb"].split(b"\n")) == 2
