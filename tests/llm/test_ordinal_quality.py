@@ -41,3 +41,20 @@ def test_edges(docs, edge_docs, spark):
     assert q.grade(edge_docs, q.train(edge_docs, one)).count() == edge_docs.count()
     assert q.grade(docs([]), model).collect() == []
     assert q.features(None) == q.features(" \n") == []
+
+
+def test_the_sample_is_bounded_and_the_first_in_hash_order(docs, spark, monkeypatch):
+    """One row per sampled id however often it is repeated; bucketed ranking equals the plain one."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(q, "SAMPLE_DOCS", 20)
+    graded = spark.range(900).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("int").alias("grade"))
+    got = {(r.doc_id, r.grade) for r in q.sampled(graded).collect()}
+    hashed = sorted((r.h, r.doc_id, r.grade) for r in graded.withColumn("h", F.xxhash64("doc_id")).collect())
+    assert got == {(i, g) for grade in range(3) for _, i, g in [x for x in hashed if x[2] == grade][:20]}
+
+    seen = []
+    monkeypatch.setattr(q, "fit", lambda sample, population: seen.append(sample))
+    labels = spark.createDataFrame([(1, 5, 0), (2, 0, 0)], "doc_id bigint, quality int, toxic int")
+    q.train(docs([(1, f"text {i}") for i in range(300)] + [(1, None), (2, "x")]), labels)
+    assert sorted(seen[0]["doc_id"].to_pylist()) == [1, 2]

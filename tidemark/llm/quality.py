@@ -39,6 +39,8 @@ from tidemark.llm.common import arrow_schema
 
 #: Bound of the training sample: documents per grade.
 SAMPLE_DOCS = 2000
+#: Buckets per grade that are ranked on their own first.
+SAMPLE_BUCKETS = 256
 #: Hashed features (a power of two).
 FEATURES = 1 << 18
 #: Grades are 0 .. GRADES - 1; documents are kept by the tail of this grade.
@@ -167,15 +169,22 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on the bounded sample of labelled documents."""
     graded = grades(labels)
     population = {r.grade: r.n for r in graded.groupBy("grade").agg(F.count("*").alias("n")).collect()}
-    # at most GRADES * SAMPLE_DOCS ids, so the broadcast is bounded
-    sample = docs.select("doc_id", "text").join(F.broadcast(sampled(graded)), "doc_id")
+    # at most GRADES * SAMPLE_DOCS ids, so the broadcast is bounded; of the rows of one id the one with the smallest digest
+    labelled = docs.select("doc_id", "text").join(F.broadcast(sampled(graded)), "doc_id")
+    sample = labelled.groupBy("doc_id", "grade").agg(F.min_by("text", F.coalesce(F.md5("text"), F.lit(""))).alias("text"))
     return fit(featured(sample).toArrow().sort_by([("doc_id", "ascending"), ("grade", "ascending")]), population)
 
 
 def sampled(graded: DataFrame) -> DataFrame:
-    """``doc_id, grade`` of the training sample: per grade the first documents in hash order."""
-    w = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return graded.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= SAMPLE_DOCS).select("doc_id", "grade")
+    """``doc_id, grade`` of the training sample: per grade the first documents in hash order.
+
+    Ranked inside buckets of a grade first, then over what these leave, so
+    that no task sorts all labels of a grade."""
+    hashed = graded.withColumn("h", F.xxhash64("doc_id"))
+    for bucket in (F.pmod("h", F.lit(SAMPLE_BUCKETS)), F.lit(0)):
+        w = Window.partitionBy("grade", bucket).orderBy("h", "doc_id")
+        hashed = hashed.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= SAMPLE_DOCS)
+    return hashed.select("doc_id", "grade")
 
 
 def _scorer(docs: DataFrame, model: Model) -> Callable:
