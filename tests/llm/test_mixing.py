@@ -61,8 +61,8 @@ def test_edges(docs, edge_docs):
     got = mx.mix(edge_docs).collect()
     assert len(got) == edge_docs.count()
     assert all(r.taken == 0 for r in got if r.size == 0)
-    pair = [r.taken for r in got if r.doc_id == 4]
-    assert len(pair) == 2 and pair[0] == pair[1]
+    pair = [(r.size, r.source_size, r.target) for r in got if r.doc_id == 4]
+    assert len(pair) == 2 and pair[0] == pair[1]  # which of two equal rows is taken is open
     empty = mx.mix(docs([(1, None, None, "a"), (2, "", None, None)])).collect()
     assert [(r.target, r.taken) for r in empty] == [(0.0, 0), (0.0, 0)]
 
@@ -97,3 +97,17 @@ def test_taken_documents_keep_their_columns(docs):
     assert set(d.columns) - {"copies"} <= set(got.columns)
     for r in got.collect():
         assert r.taken == r.copies * len(r.text.split()) and r.copies in (1, 2) and r.size == "x"
+
+
+@pytest.mark.parametrize("ids, texts", [("one", "equal"), ("null", "different"), ("half null", "equal"), ("distinct", "different")])
+def test_repeated_and_null_ids_come_near_the_target(docs, ids, texts, spark):
+    """A target of 1.5 times the size is met to half a document, also when the cut divides equal rows."""
+    doc_id = {"one": lambda i: 7, "null": lambda i: None, "half null": lambda i: i if i % 2 else None, "distinct": lambda i: i}[ids]
+    made = [(doc_id(i), " ".join(["w"] * 22) if texts == "equal" else f"w{i} " * (10 + i % 23), None, "a") for i in range(400)]
+    sizes = [len(t.split()) for _, t, _, _ in made]
+    got = mx.mix(docs(made)).collect()
+    assert sorted(r.size for r in got) == sorted(sizes) and all(r.taken in (r.size, 2 * r.size, 0) for r in got)
+    assert abs(sum(r.taken for r in got) - got[0].target) <= max(sizes) / 2
+    kept = mx.taken_documents(docs(made)).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.taken) for r in kept) == sorted((r.doc_id is None, r.doc_id, r.taken) for r in got if r.taken)
+    assert all(r.taken == r.copies * len(r.text.split()) for r in kept)
