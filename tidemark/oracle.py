@@ -437,6 +437,8 @@ def _sql() -> dict[str, str]:
         "incremental_order_enriched": _order_enriched(),
         "incremental_product_change": _order_enriched(),
         "incremental_price_change": _material_consumption(),
+        "incremental_customer_360": _customer_360(),
+        "incremental_supplier_performance": _supplier_performance(),
         "run_config_customer_360": _customer_360(),
         "order_enriched_split": with_ctes(
             ["orders_d", "products"], [ORD_T, ORD, ("prod", dedup("products", COLUMNS["products"], ["product_id"]))],

@@ -11,8 +11,9 @@ from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType
 from tidemark.functions.dates import date_parts, day_literal, days_between
 from tidemark.functions.hashing import add_audit_columns
 from tidemark.functions.rules import SEGMENT_THRESHOLDS, customer_segment
-from tidemark.functions.stats import exact_avg, exact_sum
+from tidemark.functions.stats import WIDE_TYPE, exact_avg, exact_sum
 from tidemark.functions.text import trim_strings
+from tidemark.operators.aggregates import StateSpec, state_avg, state_sum
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.windows import hot_keys, rank_within, top_k_within
 from tidemark.plans.common import dim_latest, left_join_dim, now, present, today
@@ -41,6 +42,27 @@ def customer_order_metrics(orders: DataFrame) -> DataFrame:
     )
 
 
+#: What an incremental run keeps of the orders, per customer.
+ORDER_STATE = StateSpec("order_id", ("customer_id",), ("placed", "order_amount"), ("order_date",))
+
+
+def order_measures(clean: DataFrame) -> DataFrame:
+    """What each order adds to its customer's ``ORDER_STATE``."""
+    return clean.select(
+        "order_id", "customer_id", F.col("order_id").isNotNull().cast("int").alias("placed"),
+        F.col("order_amount").cast(WIDE_TYPE).alias("order_amount"), "order_date",
+    )
+
+
+def metrics_of_states(states: DataFrame) -> DataFrame:
+    """``customer_order_metrics`` from the kept states."""
+    return states.select(
+        "customer_id", F.col("sum_placed").alias("total_orders"), state_sum("order_amount").alias("lifetime_value"),
+        state_avg("order_amount").alias("avg_order_value"),
+        F.col("max_order_date").alias("last_order_date"), F.col("min_order_date").alias("first_order_date"),
+    )
+
+
 def customer_review_metrics(reviews: DataFrame) -> DataFrame:
     """Per reviewing user: average rating and review count."""
     return reviews.groupBy("user_id").agg(
@@ -71,9 +93,10 @@ def text_key_as(df: DataFrame, text_col: str, key_type: DataType) -> DataFrame:
 
 def customer_360(
     customers: DataFrame,
-    orders: DataFrame,
+    orders: DataFrame | None,
     reviews: DataFrame | None = None,
     *,
+    metrics: DataFrame | None = None,
     as_of: dt.date | None = None,
     loaded_at: dt.datetime | None = None,
     thresholds: tuple = SEGMENT_THRESHOLDS,
@@ -85,10 +108,12 @@ def customer_360(
     segment. Review users are matched to customers as text (``user_id`` is a
     string, ``customer_id`` need not be). Orders are trimmed and deduplicated
     first, unless ``orders_clean`` says ``clean_orders`` was applied already.
+    ``metrics`` (``metrics_of_states``) takes the place of the orders.
     """
     cust = trim_strings(customers)
     cust = dedup_latest(cust, ["customer_id"], present(cust, RECENCY))
-    metrics = customer_order_metrics(orders if orders_clean else clean_orders(orders))
+    if metrics is None:
+        metrics = customer_order_metrics(orders if orders_clean else clean_orders(orders))
     c = cust.join(metrics, on="customer_id", how="left")
     if reviews is not None:
         # only user ids that are exactly a customer key's text can match: key

@@ -11,8 +11,9 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from tidemark.functions.dates import as_date, date_parts, day_literal, days_between
 from tidemark.functions.hashing import add_audit_columns
 from tidemark.functions.rules import ON_TIME_THRESHOLDS, STRATEGIC_SPEND, is_late, tier_by_counts
-from tidemark.functions.stats import cost, exact_avg, exact_sum, money, quantity_type
+from tidemark.functions.stats import WIDE_TYPE, cost, exact_avg, exact_sum, money, quantity_type
 from tidemark.functions.text import trim_strings
+from tidemark.operators.aggregates import StateSpec, state_avg, state_sum
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.windows import (
     DAY,
@@ -203,8 +204,13 @@ def supplier_performance(
         F.count(F.lit(1)).alias("__tm_all"),
         F.sum(line_cost(b)).alias("__tm_spend"),
     )
+    return scorecard(sc, as_of, loaded_at, spend, on_time)
+
+
+def scorecard(aggregates: DataFrame, as_of: dt.date | None, loaded_at: dt.datetime | None, spend, on_time) -> DataFrame:
+    """The scorecard's derived columns, their order and the audit columns."""
     on_time_rate = (F.lit(1) - F.col("late_delivery_rate")).cast("decimal(38,6)")
-    sc = sc.select(
+    sc = aggregates.select(
         "supplier_id", "supplier_name", "total_orders", "total_spend", "avg_order_value", "unique_materials",
         "avg_delivery_variance_days", "late_deliveries", "late_delivery_rate", "avg_qty_variance",
         "short_shipments", "last_order_date", "first_order_date",
@@ -214,3 +220,56 @@ def supplier_performance(
         "late_delivery_rate_received",
     )
     return add_audit_columns(sc, now(loaded_at), exclude=("relationship_tenure_days",))
+
+
+#: What an incremental run keeps of the purchase orders, per supplier and
+#: material: the materials that still have rows are the distinct ones.
+PURCHASE_STATE = StateSpec(
+    "po_id", ("supplier_id", "supplier_name", "material_id"),
+    ("placed", "cost", "shown_cost", "variance", "late", "late_received", "qty_variance", "short"), ("order_date",),
+)
+
+
+def purchase_measures(base: DataFrame) -> DataFrame:
+    """What each purchase order adds to its ``PURCHASE_STATE``."""
+    b = delivery_columns(base)
+    late, qty = F.col("is_late").cast("int"), F.col("quantity_received") - F.col("quantity_ordered")
+    return b.select(
+        "po_id", "supplier_id", "supplier_name", "material_id",
+        F.col("po_id").isNotNull().cast("int").alias("placed"),
+        line_cost(b).alias("cost"),
+        line_cost(b).cast(WIDE_TYPE).alias("shown_cost"),
+        F.col("delivery_variance_days").alias("variance"),
+        late.alias("late"),
+        F.when(F.col("received_date").isNotNull(), late).alias("late_received"),
+        qty.cast(WIDE_TYPE).alias("qty_variance"),
+        F.coalesce(qty < 0, F.lit(False)).cast("int").alias("short"),
+        "order_date",
+    )
+
+
+def scorecard_of_states(
+    states: DataFrame, *, as_of: dt.date | None = None, loaded_at: dt.datetime | None = None, spend=STRATEGIC_SPEND, on_time=ON_TIME_THRESHOLDS
+) -> DataFrame:
+    """``supplier_performance`` from the kept states."""
+    added = states.groupBy("supplier_id", "supplier_name").agg(
+        *[F.sum(c).alias(c) for c in PURCHASE_STATE.added_up()],
+        F.count("material_id").alias("unique_materials"),
+        F.max("max_order_date").alias("last_order_date"),
+        F.min("min_order_date").alias("first_order_date"),
+    )
+    sc = added.select(
+        "supplier_id", "supplier_name", "unique_materials", "last_order_date", "first_order_date",
+        F.col("sum_placed").alias("total_orders"),
+        state_sum("shown_cost").alias("total_spend"),
+        state_avg("shown_cost").alias("avg_order_value"),
+        state_avg("variance").alias("avg_delivery_variance_days"),
+        F.when(F.col("count_late") > 0, F.col("sum_late")).alias("late_deliveries"),
+        state_avg("late").alias("late_delivery_rate"),
+        state_avg("qty_variance").alias("avg_qty_variance"),
+        F.col("sum_short").alias("short_shipments"),
+        state_avg("late_received").alias("late_delivery_rate_received"),
+        F.col("rows").alias("__tm_all"),
+        F.when(F.col("count_cost") > 0, F.col("sum_cost")).alias("__tm_spend"),
+    )
+    return scorecard(sc, as_of, loaded_at, spend, on_time)

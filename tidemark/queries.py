@@ -27,7 +27,7 @@ from tidemark.plans import customer as cu
 from tidemark.plans import inventory as inv
 from tidemark.plans import supply as su
 from tidemark.plans.common import dim_latest, left_join_dim
-from tidemark.plans.run import run_config
+from tidemark.plans.run import FACTS, run_config
 from tidemark.session import scratch_path
 from tidemark.sinks.tables import append_batch, read_current, stage, upsert_table, write_overwrite
 from tidemark.sources.files import read_checked, read_dataset
@@ -170,12 +170,16 @@ def q_incremental_new_watermark(spark, sf):
     return new_watermark(batch, "purchase_orders", "updated_at", PO_MARK)
 
 
-def _two_slices(spark, sf, mart, source, column, mark, others, overlap_seconds=None, earlier=None):
+def _two_slices(spark, sf, mart, source, column, mark, others, overlap_seconds=None, earlier=None, history=None, params=None):
     """Run ``run_config`` on the rows up to ``mark``, land the rest, run it again; the target.
 
-    ``earlier``: per dimension, what its rows were in the first run."""
+    ``earlier``: per dimension, what its rows were in the first run; ``history``:
+    the source's rows with their earlier versions."""
     landing, out = scratch_path(spark, f"landing_{mart}"), scratch_path(spark, f"target_{mart}")
     d = fx.domain(spark, sf, source, *others)
+    if history:
+        d[source] = history(d[source])
+    mode = "append" if mart in FACTS else "overwrite"
     value = F.col(column)
     later = F.coalesce(value > F.lit(str(mark)).cast(d[source].schema[column].dataType), F.lit(False))
     datasets = [{"name": n, "path": f"{landing}/{n}"} for n in (source, *others)]
@@ -186,8 +190,8 @@ def _two_slices(spark, sf, mart, source, column, mark, others, overlap_seconds=N
             write_overwrite((earlier or {}).get(n, lambda x: x)(d[n]) if batch == 1 else d[n], f"{landing}/{n}")
         run_config(spark, {
             "datasets": datasets, "watermark_store": f"{landing}/marks", "work_dir": scratch_path(spark, f"work_{mart}"),
-            "marts": [mart], "loaded_at": LOADED_AT.isoformat(), "batch_id": batch,
-            "load": {"base_path": out, "tables": [{"source": mart, "target": f"{out}/t", "write_mode": "append"}]},
+            "marts": [mart], "as_of": AS_OF.isoformat(), "loaded_at": LOADED_AT.isoformat(), "batch_id": batch, "params": params or {},
+            "load": {"base_path": out, "tables": [{"source": mart, "target": f"{out}/t", "write_mode": mode}]},
         })
     return read_current(spark, f"{out}/t")
 
@@ -211,19 +215,51 @@ def q_incremental_product_change(spark, sf):
     return _two_slices(spark, sf, "order_enriched", "orders", "order_date", ORDER_MARK, ("products",), earlier={"products": earlier})
 
 
+def _earlier_materials(m):
+    price = F.when(F.col("material_id") % 3 == 0, F.col("unit_price") * 2).otherwise(F.col("unit_price")).cast(m.schema["unit_price"].dataType)
+    return m.withColumn("unit_price", price)
+
+
+def _earlier_suppliers(s):
+    return s.filter("supplier_id % 5 != 0").withColumn("supplier_name", F.concat("supplier_name", F.when(F.col("supplier_id") % 2 == 0, F.lit(" (old)")).otherwise(F.lit(""))))
+
+
 def q_incremental_price_change(spark, sf):
     """Prices, materials' suppliers and suppliers' rows change between two runs: old purchase orders follow."""
+    return _two_slices(
+        spark, sf, "material_consumption", "purchase_orders", "updated_at", PO_MARK, ("raw_materials", "suppliers"), 86400,
+        earlier={"raw_materials": _earlier_materials, "suppliers": _earlier_suppliers},
+    )
 
-    def materials(m):
-        price = F.when(F.col("material_id") % 3 == 0, F.col("unit_price") * 2).otherwise(F.col("unit_price")).cast(m.schema["unit_price"].dataType)
-        return m.withColumn("unit_price", price)
 
-    def suppliers(s):
-        return s.filter("supplier_id % 5 != 0").withColumn("supplier_name", F.concat("supplier_name", F.when(F.col("supplier_id") % 2 == 0, F.lit(" (old)")).otherwise(F.lit(""))))
+def q_incremental_customer_360(spark, sf):
+    """Orders first land with other amounts, customers and days: the second run takes
+    these out of the kept states, the ends of the days that go with them included."""
+
+    def with_earlier_versions(orders):
+        now = orders.withColumn("updated_at", F.col("order_date").cast("timestamp_ntz"))
+        before = now.filter((F.col("order_date") > F.lit(ORDER_MARK)) & (F.col("order_id") % 3 == 0)).select(*[
+            (F.col("order_amount") * 2).cast(f.dataType).alias(f.name) if f.name == "order_amount"
+            else (F.col("customer_id") + F.col("order_id") % 2).cast(f.dataType).alias(f.name) if f.name == "customer_id"
+            else F.date_sub("order_date", 3650).cast(f.dataType).alias(f.name) if f.name == "order_date"
+            else F.lit(dt.datetime(1990, 1, 1)).cast("timestamp_ntz").alias(f.name) if f.name == "updated_at"
+            else F.col(f.name)
+            for f in now.schema.fields
+        ])
+        return now.unionByName(before)
 
     return _two_slices(
-        spark, sf, "material_consumption", "purchase_orders", "updated_at", PO_MARK, ("raw_materials", "suppliers"), 86400,
-        earlier={"raw_materials": materials, "suppliers": suppliers},
+        spark, sf, "customer_360", "orders", "updated_at", ORDER_MARK, ("customers", "product_reviews"),
+        history=with_earlier_versions, params={"segment_thresholds": list(SEGMENT_THRESHOLDS)},
+    )
+
+
+def q_incremental_supplier_performance(spark, sf):
+    """Purchase orders are updated, prices change and suppliers are renamed between two
+    runs: the scorecard from kept states equals one full run."""
+    return _two_slices(
+        spark, sf, "supplier_performance", "purchase_orders", "updated_at", PO_MARK, ("raw_materials", "suppliers"), 86400,
+        earlier={"raw_materials": _earlier_materials, "suppliers": _earlier_suppliers},
     )
 
 
@@ -416,6 +452,8 @@ QUERIES: dict[str, Query] = {
     "incremental_order_enriched": q_incremental_order_enriched,
     "incremental_product_change": q_incremental_product_change,
     "incremental_price_change": q_incremental_price_change,
+    "incremental_customer_360": q_incremental_customer_360,
+    "incremental_supplier_performance": q_incremental_supplier_performance,
     "run_config_customer_360": q_run_config_customer_360,
     "order_enriched_split": q_order_enriched_split,
     "merge_upsert": q_merge_upsert,

@@ -130,6 +130,23 @@ def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return load_plain(spark, path, fmt) if merged is None else merged.drop(_bucket_column(merged))
 
 
+def table_version(spark: SparkSession, path: str) -> int:
+    """How many merges have changed the table (0: never merged into)."""
+    return _state(spark, path)[0]
+
+
+def read_near(spark: SparkSession, path: str, source: DataFrame, keys: list[str], fmt: str = "parquet") -> DataFrame | None:
+    """The merged table's buckets that may hold the keys of ``source``; None if it was never merged into.
+
+    Finding them reads the keys of ``source`` once; other buckets are not read."""
+    target = _merged(spark, path, fmt)
+    if target is None:
+        return None
+    column = _bucket_column(target)
+    batch = _bucketed(_typed(source.select(*[F.col(f"`{k}`") for k in keys]), target), keys, column)
+    return target.filter(F.col(column).isin(_buckets_in(batch, column))).drop(column)
+
+
 def _bucketed(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     n = int(BUCKET_COLUMN.fullmatch(column).group(1))
     return df.withColumn(column, F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n)).cast("int"))
