@@ -1,4 +1,5 @@
 import datetime as dt
+import ipaddress
 import re
 
 from tidemark.llm import pii
@@ -69,3 +70,68 @@ def test_rows(docs, edge_docs):
     want = {(r.doc_id, r.text) for r in edge_docs.collect()}
     assert {(r.doc_id, r.text) for r in got} == want and len(got) == edge_docs.count()
     assert pii.pseudonyms(docs([]), KEY).collect() == []
+
+
+def only(p, text, kind):
+    new, found = p.replace(text)
+    assert dict(found) == {kind: 1}, (text, found)
+    return new
+
+
+def test_phones_in_every_layout_share_a_pseudonym():
+    p = pii.Pseudonyms(KEY)
+    forms = ["+49 30 1234567", "+49-30-1234567", "0049 30 1234567", "+49301234567", "+49 (30) 123 45 67", "+49 (0)30 1234567", "+4930 1234567"]
+    new = [only(p, f"call {f}, please", "phone")[5:-8] for f in forms]
+    assert [re.sub(r"\d", "", n) for n in new] == [re.sub(r"\d", "", f) for f in forms]
+    own = {re.sub(r"\D|\(0\)", "", n).removeprefix("00").removeprefix("49") for n in new}
+    own = {x.removeprefix("0") if len(x) == 10 else x for x in own}
+    assert len(own) == 1 and own != {"301234567"}
+    assert only(p, "988-555-2485", "phone").replace("-", "") == re.sub(r"\D", "", only(p, "+1 (988) 555-2485", "phone"))[1:]
+    assert only(p, "+353 1 234 5678", "phone").startswith("+353 ")
+    for t in ("+1 555", "12 + 34 56", "0049", "id 00493012345678901234567"):
+        assert p.replace(t) == (t, {})
+    c = card("453201511283036")
+    new, found = p.replace(f"+49 30 1234567 {c[:4]} {c[4:8]} {c[8:12]} {c[12:]}")
+    assert found == {"phone": 1, "card": 1} and c[:4] + " " + c[4:8] not in new
+
+
+def test_numbers_outside_the_plan_stay_different():
+    p = pii.Pseudonyms(b"k")
+    assert p.ip("255.1.2.3") != p.ip("239.173.158.226")
+    outside = [f"+1 {a}55 {b}12 {n:04d}" for a in "01" for b in "15" for n in range(40)]
+    inside = [f"+1 {a}55 {b}12 {n:04d}" for a in "29" for b in "25" for n in range(40)]
+    new = {p.phone(x) for x in outside + inside}
+    assert len(new) == len(outside + inside)
+    assert all(x[3] >= "2" and x[7] >= "2" for x in map(p.phone, inside))
+
+
+def test_dates_in_every_layout_share_a_pseudonym():
+    p = pii.Pseudonyms(KEY)
+    for d in (dt.date(2020, 1, 25), dt.date(2020, 2, 3)):
+        iso = dt.date.fromisoformat(p.date(f"{d}"))
+        assert (iso.day > 12) == (d.day > 12) and iso != d
+        assert p.date(f"{d:%d.%m.%Y}") == f"{iso:%d.%m.%Y}" and p.date(f"{d:%Y/%m/%d}") == f"{iso:%Y/%m/%d}"
+        if d.day > 12:
+            assert p.date(f"{d:%m/%d/%Y}") == f"{iso:%m/%d/%Y}"
+    days = [f"{dt.date(2001, 1, 1) + dt.timedelta(n)}" for n in range(400)]
+    assert len({p.date(x) for x in days}) == 400
+
+
+def test_ipv6_addresses():
+    p = pii.Pseudonyms(KEY)
+    forms = ["2001:db8:85a3::8a2e:370:7334", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "2001:DB8:85A3:0:0:8A2E:370:7334"]
+    new = [only(p, f"from {f} today", "ipv6")[5:-6] for f in forms]
+    assert len({ipaddress.IPv6Address(n) for n in new}) == 1 and new[0].startswith("2001:") and new[0] not in forms
+    assert new[2] == new[2].upper() and len(new[1]) == 39
+    only(p, "fe80::1", "ipv6")
+    for t in ("at 12:30:45", "std::vector", "a::b", "2001:99", "2001:db8:1:2:3", "::1"):
+        assert p.replace(t) == (t, {})
+
+
+def test_email_addresses_beyond_ascii():
+    p = pii.Pseudonyms(KEY)
+    new = only(p, "an Jos\u00e9.N\u00fa\u00f1ez@ex\u00e4mple.org geschickt", "email")
+    assert new.endswith("@ex\u00e4mple.org geschickt") and "N\u00fa\u00f1ez" not in new and new[3].isupper()
+    names = [a + b + c for a in "\u00e9\u00e8x" for b in "\u0438\u043d" for c in "ab7"]
+    assert len({p.email(f"{n}@x.org") for n in names}) == len(names)
+    assert only(p, "\u8054\u7cfbme.too@x.org", "email").startswith("\u8054\u7cfb")

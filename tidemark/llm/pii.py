@@ -2,16 +2,21 @@
 
 Each validated value is replaced by another valid value of the same format: a
 keyed balanced-as-possible Feistel network permutes the value's digits (or
-its day number), walking on until the result is valid again. The permutation
-depends on the key and the kind only, so equal values, also when written in
-another layout, get equal pseudonyms in every document, and different values
+its day number), walking on until the result is valid again. The canonical
+value is permuted within its own class (a dialled number within its country
+code, a date within the days above the 12th or up to it) and then written in
+the layout that was found, so equal values, also when written in another
+layout, get equal pseudonyms in every document, and different values of a kind
 stay different. Texts are changed one by one in Arrow batches; nothing is
 shuffled and there is no table of values to keep.
 
 Kinds: card numbers (Luhn valid; the check digit is made anew), calendar
 dates (1900-2099, to the same layout), social security numbers, IBANs (check
-digits made anew), phone numbers (country code kept), IPv4 addresses and the
-local part of email addresses (letter stays letter, digit stays digit).
+digits made anew), phone numbers (country code kept; a number written the
+North American way without a code has code 1; a ``(0)`` after the code is not
+part of the number), IPv4 addresses, IPv6 addresses (first group kept) and the
+local part of email addresses (letter stays a letter of its alphabet, digit
+stays digit).
 
 Defined cases: NULL text stays NULL with no findings; values that fail their
 validation (Luhn, calendar, octet range) are left alone; overlapping
@@ -23,6 +28,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import ipaddress
 import re
 from collections import Counter
 from collections.abc import Callable
@@ -34,13 +40,35 @@ from tidemark.llm.common import map_rows
 ROUNDS = 10
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+# letters of email addresses beyond ASCII: Latin, Greek, Cyrillic, and accents of their own
+LETTERS = "A-Za-z\u00c0-\u024f\u0300-\u036f\u0370-\u03ff\u0400-\u04ff"
+# a group of a dialled number, not the start of a card number beside it
+GROUP = r"(?:[ .-](?!\d{4}[ -]\d{4}[ -]\d{4})\d{1,8})"
+# fixed values: the country codes of one and of two digits; all others have three
+SHORT_CODES = frozenset(
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
+
+
+def _alphabet(first: int, last: int) -> str:
+    """The lower-case letters of a range that have one upper-case letter of their own."""
+    return "".join(c for c in map(chr, range(first, last + 1)) if c.islower() and len(c.upper()) == 1 and c.upper() != c and c.upper().lower() == c)
+
+
+ALPHABETS = ("0123456789", _alphabet(0x61, 0x7A), _alphabet(0xC0, 0x24F), _alphabet(0x370, 0x3FF), _alphabet(0x400, 0x4FF))
+#: Alphabet and place in it of every letter and digit.
+PLACE = {c: (k, i) for k, a in enumerate(ALPHABETS) for i, c in enumerate(a)}
+
 PATTERN = re.compile(
     "|".join(
         (
-            r"(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
+            rf"(?P<email>[{LETTERS}0-9._%+-]+@[{LETTERS}0-9-]+(?:\.[{LETTERS}0-9-]+)*\.[{LETTERS}]{{2,}})",
+            r"(?P<ipv6>(?<![\w:.])(?:[23][0-9A-Fa-f]{3}|[fF][c-eC-E][0-9A-Fa-f]{2})(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:]|\.\d))",
             rf"(?P<ip>(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d))",
             r"(?P<date>(?<!\d)(?:\d{4}(?P<d1>[-/.])\d{2}(?P=d1)\d{2}|\d{2}(?P<d2>[-/.])\d{2}(?P=d2)\d{4})(?!\d))",
-            r"(?P<phone>\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]\d{2,4}){1,3}|\d{2,4}(?:[ .-]\d{2,4}){1,4}|\d{7,12})(?!\d)"
+            r"(?P<phone>\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+            rf"|(?:\+|(?<![\d.,+-])00(?=[\d(]+[ .-]))[1-9]\d{{0,4}}(?:[ .-]?\(\d{{1,5}}\)[ .-]?\d{{1,8}}{GROUP}{{0,4}}|{GROUP}{{1,5}})(?!\d)"
+            r"|\+[1-9]\d{7,14}(?!\d)"
             r"|(?<![\d-])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}(?P<p1>[ .-])\d{3}(?P=p1)\d{4}(?!\d))",
             r"(?P<card>(?<!\d)(?:\d{4}(?P<c1>[ -])\d{4}(?P=c1)\d{4}(?P=c1)\d{1,7}|\d{4}(?P<c2>[ -])\d{6}(?P=c2)\d{5}|\d{13,19})(?!\d))",
             r"(?P<ssn>(?<!\d)\d{3}-\d{2}-\d{4}(?!\d))",
@@ -84,28 +112,44 @@ class Pseudonyms:
 
     def email(self, s: str) -> str:
         local, _, domain = s.rpartition("@")
-        low = local.lower()
+        places = [PLACE.get(c.lower()) for c in local]
         value, size = 0, 1
-        for c in low:
-            base, digit = (26, ord(c) - 97) if c.isalpha() else (10, int(c)) if c.isdigit() else (1, 0)
-            value, size = value * base + digit, size * base
+        for p in places:
+            if p:
+                base = len(ALPHABETS[p[0]])
+                value, size = value * base + p[1], size * base
         if size == 1:
             return s
         # the layout (where letters, digits and signs stand) is part of the permutation's name
-        layout = "".join("a" if c.isalpha() else "0" if c.isdigit() else c for c in low)
+        layout = "".join("0abcd"[p[0]] if p else c for c, p in zip(local, places, strict=True))
         value = self.permute(f"email{layout}@{domain.lower()}", value, size)
         out = []
-        for c in reversed(local):
-            base = 26 if c.isalpha() else 10 if c.isdigit() else 1
-            value, digit = divmod(value, base)
-            out.append(c if base == 1 else str(digit) if base == 10 else chr(digit + (65 if c.isupper() else 97)))
+        for c, p in zip(reversed(local), reversed(places), strict=True):
+            if p:
+                value, place = divmod(value, len(ALPHABETS[p[0]]))
+                new = ALPHABETS[p[0]][place]
+                c = new.upper() if c.isupper() else new
+            out.append(c)
         return "".join(reversed(out)) + "@" + domain
 
     def ip(self, s: str) -> str:
         a = [int(x) for x in s.split(".")]
-        v = self.permute("ip", a[0] << 24 | a[1] << 16 | a[2] << 8 | a[3], 1 << 32, lambda v: 1 <= v >> 24 < 255)
+        usual = lambda v: 1 <= v >> 24 < 255
+        value = a[0] << 24 | a[1] << 16 | a[2] << 8 | a[3]
+        same = usual(value)
+        v = self.permute("ip", value, 1 << 32, lambda v: usual(v) == same)
         return f"{v >> 24}.{v >> 16 & 255}.{v >> 8 & 255}.{v & 255}"
 
+    def ipv6(self, s: str) -> str | None:
+        try:
+            value = int(ipaddress.IPv6Address(s))
+        except ValueError:
+            return None
+        head, own = value >> 112, value & ((1 << 112) - 1)
+        new = ipaddress.IPv6Address(head << 112 | self.permute(f"ipv6{head:x}", own, 1 << 112))
+        text = new.exploded if len(s) == 39 else str(new)
+        return text.upper() if s != s.lower() else text
+
     def date(self, s: str) -> str | None:
         year_first = s[:4].isdigit()
         a, b, c = re.split(r"[-/.]", s)
@@ -119,19 +163,31 @@ class Pseudonyms:
                 continue
             if not DAY_0 <= day <= DAY_N:
                 return None
-            # a month-first date must stay one that cannot be read day first
-            valid = (lambda v: dt.date.fromordinal(DAY_0 + v).day > 12) if k else (lambda _: True)
-            new = dt.date.fromordinal(DAY_0 + self.permute(f"date{k}", day - DAY_0, DAY_N - DAY_0 + 1, valid))
+            # a day above the 12th stays one: a month-first date cannot be read day first afterwards
+            late = dt.date.fromordinal(day).day > 12
+            valid = lambda v: (dt.date.fromordinal(DAY_0 + v).day > 12) == late  # noqa: B023, E731
+            new = dt.date.fromordinal(DAY_0 + self.permute("date", day - DAY_0, DAY_N - DAY_0 + 1, valid))
             parts = (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}")
             return sign.join(parts if year_first else (parts[1], parts[2], parts[0]) if k else parts[::-1])
         return None
 
-    def phone(self, s: str) -> str:
+    def phone(self, s: str) -> str | None:
         digits = re.sub(r"\D", "", s)
-        keep = len(re.match(r"\+(\d{1,3}?)(?=[ .(-])|\+(\d)|", s)[0].lstrip("+"))
+        coded = s[0] == "+" or s.startswith("00")
+        if not coded:
+            code, keep = "1", 0
+        else:
+            start = 0 if s[0] == "+" else 2
+            code = next((digits[start : start + n] for n in (1, 2) if digits[start : start + n] in SHORT_CODES), digits[start : start + 3])
+            if not 7 <= len(digits) - start <= 15:
+                return None
+            keep = start + len(code) + bool(re.match(rf"\+?{digits[: start + len(code)]}[ .-]?\(0\)", s))
         own = digits[keep:]
-        plan = (lambda x: x[0] >= "2" and x[3] >= "2") if len(own) == 10 and own[0] >= "2" and own[3] >= "2" else (lambda _: True)
-        return _refill(s, digits[:keep] + self.digits(f"phone{len(own)}", own, plan))
+        if not own:
+            return None
+        usual = lambda x: code == "1" and len(x) == 10 and x[0] >= "2" and x[3] >= "2"
+        same = usual(own)
+        return _refill(s, digits[:keep] + self.digits(f"phone{code}.", own, lambda x: usual(x) == same))
 
     def card(self, s: str) -> str | None:
         digits = re.sub(r"\D", "", s)
@@ -162,7 +218,7 @@ class Pseudonyms:
     def replace(self, text: str) -> tuple[str, Counter]:
         """The text with its valid values replaced, and the number of each kind."""
         found: Counter = Counter()
-        if not re.search(r"\d|@", text):
+        if not re.search(r"[\d@]|::", text):
             return text, found
 
         def one(m: re.Match) -> str:
