@@ -77,7 +77,7 @@ def test_edges(docs, edge_docs, spark):
 
 
 def test_short_items_are_searched_whole():
-    items = dc.Items([(1, "Forty two."), (2, "one, two three four"), (3, " _ "), (4, "forty two"), (5, "one two three four five")])
+    items = dc.Items([(1, "Forty two."), (2, "one, two three four"), (3, " _ "), (4, "forty two"), (5, "one two three four five")], short_chars=0)
     assert sorted(items.hits("it is forty  TWO, and one two three")) == [(1, 1.0, 2, 1, 2), (4, 1.0, 2, 1, 2)]
     assert sorted(h[0] for h in items.hits("one two three four five")) == [2, 5]
     assert list(items.hits("forty and two")) == [] and list(items.hits("_ , _")) == []
@@ -101,3 +101,37 @@ def test_a_long_tile_decides_beside_the_coverage():
     assert list(items.hits(" ".join(noise + item[100:240] + noise))) == [(1, 140 / 300, 140, 1, 140)]
     assert [h[4] for h in items.hits(" ".join(noise + item[100 : 100 + dc.LONG_TILE]))] == [dc.LONG_TILE]
     assert list(items.hits(" ".join(noise + item[100 : 99 + dc.LONG_TILE]))) == []
+
+
+def test_short_items_need_evidence_inside_a_longer_text(docs, spark):
+    rows = [(1, "yes"), (2, "New York"), (3, "Ribonucleoprotein stoichiometry threshold"), (4, "42")]
+    items = dc.Items(rows)
+    assert list(items.hits("I said yes to the trip to New York, 42 of us")) == []
+    assert [h[0] for h in items.hits("Yes!")] == [1] and [h[0] for h in items.hits("new york")] == [2] and [h[0] for h in items.hits(" 42 ")] == [4]
+    assert [h[0] for h in items.hits("of ribonucleoprotein, stoichiometry THRESHOLD yes")] == [3]
+    bench = spark.createDataFrame(rows, "item_id bigint, text string")
+    d = docs([(1, "yes we can"), (2, "yes"), (3, "a New York minute")])
+    assert sorted(r.doc_id for r in dc.clean(d, bench).collect()) == [1, 3]
+
+
+def test_repeated_words_take_bounded_memory():
+    import tracemalloc
+
+    items = dc.Items([(1, "ha " * 100), (2, "ha ho " * 30)])
+    text = "ha " * 64000
+    tracemalloc.start()
+    hits = list(items.hits(text))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hits == [(1, 1.0, 100, 1, 100)] and peak < 200e6
+
+
+def test_pieces_give_the_same_runs(monkeypatch):
+    rng = random.Random(13)
+    for _ in range(40):
+        items = dc.Items([(k, " ".join(rng.choice("abc") for _ in range(rng.randint(5, 30)))) for k in range(4)], n=3, coverage=0.0001)
+        text = " ".join(rng.choice("abc") for _ in range(60))
+        monkeypatch.setattr(dc, "PIECE", 1 << 20)
+        want = list(items.hits(text))
+        monkeypatch.setattr(dc, "PIECE", rng.choice([1, 5, 50]))
+        assert list(items.hits(text)) == want and want

@@ -12,10 +12,17 @@ words is left. A match uses words of the item and of the document once, in
 any order, so reordered passages are covered too. A document is contaminated
 if its tiles cover ``MIN_COVERAGE`` of an item's words, or if one tile has
 ``LONG_TILE`` words. An item with fewer than ``MIN_MATCH`` words is one seed
-of its whole length: a document that holds all of it is contaminated.
+of its whole length. Such an item ("yes", "New York") is evidence where it is
+the whole document; inside a longer one only if it has ``SHORT_CHARS``
+characters in its words, which everyday phrases of so few words do not have.
+
+Shared seeds are expanded in pieces of ``PIECE`` pairs and become runs at once,
+so a word that an item and a very long document repeat takes memory for its
+runs, not for all pairs of places.
 
 The broadcast is bounded: items are dealt to blocks of at most ``BLOCK_BYTES``
-of text (a longer item is a block by itself), and the documents are scanned
+of text (a longer item is a block by itself; an item that is given several
+times counts once there), and the documents are scanned
 once per block. No document is shuffled, and an item that many documents
 contain costs no more than a rare one.
 
@@ -44,6 +51,10 @@ from tidemark.llm.common import BASE, U64, arrow_schema, mix, to_batch
 MIN_MATCH, MIN_COVERAGE = 5, 0.5
 #: Words of a single tile that is evidence by itself, however long the item.
 LONG_TILE = 50
+#: Characters that an item of under MIN_MATCH words needs to be evidence inside a longer text.
+SHORT_CHARS = 20
+#: Pairs of places of shared seeds that are expanded at once.
+PIECE = 1 << 20
 #: Bytes of item text that are broadcast at once.
 BLOCK_BYTES = 4 << 20
 
@@ -64,24 +75,27 @@ def rolled(ids: np.ndarray, n: int) -> np.ndarray:
     return mix(h)
 
 
-def matches(item_at: np.ndarray, doc_at: np.ndarray, n: int) -> list[tuple[int, int, int]]:
-    """``(length, item place, document place)`` of the maximal matches that shared seeds make."""
-    diagonal = doc_at - item_at
-    order = np.lexsort((item_at, diagonal))
-    d, i = diagonal[order], item_at[order]
-    first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (i[1:] != i[:-1] + 1)]))
-    counts = np.diff(np.append(first, len(d)))
-    return [(int(c) + n - 1, int(i[f]), int(i[f] + d[f])) for c, f in zip(counts, first, strict=True)]
+def runs(owner: np.ndarray, item_at: np.ndarray, doc_at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of seeds that follow each other in an item and in the document, joined
+    where one ends and the next begins: ``(owner, item place, document place, seeds)``."""
+    order = np.lexsort((item_at, doc_at - item_at, owner))
+    o, i, d, k = (x[order] for x in (owner, item_at, doc_at, size))
+    diagonal = d - i
+    new = (o[1:] != o[:-1]) | (diagonal[1:] != diagonal[:-1]) | (i[1:] != i[:-1] + k[:-1])
+    first = np.flatnonzero(np.concatenate([[True], new]))
+    return o[first], i[first], d[first], np.add.reduceat(k, first)
+
 
+def tile(found: list[tuple[int, int, int]], n: int, size: int | None = None) -> list[tuple[int, int, int]]:
+    """Greedy tiles among the matches: longest first, no word of either text used twice.
 
-def tile(found: list[tuple[int, int, int]], n: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles among the matches: longest first, no word of either text used twice."""
+    ``size``: words of the item; when all are used, no further tile is possible."""
     heap = [(-length, i, d) for length, i, d in found]
     heapq.heapify(heap)
     in_item: set[int] = set()
     in_doc: set[int] = set()
     tiles = []
-    while heap:
+    while heap and len(in_item) != size:
         length, i, d = heapq.heappop(heap)
         length = -length
         free = [(i + k) not in in_item and (d + k) not in in_doc for k in range(length)]
@@ -104,12 +118,13 @@ def tile(found: list[tuple[int, int, int]], n: int) -> list[tuple[int, int, int]
 class Items:
     """The seeds of a block of benchmark items, and the search for them in a text."""
 
-    def __init__(self, rows: list[tuple[int, str]], n: int = MIN_MATCH, coverage: float = MIN_COVERAGE):
+    def __init__(self, rows: list[tuple], n: int = MIN_MATCH, coverage: float = MIN_COVERAGE, short_chars: int = SHORT_CHARS):
+        """``rows``: ``(item_id, text)``, or with how often the item is given."""
         self.n, self.coverage = n, coverage
         self.number: dict[str, int] = {}
-        self.ids, self.sizes = [], []
+        self.ids, self.sizes, self.times, self.weighty = [], [], [], []
         found: dict[int, list] = {}  # by the length of the seeds
-        for item_id, text in rows:
+        for item_id, text, *times in rows:
             words = WORD.findall((text or "").lower())
             if not any(w.strip("_") for w in words):
                 continue
@@ -118,6 +133,8 @@ class Items:
             found.setdefault(length, []).append((h, np.full(len(h), len(self.ids)), np.arange(len(h))))
             self.ids.append(item_id)
             self.sizes.append(len(words))
+            self.times.append(times[0] if times else 1)
+            self.weighty.append(sum(map(len, words)) >= short_chars)
         self.seeds = {}
         for length, parts in sorted(found.items()):
             h, o, p = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -142,41 +159,55 @@ class Items:
                 h = np.unique(h)
                 low, high = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
                 for a, b in zip(low[high > low], high[high > low], strict=True):
-                    yield from ((self.ids[k], 1.0, length, 1, length) for k in owners[a:b])
+                    for k in owners[a:b]:
+                        if self.weighty[k] or len(ids) == length:
+                            yield from [(self.ids[k], 1.0, length, 1, length)] * self.times[k]
                 continue
             low, high = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
-            counts = high - low
-            if not counts.any():
+            shared = high > low
+            if not shared.any():
                 return
-            doc_at = np.repeat(at, counts)
-            seed = np.repeat(low, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            yield from self._tiled(owners[seed], places[seed], doc_at)
-
-    def _tiled(self, owner: np.ndarray, item_at: np.ndarray, doc_at: np.ndarray) -> Iterator[tuple]:
-        """The hits among items whose seeds are at ``item_at`` and, in the document, at ``doc_at``."""
-        order = np.argsort(owner, kind="stable")
-        first = np.flatnonzero(np.diff(owner[order], prepend=-1))
-        by_item = {int(owner[g[0]]): g for g in np.split(order, first[1:])}
-        for k, g in by_item.items():
+            yield from self._tiled(*self._runs(owners, places, at[shared], low[shared], high[shared]))
+
+    def _runs(self, owners: np.ndarray, places: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The runs of the seeds at ``at`` in the document, each shared with the table's places from ``low`` to ``high``."""
+        counts = high - low
+        piece = (np.cumsum(counts) - counts) // PIECE
+        ends = np.flatnonzero(np.diff(piece)) + 1
+        parts = []
+        for a, c, lo in zip(np.split(at, ends), np.split(counts, ends), np.split(low, ends), strict=True):
+            seed = np.repeat(lo, c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+            parts.append(runs(owners[seed], places[seed], np.repeat(a, c), np.ones(len(seed), np.int64)))
+        return parts[0] if len(parts) == 1 else runs(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+    def _tiled(self, owner: np.ndarray, item_at: np.ndarray, doc_at: np.ndarray, seeds: np.ndarray) -> Iterator[tuple]:
+        """The hits among the items that own runs of seeds."""
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        for g in np.split(np.arange(len(owner)), first[1:]):
+            k = int(owner[g[0]])
             size = self.sizes[k]
             # seeds cover at most n words each: too few of them cannot reach the threshold or make a long tile
-            seeds = len(np.unique(item_at[g]))
-            if seeds * self.n < self.coverage * size and seeds + self.n - 1 < LONG_TILE:
+            most = int(seeds[g].sum())
+            if most * self.n < self.coverage * size and most + self.n - 1 < LONG_TILE:
                 continue
-            tiles = tile(matches(item_at[g], doc_at[g], self.n), self.n)
+            found = list(zip((seeds[g] + self.n - 1).tolist(), item_at[g].tolist(), doc_at[g].tolist(), strict=True))
+            tiles = tile(found, self.n, size)
             covered, longest = sum(length for length, _, _ in tiles), max(length for length, _, _ in tiles)
             if covered >= self.coverage * size or longest >= LONG_TILE:
-                yield self.ids[k], covered / size, covered, len(tiles), longest
+                yield from [(self.ids[k], covered / size, covered, len(tiles), longest)] * self.times[k]
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Items]:
     """The items in blocks of a bounded size, one after the other."""
-    items = benchmark.select(F.col("item_id").cast("bigint"), "text").where(F.length("text") > 0)
+    items = (
+        benchmark.select(F.col("item_id").cast("bigint"), "text").where(F.length("text") > 0)
+        .groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("times"))
+    )
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-2 * size // BLOCK_BYTES) or 1
     for k in range(count):
         own = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
-        yield Items(sorted(((r.item_id, r.text) for r in own.collect()), key=str))
+        yield Items(sorted(((r.item_id, r.text, r.times) for r in own.collect()), key=str))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
