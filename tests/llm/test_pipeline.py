@@ -75,6 +75,6 @@ def test_empty_and_null_tables(spark, tmp_path, tables):
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
     names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert "op5_pareto_mix" in entry.oracle_sql()
     assert decontam.MIN_COVERAGE and jaccard.THRESHOLD == (80, 100) and quality.KEEP_TAIL == 0.7
