@@ -113,6 +113,17 @@ def test_against_brute_force(docs):
     assert sum(x[2] for x in got) > 1000
 
 
+def test_texts_that_repeat_only_themselves(docs):
+    rng = random.Random(9)
+    block = lambda n: "".join(chr(rng.randrange(33, 127)) for _ in range(n))
+    rows = ["x" * 300, "y" * 101, "ab" * 80, "\x00" * 250]
+    for d in (1, 2, 3, 7, 33, 67, 68, 69, 70, 100, 130):
+        rows += [(block(d) * 300)[: 100 + d], block(40) + (block(d) * 300)[: 150 + 2 * d] + block(40)]
+    got = result(r.without_repeats(docs([(i, t) for i, t in enumerate(rows)])))
+    assert got == [(i, *b) for i, b in enumerate(brute(rows, 100))]
+    assert all(x[2] for x in got)
+
+
 @pytest.mark.parametrize("symbol", [4, 10, 20])
 def test_other_sizes(docs, symbol):
     rng = random.Random(symbol)

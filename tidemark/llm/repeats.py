@@ -5,7 +5,8 @@ Every byte covered by a string of ``LENGTH`` bytes that also starts earlier
 
 Candidates. A window is a string of ``LENGTH`` bytes; its key is the smallest
 hash of its ``GRAM``-byte grams, so equal windows have equal keys. Neighbouring
-windows with one key are a run. Keys that occur in one run only cannot repeat;
+windows with one key are a run; one that may hold equal windows itself (a text
+of short period) is cut in two. Keys that occur in one run only cannot repeat;
 the others are found by one shuffle of packed keys. Only their runs go on:
 each with its bytes, to the bucket of its key, where all equal windows meet.
 
@@ -68,13 +69,24 @@ RUN_MAX = 0xFFFF
 # ---- candidates (plain functions on arrays) --------------------------------
 
 def window_runs(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, number of windows and key of the runs of neighbouring windows with one key."""
+    """Start, number of windows and key of the runs of neighbouring windows with one key.
+
+    Equal windows of one run lie a period apart, so the least gram leaves the
+    window somewhere and the key stays. A run is cut at the first such place:
+    its key then occurs twice.
+    """
     n = len(data) - length + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64)
     first = np.arange(len(data) - gram + 1)
-    keys = sliding_min(hash_runs(data, first, first + gram), length - gram + 1)
-    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    grams = hash_runs(data, first, first + gram)
+    keys = sliding_min(grams, length - gram + 1)
+    stays = keys[1:] == keys[:-1]
+    start = np.flatnonzero(np.concatenate([[True], ~stays]))
+    again = np.flatnonzero(stays & (grams[: n - 1] == keys[:-1]))
+    if len(again):
+        of = np.searchsorted(start, again, side="right")
+        start = np.sort(np.concatenate([start, again[np.diff(of, prepend=0) > 0] + 1]))
     size = np.diff(np.append(start, n))
     if size.max() > RUN_MAX:  # long runs in pieces
         parts = -(-size // RUN_MAX)
