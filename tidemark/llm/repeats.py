@@ -164,6 +164,12 @@ class Shard:
             nxt = np.append(keys[-1][1:], 0)
             nxt[empty] = 0
             keys.append(nxt)
+        bits = max(1, len(rank).bit_length())
+        if bits * (depth + 1) <= 64:  # all symbols and the place fit one word: one sort
+            whole = keys[0]
+            for key in keys[1:]:
+                whole = (whole << bits) | key
+            keys = [whole]
         order = np.arange(len(rank))
         for key in reversed(keys):
             order = order[sorted_by(key[order])]
