@@ -156,3 +156,21 @@ def test_row_changes(spark):
     assert got == {1: "unchanged", 2: "updated", 3: "updated", None: "unchanged", 5: "absent", 6: "inserted"}
     assert sorted((r.k for r in changed_rows(old, new, ["k"]).collect()), key=str) == [2, 3, 6]
     assert changed_keys(old, new, ["k"]).count() == 4 and changed_keys(old, old, ["k"]).count() == 0
+
+
+def test_a_merge_writes_in_place_first_and_then_shuffles_once(spark, monkeypatch):
+    path = scratch_path(spark, "t_once")
+    placed = []
+    real = tables._place
+    monkeypatch.setattr(tables, "_place", lambda *a: (placed.append(a), real(*a)))
+    rows = [(i, "a" if i % 3 else None) for i in range(60)]
+    upsert_table(spark, spark.createDataFrame(rows, "k int, v string"), path, ["k"], buckets=4)
+    assert not placed and not (Path(path) / "_pending").exists()  # no bucket to replace: one write
+    near = tables._merged(spark, path, "parquet")
+    batch = tables._bucketed(spark.createDataFrame([*rows[:20], (70, "new"), (None, "n")], "k int, v string"), ["k"], "key_bucket_4")
+    merged = tables._resolved(near, batch, ["k"], "key_bucket_4")
+    plan = merged._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert sorted((r.k for r in merged.filter(tables.CHANGED).collect()), key=str) == [70, None] and merged.count() == 62
+    upsert_table(spark, spark.createDataFrame([(70, "new")], "k int, v string"), path, ["k"])
+    assert len(placed) == 1 and read_current(spark, path).count() == 61

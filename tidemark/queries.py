@@ -322,7 +322,7 @@ def q_merge_upsert(spark, sf):
     path = scratch_path(spark, "merge_upsert")
     first = dedup_latest(_up_to_mark(po), ["po_id"], ["updated_at"])
     upsert_table(spark, first, path, ["po_id"], check_unique=False)  # unique: deduplicated on po_id
-    later = dedup_latest(incremental_filter(po, "updated_at", PO_MARK), ["po_id"], ["updated_at"])
+    later = stage(dedup_latest(incremental_filter(po, "updated_at", PO_MARK), ["po_id"], ["updated_at"]), scratch_path(spark, "merge_later"))
     return upsert_table(spark, later, path, ["po_id"], check_unique=False)
 
 

@@ -7,11 +7,14 @@
 - merge (upsert): the merged table lies in key-hash buckets, one folder
   ``_merged/key_bucket_<n>=<b>`` each. A merge finds the buckets of its batch,
   reads only these, and replaces only these; files of other buckets stay as
-  they are, so its cost follows the batch. Rows whose hash the target has
-  already are left out first, so that unchanged rows touch no bucket. The new
+  they are, so its cost follows the batch. The rows of these buckets and those
+  of the batch meet in one shuffle; rows whose hash the target has already
+  keep the target's, so that unchanged rows touch no bucket. The new
   buckets are written to ``_pending`` and logged, which is the commit: readers
   see them from then on, and they are put in their places by a dynamic
   partition overwrite that is repeated by the next merge if it was broken off.
+  It shuffles nothing, as a pending file holds rows of one bucket. The first
+  merge has no bucket to replace: it writes in place and is committed by its log.
   Files that another writer (overwrite, append) left at the path are the rows
   that the first merge starts from. A merged table is read with
   ``read_current``; its folders are hidden from a plain read of the path.
@@ -25,11 +28,11 @@ import os
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampNTZType
 
-from tidemark.operators.changes import changed_rows
+from tidemark.operators.changes import data_hash
 from tidemark.operators.upsert import assert_unique, upsert
 from tidemark.session import scratch_path
 
@@ -40,6 +43,10 @@ LOG_SCHEMA = StructType([
 ])
 #: Buckets of a new merged table: size them so that a bucket is a few files (about 1 GB).
 BUCKETS = 64
+#: Pieces of a bucket that a merge deals to tasks of their own.
+PIECES = 8
+#: Marks a pending row that came with the batch; buckets without one stay as they are.
+CHANGED = "__tm_changed"
 BUCKET_COLUMN = re.compile(r"key_bucket_(\d+)")
 
 
@@ -97,12 +104,20 @@ def _buckets_in(df: DataFrame, column: str) -> list[int]:
     return [r[0] for r in df.select(column).distinct().collect()]
 
 
-def _place(spark: SparkSession, path: str, fmt: str, version: int) -> None:
-    """Put the pending buckets in their places; repeating it changes nothing."""
+def _pending(spark: SparkSession, path: str, fmt: str) -> tuple[DataFrame, str]:
+    """The pending buckets that a merge changed, and their bucket column."""
     pending = spark.read.format(fmt).load(os.path.join(path, PENDING_DIR))
     column = _bucket_column(pending)
+    if CHANGED in pending.columns:
+        pending = pending.filter(F.col(column).isin(_buckets_in(pending.filter(CHANGED), column))).drop(CHANGED)
+    return pending, column
+
+
+def _place(spark: SparkSession, path: str, fmt: str, version: int) -> None:
+    """Put the pending buckets in their places; repeating it changes nothing."""
+    pending, column = _pending(spark, path, fmt)
     (
-        pending.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        pending.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(column).format(fmt).save(os.path.join(path, DATA_DIR))
     )
     _log(spark, path, version, True)
@@ -116,8 +131,7 @@ def _merged(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
     placed = load_plain(spark, os.path.join(path, DATA_DIR), fmt)
     if applied:
         return placed
-    pending = spark.read.format(fmt).load(os.path.join(path, PENDING_DIR))
-    column = _bucket_column(pending)
+    pending, column = _pending(spark, path, fmt)
     if placed is None or column not in placed.columns:
         return pending
     return placed.filter(~F.col(column).isin(_buckets_in(pending, column))).unionByName(pending, allowMissingColumns=True)
@@ -152,6 +166,25 @@ def _bucketed(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     return df.withColumn(column, F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n)).cast("int"))
 
 
+def _resolved(near: DataFrame, batch: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """The bucketed rows of ``near`` after those of ``batch`` (same columns) took the place of rows with their key.
+
+    One shuffle by bucket, in pieces, for both. A batch row that ``near`` has
+    as it is (all columns but the ``_etl_`` ones, by their strict hash) is left
+    out; ``CHANGED`` marks the others.
+    """
+    key = [F.col(f"`{k}`") for k in keys]
+    piece = F.pmod(F.shiftrightunsigned(F.xxhash64(*key), 32), F.lit(PIECES)).cast("int")
+    both = near.withColumn("__tm_new", F.lit(False)).unionByName(batch.withColumn("__tm_new", F.lit(True)))
+    both = both.withColumn("__tm_piece", piece).repartition(F.col(column), F.col("__tm_piece"))
+    same_key = Window.partitionBy(column, "__tm_piece", *key)
+    hashed = both.withColumn("__tm_hash", F.unhex(data_hash(near.drop(column))))
+    beside = hashed.withColumn("__tm_batch", F.max(F.when(F.col("__tm_new"), F.col("__tm_hash"))).over(same_key))
+    there = F.bool_or(~F.col("__tm_new") & F.col("__tm_hash").eqNullSafe(F.col("__tm_batch"))).over(same_key)
+    kept = beside.withColumn(CHANGED, F.col("__tm_batch").isNotNull() & ~there).filter(F.col("__tm_new") == F.col(CHANGED))
+    return kept.drop("__tm_new", "__tm_piece", "__tm_hash", "__tm_batch")
+
+
 def _typed(df: DataFrame, like: DataFrame) -> DataFrame:
     """``df`` with the types of ``like`` in the columns that both have: buckets of one table have one schema."""
     types = {f.name: f.dataType for f in like.schema.fields}
@@ -172,7 +205,8 @@ def upsert_table(
     ``check_unique=False`` skips the duplicate-key check (one aggregate job)
     for a source that is unique on ``keys`` by construction, e.g. the output
     of ``dedup_latest`` on the same keys. ``buckets`` counts for the first
-    merge into a path only. Values are cast to the target's types; a batch
+    merge into a path only. ``source`` is read twice: stage one that is costly
+    to compute. Values are cast to the target's types; a batch
     with columns new to the target rewrites all buckets, so that they keep one
     schema.
     """
@@ -186,25 +220,31 @@ def upsert_table(
     target = _merged(spark, path, fmt)
     if target is None:
         plain = load_plain(spark, path, fmt)
-        merged = source if plain is None else upsert(plain, source, keys, check_unique=False)
         column = f"key_bucket_{int(buckets)}"
+        out = _bucketed(source if plain is None else upsert(plain, source, keys, check_unique=False), keys, column)
+        (
+            out.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy(column).format(fmt).save(os.path.join(path, DATA_DIR))
+        )
+        _log(spark, path, version + 1, True)
+        return read_current(spark, path, fmt)
+    column = _bucket_column(target)
+    rows = target.drop(column)
+    batch = _bucketed(_typed(source, rows), keys, column)
+    near = target
+    if set(source.columns) <= set(rows.columns):
+        touched = _buckets_in(batch, column)
+        if not touched:
+            return read_current(spark, path, fmt)
+        near = target.filter(F.col(column).isin(touched))
+    pending = os.path.join(path, PENDING_DIR)
+    if set(source.columns) == set(rows.columns):
+        _resolved(near, batch, keys, column).write.mode("overwrite").partitionBy(column).format(fmt).save(pending)
+        if load_plain(spark, pending, fmt).filter(CHANGED).isEmpty():  # the target has every row
+            return read_current(spark, path, fmt)
     else:
-        column = _bucket_column(target)
-        rows = target.drop(column)
-        batch = _bucketed(_typed(source, rows), keys, column)
-        if set(source.columns) <= set(rows.columns):
-            near = target.filter(F.col(column).isin(_buckets_in(batch, column))).drop(column)
-            if set(source.columns) == set(rows.columns):  # rows that the target has already touch no bucket
-                batch = stage(_bucketed(changed_rows(near, batch.drop(column), keys), keys, column), scratch_path(spark, "changed"), fmt)
-            touched = _buckets_in(batch, column)
-            if not touched:
-                return read_current(spark, path, fmt)
-            near = target.filter(F.col(column).isin(touched)).drop(column)
-        else:
-            near = rows
-        merged = _typed(upsert(near, batch.drop(column), keys, check_unique=False), rows)
-    out = _bucketed(merged, keys, column)
-    out.hint("rebalance", column).write.mode("overwrite").partitionBy(column).format(fmt).save(os.path.join(path, PENDING_DIR))
+        merged = _typed(upsert(near.drop(column), batch.drop(column), keys, check_unique=False), rows)
+        _bucketed(merged, keys, column).hint("rebalance", column).write.mode("overwrite").partitionBy(column).format(fmt).save(pending)
     _log(spark, path, version + 1, False)
     _place(spark, path, fmt, version + 1)
     return read_current(spark, path, fmt)
