@@ -141,3 +141,24 @@ def test_a_mart_that_left_out_a_run_catches_up(spark):
         row = spark.read.parquet(f"{out}/SUPPLIER_PERFORMANCE").first()
         totals.append((row.total_orders, int(row.total_spend)))
     assert totals == [(1, 20), (1, 20), (3, 120), (4, 200)]
+
+
+def test_changed_rows_stand_beside_those_they_replace(spark):
+    day = dt.date(2020, 1, 1)
+    stored = table(spark, {1: (1, "x", 1, "1", 1, day), 2: (2, None, 1, None, 1, None), 3: (None, "n", 1, "3", 1, day), 4: (4, "far", 1, "4", 1, day)})
+    rows = table(spark, {1: (1, "y", 1, "1", 1, day), 2: (2, None, 1, None, 1, None), 3: (None, "n", 1, "5", 1, day), 5: (5, "new", 1, "1", 1, None)})
+    got = {r.id: (r.a, r.v, r.__tm_there, r.__tm_old_a, r.__tm_old_v) for r in state._beside_stored(rows, stored, SPEC).collect()}
+    assert got == {1: ("y", 1, True, "x", 1), None: ("n", 5, True, "n", 3), 5: ("new", 1, None, None, None)}
+
+
+def test_changed_dimensions_of_one_column_take_one_pass_over_the_history(spark):
+    from tidemark.plans.run import FACTS, rows_of_changed_dims
+
+    inputs = {
+        "purchase_orders": spark.createDataFrame([(i, i % 5) for i in range(20)] + [(99, None)], "po_id int, material_id int"),
+        "raw_materials": spark.createDataFrame([(0, 7), (1, 8), (2, 8), (3, None)], "material_id int, supplier_id int"),
+    }
+    changed = {"raw_materials": spark.createDataFrame([(0,), (1,)], "material_id int"), "suppliers": spark.createDataFrame([(8,)], "supplier_id int")}
+    rows = rows_of_changed_dims(inputs, FACTS["material_consumption"], changed)
+    assert sorted(r.po_id for r in rows.collect()) == [i for i in range(20) if i % 5 < 3]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2
