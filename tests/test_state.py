@@ -147,7 +147,7 @@ def test_changed_rows_stand_beside_those_they_replace(spark):
     day = dt.date(2020, 1, 1)
     stored = table(spark, {1: (1, "x", 1, "1", 1, day), 2: (2, None, 1, None, 1, None), 3: (None, "n", 1, "3", 1, day), 4: (4, "far", 1, "4", 1, day)})
     rows = table(spark, {1: (1, "y", 1, "1", 1, day), 2: (2, None, 1, None, 1, None), 3: (None, "n", 1, "5", 1, day), 5: (5, "new", 1, "1", 1, None)})
-    got = {r.id: (r.a, r.v, r.__tm_there, r.__tm_old_a, r.__tm_old_v) for r in state._beside_stored(rows, stored, SPEC).collect()}
+    got = {r.id: (r.a, r.v, r["__tm_there"], r["__tm_old_a"], r["__tm_old_v"]) for r in state._beside_stored(rows, stored, SPEC).collect()}
     assert got == {1: ("y", 1, True, "x", 1), None: ("n", 5, True, "n", 3), 5: ("new", 1, None, None, None)}
 
 
