@@ -159,3 +159,22 @@ def test_edges(docs, edge_docs):
     assert sorted(x.n_removed for x in got if x.n_bytes == 5) == [0, 0]
     first = brute([a], 100)[0]
     assert [tuple(x)[1:] for x in got if x.doc_id == 3 and x.n_bytes == len(a) and x.n_removed < len(a)] == [first]
+
+
+def test_empty_suffixes_are_not_sorted(monkeypatch):
+    rng = np.random.default_rng(6)
+    values = np.concatenate([np.zeros(7, np.uint64), rng.integers(1, 9, 90).astype(np.uint64), rng.integers(1, 1 << 62, 40).astype(np.uint64)])
+    rng.shuffle(values)
+    rank, order = r.ranks_and_order(values)
+    assert list(rank) == list(np.unique(values, return_inverse=True)[1])
+    assert list(order) == [i for i in np.argsort(values, kind="stable") if values[i]]
+    sorted_ = []
+    real = r.sorted_by
+    monkeypatch.setattr(r, "sorted_by", lambda v: (sorted_.append(len(v)), real(v))[1])
+    sizes = np.full(10, 20)
+    data = rng.integers(0, 256, int((sizes + 99).sum())).astype(np.uint8)
+    shards = [r.Shard(data, np.arange(10) * 119, sizes, 100, 50) for _ in range(2)]
+    assert len(shards[0].transform) == 600 and max(sorted_) == 400  # 200 windows of two symbols and an empty suffix each
+    at, interval, _ = r.merged(shards)
+    assert max(sorted_) <= 800 and len(sorted_) == 3  # one sort per shard, one for the second symbol of the merge
+    assert sorted(at) == list(range(1200)) and interval[-1] == 400

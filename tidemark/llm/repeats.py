@@ -120,22 +120,40 @@ def sorted_by(values: np.ndarray) -> np.ndarray:
 
 
 def ranked(symbols: np.ndarray) -> np.ndarray:
-    """Dense ranks of 64-bit symbols, 0 staying 0: one sort of (leading bits, place); the few equal leading bits are sorted whole."""
-    n = len(symbols)
+    """Dense ranks of 64-bit symbols, 0 staying 0."""
+    return ranks_and_order(symbols)[0]
+
+
+def ranks_and_order(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Dense ranks of 64-bit symbols, 0 staying 0, and the stable order of those that are not 0.
+
+    One sort of (leading bits, place); the few equal leading bits are sorted whole.
+    """
+    rank = np.zeros(len(symbols), np.int32)
+    there = np.flatnonzero(symbols)
+    n = len(there)
     if not n:
-        return np.zeros(0, np.int64)
+        return rank, there
+    dense = n == len(symbols)
+    symbols = symbols if dense else symbols[there]
     bits = U64(max(1, n - 1).bit_length())
     words = (symbols >> bits << bits) | np.arange(n, dtype=U64)
     words.sort()
     order = (words & ((U64(1) << bits) - U64(1))).astype(np.int64)
-    lead, s = words >> bits, symbols[order]
-    for prefix in np.unique(lead[1:][(lead[1:] == lead[:-1]) & (s[1:] != s[:-1])]):
-        here = slice(*np.searchsorted(lead, [prefix, prefix + U64(1)]))
-        order[here] = order[here][np.argsort(symbols[order[here]], kind="stable")]
-        s[here] = symbols[order[here]]
-    rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(np.append(s[0] != 0, s[1:] != s[:-1]))
-    return rank
+    words >>= bits
+    s = symbols[order]
+    new = s[1:] != s[:-1]
+    mixed = words[1:][(words[1:] == words[:-1]) & new]
+    if len(mixed):
+        for prefix in np.unique(mixed):
+            here = slice(*np.searchsorted(words, [prefix, prefix + U64(1)]))
+            order[here] = order[here][np.argsort(symbols[order[here]], kind="stable")]
+            s[here] = symbols[order[here]]
+        new = s[1:] != s[:-1]
+    if not dense:
+        order = there[order]
+    rank[order] = np.cumsum(np.append(True, new), dtype=np.int32)
+    return rank, order
 
 
 class Shard:
@@ -148,42 +166,46 @@ class Shard:
         run = np.repeat(np.arange(len(sizes)), phases)
         phase = np.arange(phases.sum()) - np.repeat(np.cumsum(phases) - phases, phases)
         windows = -(-(sizes[run] - phase) // symbol)
-        items = windows + depth  # the windows' suffixes, shorter ones, the empty one
+        items = windows + (depth - 1)  # the windows' suffixes and shorter ones; the empty one is added below
         self.strings = len(items)
         end = np.cumsum(items)
-        string = np.repeat(np.arange(len(items)), items)
-        nth = np.arange(end[-1] if len(end) else 0) - (end - items)[string]
-        place = starts[run][string] + phase[string] + nth * symbol
-        empty = nth == items[string] - 1
-        symbols = np.zeros(len(nth), U64)
-        full = place[~empty]
-        symbols[~empty] = hash_runs(data, full, full + symbol) | U64(1)
-        rank = ranked(symbols)
+        n = int(end[-1]) if len(end) else 0
+        first = starts[run] + phase
+        nth = np.arange(n) - np.repeat(end - items, items)
+        place = np.repeat(first, items) + nth * symbol
+        symbols = hash_runs(data, place, place + symbol) | U64(1)
+        rank, by_symbol = ranks_and_order(symbols)
         keys = [rank]
         for _ in range(depth - 1):
-            nxt = np.append(keys[-1][1:], 0)
-            nxt[empty] = 0
+            nxt = np.append(keys[-1][1:], np.int32(0)) if n else keys[-1]
+            nxt[end - 1] = 0
             keys.append(nxt)
-        bits = max(1, len(rank).bit_length())
+        bits = max(1, n.bit_length())
         if bits * (depth + 1) <= 64:  # all symbols and the place fit one word: one sort
-            whole = keys[0]
+            whole = keys[0].astype(np.int64)
             for key in keys[1:]:
                 whole = (whole << bits) | key
             keys = [whole]
-        order = np.arange(len(rank))
-        for key in reversed(keys):
-            order = order[sorted_by(key[order])]
-        before = np.append(U64(0), symbols)[:-1]
-        #: symbol before each suffix (0: none), whether it begins a window, and its place in the data
-        self.transform = np.where(nth == 0, U64(0), before)[order]
-        self.window = (nth < windows[string])[order]
-        self.place = place[order]
-        same = np.ones(max(0, len(order) - 1), bool)
-        for key in keys:
-            sorted_key = key[order]
-            same &= sorted_key[1:] == sorted_key[:-1]
+            order = sorted_by(whole)
+        else:
+            order = by_symbol
+            for i, key in enumerate(reversed(keys)):
+                order = sorted_by(key) if not i else order[sorted_by(key[order])]
+        before = np.append(U64(0), symbols[:-1]) if n else symbols
+        before[end - items] = 0
+        #: symbol before each suffix (0: none), whether it begins a window, and its place in the data; the empty ones come first
+        self.transform = np.concatenate([symbols[end - 1], before[order]])
+        self.window = np.concatenate([np.zeros(len(items), bool), (nth < np.repeat(windows, items))[order]])
+        self.place = np.concatenate([first + items * symbol, place[order]])
+        split = np.zeros(len(items) + n, bool)
+        split[: 1] = True
+        if n:
+            split[len(items)] = True
+            for key in keys:
+                sorted_key = key[order]
+                split[len(items) + 1 :] |= sorted_key[1:] != sorted_key[:-1]
         #: intervals of suffixes that are equal to the depth
-        self.interval = np.cumsum(np.concatenate([[True], ~same])) if len(order) else np.zeros(0, np.int64)
+        self.interval = np.cumsum(split, dtype=np.int32)
 
 
 def merged(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -195,25 +217,38 @@ def merged(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     depth = shards[0].depth
     sizes = [len(s.transform) for s in shards]
-    n = sum(sizes)
-    rank = ranked(np.concatenate([s.transform for s in shards]))
-    shard = np.repeat(np.arange(len(shards)), sizes)
-    empties = np.repeat(np.arange(len(shards)), [s.strings for s in shards])
-    at = np.arange(n)  # the interleave: here at first shard after shard, nothing compared yet
-    interval = np.zeros(n, np.int64)
-    common = np.full(n, depth)
+    offsets = np.cumsum([0, *sizes])
+    n = int(offsets[-1])
+    small = np.uint8 if len(shards) <= 1 << 8 else np.uint16 if len(shards) <= 1 << 16 else np.int64
+    rank, order = ranks_and_order(np.concatenate([s.transform for s in shards]))
+    shard = np.repeat(np.arange(len(shards), dtype=small), sizes)
+    empties = np.repeat(np.arange(len(shards), dtype=small), [s.strings for s in shards])
+    at = None  # the interleave: at first shard after shard, nothing compared yet
+    interval = None
+    common = np.full(n, depth, np.int16)
     for known in range(depth):
-        before = rank[at]
-        order = sorted_by(before)[len(empties) :]  # suffixes with a symbol before them, by that symbol
-        dealt = np.concatenate([empties, shard[at][order]])
+        if at is None:  # suffixes with a symbol before them, by that symbol: the ranks' own order
+            before, owner = rank, shard
+        else:
+            before, owner = rank[at], shard[at]
+            there = np.flatnonzero(before)
+            order = there[sorted_by(before[there])]
+        dealt = np.concatenate([empties, owner[order]])
         split = np.zeros(n, bool)
-        b, behind = before[order], interval[order]
-        split[len(empties) + 1 :] = (b[1:] != b[:-1]) | (behind[1:] != behind[:-1])
+        b = before[order]
+        split[len(empties) + 1 :] = b[1:] != b[:-1]
+        if known:
+            behind = interval[order]
+            split[len(empties) + 1 :] |= behind[1:] != behind[:-1]
         split[len(empties) : len(empties) + 1] = True
-        common[split & (common == depth)] = known
-        interval = np.cumsum(split)
-        at = np.empty(n, np.int64)
-        at[np.argsort(dealt.astype(np.uint16) if len(shards) <= 1 << 16 else dealt, kind="stable")] = np.arange(n)
+        common -= split  # a boundary stays: the rounds that have it are those after the common prefix
+        interval = np.cumsum(split, dtype=np.int32)
+        at = np.empty(n, np.int32 if n < 1 << 31 else np.int64)
+        if len(shards) <= 16:  # each shard's places, in turn
+            for i in range(len(shards)):
+                at[dealt == small(i)] = np.arange(offsets[i], offsets[i + 1], dtype=at.dtype)
+        else:
+            at[np.argsort(dealt, kind="stable")] = np.arange(n, dtype=at.dtype)
     return at, interval, common
 
 
@@ -392,10 +427,11 @@ def _spans(length: int, symbol: int):
             base = np.cumsum(span) - span
             piece = base // PIECE_BYTES
             cuts = np.append(np.flatnonzero(np.diff(piece, prepend=-1)), len(refs))
-            shards = [Shard(data, base[i:j], sizes[i:j], length, symbol) for i, j in pairwise(cuts)]
+            edges = np.append(base, len(data))[cuts]
+            shards = [Shard(data[a:b], base[i:j] - a, sizes[i:j], length, symbol) for (i, j), (a, b) in zip(pairwise(cuts), pairwise(edges), strict=True)]
             at, interval, _ = merged(shards)
-            window = np.concatenate([s.window for s in shards])[at]
-            place, interval = np.concatenate([s.place for s in shards])[at][window], interval[window]
+            window = np.flatnonzero(np.concatenate([s.window for s in shards])[at])
+            place, interval = np.concatenate([s.place + a for s, a in zip(shards, edges[:-1], strict=True)])[at[window]], interval[window]
             several = np.zeros(len(place), bool)
             several[1:] = interval[1:] == interval[:-1]
             several[:-1] |= several[1:]
@@ -403,8 +439,8 @@ def _spans(length: int, symbol: int):
             order = by_row_order(ids, refs, starts)
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
-            of = np.searchsorted(base, place, side="right") - 1
-            later = later_ones(interval, (rank[of] << 32) + place - base[of])
+            # a place's order: its run's rank, then its start in the run
+            later = later_ones(interval, np.repeat((rank << 32) - base, span)[place] + place)
             mark = np.zeros(len(data), bool)
             mark[place[later]] = True
             where, n = marked_runs(mark)
