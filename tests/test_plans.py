@@ -106,3 +106,17 @@ def test_no_python_evaluation_in_any_query(spark, sf_small):
         plan = q(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
         for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
             assert node not in plan, (name, node)
+
+
+def test_trailing_spend_is_attached_before_the_joins(spark, sf_small):
+    """The rows shuffled by material and day carry no column of a material, and the result is that of the joined base."""
+    from tidemark import fixtures as fx
+    from tidemark.plans import supply as su
+
+    d = fx.domain(spark, sf_small, "purchase_orders", "raw_materials", "suppliers")
+    po, mat, sup = su.po_parts(d["purchase_orders"], d["raw_materials"], d["suppliers"])
+    with_spend = su.with_rolling_spend(po, mat)
+    assert with_spend.columns == [*po.columns, su.ROLLING]
+    got = QUERIES["material_consumption"](spark, sf_small).drop("_etl_loaded_at")
+    want = su.material_consumption(su.join_base(po, mat, sup), rolling=su.material_rolling_spend(po, mat)).drop("_etl_loaded_at")
+    assert got.schema == want.schema and got.exceptAll(want).isEmpty() and got.count() == want.count()

@@ -285,3 +285,19 @@ def test_a_price_change_alone_rebuilds_its_rows(spark):
         got = read_current(spark, f"{out}/MATERIAL_CONSUMPTION").collect()
         costs[batch] = {r.po_id: float(r.line_cost) for r in got}
     assert costs == {1: {1: 20.0}, 2: {1: 30.0, 2: 10.0}}
+
+
+def test_a_run_that_is_wholly_or_mostly_new_narrows_nothing(spark, sf_small, monkeypatch):
+    from tidemark.plans import run as r
+
+    seen, real = [], r._key_set
+    monkeypatch.setattr(r, "_key_set", lambda df, column, name: (seen.append(name), real(df, column, name))[1])
+    history = spark.createDataFrame([(i, i % 5) for i in range(40)], "order_id bigint, customer_id bigint")
+    fact = r.FACTS["order_enriched"]
+    assert r.touched_history(history, history.filter("order_id >= 20"), fact).count() == 40
+    assert seen == ["touched_keys"]
+    assert r.touched_history(history, history.filter("order_id = 3"), fact).count() == 8
+    assert seen[1:] == ["touched_keys", "touched_within", "touched_rows"]
+    monkeypatch.setattr(r, "touched_history", lambda *_: pytest.fail("no mark: every row is new"))
+    d = fx.domain(spark, sf_small, "orders", "products")
+    assert r.build_affected(d, ["order_enriched"], Params(), {"orders": None})["order_enriched"].count() == d["orders"].count()

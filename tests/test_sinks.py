@@ -174,3 +174,26 @@ def test_a_merge_writes_in_place_first_and_then_shuffles_once(spark, monkeypatch
     assert sorted((r.k for r in merged.filter(tables.CHANGED).collect()), key=str) == [70, None] and merged.count() == 62
     upsert_table(spark, spark.createDataFrame([(70, "new")], "k int, v string"), path, ["k"])
     assert len(placed) == 1 and read_current(spark, path).count() == 61
+
+
+def test_the_first_merge_shuffles_nothing_unless_many_tasks_write(spark, monkeypatch):
+    rows = spark.range(0, 300, 1, 3).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    for first_tasks, files in ((tables.FIRST_TASKS, 3), (2, 1)):
+        monkeypatch.setattr(tables, "FIRST_TASKS", first_tasks)
+        path = scratch_path(spark, "t_first")
+        assert upsert_table(spark, rows, path, ["k"], buckets=4).count() == 300
+        assert {len(f) for f in _files(path).values()} == {files} and all(".zstd." in f for b in _files(path).values() for f in b)
+
+
+def test_row_hashes_are_shuffled_as_bytes(spark):
+    values = ["0a" * 32, "0A" * 32, "0a" * 32 + "\n", "0a" * 31, "x" * 64, "", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k int, _etl_row_hash string")
+    names = tables._hash_columns(df)
+    packed = tables._bytes_for(df, names)
+    assert names == ["_etl_row_hash"] and [r.k for r in packed.filter("__tm_b0 IS NOT NULL").collect()] == [0]
+    back = tables._texts_for(packed, names)
+    assert back.columns == df.columns and [tuple(r) for r in back.orderBy("k").collect()] == list(enumerate(values))
+    path = scratch_path(spark, "t_hashes")
+    upsert_table(spark, df, path, ["k"], buckets=2)
+    out = upsert_table(spark, df.filter("k < 6").withColumn("v", F.lit(1)).select("k", F.reverse("_etl_row_hash").alias("_etl_row_hash")), path, ["k"])
+    assert out.count() == len(values)
