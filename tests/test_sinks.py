@@ -178,6 +178,7 @@ def test_a_merge_writes_in_place_first_and_then_shuffles_once(spark, monkeypatch
 
 def test_the_first_merge_shuffles_nothing_unless_many_tasks_write(spark, monkeypatch):
     rows = spark.range(0, 300, 1, 3).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    monkeypatch.setattr(tables, "FIRST_ROWS", 300)
     for first_tasks, files in ((tables.FIRST_TASKS, 3), (2, 1)):
         monkeypatch.setattr(tables, "FIRST_TASKS", first_tasks)
         path = scratch_path(spark, "t_first")
