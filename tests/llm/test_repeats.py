@@ -178,3 +178,17 @@ def test_empty_suffixes_are_not_sorted(monkeypatch):
     at, interval, _ = r.merged(shards)
     assert max(sorted_) <= 800 and len(sorted_) == 3  # one sort per shard, one for the second symbol of the merge
     assert sorted(at) == list(range(1200)) and interval[-1] == 400
+
+
+def test_keys_are_dealt_evenly(docs):
+    rng = np.random.default_rng(11)
+    rows = ["".join(map(chr, rng.integers(33, 127, 4000))) for _ in range(50)]
+    rows += [rows[0][:2000] + rows[i][:2000] for i in range(1, 6)]
+    df = docs(list(enumerate(rows))).selectExpr("doc_id as ref", "text").coalesce(1)
+    got = r._entries(df, 16, 100, 32).collect()
+    assert len(got) == 16  # one row per batch and bucket
+    keys = {x.bucket: np.frombuffer(x["keys"], np.uint64) for x in got}
+    entries = [len(k) for k in keys.values()]
+    assert sum(entries) > 5000 and max(entries) < 1.5 * sum(entries) / 16
+    first = [k for x in got for k in keys[x.bucket][: x.alone + x.several]]
+    assert len(first) == len(set(first)) == len(set(np.concatenate(list(keys.values()))))  # one of each key goes to the key's bucket

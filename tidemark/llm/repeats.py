@@ -279,24 +279,18 @@ def by_row_order(ids: np.ndarray, refs: np.ndarray, starts: np.ndarray) -> np.nd
 
 # ---- Spark stages ----------------------------------------------------------
 
-KEYS = "bucket int, known int, keys binary, refs binary, starts binary, sizes binary"
+KEYS = "bucket int, alone int, several int, keys binary, refs binary, starts binary, sizes binary"
 RUNS = "ref bigint, start int, size int, key int"
 
 
 def _entries(rows: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
-    """Runs of windows, packed by key; runs whose key recurs in the batch are known to repeat, one of them goes to the key's bucket."""
-    out = arrow_schema(KEYS)
+    """Runs of windows, packed by bucket: those whose key stands alone in the batch, the first ones of the other keys, the rest.
 
-    def pack(bucket, known, keys, refs, starts, sizes) -> pa.RecordBatch:
-        order = np.argsort(bucket, kind="stable")
-        first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-        cols = [keys[order].astype("<u8"), refs[order], starts[order].astype(np.int32), sizes[order].astype(np.uint16)]
-        parts = [[x.tobytes() for x in np.split(c, first[1:])] if len(first) else [] for c in cols]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(bucket[order][first], pa.int32()), pa.array(np.full(len(first), known), pa.int32()), *(pa.array(p, pa.binary()) for p in parts)], schema=out
-        )
+    The first two kinds go to the key's bucket. The rest are known to repeat and are dealt by their row.
+    """
+    out = arrow_schema(KEYS)
 
-    def flush(found: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def flush(found: list[tuple]) -> pa.RecordBatch:
         refs = np.repeat(np.array([r for r, *_ in found], np.int64), [len(s) for _, s, *_ in found])
         starts, sizes, keys = (np.concatenate([f[i] for f in found]) for i in (1, 2, 3))
         order = np.argsort(keys, kind="stable")
@@ -305,10 +299,18 @@ def _entries(rows: DataFrame, buckets: int, length: int, gram: int) -> DataFrame
         several = np.zeros(len(order), bool)
         several[1:] |= same
         several[:-1] |= same
-        by_key = ((keys >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
-        spread = (mix(refs.view(U64).copy()) % U64(buckets)).astype(np.int64)
-        for known, which, bucket in ((0, order[head & ~several], by_key), (1, order[head & several], by_key), (2, order[~head], spread)):
-            yield pack(bucket[which], known, keys[which], refs[which], starts[which], sizes[which])
+        kind = np.empty(len(order), np.int64)
+        kind[order] = np.where(head, several, 2)
+        # a key is the smallest of many hashes: by its size almost all would stand in the first buckets
+        dealt_by = np.where(kind < 2, keys, refs.view(U64))
+        bucket = (mix(dealt_by) % U64(buckets)).astype(np.int64)
+        place = sorted_by(bucket * 3 + kind)
+        bucket, kind = bucket[place], kind[place]
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        counts = [np.add.reduceat(kind == k, first, dtype=np.int32) if len(first) else first for k in (0, 1)]
+        cols = [keys[place].astype("<u8"), refs[place], starts[place].astype(np.int32), sizes[place].astype(np.uint16)]
+        parts = [[x.tobytes() for x in np.split(c, first[1:])] if len(first) else [] for c in cols]
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in (bucket[first], *counts)), *(pa.array(p, pa.binary()) for p in parts)], schema=out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -323,10 +325,10 @@ def _entries(rows: DataFrame, buckets: int, length: int, gram: int) -> DataFrame
                     found.append((ref, start + at, size, key))
                     entries += len(start)
                     if entries >= FLUSH_ENTRIES:
-                        yield from flush(found)
+                        yield flush(found)
                         found, entries = [], 0
             if found:
-                yield from flush(found)
+                yield flush(found)
 
     return rows.select("ref", "text").mapInArrow(run, KEYS)
 
@@ -339,7 +341,9 @@ def _repeated(table: pa.Table) -> pa.Table:
     """The runs of a bucket whose key occurs in several of them."""
     keys, refs = _unpacked(table["keys"], U64), _unpacked(table["refs"], np.int64)
     starts, sizes = _unpacked(table["starts"], np.int32), _unpacked(table["sizes"], np.uint16)
-    known = np.repeat(table["known"].to_numpy(), [len(x) // 8 for x in table["keys"].to_pylist()])
+    alone, several = table["alone"].to_numpy(), table["several"].to_numpy()
+    rest = np.array([len(x) // 8 for x in table["keys"].to_pylist()]) - alone - several
+    known = np.repeat(np.tile(np.array([0, 1, 2], np.int8), len(rest)), np.stack([alone, several, rest], axis=1).ravel())
     order = np.argsort(keys, kind="stable")
     shared = np.zeros(len(keys), bool)
     here = known[order] < 2  # the others are known, and may stand in any bucket
