@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -269,3 +270,27 @@ def test_fine_quantities_are_not_rounded_before_the_product(spark):
     assert str(df.agg(exact_sum(cost("q", "p", quantity_type(df, "q")))).first()[0]) == "1.30"
     whole = spark.createDataFrame([(3, 0.125)], "q int, p double")
     assert quantity_type(whole, "q").simpleString() == "decimal(17,2)" and str(whole.select(cost("q", "p")).first()[0].normalize()) == "0.375"
+
+
+@pytest.mark.parametrize("kind", ["int", "decimal(12,2)", "double"])
+def test_consumption_base_equals_sums_of_days_attached(spark, kind):
+    """Windows over rows and sums of days give the same spend: NULL materials, days, quantities and prices, ties, prices of a purchase order's own."""
+    rng = random.Random(4)
+    day = dt.date(2024, 1, 1)
+    rows = [
+        (i, rng.choice([None, 1, 2, 3, 9]), rng.choice([None, *[day + dt.timedelta(days=d) for d in (0, 0, 1, 89, 90, 91, 200)]]), rng.choice([None, 1, 2, 7]), None, "2024-05-01")
+        for i in range(200)
+    ]
+    po = spark.createDataFrame(rows, "po_id int, material_id int, order_date date, quantity_ordered int, received_date date, updated_at string")
+    po = po.withColumn("quantity_ordered", F.col("quantity_ordered").cast(kind)).withColumn("quantity_received", F.col("quantity_ordered"))
+    mat = spark.createDataFrame([(1, "m1", 1.25, 5, 3, "x"), (2, "m2", None, 6, 4, "y"), (3, "m3", 0.5, None, 5, "z")], "material_id int, material_name string, unit_price double, supplier_id int, lead_time_days int, updated_at string")
+    sup = spark.createDataFrame([(5, "s5", "old", "2020"), (7, "s7", "new", "2021")], "supplier_id int, supplier_name string, material_name string, updated_at string")
+    for orders in (po, po.withColumn("unit_price", F.lit(3.0)), po.withColumn("supplier_id", F.lit(7))):
+        p, m, s = su.po_parts(orders, mat, sup)
+        want = su.left_join_dim(su.left_join_dim(su.with_rolling_spend(p, m, 90), m, "material_id", "material"), s, "supplier_id", "supplier")
+        for most in (su.WINDOW_ROWS, 10):  # 10: every material is a large one
+            got = su.consumption_base(p, m, s, orders.select("material_id"), 90, most)
+            assert got.columns == want.columns
+            a, b = (x.withColumn(su.ROLLING, F.col(su.ROLLING).cast("decimal(38,2)")) for x in (got, want))
+            assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    assert su.largest_material(po.select("material_id")) > 10 and su.largest_material(po.select("material_id").limit(0)) == 0

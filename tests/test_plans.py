@@ -120,3 +120,16 @@ def test_trailing_spend_is_attached_before_the_joins(spark, sf_small):
     got = QUERIES["material_consumption"](spark, sf_small).drop("_etl_loaded_at")
     want = su.material_consumption(su.join_base(po, mat, sup), rolling=su.material_rolling_spend(po, mat)).drop("_etl_loaded_at")
     assert got.schema == want.schema and got.exceptAll(want).isEmpty() and got.count() == want.count()
+
+
+def test_consumption_shuffles_purchase_orders_by_material_once(spark, sf_small):
+    """The trailing sum and the join share one shuffle of the rows, suppliers are joined to the materials."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["material_consumption"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # purchase orders; materials, once deduplicated and once with their suppliers
+    assert len(re.findall(r"Exchange hashpartitioning\(material_id#\d+L?,", plan)) == 3
+    assert not re.findall(r"Exchange hashpartitioning\([^)]*__tm_day", plan) and plan.count("SortMergeJoin") == 2

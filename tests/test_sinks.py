@@ -1,3 +1,4 @@
+import shutil
 from pathlib import Path
 
 import pytest
@@ -198,3 +199,73 @@ def test_row_hashes_are_shuffled_as_bytes(spark):
     upsert_table(spark, df, path, ["k"], buckets=2)
     out = upsert_table(spark, df.filter("k < 6").withColumn("v", F.lit(1)).select("k", F.reverse("_etl_row_hash").alias("_etl_row_hash")), path, ["k"])
     assert out.count() == len(values)
+
+
+def _merge_twice(spark, rows, batches, at_rest):
+    """A table of ``rows`` after the batches, and its files after each merge."""
+    path = scratch_path(spark, "t_places")
+    upsert_table(spark, rows, path, ["k"], buckets=4)
+    seen = [_files(path)]
+    for batch in batches:
+        upsert_table(spark, stage(batch, scratch_path(spark, "t_batch")), path, ["k"], at_rest=at_rest)
+        seen.append(_files(path))
+    return path, seen
+
+
+def test_a_batch_at_rest_is_merged_by_the_places_of_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(tables, "PICK_ROWS", 1)
+    kind = "k bigint, v string, _etl_run int"
+    old = spark.createDataFrame([(i, "a" if i % 3 else None, 1) for i in range(300)] + [(None, "n", 1)], kind).repartition(3)
+    new = spark.createDataFrame([(i, "a" if i % 3 else ("" if i % 2 else None), 2) for i in range(250, 400)] + [(None, "m", 2)], kind).repartition(5)
+    monkeypatch.setattr(tables, "_resolved", lambda *_: pytest.fail("rows are not shuffled"))
+    path, files = _merge_twice(spark, old, [new, new], True)
+    assert files[1] != files[0] and files[2] == files[1]  # the second time the target has every row
+    monkeypatch.undo()
+    whole, _ = _merge_twice(spark, old, [new], False)
+    got, want = read_current(spark, path), read_current(spark, whole)
+    assert got.count() == 401 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert {r.k: r._etl_run for r in got.filter("k in (251, 252, 261)").collect()} == {251: 1, 252: 1, 261: 2}
+    assert not [d for d in (Path(path) / "_pending").iterdir() if "=" in d.name]  # moved, not copied
+    monkeypatch.setattr(tables, "PICK_ROWS", 1)
+    monkeypatch.setattr(tables, "PICK_BLOCKS", 0)  # too many rows for their bits to be broadcast
+    path, _ = _merge_twice(spark, old, [new], True)
+    assert read_current(spark, path).exceptAll(want).isEmpty()
+
+
+def test_rows_are_picked_without_a_shuffle_and_over_blocks(spark):
+    path = scratch_path(spark, "t_blocks")
+    upsert_table(spark, spark.range(100_000).select(F.col("id").alias("k"), F.lit("a").alias("v")).coalesce(1), path, ["k"], buckets=1)
+    batch = stage(spark.range(90_000, 190_000).select(F.col("id").alias("k"), F.when(F.col("id") % 2 == 0, "b").otherwise("a").alias("v")).coalesce(1), scratch_path(spark, "t_batch"))
+    near = tables._located(tables._merged(spark, path, "parquet"))
+    bits = tables._bits(near, tables._located(tables._bucketed(batch, ["k"], "key_bucket_1")), ["k"], "key_bucket_1")
+    assert bits.count() == 8  # four blocks of 32768 rows a file
+    kept = tables._picked(near, bits.filter(~F.col(tables.CHANGED)))
+    plan = kept.select("k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert kept.columns == ["k", "v", "key_bucket_1"]
+    assert sorted(r.k for r in kept.collect()) == [k for k in range(100_000) if k < 90_000 or k % 2]
+
+
+def test_a_move_that_broke_off_is_seen_and_finished(spark, monkeypatch):
+    """Some pending folders were moved, one stands nowhere but in the pending ones, the log was not written."""
+    monkeypatch.setattr(tables, "PICK_ROWS", 1)
+    path = scratch_path(spark, "t_moved")
+    upsert_table(spark, spark.createDataFrame([(i, "a") for i in range(40)], "k int, v string"), path, ["k"], buckets=4)
+    batch = stage(spark.createDataFrame([(i, "b") for i in range(20, 60)], "k int, v string"), scratch_path(spark, "t_batch"))
+    want = {i: "a" if i < 20 else "b" for i in range(60)}
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_place", lambda *_: None)
+        upsert_table(spark, batch, path, ["k"], at_rest=True)
+    data, waiting = Path(path) / "_merged", Path(path) / "_pending"
+    folders = sorted(d.name for d in waiting.iterdir() if "=" in d.name)
+    assert len(folders) == 4
+    for name in folders[:2]:
+        shutil.rmtree(data / name)
+    (waiting / folders[0]).rename(data / folders[0])
+    assert {r.k: r.v for r in read_current(spark, path).collect()} == want
+    for name in folders[1:]:  # all moved, the log is still missing
+        shutil.rmtree(data / name, ignore_errors=True)
+        (waiting / name).rename(data / name)
+    assert {r.k: r.v for r in read_current(spark, path).collect()} == want
+    out = upsert_table(spark, spark.createDataFrame([(100, "c")], "k int, v string"), path, ["k"])
+    assert {r.k: r.v for r in out.collect()} == {**want, 100: "c"}
