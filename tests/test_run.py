@@ -301,3 +301,16 @@ def test_a_run_that_is_wholly_or_mostly_new_narrows_nothing(spark, sf_small, mon
     monkeypatch.setattr(r, "touched_history", lambda *_: pytest.fail("no mark: every row is new"))
     d = fx.domain(spark, sf_small, "orders", "products")
     assert r.build_affected(d, ["order_enriched"], Params(), {"orders": None})["order_enriched"].count() == d["orders"].count()
+
+
+def test_a_run_whose_rows_share_most_values_reads_the_history_whole(spark, monkeypatch):
+    from tidemark.plans import run as r
+
+    seen, real = [], r._key_set
+    monkeypatch.setattr(r, "_key_set", lambda df, column, name: (seen.append(name), real(df, column, name))[1])
+    history = spark.createDataFrame([(i, i % 5 if i % 5 else None) for i in range(40)], "order_id bigint, customer_id bigint")
+    fact = r.FACTS["order_enriched"]
+    assert r.touched_history(history, history.filter("order_id in (0, 1, 2)"), fact).count() == 40
+    assert seen == ["touched_keys", "touched_within"]  # three of five customers, NULL among them, have most rows
+    assert r.touched_history(history, history.filter("order_id in (0, 1)"), fact).count() == 16
+    assert r.mostly_sharing(history, "customer_id", real(history.filter("order_id in (3, 8)"), "customer_id", "touched_within")) is False
